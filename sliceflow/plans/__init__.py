@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("slice_queries", "history_queries", "ordered_queries", "source_queries")
+_MODULES = ("slice_queries", "history_queries", "ordered_queries", "source_queries",
+            "stream_queries")
 
 
 def _load():

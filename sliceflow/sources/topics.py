@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Timestamps in record values keep microseconds (the JSON default is millis).
+JSON_TS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+           "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 TOPIC_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("value", T.StringType()),
@@ -21,7 +25,7 @@ TOPIC_SCHEMA = T.StructType([
 def to_records(df: DataFrame, key: str, value_cols: list[str], topic: str) -> DataFrame:
     """key = aggregate id, value = JSON of the chosen columns."""
     return df.select(F.col(key).cast("string").alias("key"),
-                     F.to_json(F.struct(*[F.col(c) for c in value_cols])).alias("value"),
+                     F.to_json(F.struct(*[F.col(c) for c in value_cols]), JSON_TS).alias("value"),
                      F.lit(topic).alias("topic"))
 
 
