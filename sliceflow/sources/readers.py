@@ -9,7 +9,9 @@ tasks instead of downloaded whole by every task:
 * no timestamp inference: ``2024-01`` stays text (Spark's ``inferSchema``
   would make it a timestamp).  Types are either given or inferred by one
   distributed aggregate: a column is ``bigint`` if every value parses as an
-  integer, ``double`` if every value parses as a number, else ``string``.
+  integer and none is missing (pandas makes an integer column with gaps
+  float64), ``double`` if every present value parses as a number, else
+  ``string``.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ def _null_sentinels(c: Column) -> Column:
 
 def infer_pandas_types(df: DataFrame) -> dict[str, str]:
     """One aggregate pass: the narrowest of bigint / double / string per column."""
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in df.columns:
         v = F.col(f"`{c}`")
         aggs += [F.count(v).alias(f"n_{c}"),
@@ -37,7 +39,9 @@ def infer_pandas_types(df: DataFrame) -> dict[str, str]:
     out = {}
     for c in df.columns:
         n, i, d = r[f"n_{c}"], r[f"i_{c}"], r[f"d_{c}"]
-        out[c] = "bigint" if n and i == n else ("double" if n and d == n else "string")
+        whole = n == r["_rows"]
+        out[c] = ("bigint" if n and i == n and whole
+                  else "double" if n and d == n else "string")
         if n == 0:
             out[c] = "double"  # an all-missing column is float64 in pandas
     return out
