@@ -224,7 +224,7 @@ def slice_apply(df: DataFrame, fn: Callable[[pd.DataFrame, dict], pd.DataFrame],
     """
     check_job_function(fn)
     params = dict(params or {})
-    out_schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    out_schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     cols = df.columns
     plan = plan_slices(df, key, total, rows_per_bucket)
     biggest = max(plan.slice_sizes()) if plan.total else 0

@@ -54,7 +54,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     if pandas_nulls:
         raw = raw.select(*[_null_sentinels(F.col(f"`{c}`")).alias(c) for c in raw.columns])
     if schema is not None:
-        st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+        st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
                             for f in st.fields])
     if not infer:
