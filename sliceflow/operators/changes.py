@@ -65,7 +65,7 @@ def retention_apply(df: DataFrame, pred: Column, path: str, fmt: str = "parquet"
 
 def delete_scoped(rows: DataFrame, requests: DataFrame, keys: list[str]) -> DataFrame:
     """M4: delete rows matching (id, scope) requests -- both keys must match."""
-    return rows.join(requests.select(*keys), keys, "left_anti")
+    return rows.join(requests.select(*keys).distinct(), keys, "left_anti")
 
 
 def cancel_cascade(tasks: DataFrame, runs: DataFrame, cancelled_jobs: DataFrame) -> tuple[DataFrame, DataFrame]:

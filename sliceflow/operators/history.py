@@ -21,13 +21,15 @@ def scoped_lookup(rows: DataFrame, requests: DataFrame, id_col: str = "id",
                   ws_col: str = "workspace_id") -> DataFrame:
     """rows whose (id, workspace) pair is requested -- tenant scoping is
     part of the match, so a row never leaks to another workspace."""
-    return rows.join(requests.select(id_col, ws_col), [id_col, ws_col], "left_semi")
+    # distinct first: a key requested many times is reduced map-side, so a hot
+    # request key cannot skew the join
+    return rows.join(requests.select(id_col, ws_col).distinct(), [id_col, ws_col], "left_semi")
 
 
 def lookup_by_id(rows: DataFrame, ids: DataFrame, id_col: str = "id",
                  cols: list[str] | None = None) -> DataFrame:
     """rows (or some columns) for a set of requested ids."""
-    out = rows.join(ids.select(id_col), [id_col], "left_semi")
+    out = rows.join(ids.select(id_col).distinct(), [id_col], "left_semi")
     return out.select(id_col, *cols) if cols else out
 
 
@@ -55,7 +57,7 @@ def cascade_survivors(child: DataFrame, fk: str, removed: DataFrame, key: str) -
 def removed_children(child: DataFrame, fk: str, removed: DataFrame, key: str,
                      child_key: str) -> DataFrame:
     """Keys of the child rows a cascade removes (input to the next level)."""
-    return (child.join(removed.select(F.col(key).alias(fk)), [fk], "left_semi")
+    return (child.join(removed.select(F.col(key).alias(fk)).distinct(), [fk], "left_semi")
             .select(child_key))
 
 
@@ -193,4 +195,4 @@ def oldest(rows: DataFrame, order_cols: list[str], k: int) -> DataFrame:
 
 def undelivered(outbox: DataFrame, published: DataFrame, key: str = "id") -> DataFrame:
     """Events written but never published."""
-    return outbox.join(published.select(key), [key], "left_anti")
+    return outbox.join(published.select(key).distinct(), [key], "left_anti")

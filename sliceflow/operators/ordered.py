@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .slices import bucketize, order_value
+from .slices import MAX_BUCKETS, bucketize, order_value
 
 ROWS_PER_CHUNK = 1_000_000
 MIN_CHUNKS = 8
@@ -38,7 +38,7 @@ def add_chunks(df: DataFrame, order_col: str, rows_per_chunk: int = ROWS_PER_CHU
     """Add ``out``: a global, balanced, order-preserving bucket of ``order_col``."""
     t = df.withColumn("_ov", order_value(df, order_col))
     n = t.count()
-    nb = max(min_chunks, math.ceil(n / rows_per_chunk)) if n else 1
+    nb = min(MAX_BUCKETS, max(min_chunks, math.ceil(n / rows_per_chunk))) if n else 1
     splits: list = []
     if nb > 1 and n > 1:
         qs = t.approxQuantile("_ov", [i / nb for i in range(1, nb)], 1.0 / (4 * nb))

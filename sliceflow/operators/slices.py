@@ -34,6 +34,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 1_000_000
+# Upper bound on buckets: keeps the quantile summary and the per-bucket count
+# table on the driver small at any size; past it, buckets grow instead (their
+# sorts spill to disk).
+MAX_BUCKETS = 20_000
 MAX_LITERAL_BOUNDARIES = 128
 _EXACT_DOUBLE = 2 ** 53
 
@@ -117,7 +121,7 @@ def plan_slices(df: DataFrame, key: str, total: int,
     n = int(st["n"])
     rps = max(1, n // total)
     ranks = [i * rps for i in range(1, total) if i * rps < n]
-    nb = max(1, math.ceil(n / rows_per_bucket))
+    nb = min(MAX_BUCKETS, max(1, math.ceil(n / rows_per_bucket)))
     splits: list = []
     if nb > 1:
         if max(abs(st["lo"]), abs(st["hi"])) >= _EXACT_DOUBLE:

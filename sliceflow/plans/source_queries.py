@@ -48,7 +48,7 @@ def q_read_by_format(spark, sf):
         path = scratch_path(spark, f"sales-{fmt}")
         A.write_dataset(s, path, fmt)
         schema = "o_orderkey long, region string, revenue double, date string"
-        back = R.read_dataset(spark, path, fmt, schema=None if fmt == "csv" else schema)
+        back = R.read_dataset(spark, path, fmt, schema=schema)
         parts.append(rollup.region_rollup(back, money_scale=2)
                      .withColumn("file_format", F.lit(fmt)))
     return reduce(DataFrame.unionByName, parts)
