@@ -38,12 +38,7 @@ def _events_topic(spark, sf) -> str:
     dups = (chunked.where(F.col("event_type") == "purchase")
             .withColumn("_c", F.least(F.col("_c") + 1, F.lit(FILES - 1))))
     path = scratch_path(spark, "topic")
-    allrec = chunked.unionByName(dups).select("key", "value", "topic", "_c")
-    n = allrec.agg(F.max("_c")).first()[0] or 0
-    for i in range(n + 1):
-        (allrec.where(F.col("_c") == i).drop("_c").coalesce(1)
-         .write.mode("append").parquet(path))
-    return path
+    return S.write_in_order(chunked.unionByName(dups).select("key", "value", "topic", "_c"), path)
 
 
 def _topic_stream(spark, sf) -> DataFrame:

@@ -40,21 +40,32 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 # ------------------------------------------------------------ replay source
 
-def replay_files(df: DataFrame, path: str, order_col: str, files: int,
-                 extra: DataFrame | None = None) -> str:
-    """Write ``df`` as ``files`` parquet files in ``order_col`` order, one
+def write_in_order(chunked: DataFrame, path: str, chunk_col: str = "_c") -> str:
+    """Write one parquet file per ``chunk_col`` value, in increasing order, one
     write per file so file times follow the order (a file stream source takes
-    the oldest file first).  ``extra`` rows carry their own ``_c`` file index
-    (e.g. redelivered copies placed in a later file)."""
-    t = add_chunks(df, order_col, min_chunks=files)
-    if extra is not None:
-        t = t.unionByName(extra)
-    n = t.agg(F.max("_c")).first()[0] or 0
-    for i in range(n + 1):
-        t.where(F.col("_c") == i).drop("_c").coalesce(1).write.mode("append").parquet(path)
+    the oldest file first, and each micro-batch then holds whole chunks).
+
+    The input is persisted once so the per-file writes do not rescan it, and
+    each write reads in parallel and moves only its chunk to the one writer
+    task (``repartition(1)``, not ``coalesce(1)``, which would make the whole
+    scan single-threaded)."""
+    t = chunked.persist()
+    try:
+        n = t.agg(F.max(chunk_col)).first()[0]
+        for i in range(0 if n is None else n + 1):
+            (t.where(F.col(chunk_col) == i).drop(chunk_col).repartition(1)
+             .write.mode("append").parquet(path))
+    finally:
+        t.unpersist()
     return path
 
 
+def replay_files(df: DataFrame, path: str, order_col: str, files: int) -> str:
+    """Replay a table as ``files`` parquet files in ``order_col`` order
+    (balanced time ranges from global quantiles)."""
+    return write_in_order(add_chunks(df, order_col, min_chunks=files), path)
+
+
 def run_available(query_builder: Callable[[], object]) -> None:
     """Start a query built with ``trigger(availableNow=True)`` and wait."""
     q = query_builder()
