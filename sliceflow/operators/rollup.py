@@ -6,8 +6,8 @@ of no values is 0.  The merge of slices is a two-phase aggregate: totals and
 counts are summed and the mean is recomputed as total / count -- never a mean
 of means.
 
-``money_scale``: when given, revenue is summed as ``DECIMAL(38, scale)``.  The
-sum is then exact and does not depend on how Spark split the rows (a double sum
+``money_scale``: when given, revenue is cast to ``DECIMAL(18, scale)`` and
+summed as a decimal.  The sum is then exact and does not depend on how Spark split the rows (a double sum
 does), which makes results reproducible between runs and cluster sizes.
 """
 
@@ -50,10 +50,21 @@ def by_slice_rollup(sliced: DataFrame, region: str = "region", revenue: str = "r
 
 
 def region_rollup_by_slice(df: DataFrame, key: str, total: int = 3, region: str = "region",
-                           revenue: str = "revenue", money_scale: int | None = None) -> DataFrame:
-    """Slice ``df`` by ``key`` and roll each slice up by region."""
-    plan = plan_slices(df.select(key), key, total)
-    sliced = assign_slices(df.select(key, region, revenue), plan)
+                           revenue: str = "revenue", money_scale: int | None = None,
+                           materialize: bool = False) -> DataFrame:
+    """Slice ``df`` by ``key`` and roll each slice up by region.
+
+    ``materialize``: for an input that is expensive to recompute (a join),
+    write the three needed columns once with a reliable ``checkpoint()`` (to
+    ``spark.checkpoint.dir``) so the slice planning passes only scan them."""
+    src = df.select(key, region, revenue)
+    if materialize:
+        from ..session import checkpoint_root
+
+        checkpoint_root(df.sparkSession)
+        src = src.checkpoint(eager=True)
+    plan = plan_slices(src.select(key), key, total)
+    sliced = assign_slices(src, plan)
     return by_slice_rollup(sliced, region, revenue, money_scale)
 
 

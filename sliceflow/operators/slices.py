@@ -132,8 +132,11 @@ def plan_slices(df: DataFrame, key: str, total: int,
         return SlicePlan(key, n, total, rps, [], splits)
 
     kb = bucketize("_k", splits, "_b", k)
-    counts = sorted((r["_b"], r["c"]) for r in
-                    kb.groupBy("_b").agg(F.count(F.lit(1)).alias("c")).collect())
+    if splits:
+        counts = sorted((r["_b"], r["c"]) for r in
+                        kb.groupBy("_b").agg(F.count(F.lit(1)).alias("c")).collect())
+    else:
+        counts = [(0, n)]  # one bucket: its count is n, no job needed
     starts, acc = [], 0
     for _, c in counts:
         starts.append(acc)

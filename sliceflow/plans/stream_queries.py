@@ -83,12 +83,15 @@ def q_dedup_events(spark, sf):
 
 
 def q_state_fold_stream(spark, sf):
+    """T4 in its incremental form (streaming max_by + upsert log); the
+    snapshot form is checked against it in the tests."""
     ev = _deduped(spark, sf).select(F.col("user_id").alias("workspace_id"), "event_id", "ts",
                                     views.event_kind().alias("state"))
     path = scratch_path(spark, "state")
-    S.run_available(lambda: S.state_fold(ev, path, scratch_path(spark, "ck"), "workspace_id",
-                                         ["ts", "event_id"], ["state", "ts", "event_id"]))
-    return spark.read.parquet(S.latest_state_version(spark, path)).select(
+    S.run_available(lambda: S.state_fold_incremental(
+        ev, path, scratch_path(spark, "ck"), "workspace_id", ["ts", "event_id"],
+        ["state", "ts", "event_id"]))
+    return S.latest_rows(spark, path, ["workspace_id"]).select(
         "workspace_id", "state", F.col("ts").alias("updated_at"),
         F.col("event_id").alias("last_event_id"))
 

@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -38,6 +38,22 @@ EVENT_SCHEMA = T.StructType([
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
+# ------------------------------------------------------------ event time
+
+def event_time(c: str) -> Column:
+    """A ``timestamp`` column for watermarks from a ``timestamp_ntz`` one,
+    reading the wall-clock value as UTC.  Built from epoch microseconds, so
+    it does not depend on the session time zone."""
+    return F.timestamp_micros(
+        F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{c}`)"))
+
+
+def wall_clock(c: Column) -> Column:
+    """Inverse of ``event_time``: back to ``timestamp_ntz``."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), epoch)
+
+
 # ------------------------------------------------------------ replay source
 
 def write_in_order(chunked: DataFrame, path: str, chunk_col: str = "_c") -> str:
@@ -116,7 +132,7 @@ def split_sinks(parsed: DataFrame, good_path: str, dead_path: str, checkpoint: s
 def dedup_events(events: DataFrame, delay: str, key: str = "event_id",
                  ts: str = "ts") -> DataFrame:
     """Drop redelivered copies (same event id) arriving within ``delay``."""
-    return (events.withColumn("_wts", F.col(ts).cast("timestamp"))
+    return (events.withColumn("_wts", event_time(ts))
             .withWatermark("_wts", delay)
             .dropDuplicatesWithinWatermark([key]).drop("_wts"))
 
@@ -162,6 +178,23 @@ def latest_state_version(spark: SparkSession, state_path: str,
     return f"{state_path}/v={r['v']:012d}" if r and r["v"] is not None else None
 
 
+def state_fold_incremental(events: DataFrame, log_path: str, checkpoint: str, key: str,
+                           order_cols: list[str], value_cols: list[str]):
+    """T4, incremental form: a streaming ``max_by`` aggregate in update mode.
+
+    The latest value per key lives in the state store; each micro-batch
+    writes only the keys it changed to an upsert log (``upsert_log``), so a
+    batch costs what it carries, not the size of the whole state.  Read the
+    current state with ``latest_rows``.  ``state_fold`` is the snapshot form:
+    it rewrites the full state per batch, which is simpler to read but costs
+    O(state) per batch."""
+    ordk = F.struct(*[F.col(c) for c in order_cols])
+    rec = F.struct(*[F.col(c) for c in value_cols])
+    agg = (events.groupBy(key).agg(F.max_by(rec, ordk).alias("_r"))
+           .select(key, *[F.col(f"_r.{c}").alias(c) for c in value_cols]))
+    return upsert_log(agg, log_path, checkpoint)
+
+
 # ------------------------------------------------ T6, T7 upsert-log sinks
 
 def upsert_log(agg: DataFrame, path: str, checkpoint: str):
@@ -199,10 +232,10 @@ def windowed_counts(events: DataFrame, ts: str, group: str, width: str,
                     delay: str) -> DataFrame:
     """Counts per tumbling window and group; rows later than the
     watermark are dropped."""
-    t = events.withColumn("_wts", F.col(ts).cast("timestamp")).withWatermark("_wts", delay)
+    t = events.withColumn("_wts", event_time(ts)).withWatermark("_wts", delay)
     return (t.groupBy(F.window("_wts", width).alias("w"), F.col(group))
             .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), group, "n"))
+            .select(wall_clock(F.col("w.start")).alias("window_start"), group, "n"))
 
 
 # ------------------------------------------------- T5, T8, T9 per-key state
@@ -273,7 +306,7 @@ def missed_heartbeats(beats: DataFrame, limit_us: int, delay: str) -> DataFrame:
         yield out
 
     t = (beats.select("workspace_id", "event_id", "ts")
-         .withColumn("_wts", F.col("ts").cast("timestamp")).withWatermark("_wts", delay))
+         .withColumn("_wts", event_time("ts")).withWatermark("_wts", delay))
     return t.groupBy("workspace_id").applyInPandasWithState(
         fn, GAP_OUT, GAP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 

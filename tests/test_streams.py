@@ -61,3 +61,20 @@ def test_missed_heartbeats_equals_batch_gaps(spark, jev, files):
             .select("workspace_id", F.col("prev").alias("from_ts"), F.col("ts").alias("to_ts")))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert got.count() > 0
+
+
+def test_state_fold_snapshot_equals_incremental(spark, jev):
+    ev = jev.select("workspace_id", "event_id", "ts", F.col("kind").alias("state"))
+    vals = ["state", "ts", "event_id"]
+    snap = scratch_path(spark, "t-snap")
+    S.run_available(lambda: S.state_fold(_stream(spark, ev, 3), snap,
+                                         scratch_path(spark, "t-ck"), "workspace_id",
+                                         ORDER, vals))
+    log = scratch_path(spark, "t-log")
+    S.run_available(lambda: S.state_fold_incremental(_stream(spark, ev, 3), log,
+                                                     scratch_path(spark, "t-ck"),
+                                                     "workspace_id", ORDER, vals))
+    a = spark.read.parquet(S.latest_state_version(spark, snap)).select("workspace_id", *vals)
+    b = S.latest_rows(spark, log, ["workspace_id"]).select("workspace_id", *vals)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert a.count() == jev.select("workspace_id").distinct().count()
