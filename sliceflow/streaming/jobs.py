@@ -240,20 +240,142 @@ def windowed_counts(events: DataFrame, ts: str, group: str, width: str,
 
 # ------------------------------------------------- T5, T8, T9 per-key state
 
-def _micros(s: pd.Series) -> np.ndarray:
-    return pd.to_datetime(s).astype("datetime64[us]").astype("int64").to_numpy()
-
-
-def _batch(pdfs: Iterator[pd.DataFrame], state, ts: str, id_col: str):
-    pdf = pd.concat(list(pdfs), ignore_index=True)
-    pdf = pdf.sort_values([ts, id_col], kind="stable").reset_index(drop=True)
+STREAK_OUT = T.StructType([
+    T.StructField("workspace_id", T.LongType()),
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("streak", T.LongType()),
+])
+ADMIT_OUT = T.StructType([
+    T.StructField("workspace_id", T.LongType()),
+    T.StructField("event_id", T.LongType()),
+    T.StructField("running_before", T.LongType()),
+    T.StructField("admitted", T.BooleanType()),
+])
+# Per-bucket state: parallel arrays, one entry per key of the bucket.
+BUCKET_STATE = T.StructType([
+    T.StructField("keys", T.ArrayType(T.LongType())),
+    T.StructField("last_us", T.ArrayType(T.LongType())),
+    T.StructField("last_id", T.ArrayType(T.LongType())),
+    T.StructField("value", T.ArrayType(T.LongType())),
+])
+# Number of hashed state groups.  Keep it fixed for the life of a checkpoint
+# (state is stored per bucket); about active keys / 1000 for large key spaces.
+STATE_BUCKETS = 64
+_BIG = np.iinfo("int64").max
+
+
+def _bucketed(events: DataFrame, key: str, buckets: int) -> DataFrame:
+    return events.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)))
+
+
+def _load_bucket(pdfs, state, key: str):
+    """Rows of one bucket for one batch, sorted by (key, ts, event_id), with
+    each row's carried state; rows not newer than their key's state are late
+    and dropped.  Returns (rows, seg, first, carry, keys, table)."""
+    parts = list(pdfs)
+    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    k = pdf[key].to_numpy("int64")
+    us = pdf["ts"].to_numpy("datetime64[us]").astype("int64")
+    eid = pdf["event_id"].to_numpy("int64")
+    order = np.lexsort((eid, us, k))
+    pdf = pdf.iloc[order].reset_index(drop=True)
+    k, us, eid = k[order], us[order], eid[order]
     if state.exists:
         st = state.get
-        last_us, last_id = st[0], st[1]
-        us = _micros(pdf[ts])
-        keep = (us > last_us) | ((us == last_us) & (pdf[id_col].to_numpy() > last_id))
-        pdf = pdf[keep].reset_index(drop=True)
-    return pdf
+        table = pd.DataFrame({"last_us": st[1], "last_id": st[2], "value": st[3]},
+                             index=pd.Index(st[0], dtype="int64"))
+    else:
+        table = pd.DataFrame({"last_us": pd.Series(dtype="int64"),
+                              "last_id": pd.Series(dtype="int64"),
+                              "value": pd.Series(dtype="int64")},
+                             index=pd.Index([], dtype="int64"))
+    pos = table.index.get_indexer(k)  # -1 for a key without state
+    lo = np.iinfo("int64").min
+    # each array gets a sentinel at the end, which position -1 picks
+    last_us = np.r_[table["last_us"].to_numpy("int64"), lo][pos]
+    last_id = np.r_[table["last_id"].to_numpy("int64"), lo][pos]
+    keep = (us > last_us) | ((us == last_us) & (eid > last_id))
+    pdf, k, us, eid, pos = pdf[keep].reset_index(drop=True), k[keep], us[keep], eid[keep], pos[keep]
+    carry = np.r_[table["value"].to_numpy("int64"), 0][pos]
+    first = np.ones(len(k), dtype=bool)
+    first[1:] = k[1:] != k[:-1]
+    seg = np.cumsum(first) - 1
+    return pdf, k, us, eid, seg, first, carry, table
+
+
+def _store_bucket(state, table: pd.DataFrame, k, us, eid, seg, new_value) -> None:
+    """Write back the state of every key seen in this batch (its last row)."""
+    if len(k):
+        last = np.r_[np.nonzero(np.diff(seg))[0], len(seg) - 1]
+        upd = pd.DataFrame({"last_us": us[last], "last_id": eid[last],
+                            "value": np.asarray(new_value, dtype="int64")},
+                           index=pd.Index(k[last], dtype="int64"))
+        table = pd.concat([table[~table.index.isin(upd.index)], upd])
+    state.update((table.index.to_numpy().tolist(), table["last_us"].tolist(),
+                  table["last_id"].tolist(), table["value"].tolist()))
+
+
+def streak_stream(events: DataFrame, failed_kind: str, threshold: int,
+                  buckets: int = STATE_BUCKETS) -> DataFrame:
+    """Consecutive failures per key; rows at streak >= threshold.
+
+    Keys are grouped into ``buckets`` hashed state groups, so one Python call
+    folds many keys at once with vectorized pandas (state per key: last
+    position and the open streak).  Choose ``buckets`` near the number of
+    active keys / 1000 so a bucket's state stays small."""
+
+    def fn(bkey, pdfs, state):
+        pdf, k, us, eid, seg, first, carry, table = _load_bucket(pdfs, state, "workspace_id")
+        if not len(k):
+            return
+        f = (pdf["kind"] == failed_kind).to_numpy()
+        idx = np.arange(len(k)) - np.maximum.accumulate(np.where(first, np.arange(len(k)), 0))
+        lastf = pd.Series(np.where(~f, idx, -1)).groupby(seg).cummax().to_numpy()
+        c0 = carry  # open streak carried from earlier batches, per row's key
+        streak = np.where(f, np.where(lastf >= 0, idx - lastf, c0 + idx + 1), 0)
+        last = np.r_[np.nonzero(np.diff(seg))[0], len(seg) - 1]
+        _store_bucket(state, table, k, us, eid, seg, streak[last])
+        sel = streak >= threshold
+        if sel.any():
+            yield pd.DataFrame({"workspace_id": k[sel], "event_id": eid[sel],
+                                "ts": pdf["ts"][sel].to_numpy(), "streak": streak[sel]})
+
+    ev = _bucketed(events.select("workspace_id", "event_id", "ts", "kind"), "workspace_id",
+                   buckets)
+    return ev.groupBy("_bucket").applyInPandasWithState(
+        fn, STREAK_OUT, BUCKET_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def admission_stream(events: DataFrame, submit_kind: str, release_kind: str,
+                     limit: int, buckets: int = STATE_BUCKETS) -> DataFrame:
+    """W5 on a stream; state = the counter of each key (bucketed as in
+    ``streak_stream``).  Uses the same closed form as the batch fold:
+    ``before_t = S_{t-1} + min(c0, min over earlier submits of (limit - S_j))``."""
+
+    def fn(bkey, pdfs, state):
+        pdf, k, us, eid, seg, first, c0, table = _load_bucket(pdfs, state, "workspace_id")
+        if not len(k):
+            return
+        kind = pdf["kind"].to_numpy()
+        sub = kind == submit_kind
+        a = np.where(sub, 1, np.where(kind == release_kind, -1, 0)).astype("int64")
+        s = pd.Series(a).groupby(seg).cumsum().to_numpy()
+        cand = np.where(sub, limit - s, _BIG)
+        cm = pd.Series(cand).groupby(seg).cummin().to_numpy()
+        mprev = np.where(first, _BIG, np.r_[_BIG, cm[:-1]])
+        before = (s - a) + np.minimum(c0, mprev)
+        last = np.r_[np.nonzero(np.diff(seg))[0], len(seg) - 1]
+        after = s[last] + np.minimum(c0[last], cm[last])
+        _store_bucket(state, table, k, us, eid, seg, after)
+        yield pd.DataFrame({"workspace_id": k, "event_id": eid, "running_before": before,
+                            "admitted": pd.Series(before < limit, dtype="boolean")
+                            .where(sub, pd.NA)})
+
+    ev = _bucketed(events.select("workspace_id", "event_id", "ts", "kind"), "workspace_id",
+                   buckets)
+    return ev.groupBy("_bucket").applyInPandasWithState(
+        fn, ADMIT_OUT, BUCKET_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 GAP_OUT = T.StructType([
@@ -263,129 +385,83 @@ GAP_OUT = T.StructType([
     T.StructField("gap_us", T.LongType()),
     T.StructField("open", T.BooleanType()),
 ])
-GAP_STATE = T.StructType([
-    T.StructField("last_us", T.LongType()),
-    T.StructField("last_id", T.LongType()),
-    T.StructField("reported", T.BooleanType()),
-])
 
 
-def missed_heartbeats(beats: DataFrame, limit_us: int, delay: str) -> DataFrame:
+def missed_heartbeats(beats: DataFrame, limit_us: int, delay: str,
+                      buckets: int = STATE_BUCKETS) -> DataFrame:
     """T5: every gap between consecutive heartbeats of a key longer than the
-    limit (closed gaps, found inside a batch and across batches), and an open
-    gap when the watermark passes ``last + limit`` with no new beat
-    (event-time timeout); each gap is reported once per kind."""
-
-    def fn(key, pdfs, state):
+    limit (closed gaps: inside a batch and across batches), and an open gap
+    once the watermark passes ``last + limit`` with no new beat.
+
+    State per key: last beat and a ``reported`` flag (the ``value`` array),
+    so an open gap is reported once.  Keys are bucketed as in
+    ``streak_stream``; a bucket's event-time timeout is the earliest due time
+    of its unreported keys."""
+    limit_ms = limit_us // 1000
+
+    def open_gaps(table: pd.DataFrame, wm_ms: int):
+        due = table["last_us"].to_numpy() // 1000 + limit_ms
+        hit = (table["value"].to_numpy() == 0) & (due <= wm_ms)
+        out = None
+        if hit.any():
+            out = pd.DataFrame({"workspace_id": table.index.to_numpy()[hit],
+                                "from_ts": pd.to_datetime(table["last_us"].to_numpy()[hit],
+                                                          unit="us"),
+                                "to_ts": pd.NaT, "gap_us": None, "open": True})
+            v = table["value"].to_numpy().copy()
+            v[hit] = 1
+            table = table.assign(value=v)
+        return table, out
+
+    def schedule(state, table: pd.DataFrame, wm_ms: int) -> None:
+        due = table["last_us"].to_numpy() // 1000 + limit_ms
+        due = due[(table["value"].to_numpy() == 0) & (due > wm_ms)]
+        if len(due):
+            state.setTimeoutTimestamp(int(due.min()))
+
+    def fn(bkey, pdfs, state):
+        wm = state.getCurrentWatermarkMs()
         if state.hasTimedOut:
-            last_us, last_id, reported = state.get
-            if not reported:
-                state.update((last_us, last_id, True))
-                yield pd.DataFrame({"workspace_id": [key[0]],
-                                    "from_ts": [pd.Timestamp(last_us, unit="us")],
-                                    "to_ts": [pd.NaT], "gap_us": [None], "open": [True]})
+            st = state.get
+            table = pd.DataFrame({"last_us": st[1], "last_id": st[2], "value": st[3]},
+                                 index=pd.Index(st[0], dtype="int64"))
+            table, out = open_gaps(table, wm)
+            state.update((table.index.to_numpy().tolist(), table["last_us"].tolist(),
+                          table["last_id"].tolist(), table["value"].tolist()))
+            schedule(state, table, wm)
+            if out is not None:
+                yield out
             return
-        pdf = _batch(pdfs, state, "ts", "event_id")
-        if pdf.empty:
+        pdf, k, us, eid, seg, first, _, table = _load_bucket(pdfs, state, "workspace_id")
+        if not len(k):
             return
-        us = _micros(pdf["ts"])
-        prev = np.concatenate([[state.get[0]] if state.exists else [np.nan], us[:-1]])
+        prev_known = table.index.get_indexer(k)
+        prev_us = np.r_[table["last_us"].to_numpy("int64"), -1][prev_known]
+        prev = np.where(first, prev_us, np.r_[-1, us[:-1]])
         gap = us - prev
-        sel = ~np.isnan(gap) & (gap > limit_us)
-        out = pd.DataFrame({
-            "workspace_id": key[0],
-            "from_ts": pd.to_datetime(prev[sel].astype("int64"), unit="us"),
-            "to_ts": pd.to_datetime(us[sel], unit="us"),
-            "gap_us": gap[sel].astype("int64"),
-            "open": False})
-        state.update((int(us[-1]), int(pdf["event_id"].iloc[-1]), False))
-        wm = state.getCurrentWatermarkMs()
-        due_ms = int(us[-1] // 1000 + limit_us // 1000)
-        if due_ms > wm:
-            state.setTimeoutTimestamp(due_ms)
-        yield out
-
-    t = (beats.select("workspace_id", "event_id", "ts")
+        sel = (prev >= 0) & (gap > limit_us)
+        last = np.r_[np.nonzero(np.diff(seg))[0], len(seg) - 1]
+        _store_bucket(state, table, k, us, eid, seg, np.zeros(len(last), dtype="int64"))
+        st = state.get
+        table = pd.DataFrame({"last_us": st[1], "last_id": st[2], "value": st[3]},
+                             index=pd.Index(st[0], dtype="int64"))
+        # a bucket with data gets no timeout call: report its due keys here
+        table, out = open_gaps(table, wm)
+        state.update((table.index.to_numpy().tolist(), table["last_us"].tolist(),
+                      table["last_id"].tolist(), table["value"].tolist()))
+        schedule(state, table, wm)
+        if out is not None:
+            yield out
+        if sel.any():
+            yield pd.DataFrame({"workspace_id": k[sel],
+                                "from_ts": pd.to_datetime(prev[sel], unit="us"),
+                                "to_ts": pd.to_datetime(us[sel], unit="us"),
+                                "gap_us": gap[sel], "open": False})
+
+    t = (_bucketed(beats.select("workspace_id", "event_id", "ts"), "workspace_id", buckets)
          .withColumn("_wts", event_time("ts")).withWatermark("_wts", delay))
-    return t.groupBy("workspace_id").applyInPandasWithState(
-        fn, GAP_OUT, GAP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
-
-
-STREAK_OUT = T.StructType([
-    T.StructField("workspace_id", T.LongType()),
-    T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("streak", T.LongType()),
-])
-STREAK_STATE = T.StructType([
-    T.StructField("last_us", T.LongType()),
-    T.StructField("last_id", T.LongType()),
-    T.StructField("streak", T.LongType()),
-])
-
-
-def streak_stream(events: DataFrame, failed_kind: str, threshold: int) -> DataFrame:
-    """Consecutive failures per key; rows at streak >= threshold."""
-
-    def fn(key, pdfs, state):
-        pdf = _batch(pdfs, state, "ts", "event_id")
-        if pdf.empty:
-            return
-        carry = state.get[2] if state.exists else 0
-        f = (pdf["kind"] == failed_kind).to_numpy()
-        idx = np.arange(len(f))
-        lastf = np.maximum.accumulate(np.where(~f, idx, -1))
-        streak = np.where(f, np.where(lastf >= 0, idx - lastf, carry + idx + 1), 0)
-        state.update((int(_micros(pdf["ts"].iloc[-1:])[0]), int(pdf["event_id"].iloc[-1]),
-                      int(streak[-1])))
-        sel = streak >= threshold
-        yield pd.DataFrame({"workspace_id": key[0], "event_id": pdf["event_id"][sel],
-                            "ts": pdf["ts"][sel], "streak": streak[sel].astype("int64")})
-
-    return events.select("workspace_id", "event_id", "ts", "kind").groupBy(
-        "workspace_id").applyInPandasWithState(fn, STREAK_OUT, STREAK_STATE, "append",
-                                               GroupStateTimeout.NoTimeout)
-
-
-ADMIT_OUT = T.StructType([
-    T.StructField("workspace_id", T.LongType()),
-    T.StructField("event_id", T.LongType()),
-    T.StructField("running_before", T.LongType()),
-    T.StructField("admitted", T.BooleanType()),
-])
-ADMIT_STATE = T.StructType([
-    T.StructField("last_us", T.LongType()),
-    T.StructField("last_id", T.LongType()),
-    T.StructField("counter", T.LongType()),
-])
-
-
-def admission_stream(events: DataFrame, submit_kind: str, release_kind: str,
-                     limit: int) -> DataFrame:
-    """W5 on a stream; state = the counter (one int per key)."""
-
-    def fn(key, pdfs, state):
-        pdf = _batch(pdfs, state, "ts", "event_id")
-        if pdf.empty:
-            return
-        c0 = state.get[2] if state.exists else 0
-        sub = (pdf["kind"] == submit_kind).to_numpy()
-        a = np.where(sub, 1, np.where(pdf["kind"] == release_kind, -1, 0)).astype("int64")
-        s = np.cumsum(a)
-        s_prev = s - a
-        cand = np.where(sub, limit - s, np.iinfo("int64").max)
-        mprev = np.minimum.accumulate(np.concatenate([[np.iinfo("int64").max], cand[:-1]]))
-        before = s_prev + np.minimum(c0, mprev)
-        after = s[-1] + min(c0, cand.min())
-        state.update((int(_micros(pdf["ts"].iloc[-1:])[0]), int(pdf["event_id"].iloc[-1]),
-                      int(after)))
-        yield pd.DataFrame({"workspace_id": key[0], "event_id": pdf["event_id"],
-                            "running_before": before.astype("int64"),
-                            "admitted": np.where(sub, before < limit, None)})
-
-    return events.select("workspace_id", "event_id", "ts", "kind").groupBy(
-        "workspace_id").applyInPandasWithState(fn, ADMIT_OUT, ADMIT_STATE, "append",
-                                               GroupStateTimeout.NoTimeout)
+    return t.groupBy("_bucket").applyInPandasWithState(
+        fn, GAP_OUT, BUCKET_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def to_parquet_sink(stream: DataFrame, path: str, checkpoint: str):

@@ -3,6 +3,8 @@ its batch twin."""
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,18 +33,19 @@ def jev(spark):
     return views.job_events(spark, SF0001).select("workspace_id", "event_id", "ts", "kind")
 
 
-@pytest.mark.parametrize("files", [1, 3])
-def test_streak_stream_equals_batch(spark, jev, files):
-    got = _run(spark, S.streak_stream(_stream(spark, jev, files), "failed", 3))
+@pytest.mark.parametrize("files,buckets", [(1, 256), (3, 256), (3, 2)])
+def test_streak_stream_equals_batch(spark, jev, files, buckets):
+    got = _run(spark, S.streak_stream(_stream(spark, jev, files), "failed", 3, buckets))
     want = (W.true_streak(jev, ["workspace_id"], ORDER, F.col("kind") == "failed", "streak")
             .where(F.col("streak") >= 3).select("workspace_id", "event_id", "ts", "streak"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-@pytest.mark.parametrize("files", [1, 3])
-def test_admission_stream_equals_batch(spark, jev, files):
+@pytest.mark.parametrize("files,buckets", [(1, 256), (3, 256), (3, 2)])
+def test_admission_stream_equals_batch(spark, jev, files, buckets):
     ev = jev.where(F.col("kind").isin("submitted", "completed"))
-    got = _run(spark, S.admission_stream(_stream(spark, ev, files), "submitted", "completed", 2))
+    got = _run(spark, S.admission_stream(_stream(spark, ev, files), "submitted", "completed", 2,
+                                         buckets))
     want = W.admission_fold(ev, ["workspace_id"], ORDER, F.col("kind") == "submitted",
                             F.col("kind") == "completed", 2).select(
         "workspace_id", "event_id", "running_before", "admitted")
@@ -53,8 +56,14 @@ def test_admission_stream_equals_batch(spark, jev, files):
 def test_missed_heartbeats_equals_batch_gaps(spark, jev, files):
     beats = jev.where(F.col("kind") == "heartbeat")
     limit = 24 * 3600 * 1_000_000
-    got = (_run(spark, S.missed_heartbeats(_stream(spark, beats, files), limit, "1 day"))
-           .where(~F.col("open")).select("workspace_id", "from_ts", "to_ts"))
+    res = _run(spark, S.missed_heartbeats(_stream(spark, beats, files), limit, "1 day"))
+    got = res.where(~F.col("open")).select("workspace_id", "from_ts", "to_ts")
+    # open gaps: keys whose last beat + limit lies before the final watermark
+    last = beats.groupBy("workspace_id").agg(F.max("ts").alias("last"))
+    wm = beats.agg(F.max("ts")).first()[0] - timedelta(days=1)
+    want_open = {r.workspace_id for r in last.collect()
+                 if r.last + timedelta(days=1) < wm}
+    assert {r.workspace_id for r in res.where(F.col("open")).collect()} == want_open
     prev = W.previous_value(beats, ["workspace_id"], ORDER, "ts", "prev")
     want = (prev.where(F.col("prev").isNotNull())
             .where(F.expr("timestampdiff(MICROSECOND, prev, ts)") > limit)
