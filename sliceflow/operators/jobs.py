@@ -41,7 +41,7 @@ def run_slice_job(spark: SparkSession, path: str, file_format: str = "csv",
     df = R.read_dataset(spark, path, file_format)
     order = key
     if order is None:
-        df = slices.file_row_index(df, "_row")
+        df = slices.file_row_index(df, "_row")  # exact file order, no sort
         order = "_row"
     if fn is None:
         out = rollup.analyze_slices(df, order, total)

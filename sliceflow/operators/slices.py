@@ -170,7 +170,7 @@ def slice_rows(df: DataFrame, key: str, total: int = 3,
     return assign_slices(df, plan_slices(df, key, total), out)
 
 
-def file_row_index(df: DataFrame, out: str = "_row_idx") -> DataFrame:
+def file_row_index(df: DataFrame, out: str = "_row_idx", with_count: bool = False):
     """0-based position of each row of a file scan, in (file path, offset) order.
 
     Rows of one file split are numbered consecutively by
@@ -178,6 +178,8 @@ def file_row_index(df: DataFrame, out: str = "_row_idx") -> DataFrame:
     ``(_metadata.file_path, _metadata.file_block_start)``.  One small row per
     split (count, first id) is gathered to turn the ids into global positions:
     the data itself is never sorted or shuffled.  ``df`` must be a file scan.
+    The per-split table is bounded by the number of file splits, so it is
+    broadcast.  ``with_count`` also returns the row count (from that table).
     """
     t = df.select("*",
                   F.col("_metadata.file_path").alias("_fp"),
@@ -191,16 +193,16 @@ def file_row_index(df: DataFrame, out: str = "_row_idx") -> DataFrame:
         rows.append((fp, fb, acc - m))
         acc += c
     base = df.sparkSession.createDataFrame(rows, "_fp string, _fb long, _base long")
-    return (t.join(F.broadcast(base), ["_fp", "_fb"])
-            .withColumn(out, F.col("_mid") + F.col("_base"))
-            .drop("_fp", "_fb", "_mid", "_base"))
+    out_df = (t.join(F.broadcast(base), ["_fp", "_fb"])
+              .withColumn(out, F.col("_mid") + F.col("_base"))
+              .drop("_fp", "_fb", "_mid", "_base"))
+    return (out_df, acc) if with_count else out_df
 
 
 def slice_rows_in_file_order(df: DataFrame, total: int = 3,
                              out: str = "partition_index") -> DataFrame:
     """P1 for a file scan without a key: slices follow the order in the files."""
-    t = file_row_index(df, "_row_idx")
-    n = t.count()
+    t, n = file_row_index(df, "_row_idx", with_count=True)
     rps = max(1, n // total)
     return (t.withColumn(out, F.least(F.floor(F.col("_row_idx") / F.lit(rps)),
                                       F.lit(total - 1)).cast("int"))

@@ -60,7 +60,8 @@ def q_dataset_catalog(spark, sf):
 
 def _written_artifacts(spark, sf) -> str:
     path = scratch_path(spark, "artifacts")
-    part = rollup.region_rollup_by_slice(views.sales(spark, sf), "o_orderkey", 3, money_scale=2)
+    part = rollup.region_rollup_by_slice(views.sales(spark, sf), "o_orderkey", 3, money_scale=2,
+                                         materialize=True)
     return A.write_artifacts(part, path)
 
 

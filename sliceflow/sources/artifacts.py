@@ -13,14 +13,22 @@ from ..functions.exprs import split_key_size
 
 
 def write_artifacts(df: DataFrame, path: str, slice_col: str = "partition_index",
+                    files_per_slice: int = 1,
                     max_records_per_file: int = 5_000_000) -> str:
     """``path/partition_index=<i>/part-*.csv`` with a header and no index.
 
-    Rows of one slice go to one task (``repartition(slice_col)``) so a small
-    slice is one file as in the reference; ``maxRecordsPerFile`` bounds the
-    file size of a large one.
+    With ``files_per_slice=1`` the rows of one slice go to one task, so a
+    small slice (a rollup) is one file as in the reference.  For large slice
+    outputs raise ``files_per_slice``: rows are spread over that many writer
+    tasks per slice by a hash of the row, so no single task writes a whole
+    slice; ``maxRecordsPerFile`` bounds each file.
     """
-    (df.repartition(slice_col).write.mode("errorifexists")
+    if files_per_slice <= 1:
+        out = df.repartition(slice_col)
+    else:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_slice))
+        out = df.repartition(slice_col, salt)
+    (out.write.mode("errorifexists")
      .option("header", True).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(slice_col).csv(path))
     return path
