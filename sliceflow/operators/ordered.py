@@ -168,6 +168,20 @@ def admission_fold(df: DataFrame, keys: list[str], order_cols: list[str], is_sub
 
 
 
+def running_jobs(events: DataFrame, key: str, order_cols: list[str], kind: str = "kind",
+                 submitted: str = "submitted", completed: str = "completed",
+                 cancelled: str = "cancelled", release_on_cancel: bool = False,
+                 out: str = "running", **chunk_opts) -> DataFrame:
+    """Jobs running per workspace: +1 on submit, -1 on completion, no
+    floor.  The reference never gives a cancelled job's slot back; with
+    ``release_on_cancel`` a cancellation is -1 as well.  Rows of other kinds
+    are dropped."""
+    rel = [completed, cancelled] if release_on_cancel else [completed]
+    ev = events.where(F.col(kind).isin([submitted, *rel]))
+    d = F.when(F.col(kind) == submitted, F.lit(1)).otherwise(F.lit(-1)).cast("long")
+    return running_sum(ev, [key], order_cols, d, out, **chunk_opts)
+
+
 def first_per_key(df: DataFrame, keys: list[str], order_cols: list[str],
                   cols: list[str] | None = None, last: bool = False) -> DataFrame:
     """The first (or last) row of each key by ``order_cols``.

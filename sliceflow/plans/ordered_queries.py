@@ -54,10 +54,8 @@ def q_failure_streaks(spark, sf):
 
 
 def q_running_jobs_counter(spark, sf):
-    e = (views.job_events(spark, sf).where(F.col("kind").isin("submitted", "completed"))
-         .select("workspace_id", "event_id", "ts", "kind"))
-    d = F.when(F.col("kind") == "submitted", 1).otherwise(-1).cast("long")
-    return W.running_sum(e, ["workspace_id"], ORDER, d, "running")
+    e = views.job_events(spark, sf).select("workspace_id", "event_id", "ts", "kind")
+    return W.running_jobs(e, "workspace_id", ORDER)
 
 
 def q_admission_check(spark, sf):

@@ -25,6 +25,17 @@ from .ordered_queries import ORACLE as ORD_ORACLE
 FILES = 6
 TOPIC = "job.events"
 
+# A topic exists once and has many consumers: each replay folder is written
+# once per (application, data set) and then read by every streaming query.
+_SOURCES: dict[tuple, str] = {}
+
+
+def _once(spark: SparkSession, sf: str, name: str, build) -> str:
+    k = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
+    if k not in _SOURCES:
+        _SOURCES[k] = build()
+    return _SOURCES[k]
+
 
 def _events_topic(spark, sf) -> str:
     e = views.table(spark, sf, "events")
@@ -42,15 +53,16 @@ def _events_topic(spark, sf) -> str:
 
 
 def _topic_stream(spark, sf) -> DataFrame:
-    return TP.read_topic(spark, _events_topic(spark, sf), stream=True, max_files_per_trigger=1)
+    path = _once(spark, sf, "topic", lambda: _events_topic(spark, sf))
+    return TP.read_topic(spark, path, stream=True, max_files_per_trigger=1)
 
 
 def _event_stream(spark, sf, kinds=None) -> DataFrame:
     e = views.job_events(spark, sf).drop("event_type", "props", "value")
-    if kinds:
-        e = e.where(F.col("kind").isin(list(kinds)))
-    path = S.replay_files(e, scratch_path(spark, "events"), "ts", FILES)
-    return (spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path))
+    path = _once(spark, sf, "events",
+                 lambda: S.replay_files(e, scratch_path(spark, "events"), "ts", FILES))
+    st = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return st.where(F.col("kind").isin(list(kinds))) if kinds else st
 
 
 def _split(spark, sf):
@@ -98,7 +110,8 @@ def q_state_fold_stream(spark, sf):
 
 def q_progress_stream(spark, sf):
     t = views.tasks(spark, sf).select("run_id", "state", "created_at")
-    src = S.replay_files(t, scratch_path(spark, "tasks"), "created_at", FILES)
+    src = _once(spark, sf, "tasks",
+                lambda: S.replay_files(t, scratch_path(spark, "tasks"), "created_at", FILES))
     stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(src)
     path = scratch_path(spark, "progress")
     S.run_available(lambda: S.upsert_log(S.progress_stream(stream), path,

@@ -104,3 +104,16 @@ def test_chunked_plan_has_no_unpartitioned_window(ev, capsys):
     W.running_sum(df, ["k"], ["ts", "event_id"], F.lit(1), "run", **OPTS).explain()
     plan = capsys.readouterr().out
     assert "Window" in plan and "SinglePartition" not in plan
+
+
+def test_running_jobs_release_on_cancel(spark):
+    rows = [(1, i, f"2024-01-01 00:00:0{i}", k) for i, k in
+            enumerate(["submitted", "submitted", "cancelled", "completed", "submitted"])]
+    df = spark.createDataFrame(rows, "k long, event_id long, ts string, kind string") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    keep = [r.running for r in W.running_jobs(df, "k", ["ts", "event_id"]).orderBy("event_id")
+            .collect()]
+    free = [r.running for r in W.running_jobs(df, "k", ["ts", "event_id"], release_on_cancel=True)
+            .orderBy("event_id").collect()]
+    assert keep == [1, 2, 1, 2]
+    assert free == [1, 2, 1, 0, 1]
