@@ -117,3 +117,13 @@ def test_running_jobs_release_on_cancel(spark):
             .orderBy("event_id").collect()]
     assert keep == [1, 2, 1, 2]
     assert free == [1, 2, 1, 0, 1]
+
+
+def test_many_chunks(ev):
+    """More than 128 chunks (Bucketizer path) gives the same running sums."""
+    pdf, df = ev
+    got = {r.event_id: r.run for r in
+           W.running_sum(df, ["k"], ["ts", "event_id"], F.lit(1), "run",
+                         rows_per_chunk=2, min_chunks=8).collect()}
+    want = pdf.groupby("k").cumcount() + 1
+    assert got == dict(zip(pdf.event_id, want))

@@ -210,3 +210,18 @@ def test_run_slice_job_user_and_native_match_golden(spark, tmp_out):
                for r in res.results.collect()}
         assert got == want
         assert sorted(r.partition_index for r in res.manifest.collect()) == [0, 1, 2]
+
+
+def test_many_buckets_use_binary_search(spark):
+    """More than 128 cut points: the JVM Bucketizer path, same answer."""
+    rnd = random.Random(11)
+    keys = rnd.sample(range(-10**9, 10**9), 3000)
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    plan = slices.plan_slices(df, "k", 7, rows_per_bucket=10)
+    assert len(plan.bucket_splits) > slices.MAX_LITERAL_BOUNDARIES
+    got = {r.k: r.partition_index for r in slices.assign_slices(df, plan).collect()}
+    rpp = 3000 // 7
+    assert got == {k: min(i // rpp, 6) for i, k in enumerate(sorted(keys))}
+    many = slices.plan_slices(df, "k", 300, rows_per_bucket=10)  # > 128 boundaries too
+    got = {r.k: r.partition_index for r in slices.assign_slices(df, many).collect()}
+    assert got == {k: min(i // 10, 299) for i, k in enumerate(sorted(keys))}
