@@ -7,6 +7,8 @@ import random
 
 import pandas as pd
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sliceflow.operators import rollup, slices
@@ -225,3 +227,17 @@ def test_many_buckets_use_binary_search(spark):
     many = slices.plan_slices(df, "k", 300, rows_per_bucket=10)  # > 128 boundaries too
     got = {r.k: r.partition_index for r in slices.assign_slices(df, many).collect()}
     assert got == {k: min(i // 10, 299) for i, k in enumerate(sorted(keys))}
+
+
+
+@settings(max_examples=12, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.lists(st.integers(-10**12, 10**12), min_size=0, max_size=80, unique=True),
+       total=st.integers(1, 9), rows_per_bucket=st.integers(1, 40))
+def test_slices_property(spark, keys, total, rows_per_bucket):
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    plan = slices.plan_slices(df, "k", total, rows_per_bucket=rows_per_bucket)
+    got = {r.k: r.partition_index for r in slices.assign_slices(df, plan).collect()}
+    rpp = max(1, len(keys) // total)
+    assert got == {k: min(i // rpp, total - 1) for i, k in enumerate(sorted(keys))}
+    assert plan.slice_sizes() == reference_slices(len(keys), total)
