@@ -95,8 +95,13 @@ def dataset_catalog(spark: SparkSession, root: str, glob: str = "*") -> DataFram
              .select("path", "length", "modificationTime"))
     base = F.regexp_extract("path", r"([^/]+)$", 1)
     fmt = F.lower(F.regexp_extract(base, r"\.([A-Za-z0-9]+)$", 1))
+    # object key layout <workspace>/<dataset>/<name>.<format>: the two parents
+    parent = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
+    grand = F.regexp_extract("path", r"([^/]+)/[^/]+/[^/]+$", 1)
     return files.select(
         F.col("path").alias("storage_path"),
+        F.when(grand != "", grand).alias("workspace_id"),
+        F.when(parent != "", parent).alias("dataset_id"),
         F.regexp_replace(base, r"\.[A-Za-z0-9]+$", "").alias("name"),
         F.when(fmt.isin(list(FILE_FORMATS)), fmt).alias("file_format"),
         F.col("length").alias("size_bytes"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -102,3 +104,17 @@ def test_gauges_running_sum(spark):
     got = [(r.delta, r.value) for r in
            H.gauge_series(df, "ts", "series", "delta", 10).orderBy("tick").collect()]
     assert got == [(2, 2), (-1, 1), (1, 2)]
+
+
+def test_catalog_parses_object_key_layout(spark, tmp_out):
+    keys = spark.createDataFrame([("w1", "d7", "sales", "csv")],
+                                 "ws string, ds string, name string, fmt string") \
+        .select(X.dataset_key("ws", "ds", "name", "fmt").alias("k")).first().k
+    assert keys == "w1/d7/sales.csv"
+    os.makedirs(f"{tmp_out}/w1/d7")
+    with open(f"{tmp_out}/{keys}", "w") as f:
+        f.write("region,revenue\nIN,1\n")
+    r = R.dataset_catalog(spark, tmp_out).first()
+    assert (r.workspace_id, r.dataset_id, r.name, r.file_format, r.state) == \
+        ("w1", "d7", "sales", "csv", "READY")
+    assert r.size_bytes == len("region,revenue\nIN,1\n")
