@@ -154,13 +154,18 @@ def gauge_series(deltas: DataFrame, ts: str, series: str, delta: str,
     """Gauge value at the end of each tick where it changed.
 
     Deltas are summed per (series, tick) first -- the big table is reduced by
-    partial aggregation -- and only the small tick table is scanned in order.
-    """
+    partial aggregation -- and that small tick table is written once
+    (``checkpoint``), so the running sum scans it instead of the events.
+    There are only a few series, so the running sum is the chunked scan:
+    a long tick history is never sorted by one task per series."""
+    from ..session import checkpoint_root
+
     tick = F.window(F.col(ts), f"{tick_seconds} seconds").start
     per_tick = deltas.groupBy(F.col(series).alias("series"), tick.alias("tick")).agg(
         F.sum(delta).cast("long").alias("delta"))
-    w = Window.partitionBy("series").orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)
-    return per_tick.withColumn("value", F.sum("delta").over(w))
+    checkpoint_root(deltas.sparkSession)
+    per_tick = per_tick.checkpoint(eager=True)
+    return ordered.running_sum(per_tick, ["series"], ["tick"], F.col("delta"), "value")
 
 
 # ------------------------------------------------------------ sorts, top-k
