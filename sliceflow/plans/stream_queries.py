@@ -68,7 +68,7 @@ def _event_stream(spark, sf, kinds=None) -> DataFrame:
 def _split(spark, sf):
     good, dead = scratch_path(spark, "good"), scratch_path(spark, "dead")
     parsed = S.parse_events(_topic_stream(spark, sf))
-    S.run_available(lambda: S.split_sinks(parsed, good, dead, scratch_path(spark, "ck")))
+    S.run_available(lambda: S.split_sinks(parsed, good, dead, scratch_path(spark, "ck")), spark=spark)
     return good, dead
 
 
@@ -90,7 +90,7 @@ def _deduped(spark, sf) -> DataFrame:
 def q_dedup_events(spark, sf):
     out = scratch_path(spark, "dedup")
     st = _deduped(spark, sf)
-    S.run_available(lambda: S.to_parquet_sink(st, out, scratch_path(spark, "ck")))
+    S.run_available(lambda: S.to_parquet_sink(st, out, scratch_path(spark, "ck")), spark=spark)
     return spark.read.parquet(out)
 
 
@@ -102,7 +102,7 @@ def q_state_fold_stream(spark, sf):
     path = scratch_path(spark, "state")
     S.run_available(lambda: S.state_fold_incremental(
         ev, path, scratch_path(spark, "ck"), "workspace_id", ["ts", "event_id"],
-        ["state", "ts", "event_id"]))
+        ["state", "ts", "event_id"]), spark=spark)
     return S.latest_rows(spark, path, ["workspace_id"]).select(
         "workspace_id", "state", F.col("ts").alias("updated_at"),
         F.col("event_id").alias("last_event_id"))
@@ -115,14 +115,14 @@ def q_progress_stream(spark, sf):
     stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(src)
     path = scratch_path(spark, "progress")
     S.run_available(lambda: S.upsert_log(S.progress_stream(stream), path,
-                                         scratch_path(spark, "ck")))
+                                         scratch_path(spark, "ck")), spark=spark)
     return S.latest_rows(spark, path, ["run_id"])
 
 
 def q_queue_depth_windows(spark, sf):
     path = scratch_path(spark, "windows")
     agg = S.windowed_counts(_event_stream(spark, sf), "ts", "kind", "1 hour", "1 day")
-    S.run_available(lambda: S.upsert_log(agg, path, scratch_path(spark, "ck")))
+    S.run_available(lambda: S.upsert_log(agg, path, scratch_path(spark, "ck")), spark=spark)
     return S.latest_rows(spark, path, ["window_start", "kind"])
 
 
@@ -130,7 +130,7 @@ def q_missed_heartbeats(spark, sf):
     out = scratch_path(spark, "gaps")
     st = S.missed_heartbeats(_event_stream(spark, sf, ["heartbeat"]), 24 * 3600 * 1_000_000,
                              "1 day")
-    S.run_available(lambda: S.to_parquet_sink(st, out, scratch_path(spark, "ck")))
+    S.run_available(lambda: S.to_parquet_sink(st, out, scratch_path(spark, "ck")), spark=spark)
     return (spark.read.parquet(out).where(~F.col("open"))
             .select("workspace_id", "from_ts", "to_ts", "open", "gap_us"))
 
@@ -138,7 +138,7 @@ def q_missed_heartbeats(spark, sf):
 def q_streak_stream(spark, sf):
     out = scratch_path(spark, "streaks")
     st = S.streak_stream(_event_stream(spark, sf), "failed", 3)
-    S.run_available(lambda: S.to_parquet_sink(st, out, scratch_path(spark, "ck")))
+    S.run_available(lambda: S.to_parquet_sink(st, out, scratch_path(spark, "ck")), spark=spark)
     return spark.read.parquet(out)
 
 
@@ -146,7 +146,7 @@ def q_admission_stream(spark, sf):
     out = scratch_path(spark, "admission")
     st = S.admission_stream(_event_stream(spark, sf, ["submitted", "completed"]),
                             "submitted", "completed", 2)
-    S.run_available(lambda: S.to_parquet_sink(st, out, scratch_path(spark, "ck")))
+    S.run_available(lambda: S.to_parquet_sink(st, out, scratch_path(spark, "ck")), spark=spark)
     return spark.read.parquet(out)
 
 

@@ -82,9 +82,28 @@ def replay_files(df: DataFrame, path: str, order_col: str, files: int) -> str:
     return write_in_order(add_chunks(df, order_col, min_chunks=files), path)
 
 
-def run_available(query_builder: Callable[[], object]) -> None:
-    """Start a query built with ``trigger(availableNow=True)`` and wait."""
-    q = query_builder()
+def run_available(query_builder: Callable[[], object], spark: SparkSession | None = None,
+                  state_partitions: int | None = None) -> None:
+    """Start a query built with ``trigger(availableNow=True)`` and wait.
+
+    A stateful query fixes its number of state partitions when it first
+    starts (it is stored in the checkpoint), from
+    ``spark.sql.shuffle.partitions``.  With ``spark`` given, that setting is
+    ``state_partitions`` (default: the cluster's default parallelism) while
+    the query starts, and restored right after: the query keeps its own copy
+    of the session settings.
+    """
+    if spark is None:
+        q = query_builder()
+    else:
+        n = state_partitions or max(1, spark.sparkContext.defaultParallelism)
+        key = "spark.sql.shuffle.partitions"
+        old = spark.conf.get(key)
+        spark.conf.set(key, str(n))
+        try:
+            q = query_builder()
+        finally:
+            spark.conf.set(key, old)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
