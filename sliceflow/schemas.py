@@ -69,3 +69,53 @@ SHAPE_SUMMARY = T.StructType([
     T.StructField("metric", T.StringType()),
     T.StructField("value", T.LongType()),
 ])
+
+
+def _s(ddl: str) -> str:
+    return ddl
+
+
+def platform_schema(table: str) -> T.StructType:
+    """Schema of a control-plane table (parsed when a session exists)."""
+    return T.StructType.fromDDL(PLATFORM_TABLES[table])
+
+
+# Control-plane tables as DDL (timestamps without zone; JSON columns as text).
+PLATFORM_TABLES = {
+    "workspaces": _s("id string, owner_id string, name string, plan string, "
+                     "created_at timestamp_ntz"),
+    "datasets": _s("id string, workspace_id string, created_by string, name string, "
+                   "state string, storage_path string, file_format string, size_bytes bigint, "
+                   "created_at timestamp_ntz, updated_at timestamp_ntz"),
+    "jobs": _s("id string, workspace_id string, created_by string, dataset_id string, "
+               "state string, entrypoint string, parameters string, compute string, "
+               "retry_count int, max_retries int, idempotency_key string, error_message string, "
+               "created_at timestamp_ntz, started_at timestamp_ntz, finished_at timestamp_ntz"),
+    "runs": _s("id string, job_id string, workspace_id string, state string, attempt_number int, "
+               "tasks_total int, tasks_done int, tasks_pending int, tasks_running int, "
+               "tasks_failed int, error_message string, created_at timestamp_ntz, "
+               "started_at timestamp_ntz, finished_at timestamp_ntz"),
+    "tasks": _s("id string, run_id string, workspace_id string, state string, "
+                "partition_index int, lease_owner string, lease_expires_at timestamp_ntz, "
+                "retry_count int, checkpoint_path string, error_message string, "
+                "created_at timestamp_ntz, started_at timestamp_ntz, finished_at timestamp_ntz"),
+    "artifacts": _s("id string, run_id string, workspace_id string, name string, "
+                    "storage_path string, content_type string, size_bytes bigint, "
+                    "created_at timestamp_ntz, expires_at timestamp_ntz"),
+    "outbox": _s("id string, event_type string, aggregate_id string, payload string, "
+                 "status string, attempts int, created_at timestamp_ntz, "
+                 "published_at timestamp_ntz"),
+    "audit_logs": _s("id string, workspace_id string, user_id string, action string, "
+                     "resource_type string, resource_id string, metadata string, "
+                     "created_at timestamp_ntz"),
+}
+
+# Enum-typed columns per table.
+ENUM_COLUMNS = {
+    "workspaces": {"plan": WORKSPACE_PLANS},
+    "datasets": {"state": DATASET_STATES, "file_format": FILE_FORMATS},
+    "jobs": {"state": JOB_STATES},
+    "runs": {"state": RUN_STATES},
+    "tasks": {"state": TASK_STATES},
+    "outbox": {"status": OUTBOX_STATUSES},
+}

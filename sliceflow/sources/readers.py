@@ -110,10 +110,37 @@ def dataset_catalog(spark: SparkSession, root: str, glob: str = "*") -> DataFram
         .alias("state"))
 
 
-def read_history(spark: SparkSession, path: str, fmt: str = "parquet",
-                 jdbc: dict | None = None) -> DataFrame:
-    """A platform table, from files or from a database over JDBC with
-    a partition column so the read is split across tasks."""
+def read_history(spark: SparkSession, path: str, table: str | None = None,
+                 fmt: str = "parquet", jdbc: dict | None = None) -> DataFrame:
+    """A platform table, from files or from a database over JDBC (give
+    ``partitionColumn``/``lowerBound``/``upperBound``/``numPartitions`` in
+    ``jdbc`` so the read is split across tasks).  With ``table`` the known
+    schema is applied (no inference) and columns come back in its order."""
+    from ..schemas import platform_schema
+
+    schema = platform_schema(table) if table else None
     if jdbc:
-        return spark.read.format("jdbc").options(**jdbc).load()
-    return spark.read.format(fmt).load(path)
+        df = spark.read.format("jdbc").options(**jdbc).load()
+    else:
+        r = spark.read.format(fmt)
+        if schema is not None and fmt != "parquet":
+            r = r.schema(schema)
+        df = r.load(path)
+    if schema is None:
+        return df
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def split_valid(df: DataFrame, table: str, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
+    """Enum and id validity of a platform table: (valid rows, invalid rows
+    with an ``error``).  An unknown enum value or an id that is not a
+    canonical UUID goes to quarantine instead of failing the job."""
+    from ..functions.exprs import is_uuid
+    from ..schemas import ENUM_COLUMNS
+
+    err = F.when(~is_uuid(id_col), F.lit(f"invalid {id_col}"))
+    for col, allowed in ENUM_COLUMNS.get(table, {}).items():
+        err = err.when(~F.coalesce(F.col(col).isin(list(allowed)), F.lit(False)),
+                       F.lit(f"invalid {col}"))
+    t = df.withColumn("error", err)
+    return t.where(F.col("error").isNull()).drop("error"), t.where(F.col("error").isNotNull())

@@ -118,3 +118,18 @@ def test_catalog_parses_object_key_layout(spark, tmp_out):
     assert (r.workspace_id, r.dataset_id, r.name, r.file_format, r.state) == \
         ("w1", "d7", "sales", "csv", "READY")
     assert r.size_bytes == len("region,revenue\nIN,1\n")
+
+
+def test_read_history_schema_and_validity(spark, tmp_out):
+    rows = [("123e4567-e89b-12d3-a456-426614174000", "r1", "w", "PENDING", 0),
+            ("123e4567-e89b-12d3-a456-426614174001", "r1", "w", "BOGUS", 1),
+            ("nope", "r1", "w", "LEASED", 2)]
+    spark.createDataFrame(rows, "id string, run_id string, workspace_id string, state string, "
+                                "partition_index int").write.json(f"{tmp_out}/tasks")
+    df = R.read_history(spark, f"{tmp_out}/tasks", table="tasks", fmt="json")
+    assert df.columns[:5] == ["id", "run_id", "workspace_id", "state", "partition_index"]
+    assert dict(df.dtypes)["lease_expires_at"] == "timestamp_ntz"
+    good, bad = R.split_valid(df, "tasks")
+    assert [r.partition_index for r in good.collect()] == [0]
+    assert sorted((r.partition_index, r.error) for r in bad.collect()) == [
+        (1, "invalid state"), (2, "invalid id")]
