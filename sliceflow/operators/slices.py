@@ -39,9 +39,18 @@ ROWS_PER_BUCKET = 1_000_000
 # sorts spill to disk).
 MAX_BUCKETS = 20_000
 MAX_LITERAL_BOUNDARIES = 128
+# Driver-built tables are broadcast only up to this many rows; beyond it they
+# join normally (AQE picks the strategy from the runtime size).
+MAX_BROADCAST_ROWS = 500_000
 _EXACT_DOUBLE = 2 ** 53
 
 
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast-hint a table built on the driver when its known row count is
+    within ``MAX_BROADCAST_ROWS``; otherwise leave the join to the planner."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
+
+
 def order_value(df: DataFrame, key: str) -> Column:
     """A numeric column that sorts like ``key`` (numbers, dates, timestamps)."""
     dt = df.schema[key].dataType
@@ -149,7 +158,7 @@ def plan_slices(df: DataFrame, key: str, total: int,
     rn = F.row_number().over(Window.partitionBy("_b").orderBy("_k")) - 1
     found = (kb.where(F.col("_b").isin(sorted({b for b, _ in targets})))
              .withColumn("_rn", rn.cast("long"))
-             .join(F.broadcast(want), ["_b", "_rn"])
+             .join(small_side(want, len(targets)), ["_b", "_rn"])
              .select("_k").collect())
     bounds = sorted(r["_k"] for r in found)
     if len(bounds) != len(ranks):
@@ -178,8 +187,8 @@ def file_row_index(df: DataFrame, out: str = "_row_idx", with_count: bool = Fals
     ``(_metadata.file_path, _metadata.file_block_start)``.  One small row per
     split (count, first id) is gathered to turn the ids into global positions:
     the data itself is never sorted or shuffled.  ``df`` must be a file scan.
-    The per-split table is bounded by the number of file splits, so it is
-    broadcast.  ``with_count`` also returns the row count (from that table).
+    The per-split table has one row per file split (data size / split size);
+    it is broadcast while that is within ``MAX_BROADCAST_ROWS``.  ``with_count`` also returns the row count (from that table).
     """
     t = df.select("*",
                   F.col("_metadata.file_path").alias("_fp"),
@@ -193,7 +202,7 @@ def file_row_index(df: DataFrame, out: str = "_row_idx", with_count: bool = Fals
         rows.append((fp, fb, acc - m))
         acc += c
     base = df.sparkSession.createDataFrame(rows, "_fp string, _fb long, _base long")
-    out_df = (t.join(F.broadcast(base), ["_fp", "_fb"])
+    out_df = (t.join(small_side(base, len(rows)), ["_fp", "_fb"])
               .withColumn(out, F.col("_mid") + F.col("_base"))
               .drop("_fp", "_fb", "_mid", "_base"))
     return (out_df, acc) if with_count else out_df
