@@ -35,12 +35,22 @@ _UNB = Window.unboundedPreceding
 
 def add_chunks(df: DataFrame, order_col: str, rows_per_chunk: int = ROWS_PER_CHUNK,
                min_chunks: int = MIN_CHUNKS, out: str = "_c") -> DataFrame:
-    """Add ``out``: a global, balanced, order-preserving bucket of ``order_col``."""
+    """Add ``out``: a global, balanced, order-preserving bucket of ``order_col``.
+
+    One aggregate gives the row count and the cut points for ``min_chunks``
+    chunks; only when the data needs more chunks does a second quantile pass
+    run."""
     t = df.withColumn("_ov", order_value(df, order_col))
-    n = t.count()
+    probs = [i / min_chunks for i in range(1, min_chunks)]
+    r = t.agg(F.count("_ov").alias("n"),
+              F.percentile_approx("_ov", probs, 4 * min_chunks).alias("q")).first()
+    n = r["n"]
     nb = min(MAX_BUCKETS, max(min_chunks, math.ceil(n / rows_per_chunk))) if n else 1
-    splits: list = []
-    if nb > 1 and n > 1:
+    if nb <= 1 or n <= 1:
+        splits: list = []
+    elif nb == min_chunks:
+        splits = sorted(set(v for v in (r["q"] or []) if v is not None))
+    else:
         qs = t.approxQuantile("_ov", [i / nb for i in range(1, nb)], 1.0 / (4 * nb))
         splits = sorted(set(q for q in qs if q is not None))
     return bucketize("_ov", splits, out, t).drop("_ov")
