@@ -133,3 +133,13 @@ def test_read_history_schema_and_validity(spark, tmp_out):
     assert [r.partition_index for r in good.collect()] == [0]
     assert sorted((r.partition_index, r.error) for r in bad.collect()) == [
         (1, "invalid state"), (2, "invalid id")]
+
+
+def test_write_artifacts_spreads_large_slices(spark, tmp_out):
+    df = spark.range(400).selectExpr("id", "CAST(id % 2 AS INT) AS partition_index")
+    path = A.write_artifacts(df, f"{tmp_out}/art", files_per_slice=4)
+    man = A.artifact_manifest(spark, path).collect()
+    assert {r.partition_index for r in man} == {0, 1}
+    assert max(sum(1 for r in man if r.partition_index == i) for i in (0, 1)) > 1
+    back = A.read_artifacts(spark, path, "id long, partition_index int")
+    assert sorted(r.id for r in back.collect()) == list(range(400))
