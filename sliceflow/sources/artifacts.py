@@ -27,7 +27,9 @@ def write_artifacts(df: DataFrame, path: str, slice_col: str = "partition_index"
         out = df.repartition(slice_col)
     else:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_slice))
-        out = df.repartition(slice_col, salt)
+        # an explicit count: AQE must not coalesce the writers back together
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        out = df.repartition(max(n, files_per_slice), slice_col, salt)
     (out.write.mode("errorifexists")
      .option("header", True).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(slice_col).csv(path))
