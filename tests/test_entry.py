@@ -11,6 +11,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF0001
+from sliceflow.plans import all_oracles, all_queries
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -52,12 +53,13 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(all_queries()))
 def test_query_matches_oracle(spark, con, key):
-    got = E.queries()[key](spark, SF0001).toPandas()
-    want = con.execute(E.oracle_sql()[key]).df()
+    got = all_queries()[key](spark, SF0001).toPandas()
+    want = con.execute(all_oracles()[key]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert _norm(got) == _norm(want)
