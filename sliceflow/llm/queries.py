@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from sliceflow.llm import chat, itq_dedup, url_graph
 from sliceflow.llm.mixing import op5_mixing
 from sliceflow.llm.packing import op2_best_fit_packing
+from sliceflow.llm.permutation_index import op3_permutation_index
 from sliceflow.llm.shingle_join import op9_ngram_jaccard_join
 from sliceflow.llm.token_files import op1_token_files
 from sliceflow.llm.toxicity import op8_toxicity
 from sliceflow.llm.warc import op10_warc_zstd
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_best_fit_packing, op5_mixing, op8_toxicity, op9_ngram_jaccard_join, op10_warc_zstd)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_token_files, op2_best_fit_packing, op3_permutation_index, url_graph.op4_url_graph, op5_mixing, itq_dedup.op6_itq_dedup,
+    chat.op7_chat_formatting, op8_toxicity, op9_ngram_jaccard_join, op10_warc_zstd)}
+
+ORACLE = {"op4_url_graph": url_graph.ORACLE, "op6_itq_dedup": itq_dedup.ORACLE, "op7_chat_formatting": chat.ORACLE}
