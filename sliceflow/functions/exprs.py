@@ -22,6 +22,14 @@ def older_than(ts, as_of: str, interval: str) -> Column:
     return col(ts) < as_of_ts(as_of) - F.expr(f"INTERVAL {interval}")
 
 
+def ntz_micros(c) -> Column:
+    """Microseconds since 1970-01-01 of a timestamp without zone, from its
+    calendar fields: the session's time zone and its clock changes play no part."""
+    t = col(c)
+    seconds = F.unix_date(t.cast("date")).cast("long") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("long")
+
+
 def percent_complete(done, total) -> Column:
     """0 when total is 0, else round(done * 100 / total) half-up,
     computed in decimal as the reference's numeric cast does."""
@@ -54,8 +62,8 @@ def split_key_size(c) -> tuple[Column, Column]:
 
 def artifact_key(run_id, partition_index) -> Column:
     """Object key of one slice's output file."""
-    return F.format_string("artifacts/%s/partition-%d.csv", col(run_id).cast("string"),
-                           col(partition_index))
+    return F.concat(F.lit("artifacts/"), col(run_id).cast("string"), F.lit("/partition-"),
+                    col(partition_index).cast("string"), F.lit(".csv"))
 
 
 def dataset_key(workspace_id, dataset_id, name, fmt) -> Column:

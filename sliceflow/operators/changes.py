@@ -33,10 +33,23 @@ def current_state(log: DataFrame, key: str, order_cols: list[str],
     return ordered.first_per_key(log, [key], order_cols, value_cols, last=True)
 
 
-def partial_update(base: DataFrame, updates: DataFrame, key: str,
-                   cols: list[str]) -> DataFrame:
-    """M2: apply updates where a null means "keep the old value"."""
-    u = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in cols])
+def partial_update(base: DataFrame, updates: DataFrame, key: str, cols: list[str],
+                   order_cols: list[str] | None = None) -> DataFrame:
+    """M2: apply updates where a null means "keep the old value".
+
+    Several updates of one id are folded first: for each column the last value
+    that is not null, by ``order_cols``.  Without an order an id may have one
+    update only; a second one is an error."""
+    if order_cols:
+        at = F.struct(*[F.col(c) for c in order_cols])
+        folded = [F.max_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), at))
+                  .alias(f"_new_{c}") for c in cols]
+        u = updates.groupBy(key).agg(*folded)
+    else:
+        u = (updates.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(f"_new_{c}") for c in cols])
+             .withColumn("_n", F.when(F.col("_n") > 1, F.raise_error(F.lit("an id has several updates without an order")))
+                         .otherwise(F.col("_n"))))
+        u = u.where(F.col("_n") == 1).drop("_n")
     out = base.join(u, key, "left")
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(f"_new_{c}"), F.col(c))).drop(f"_new_{c}")
@@ -94,6 +107,22 @@ def task_attempts(log: DataFrame, key: str, order_cols: list[str], failed: Colum
         F.max_by(F.when(failed, F.col(error)), F.when(failed, ordk)).alias("last_error"))
 
 
+def retried_tasks(log: DataFrame, key: str, order_cols: list[str], state: str, failed: Column,
+                  error: str, lease_until: Column) -> DataFrame:
+    """M6, the whole row: a task whose latest change is a failure waits again
+    (PENDING, no lease) with its error kept; another has the state and lease of
+    its latest change.  One partial aggregate."""
+    at = F.struct(*[F.col(c) for c in order_cols])
+    last = F.max_by(F.struct(F.coalesce(failed, F.lit(False)).alias("f"), F.col(state).alias("s"),
+                             lease_until.alias("l")), at)
+    out = log.groupBy(key).agg(
+        F.count_if(failed).alias("retry_count"), last.alias("_last"),
+        F.max_by(F.when(failed, F.col(error)), F.when(failed, at)).alias("last_error"))
+    return out.select(key, "retry_count", "last_error",
+                      F.when(F.col("_last.f"), F.lit("PENDING")).otherwise(F.col("_last.s")).alias("state"),
+                      F.when(~F.col("_last.f"), F.col("_last.l")).alias("lease_expires_at"))
+
+
 def submit_with_event(jobs: DataFrame, event_type: str = "job.submitted") -> tuple[DataFrame, DataFrame]:
     """M7: the job rows and their outbox events from one projection.
 

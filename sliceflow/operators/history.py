@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.exprs import as_of_ts, older_than, percent_complete
+from ..functions.exprs import as_of_ts, ntz_micros, older_than, percent_complete
 from ..schemas import DURATION_BOUNDS
+from ..session import materialize
 from . import ordered
 
 
@@ -61,6 +63,36 @@ def removed_children(child: DataFrame, fk: str, removed: DataFrame, key: str,
             .select(child_key))
 
 
+def artifacts_by_job(artifacts: DataFrame, runs: DataFrame, jobs: DataFrame | None = None,
+                     ts: str = "created_at", ids: list[str] = ["storage_path"], **chunk_opts) -> DataFrame:
+    """Artifacts of the runs of the given jobs (``job_id``; all jobs without),
+    with their position in the job's newest-first list."""
+    r = runs.select(F.col("id").alias("run_id"), "job_id")
+    if jobs is not None:
+        r = r.join(jobs.select("job_id").distinct(), "job_id", "left_semi")
+    return list_newest_first(artifacts.join(r, "run_id"), "job_id", ts, ids, **chunk_opts)
+
+
+def dataset_of_job(jobs: DataFrame, datasets: DataFrame) -> DataFrame:
+    """Jobs with their dataset (``dataset_id``)."""
+    return jobs.join(datasets, "dataset_id")
+
+
+def job_of_run(runs: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Runs with their job (``job_id``)."""
+    return runs.join(jobs, "job_id")
+
+
+def task_context(tasks: DataFrame, runs: DataFrame, jobs: DataFrame, datasets: DataFrame) -> DataFrame:
+    """Task + run + job + dataset and the number of tasks in the run, for
+    every task in one job.  Tasks are counted per run by partial aggregates, so a
+    run with very many tasks is no window of one task."""
+    n = tasks.join(runs.select("run_id"), "run_id", "left_semi").groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("tasks_in_run"))
+    return (tasks.join(runs.join(n, "run_id"), "run_id").join(jobs, "job_id")
+            .join(datasets, "dataset_id"))
+
+
 def retry_eligibility(failed_tasks: DataFrame, runs: DataFrame, jobs: DataFrame,
                       error_kind: Column | None = None) -> DataFrame:
     """A failed task may retry when ``retry_count < max_retries`` of its
@@ -154,31 +186,37 @@ def gauge_series(deltas: DataFrame, ts: str, series: str, delta: str,
     """Gauge value at the end of each tick where it changed.
 
     Deltas are summed per (series, tick) first -- the big table is reduced by
-    partial aggregation -- and that small tick table is written once
-    (``checkpoint``), so the running sum scans it instead of the events.
+    partial aggregation -- and that small tick table is written once,
+    so the running sum scans it instead of the events.
     There are only a few series, so the running sum is the chunked scan:
     a long tick history is never sorted by one task per series."""
-    from ..session import checkpoint_root
-
     tick = F.window(F.col(ts), f"{tick_seconds} seconds").start
     per_tick = deltas.groupBy(F.col(series).alias("series"), tick.alias("tick")).agg(
         F.sum(delta).cast("long").alias("delta"))
-    checkpoint_root(deltas.sparkSession)
-    per_tick = per_tick.checkpoint(eager=True)
+    per_tick = materialize(per_tick, "ticks")
     return ordered.running_sum(per_tick, ["series"], ["tick"], F.col("delta"), "value")
 
 
 # ------------------------------------------------------------ sorts, top-k
 
+def _newest_first(rows: DataFrame, ts: str) -> Column:
+    dt, c = rows.schema[ts].dataType, F.col(ts)
+    if isinstance(dt, T.TimestampNTZType):
+        return -ntz_micros(c)
+    if isinstance(dt, T.TimestampType):
+        return -F.unix_micros(c)
+    return -(F.unix_date(c) if isinstance(dt, T.DateType) else c)
+
+
 def list_newest_first(rows: DataFrame, group: str, ts: str = "created_at",
-                      id_col: str = "id", out: str = "pos", **chunk_opts) -> DataFrame:
+                      id_col: str | list[str] = "id", out: str = "pos", **chunk_opts) -> DataFrame:
     """K1: position of each row in its group's newest-first list
-    (``ts DESC, id ASC``), 1-based.  A hot group is split into chunks
-    (see ``ordered``), so no task sorts one whole group."""
-    from .slices import order_value
-
-    t = rows.withColumn("_neg", -order_value(rows, ts))
-    return ordered.running_sum(t, [group], ["_neg", id_col], F.lit(1).cast("long"), out,
+    (``ts DESC, id ASC``), 1-based.  A hot group is split into chunks by
+    time and id (see ``ordered``), so no task sorts one whole group, nor all rows of
+    one day."""
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    t = rows.withColumn("_neg", _newest_first(rows, ts))
+    return ordered.running_sum(t, [group], ["_neg", *ids], F.lit(1).cast("long"), out,
                                **chunk_opts).drop("_neg")
 
 

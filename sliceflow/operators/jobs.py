@@ -1,4 +1,4 @@
-"""A slice job end to end (the reference's submit-and-compute path, §3.1):
+"""A slice job end to end (submit and compute, SURVEY §3.1):
 read a dataset -> contiguous slices -> user function (or the native job)
 -> one artifact per slice -> manifest.  Spark's scheduler, task retry and
 shuffle stand in for the platform's scheduler, workers and queues."""
@@ -29,7 +29,7 @@ def run_slice_job(spark: SparkSession, path: str, file_format: str = "csv",
                   schema: str | None = None, total: int = 3, key: str | None = None,
                   params: dict | None = None,
                   merge: Callable[[pd.DataFrame, dict], pd.DataFrame] | None = None,
-                  output_path: str | None = None) -> JobResult:
+                  output_path: str | None = None, files_per_slice: int = 1) -> JobResult:
     """Run one job over a dataset.
 
     * ``key``: order of the rows for slicing; without it, the order of the
@@ -37,6 +37,8 @@ def run_slice_job(spark: SparkSession, path: str, file_format: str = "csv",
     * ``fn``/``schema``: the user's ``run(df, params)``; without ``fn`` the
       native sample job runs (region rollup, or the shape summary when the
       columns are absent).
+    * ``files_per_slice``: writers of each slice's output.  Every slice has an artifact and
+      a manifest row, also without rows.
     """
     df = R.read_dataset(spark, path, file_format)
     order = key
@@ -54,7 +56,7 @@ def run_slice_job(spark: SparkSession, path: str, file_format: str = "csv",
                 return _f(pdf.drop(columns=["_row"]), p)
         out = slices.slice_apply(df, user_fn, schema, order, total, params=params, merge=merge)
     target = output_path or scratch_path(spark, "job")
-    A.write_artifacts(out, target)
+    A.write_artifacts(out, target, files_per_slice=files_per_slice, total=total)
     return JobResult(target, A.read_artifacts(spark, target, _ddl(out)),
                      A.artifact_manifest(spark, target))
 

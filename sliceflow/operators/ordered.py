@@ -5,9 +5,11 @@ one task; if one workspace holds a third of all events, that task sorts a
 third of the data alone.  The scans here split each key's sequence into
 *chunks* and run a two-level prefix scan:
 
-1. ``chunk`` = bucket of the first order column between global
-   ``approxQuantile`` cut points.  A chunk of any key holds at most the rows
-   of one global bucket (about ``rows_per_chunk``), however hot the key is.
+1. ``chunk`` = range partition of *all* order columns (time, then id), written
+   once to the shared folder with its number.  Ties in time are split by id, and a
+   chunk of any key holds about ``rows_per_chunk`` rows at most, however
+   hot the key is.  Comparisons are on the columns' own types, so no
+   time zone matters.
 2. Local window over ``(key, chunk)`` (bounded sort, runs in parallel).
 3. One summary row per ``(key, chunk)``; a window over that small table
    (partitioned by key, ordered by chunk) gives what each chunk inherits from
@@ -26,34 +28,22 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .slices import MAX_BUCKETS, bucketize, order_value
+from ..schemas import MAX_RUNNING_JOBS
+from ..session import materialize
 
 ROWS_PER_CHUNK = 1_000_000
 MIN_CHUNKS = 8
 _UNB = Window.unboundedPreceding
 
 
-def add_chunks(df: DataFrame, order_col: str, rows_per_chunk: int = ROWS_PER_CHUNK,
+def add_chunks(df: DataFrame, order_cols: str | list[str], rows_per_chunk: int = ROWS_PER_CHUNK,
                min_chunks: int = MIN_CHUNKS, out: str = "_c") -> DataFrame:
-    """Add ``out``: a global, balanced, order-preserving bucket of ``order_col``.
-
-    One aggregate gives the row count and the cut points for ``min_chunks``
-    chunks; only when the data needs more chunks does a second quantile pass
-    run."""
-    t = df.withColumn("_ov", order_value(df, order_col))
-    probs = [i / min_chunks for i in range(1, min_chunks)]
-    r = t.agg(F.count("_ov").alias("n"),
-              F.percentile_approx("_ov", probs, 4 * min_chunks).alias("q")).first()
-    n = r["n"]
-    nb = min(MAX_BUCKETS, max(min_chunks, math.ceil(n / rows_per_chunk))) if n else 1
-    if nb <= 1 or n <= 1:
-        splits: list = []
-    elif nb == min_chunks:
-        splits = sorted(set(v for v in (r["q"] or []) if v is not None))
-    else:
-        qs = t.approxQuantile("_ov", [i / nb for i in range(1, nb)], 1.0 / (4 * nb))
-        splits = sorted(set(q for q in qs if q is not None))
-    return bucketize("_ov", splits, out, t).drop("_ov")
+    """Add ``out``: the number of the row's range of the order columns; ranges are
+    global, balanced and in order.  Null order values come first."""
+    cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    chunks = max(min_chunks, math.ceil(df.select(*cols).count() / rows_per_chunk))
+    return materialize(df.repartitionByRange(chunks, *cols).withColumn(out, F.spark_partition_id()),
+                       "chunks")
 
 
 def _local(keys, order_cols):
@@ -72,7 +62,7 @@ def running_sum(df: DataFrame, keys: list[str], order_cols: list[str], value: Co
                 out: str, rows_per_chunk: int = ROWS_PER_CHUNK,
                 min_chunks: int = MIN_CHUNKS, chunked: DataFrame | None = None) -> DataFrame:
     """``out`` = sum of ``value`` over all earlier rows of the key and this row."""
-    t = chunked if chunked is not None else add_chunks(df, order_cols[0], rows_per_chunk,
+    t = chunked if chunked is not None else add_chunks(df, order_cols, rows_per_chunk,
                                                         min_chunks)
     t = t.withColumn("_v", value)
     w = _local(keys, order_cols).rowsBetween(_UNB, 0)
@@ -90,7 +80,7 @@ def previous_value(df: DataFrame, keys: list[str], order_cols: list[str], value:
                    out: str, rows_per_chunk: int = ROWS_PER_CHUNK,
                    min_chunks: int = MIN_CHUNKS) -> DataFrame:
     """``out`` = ``value`` of the previous row of the same key (``lag``)."""
-    t = add_chunks(df, order_cols[0], rows_per_chunk, min_chunks)
+    t = add_chunks(df, order_cols, rows_per_chunk, min_chunks)
     lw = _local(keys, order_cols)
     t = (t.withColumn("_rn", F.row_number().over(lw))
          .withColumn("_lag", F.lag(value).over(lw)))
@@ -106,8 +96,8 @@ def true_streak(df: DataFrame, keys: list[str], order_cols: list[str], flag: Col
                 out: str, rows_per_chunk: int = ROWS_PER_CHUNK,
                 min_chunks: int = MIN_CHUNKS) -> DataFrame:
     """``out`` = number of consecutive rows with ``flag`` true ending at this
-    row (0 when ``flag`` is false): the gaps-and-islands streak length."""
-    t = add_chunks(df, order_cols[0], rows_per_chunk, min_chunks).withColumn("_f", flag)
+    row (0 when ``flag`` is false or null): the gaps-and-islands streak length."""
+    t = add_chunks(df.withColumn("_f", F.coalesce(flag, F.lit(False))), order_cols, rows_per_chunk, min_chunks)
     lw = _local(keys, order_cols)
     t = (t.withColumn("_rn", F.row_number().over(lw))
          .withColumn("_lastf", F.max(F.when(~F.col("_f"), F.col("_rn")))
@@ -136,7 +126,7 @@ def true_streak(df: DataFrame, keys: list[str], order_cols: list[str], flag: Col
 
 
 def admission_fold(df: DataFrame, keys: list[str], order_cols: list[str], is_submit: Column,
-                   is_release: Column, limit: int, out_prev: str = "running_before",
+                   is_release: Column, limit: int = MAX_RUNNING_JOBS, out_prev: str = "running_before",
                    out_admitted: str = "admitted", start: int = 0,
                    rows_per_chunk: int = ROWS_PER_CHUNK,
                    min_chunks: int = MIN_CHUNKS) -> DataFrame:
@@ -150,10 +140,10 @@ def admission_fold(df: DataFrame, keys: list[str], order_cols: list[str], is_sub
     with ``S`` the running sum of ``a``.  Other rows pass through with
     ``admitted`` null.
     """
-    t = add_chunks(df, order_cols[0], rows_per_chunk, min_chunks)
+    t = add_chunks(df, order_cols, rows_per_chunk, min_chunks)
     t = (t.withColumn("_a", F.when(is_submit, F.lit(1)).when(is_release, F.lit(-1))
                       .otherwise(F.lit(0)).cast("long"))
-         .withColumn("_sub", is_submit))
+         .withColumn("_sub", F.coalesce(is_submit, F.lit(False))))
     lw = _local(keys, order_cols)
     inc = lw.rowsBetween(_UNB, 0)
     exc = lw.rowsBetween(_UNB, -1)

@@ -51,20 +51,13 @@ def by_slice_rollup(sliced: DataFrame, region: str = "region", revenue: str = "r
 
 def region_rollup_by_slice(df: DataFrame, key: str, total: int = 3, region: str = "region",
                            revenue: str = "revenue", money_scale: int | None = None,
-                           materialize: bool = False) -> DataFrame:
+                           keys: DataFrame | None = None) -> DataFrame:
     """Slice ``df`` by ``key`` and roll each slice up by region.
 
-    ``materialize``: for an input that is expensive to recompute (a join),
-    write the three needed columns once with a reliable ``checkpoint()`` (to
-    ``spark.checkpoint.dir``) so the slice planning passes only scan them."""
-    src = df.select(key, region, revenue)
-    if materialize:
-        from ..session import checkpoint_root
-
-        checkpoint_root(df.sparkSession)
-        src = src.checkpoint(eager=True)
-    plan = plan_slices(src.select(key), key, total)
-    sliced = assign_slices(src, plan)
+    Slices are planned on the key column alone; ``keys`` gives a cheaper
+    table of the same keys (for a join: the semi-join of its key side)."""
+    plan = plan_slices((df if keys is None else keys).select(key), key, total)
+    sliced = assign_slices(df.select(key, region, revenue), plan)
     return by_slice_rollup(sliced, region, revenue, money_scale)
 
 
@@ -97,21 +90,20 @@ def merge_rollup(partials: DataFrame, money_scale: int | None = None) -> DataFra
 def shape_summary(df: DataFrame, total: int = 3) -> DataFrame:
     """Per slice, ``row_count`` and ``col_count``; empty slices give 0 rows.
 
-    Slice sizes follow from ``n`` alone, so one count is all the work: the
-    output is built on a ``range(total)`` spine and no row is moved.
+    Slice sizes follow from the number of rows alone: one count, whose single
+    row becomes one row per slice.  No row is moved.
     """
-    n = df.count()
-    rps = max(1, n // total)
-    ncols = len(df.columns)
-    i = F.col("id")
-    lo = F.least(F.lit(n), i * rps)
-    hi = F.when(i == total - 1, F.lit(n)).otherwise(F.least(F.lit(n), (i + 1) * rps))
-    spine = (df.sparkSession.range(total)
+    n, i = F.col("n"), F.col("i")
+    rps = F.greatest(F.lit(1), F.floor(n / F.lit(total)))
+    lo = F.least(n, i * rps)
+    hi = F.when(i == total - 1, n).otherwise(F.least(n, (i + 1) * rps))
+    spine = (df.agg(F.count(F.lit(1)).alias("n"))
+             .select("n", F.explode(F.sequence(F.lit(0), F.lit(total - 1))).alias("i"))
              .select(i.cast("int").alias("partition_index"),
                      F.greatest(hi - lo, F.lit(0)).cast("long").alias("rows")))
     return spine.select(
         "partition_index",
-        F.expr(f"stack(2, 'row_count', rows, 'col_count', CAST({ncols} AS BIGINT))")
+        F.expr(f"stack(2, 'row_count', rows, 'col_count', CAST({len(df.columns)} AS BIGINT))")
         .alias("metric", "value"))
 
 

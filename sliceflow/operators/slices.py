@@ -6,24 +6,24 @@ A slice is a contiguous range of rows in the order of a unique key:
 remainder.  The slice of a row therefore depends only on the keys found at the
 ranks ``i * rows_per_slice``; the full row numbering is never needed.
 
-How the boundary keys are found without sorting the whole table:
-
-1. one aggregate pass: ``count``, ``min``, ``max`` of the key;
-2. ``approxQuantile`` cuts the key range into buckets of about
-   ``rows_per_bucket`` rows; a second aggregate counts rows per bucket
-   (one small row per bucket reaches the driver);
-3. only the buckets that hold a boundary rank are sorted (a window partitioned
-   by bucket, so each sort is bounded by the bucket size), and the key at the
-   wanted local rank is kept -- at most ``total - 1`` keys reach the driver;
-4. every row gets its slice from a comparison against those keys.
-
-No step moves the whole table through one task, and no step sorts rows that
-are not next to a boundary.
+How the boundary keys are found, for keys of any type that can be ordered:
+
+1. one aggregate: rows and non-null keys;
+2. the keys alone are range-partitioned into parts of about
+   ``rows_per_bucket`` rows and written once to the shared folder with their part
+   number, so every later pass sees the same parts;
+3. keys are numbered inside their part (a window partitioned by part, so each
+   sort is bounded); equal neighbours are counted, and a key that repeats is
+   an error.  Small part counts give the rank where each part starts;
+4. the keys at the wanted ranks -- ``total - 1`` at most -- reach the driver, and
+   every row gets its slice from comparisons with them (a balanced tree of
+   ``CASE`` expressions, on the key's own type).
+
+Nothing depends on the number of rows but the number of parts.
 """
 
 from __future__ import annotations
 
-import bisect
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -33,64 +33,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_BUCKET = 1_000_000
-# Upper bound on buckets: keeps the quantile summary and the per-bucket count
-# table on the driver small at any size; past it, buckets grow instead (their
-# sorts spill to disk).
-MAX_BUCKETS = 20_000
-MAX_LITERAL_BOUNDARIES = 128
-# Driver-built tables are broadcast only up to this many rows; beyond it they
-# join normally (AQE picks the strategy from the runtime size).
-MAX_BROADCAST_ROWS = 500_000
-_EXACT_DOUBLE = 2 ** 53
-
+from ..session import materialize
 
-def small_side(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast-hint a table built on the driver when its known row count is
-    within ``MAX_BROADCAST_ROWS``; otherwise leave the join to the planner."""
-    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
+ROWS_PER_BUCKET = 1_000_000
 
 
-def order_value(df: DataFrame, key: str) -> Column:
-    """A numeric column that sorts like ``key`` (numbers, dates, timestamps)."""
-    dt = df.schema[key].dataType
-    c = F.col(key)
-    if isinstance(dt, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{key}`)")
+def _portable(c: Column, dt: T.DataType) -> Column:
+    """A value that survives the way through Python whatever the time zone."""
     if isinstance(dt, T.TimestampType):
         return F.unix_micros(c)
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("long")
-    if isinstance(dt, (T.IntegralType,)):
-        return c.cast("long")
-    if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return c.cast("double")
-    raise TypeError(f"slice key {key!r} must be numeric, date or timestamp, not {dt}")
+    if isinstance(dt, (T.TimestampNTZType, T.DateType)):
+        return c.cast("string")
+    return c
 
 
-def bucketize(col: str, splits: list[float], out: str, df: DataFrame) -> DataFrame:
-    """Add ``out`` = index of the half-open interval of ``splits`` holding ``col``.
+def _literal(value, dt: T.DataType) -> Column:
+    if isinstance(dt, T.TimestampType):
+        return F.timestamp_micros(F.lit(value))
+    return F.lit(value).cast(dt)
 
-    ``splits`` are interior cut points; they are strictly increasing.  Few
-    cuts become one ``CASE`` expression (exact, codegen); many cuts use the
-    JVM binary search of ``Bucketizer`` (input cast to double).
-    """
-    if not splits:
-        return df.withColumn(out, F.lit(0))
-    if len(splits) <= MAX_LITERAL_BOUNDARIES:
-        expr = None
-        for i in range(len(splits), 0, -1):
-            cond = F.col(col) >= F.lit(splits[i - 1])
-            expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-        return df.withColumn(out, expr.otherwise(F.lit(0)))
-    from pyspark.ml.feature import Bucketizer
-
-    b = Bucketizer(
-        splits=[-math.inf, *[float(s) for s in splits], math.inf],
-        inputCol=col,
-        outputCol=out,
-    )
-    return b.transform(df).withColumn(out, F.col(out).cast("int"))
+
+def position_among(c: Column, cuts: list[Column]) -> Column:
+    """How many of the increasing ``cuts`` are at most ``c``: binary search as
+    nested conditions."""
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(c >= cuts[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
+    return search(0, len(cuts))
 
 
 @dataclass(frozen=True)
@@ -98,11 +69,11 @@ class SlicePlan:
     """Everything needed to assign slices; all of it is small."""
 
     key: str
+    key_type: T.DataType
     n: int
     total: int
     rows_per_slice: int
     boundaries: list = field(default_factory=list)  # key values at ranks i*rps
-    bucket_splits: list = field(default_factory=list)  # balance buckets
 
     def slice_sizes(self) -> list[int]:
         rps, n = self.rows_per_slice, self.n
@@ -122,55 +93,42 @@ def plan_slices(df: DataFrame, key: str, total: int,
     """Find the keys at the slice boundaries (see module doc)."""
     if total < 1:
         raise ValueError("total must be >= 1")
-    k = df.select(order_value(df, key).alias("_k"))
-    st = k.agg(F.count("_k").alias("n"), F.count(F.lit(1)).alias("rows"),
-               F.min("_k").alias("lo"), F.max("_k").alias("hi")).first()
+    dt = df.schema[key].dataType
+    k = df.select(F.col(key).alias("_k"))
+    st = k.agg(F.count("_k").alias("n"), F.count(F.lit(1)).alias("rows")).first()
     if st["n"] != st["rows"]:
         raise ValueError(f"slice key {key!r} has nulls; it must be unique and non-null")
     n = int(st["n"])
     rps = max(1, n // total)
     ranks = [i * rps for i in range(1, total) if i * rps < n]
-    nb = min(MAX_BUCKETS, max(1, math.ceil(n / rows_per_bucket)))
-    splits: list = []
-    if nb > 1:
-        if max(abs(st["lo"]), abs(st["hi"])) >= _EXACT_DOUBLE:
-            raise ValueError("numeric slice keys must lie within +-2**53")
-        qs = k.approxQuantile("_k", [i / nb for i in range(1, nb)], 1.0 / (4 * nb))
-        splits = sorted(set(qs))
-    if not ranks:
-        return SlicePlan(key, n, total, rps, [], splits)
-
-    kb = bucketize("_k", splits, "_b", k)
-    if splits:
-        counts = sorted((r["_b"], r["c"]) for r in
-                        kb.groupBy("_b").agg(F.count(F.lit(1)).alias("c")).collect())
-    else:
-        counts = [(0, n)]  # one bucket: its count is n, no job needed
-    starts, acc = [], 0
-    for _, c in counts:
-        starts.append(acc)
-        acc += c
-    targets = []  # (bucket, local rank)
-    for r in ranks:
-        j = bisect.bisect_right(starts, r) - 1
-        targets.append((counts[j][0], r - starts[j]))
-    want = df.sparkSession.createDataFrame(targets, "_b int, _rn long")
-    rn = F.row_number().over(Window.partitionBy("_b").orderBy("_k")) - 1
-    found = (kb.where(F.col("_b").isin(sorted({b for b, _ in targets})))
-             .withColumn("_rn", rn.cast("long"))
-             .join(small_side(want, len(targets)), ["_b", "_rn"])
-             .select("_k").collect())
-    bounds = sorted(r["_k"] for r in found)
-    if len(bounds) != len(ranks):
-        raise RuntimeError("slice key is not unique")
-    return SlicePlan(key, n, total, rps, bounds, splits)
+    parts = max(1, math.ceil(n / rows_per_bucket))
+    fixed = materialize(k.repartitionByRange(parts, "_k").withColumn("_p", F.spark_partition_id()),
+                        "slice-keys")
+    inside = Window.partitionBy("_p").orderBy("_k")
+    starts = (fixed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_start", F.sum("_n").over(  # one row per part
+                  Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)))
+              .select("_p", F.coalesce("_start", F.lit(0).cast("long")).alias("_start")))
+    numbered = (fixed.withColumn("_i", F.row_number().over(inside) - 1)
+                .withColumn("_twice", F.lag("_k").over(inside) == F.col("_k"))
+                .join(starts, "_p").withColumn("_rank", F.col("_start") + F.col("_i")))
+    wanted = ((F.col("_rank") % rps == 0) & F.col("_rank").between(rps, rps * len(ranks))
+              if ranks else F.lit(False))
+    found = (numbered.where(wanted | F.col("_twice"))
+             .select(_portable(F.col("_k"), dt).alias("k"), "_rank",
+                     F.coalesce("_twice", F.lit(False)).alias("twice"))
+             .orderBy(F.desc("twice"), "_rank").limit(len(ranks) + 1).collect())
+    if any(r["twice"] for r in found):
+        raise ValueError(f"slice key {key!r} repeats values; it must be unique")
+    if len(found) != len(ranks):
+        raise RuntimeError("not every slice boundary was found")
+    return SlicePlan(key, dt, n, total, rps, [r["k"] for r in found])
 
 
 def assign_slices(df: DataFrame, plan: SlicePlan, out: str = "partition_index") -> DataFrame:
     """Add the slice index of each row (int), from the plan's boundary keys."""
-    t = df.withColumn("_k", order_value(df, plan.key))
-    t = bucketize("_k", plan.boundaries, out, t)
-    return t.withColumn(out, F.col(out).cast("int")).drop("_k")
+    cuts = [_literal(v, plan.key_type) for v in plan.boundaries]
+    return df.withColumn(out, position_among(F.col(plan.key), cuts).cast("int"))
 
 
 def slice_rows(df: DataFrame, key: str, total: int = 3,
@@ -179,43 +137,54 @@ def slice_rows(df: DataFrame, key: str, total: int = 3,
     return assign_slices(df, plan_slices(df, key, total), out)
 
 
-def file_row_index(df: DataFrame, out: str = "_row_idx", with_count: bool = False):
+def _file_positions(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of a file scan with ``_fp``, ``_fb``, ``_mid``; first position, and
+    number of rows in all, of each file split).
+
+    Spark may cut a scan differently each time it runs (the split size
+    follows the parallelism of the moment), so rows and ids are written once and
+    both tables come from that."""
+    fixed = materialize(df.select("*", F.col("_metadata.file_path").alias("_fp"),
+                                  F.col("_metadata.file_block_start").alias("_fb"),
+                                  F.monotonically_increasing_id().alias("_mid")), "file-rows")
+    # one row per split, in file order; the rows themselves are not moved
+    order = Window.orderBy("_fp", "_fb")
+    splits = (fixed.groupBy("_fp", "_fb").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m"))
+              .select(F.col("_fp").alias("_sp"), F.col("_fb").alias("_sb"), "_m",
+                      F.coalesce(F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, -1)),
+                                 F.lit(0).cast("long")).alias("_start"),
+                      F.sum("_c").over(Window.partitionBy()).alias("_all")))
+    return fixed, splits
+
+
+def _with_position(df: DataFrame, out: str) -> DataFrame:
+    fixed, splits = _file_positions(df)
+    t = fixed.join(splits, (F.col("_fp") == F.col("_sp")) & (F.col("_fb") == F.col("_sb")), "left")
+    lost = F.raise_error(F.lit("a row of an unknown file split"))
+    return (t.withColumn(out, F.coalesce(F.col("_start") + F.col("_mid") - F.col("_m"), lost))
+            .drop("_fp", "_fb", "_mid", "_sp", "_sb", "_m", "_start"))
+
+
+def file_row_index(df: DataFrame, out: str = "_row_idx") -> DataFrame:
     """0-based position of each row of a file scan, in (file path, offset) order.
 
     Rows of one file split are numbered consecutively by
     ``monotonically_increasing_id``; a split is identified by
-    ``(_metadata.file_path, _metadata.file_block_start)``.  One small row per
-    split (count, first id) is gathered to turn the ids into global positions:
-    the data itself is never sorted or shuffled.  ``df`` must be a file scan.
-    The per-split table has one row per file split (data size / split size);
-    it is broadcast while that is within ``MAX_BROADCAST_ROWS``.  ``with_count`` also returns the row count (from that table).
+    ``(_metadata.file_path, _metadata.file_block_start)``.  The rows are written
+    once to the shared folder with those values, so no row can be
+    lost or misplaced by a scan that is cut differently later.
+    ``df`` must be a file scan.
     """
-    t = df.select("*",
-                  F.col("_metadata.file_path").alias("_fp"),
-                  F.col("_metadata.file_block_start").alias("_fb"),
-                  F.monotonically_increasing_id().alias("_mid"))
-    splits = sorted((r["_fp"], r["_fb"], r["c"], r["m"]) for r in
-                    t.groupBy("_fp", "_fb").agg(F.count(F.lit(1)).alias("c"),
-                                                F.min("_mid").alias("m")).collect())
-    rows, acc = [], 0
-    for fp, fb, c, m in splits:
-        rows.append((fp, fb, acc - m))
-        acc += c
-    base = df.sparkSession.createDataFrame(rows, "_fp string, _fb long, _base long")
-    out_df = (t.join(small_side(base, len(rows)), ["_fp", "_fb"])
-              .withColumn(out, F.col("_mid") + F.col("_base"))
-              .drop("_fp", "_fb", "_mid", "_base"))
-    return (out_df, acc) if with_count else out_df
+    return _with_position(df, out).drop("_all")
 
 
 def slice_rows_in_file_order(df: DataFrame, total: int = 3,
                              out: str = "partition_index") -> DataFrame:
     """P1 for a file scan without a key: slices follow the order in the files."""
-    t, n = file_row_index(df, "_row_idx", with_count=True)
-    rps = max(1, n // total)
-    return (t.withColumn(out, F.least(F.floor(F.col("_row_idx") / F.lit(rps)),
-                                      F.lit(total - 1)).cast("int"))
-            .drop("_row_idx"))
+    size = F.greatest(F.lit(1), F.floor(F.col("_all") / F.lit(total)))
+    return (_with_position(df, "_row_idx")
+            .withColumn(out, F.least(F.floor(F.col("_row_idx") / size), F.lit(total - 1)).cast("int"))
+            .drop("_row_idx", "_all"))
 
 
 # --------------------------------------------------------------------- P2, P3
@@ -232,32 +201,32 @@ def slice_apply(df: DataFrame, fn: Callable[[pd.DataFrame, dict], pd.DataFrame],
                 merge: Callable[[pd.DataFrame, dict], pd.DataFrame] | None = None,
                 max_rows_per_group: int = ROWS_PER_BUCKET,
                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Call ``fn(slice_frame, params)`` once per slice, empty slices included.
-
-    Output = ``partition_index int`` + ``schema``.  The slice frame holds the
-    input columns in key order.  A slice larger than ``max_rows_per_group``
-    is not loaded as one pandas frame: ``fn`` runs per contiguous sub-slice
-    (a key bucket inside the slice) and ``merge(partials, params)`` combines
-    the partial outputs of one slice; without ``merge`` such a job is refused.
+    """The user function over every slice, empty slices included.
+
+    Output = ``partition_index int`` + ``schema``.  The caller chooses one of two
+    contracts; neither depends on the number of rows:
+
+    * without ``merge``: ``fn(slice_frame, params)`` is called once per slice, with
+      all its rows in key order.  A slice must fit one worker's memory:
+      choose ``total`` accordingly.
+    * with ``merge``: ``fn`` is always called on parts of a slice, each in key
+      order, and ``merge(partials, params)`` combines the outputs of one
+      slice.  Parts are drawn by a hash of the key and hold half of
+      ``max_rows_per_group`` rows on average.
     """
     check_job_function(fn)
+    if merge is not None:
+        check_job_function(merge)
     params = dict(params or {})
     out_schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     cols = df.columns
     plan = plan_slices(df, key, total, rows_per_bucket)
-    biggest = max(plan.slice_sizes()) if plan.total else 0
-    two_phase = biggest > max_rows_per_group
-    if two_phase:
-        if merge is None:
-            raise ValueError(
-                f"slice of {biggest} rows exceeds max_rows_per_group={max_rows_per_group}; "
-                "raise total or give a merge function")
-        check_job_function(merge)
+    parts = 1
+    if merge is not None:
+        parts = max(1, math.ceil(2 * max(plan.slice_sizes()) / max_rows_per_group))
 
-    sliced = assign_slices(df, plan).withColumn("_empty", F.lit(False))
-    sub_splits = plan.bucket_splits if two_phase else []
-    sliced = bucketize("_kk", sub_splits, "_sub",
-                       sliced.withColumn("_kk", order_value(sliced, key))).drop("_kk")
+    sliced = (assign_slices(df, plan).withColumn("_empty", F.lit(False))
+              .withColumn("_sub", F.pmod(F.xxhash64(F.col(key)), F.lit(parts)).cast("int")))
     empty = plan.empty_slices()
     if empty:
         spark = df.sparkSession
@@ -272,24 +241,24 @@ def slice_apply(df: DataFrame, fn: Callable[[pd.DataFrame, dict], pd.DataFrame],
                                 T.StructField("_sub", T.IntegerType()), *out_schema.fields])
     names = [f.name for f in out_schema.fields]
 
-    def run_one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pidx = int(pdf["partition_index"].iloc[0])
-        sub = int(pdf["_sub"].iloc[0])
-        rows = pdf[~pdf["_empty"].astype(bool)].sort_values(key)[cols].reset_index(drop=True)
-        res = fn(rows, params)
+    def checked(res, pidx: int, what: str) -> pd.DataFrame:
         if res is None:
-            raise ValueError("run() returned None - it must return a pandas DataFrame")
-        res = res.reset_index(drop=True)
+            raise ValueError(f"the {what} function gave no DataFrame for slice {pidx}")
         missing = [c for c in names if c not in res.columns]
         if missing:
-            raise ValueError(f"run() result lacks columns {missing}")
-        res = res[names].copy()
-        res.insert(0, "_sub", sub)
+            raise ValueError(f"the {what} function's result for slice {pidx} lacks columns {missing}")
+        return res.reset_index(drop=True)[names].copy()
+
+    def run_one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pidx = int(pdf["partition_index"].iloc[0])
+        rows = pdf[~pdf["_empty"].astype(bool)].sort_values(key)[cols].reset_index(drop=True)
+        res = checked(fn(rows, params), pidx, "job")
+        res.insert(0, "_sub", int(pdf["_sub"].iloc[0]))
         res.insert(0, "partition_index", pidx)
         return res
 
     partial = sliced.groupBy("partition_index", "_sub").applyInPandas(run_one, part_schema)
-    if not two_phase:
+    if merge is None:
         return partial.drop("_sub")
 
     final_schema = T.StructType([T.StructField("partition_index", T.IntegerType()),
@@ -297,8 +266,7 @@ def slice_apply(df: DataFrame, fn: Callable[[pd.DataFrame, dict], pd.DataFrame],
 
     def merge_one(pdf: pd.DataFrame) -> pd.DataFrame:
         pidx = int(pdf["partition_index"].iloc[0])
-        res = merge(pdf.sort_values("_sub")[names].reset_index(drop=True), params)
-        res = res.reset_index(drop=True)[names].copy()
+        res = checked(merge(pdf.sort_values("_sub")[names].reset_index(drop=True), params), pidx, "merge")
         res.insert(0, "partition_index", pidx)
         return res
 

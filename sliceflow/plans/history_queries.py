@@ -75,15 +75,18 @@ def q_claimable_tasks(spark, sf):
 def artifacts(spark, sf):
     li = views.table(spark, sf, "lineitem")
     return li.select(F.col("l_orderkey").alias("run_id"),
-                     F.format_string("partition-%d.csv", "l_linenumber").alias("name"),
+                     F.concat(F.lit("partition-"), F.col("l_linenumber").cast("string"), F.lit(".csv")).alias("name"),
                      artifact_key("l_orderkey", "l_linenumber").alias("storage_path"),
                      F.col("l_quantity").cast("long").alias("size_bytes"),
                      F.col("l_shipdate").alias("created_at"))
 
 
 def q_artifacts_by_job(spark, sf):
-    r = views.runs(spark, sf).select(F.col("id").alias("run_id"), "job_id")
-    return artifacts(spark, sf).join(r, "run_id")
+    """J1 for the jobs of customers in debt, newest first in each job."""
+    jobs = views.table(spark, sf, "customer").where(F.col("c_acctbal") < 0).select(
+        F.col("c_custkey").alias("job_id"))
+    return H.artifacts_by_job(artifacts(spark, sf), views.runs(spark, sf), jobs,
+                              ids=["storage_path", "size_bytes"])
 
 
 def q_dataset_of_job(spark, sf):
@@ -92,32 +95,26 @@ def q_dataset_of_job(spark, sf):
     ds = views.table(spark, sf, "part").select(F.col("p_partkey").alias("dataset_id"),
                                                F.col("p_name").alias("dataset_name"),
                                                F.col("p_size").alias("dataset_size"))
-    return jobs.join(ds, "dataset_id")
+    return H.dataset_of_job(jobs, ds)
 
 
 def q_job_of_run(spark, sf):
     r = views.runs(spark, sf).select(F.col("id").alias("run_id"), "job_id")
     j = views.workspaces(spark, sf).select(F.col("id").alias("job_id"),
                                            F.col("name").alias("job_name"), "plan")
-    return r.join(j, "job_id")
+    return H.job_of_run(r, j)
 
 
 def q_task_context(spark, sf):
-    """Task + run + job + dataset and the number of tasks in the run, for
-    every task in one job (the reference does three point queries per task).
-    The count is a window over the run: the join on run_id already placed and
-    sorted the rows by run, so it adds no exchange; a run has as many tasks
-    as slices, so each window group is small."""
+    """J4; a job's dataset is its customer's nation."""
     t = views.tasks(spark, sf).select("run_id", "partition_index")
     r = views.runs(spark, sf).select(F.col("id").alias("run_id"), "job_id")
     c = views.table(spark, sf, "customer").select(F.col("c_custkey").alias("job_id"),
                                                   F.col("c_name").alias("job_name"),
-                                                  "c_nationkey")
-    n = views.table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"),
+                                                  F.col("c_nationkey").alias("dataset_id"))
+    n = views.table(spark, sf, "nation").select(F.col("n_nationkey").alias("dataset_id"),
                                                 F.col("n_name").alias("dataset_name"))
-    per_run = F.count(F.lit(1)).over(Window.partitionBy("run_id"))
-    return (t.join(r, "run_id").withColumn("tasks_in_run", per_run).join(c, "job_id")
-            .join(F.broadcast(n), "c_nationkey").drop("c_nationkey"))
+    return H.task_context(t, r, c, F.broadcast(n)).drop("dataset_id")
 
 
 def q_cascade_survivors(spark, sf):
@@ -319,8 +316,11 @@ WHERE state = 'PENDING' AND (lease_expires_at IS NULL
   OR lease_expires_at < TIMESTAMP '2001-08-02 00:00:00')""",
     "artifacts_by_job": """SELECT l.l_orderkey AS run_id, 'partition-' || l.l_linenumber || '.csv' AS name,
   'artifacts/' || l.l_orderkey || '/partition-' || l.l_linenumber || '.csv' AS storage_path,
-  CAST(l.l_quantity AS BIGINT) AS size_bytes, l.l_shipdate AS created_at, o.o_custkey AS job_id
-FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey""",
+  CAST(l.l_quantity AS BIGINT) AS size_bytes, l.l_shipdate AS created_at, o.o_custkey AS job_id,
+  row_number() OVER (PARTITION BY o.o_custkey ORDER BY l.l_shipdate DESC,
+    'artifacts/' || l.l_orderkey || '/partition-' || l.l_linenumber || '.csv', CAST(l.l_quantity AS BIGINT)) AS pos
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+WHERE o.o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
     "dataset_of_job": """SELECT l.l_partkey AS dataset_id, l.l_orderkey, l.l_linenumber,
   p.p_name AS dataset_name, p.p_size AS dataset_size
 FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey""",

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_of_ts, json_field
+from ..functions.exprs import as_of_ts, json_field, ntz_micros
 from ..operators import changes as M
 from ..operators import ordered as W
+from ..schemas import FAILURE_THRESHOLD, LEASE_SECONDS
 from . import views
 from .history_queries import datasets, outbox
 
@@ -18,7 +19,7 @@ ORDER = ["ts", "event_id"]
 
 
 def _gap_us(a, b):
-    return F.expr(f"timestampdiff(MICROSECOND, {a}, {b})")
+    return ntz_micros(b) - ntz_micros(a)
 
 
 def q_latest_run_per_job(spark, sf):
@@ -30,8 +31,8 @@ def q_latest_run_per_job(spark, sf):
 def q_heartbeat_gaps(spark, sf):
     """Gaps longer than the limit between heartbeats of a key, plus the
     open gap from the last heartbeat to ``as_of``."""
-    e = (views.job_events(spark, sf).where(F.col("kind") == "heartbeat")
-         .select("workspace_id", "event_id", "ts"))
+    e = (views.table(spark, sf, "events").where(F.col("event_type") == "view")  # pushed to the scan
+         .select(F.col("user_id").alias("workspace_id"), "event_id", "ts"))
     prev = W.previous_value(e, ["workspace_id"], ORDER, "ts", "prev_ts")
     closed = (prev.where(F.col("prev_ts").isNotNull())
               .select("workspace_id", F.col("prev_ts").alias("from_ts"), F.col("ts").alias("to_ts"),
@@ -49,7 +50,7 @@ def q_heartbeat_gaps(spark, sf):
 def q_failure_streaks(spark, sf):
     e = views.job_events(spark, sf).select("workspace_id", "event_id", "ts", "kind")
     s = W.true_streak(e, ["workspace_id"], ORDER, F.col("kind") == "failed", "streak")
-    return s.where(F.col("streak") >= 3).select("workspace_id", "event_id", "ts", "streak")
+    return s.where(F.col("streak") >= FAILURE_THRESHOLD).select("workspace_id", "event_id", "ts", "streak")
 
 
 def q_running_jobs_counter(spark, sf):
@@ -65,18 +66,14 @@ def q_admission_check(spark, sf):
         "workspace_id", "event_id", "running_before", "admitted")
 
 
-def _idem(spark, sf):
-    e = views.table(spark, sf, "events")
-    k = json_field("props", "k").try_cast("long")
-    return e.select(F.when(k % 10 != 0, k).alias("idempotency_key"), "event_id", "ts")
-
-
 def q_first_by_idempotency_key(spark, sf):
     """First submission per key; rows without a key are never duplicates."""
-    e = _idem(spark, sf)
-    keyed = W.first_per_key(e.where(F.col("idempotency_key").isNotNull()),
-                            ["idempotency_key"], ORDER, ["event_id", "ts"])
-    return keyed.unionByName(e.where(F.col("idempotency_key").isNull()))
+    k = F.get_json_object("props", "$.k").try_cast("long")
+    e = (views.table(spark, sf, "events").select(k.alias("k"), "event_id", "ts")
+         .withColumn("idempotency_key", F.when(F.col("k") % 10 != 0, F.col("k")))
+         # a row without a key is a group of its own
+         .withColumn("own", F.when(F.col("idempotency_key").isNull(), F.col("event_id"))))
+    return W.first_per_key(e, ["idempotency_key", "own"], ORDER, ["event_id", "ts"]).drop("own")
 
 
 def q_first_start(spark, sf):
@@ -98,7 +95,11 @@ def q_partial_update(spark, sf):
     upd = c.select(F.col("c_custkey").alias("id"),
                    F.when(F.col("c_acctbal") >= 0, F.upper("c_name")).alias("name"),
                    F.lit("enterprise").alias("plan"))
-    return M.partial_update(ws, upd, "id", ["name", "plan"])
+    # a second, later change of some, that keeps the plan
+    more = c.where(F.col("c_custkey") % 3 == 0).select(
+        F.col("c_custkey").alias("id"), F.lower("c_name").alias("name"), F.lit(None).cast("string").alias("plan"))
+    both = upd.withColumn("seq", F.lit(1)).unionByName(more.withColumn("seq", F.lit(2)))
+    return M.partial_update(ws, both, "id", ["name", "plan"], ["seq"])
 
 
 def q_retention(spark, sf):
@@ -130,13 +131,16 @@ def q_cancel_cascade(spark, sf):
     cj = o.where(F.col("o_orderstatus") == "P").select(F.col("o_custkey").alias("id"))
     runs = views.runs(spark, sf).select("id", "job_id", "state")
     tasks = views.tasks(spark, sf).select("run_id", "partition_index", "state")
-    _, t2 = M.cancel_cascade(tasks, runs, cj)
-    return t2
+    r2, t2 = M.cancel_cascade(tasks, runs, cj)
+    none = F.lit(None).cast("int")
+    return (t2.select(F.lit("tasks").alias("table_name"), "run_id", F.col("partition_index").cast("int").alias("partition_index"), "state")
+            .unionByName(r2.select(F.lit("runs").alias("table_name"), F.col("id").alias("run_id"), none.alias("partition_index"), "state")))
 
 
 def q_task_attempts(spark, sf):
     e = views.job_events(spark, sf)
-    return M.task_attempts(e, "workspace_id", ORDER, F.col("kind") == "failed", "props")
+    lease = F.col("ts") + F.expr(f"INTERVAL {LEASE_SECONDS} SECONDS")
+    return M.retried_tasks(e, "workspace_id", ORDER, "kind", F.col("kind") == "failed", "props", lease)
 
 
 def q_submit_with_event(spark, sf):
@@ -216,7 +220,8 @@ UNION ALL SELECT * FROM e WHERE idempotency_key IS NULL""",
   arg_max({KIND}, (ts, event_id)) AS state, max(ts) AS updated_at,
   arg_max(event_id, (ts, event_id)) AS last_event_id FROM events GROUP BY user_id""",
     "partial_update": """SELECT c_custkey AS id, c_nationkey AS owner_id,
-  CASE WHEN c_mktsegment = 'AUTOMOBILE' AND c_acctbal >= 0 THEN upper(c_name) ELSE c_name END AS name,
+  CASE WHEN c_mktsegment = 'AUTOMOBILE' AND c_custkey % 3 = 0 THEN lower(c_name)
+       WHEN c_mktsegment = 'AUTOMOBILE' AND c_acctbal >= 0 THEN upper(c_name) ELSE c_name END AS name,
   CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'enterprise'
        WHEN c_mktsegment = 'BUILDING' THEN 'enterprise'
        WHEN c_mktsegment = 'MACHINERY' THEN 'pro' ELSE 'free' END AS plan
@@ -242,11 +247,17 @@ cr AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P' OR o_custkey IN (
 t AS (SELECT l_orderkey AS run_id, l_linenumber AS partition_index,
   CASE WHEN l_returnflag = 'R' THEN 'FAILED' WHEN l_linestatus = 'F' THEN 'SUCCEEDED'
        WHEN l_returnflag = 'A' THEN 'LEASED' ELSE 'PENDING' END AS state FROM lineitem)
-SELECT run_id, partition_index,
+SELECT 'tasks' AS table_name, run_id, CAST(partition_index AS INTEGER) AS partition_index,
   CASE WHEN run_id IN (SELECT o_orderkey FROM cr) AND state NOT IN ('SUCCEEDED', 'FAILED', 'DEAD')
-       THEN 'DEAD' ELSE state END AS state FROM t""",
-    "task_attempts": """SELECT user_id AS workspace_id, count(*) FILTER (WHERE event_type = 'error') AS retry_count,
-  arg_max(props, (ts, event_id)) FILTER (WHERE event_type = 'error') AS last_error
+       THEN 'DEAD' ELSE state END AS state FROM t
+UNION ALL SELECT 'runs', o_orderkey, NULL,
+  CASE WHEN o_custkey IN (SELECT o_custkey FROM cj) THEN 'CANCELLED' WHEN o_orderstatus = 'F' THEN 'SUCCEEDED'
+       WHEN o_orderstatus = 'O' THEN 'RUNNING' ELSE 'CANCELLED' END FROM orders""",
+    "task_attempts": f"""SELECT user_id AS workspace_id, count(*) FILTER (WHERE event_type = 'error') AS retry_count,
+  arg_max(props, (ts, event_id)) FILTER (WHERE event_type = 'error') AS last_error,
+  CASE WHEN arg_max(event_type, (ts, event_id)) = 'error' THEN 'PENDING'
+       ELSE arg_max({KIND}, (ts, event_id)) END AS state,
+  CASE WHEN arg_max(event_type, (ts, event_id)) <> 'error' THEN max(ts) + INTERVAL 30 SECONDS END AS lease_expires_at
 FROM events GROUP BY user_id""",
     "submit_with_event": """SELECT sha256(concat_ws(chr(1), 'job.submitted', CAST(o_orderkey AS VARCHAR))) AS event_id,
   'job.submitted' AS event_type, CAST(o_orderkey AS VARCHAR) AS aggregate_id,

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import rollup, slices
+from ..schemas import DEFAULT_PARTITIONS
 from . import views
 
-TOTAL = 3
+TOTAL = DEFAULT_PARTITIONS
 MONEY = 2
 
 
@@ -18,9 +20,40 @@ def q_slice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_region_rollup_by_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the input is a join: materialize it once for the slice planning passes
+    # ranks count the joined orders: the keys are those with a customer
+    o = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = views.region_of_customer(spark, sf_dir).select("c_custkey")
+    keys = o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
     return rollup.region_rollup_by_slice(views.sales(spark, sf_dir), "o_orderkey", TOTAL,
-                                         money_scale=MONEY, materialize=True)
+                                         money_scale=MONEY, keys=keys)
+
+
+def q_slice_rows_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 on a text key, as ids of the platform are."""
+    k = F.sha2(F.col("o_orderkey").cast("string"), 256).alias("id")
+    return slices.slice_rows(views.table(spark, sf_dir, "orders").select("o_orderkey", k), "id", 5).drop("id")
+
+
+def q_schema_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same call on a table with and one without the sample columns."""
+    sales = rollup.analyze_slices(views.sales(spark, sf_dir), "o_orderkey", TOTAL, money_scale=MONEY)
+    part = rollup.analyze_slices(views.table(spark, sf_dir, "part"), "p_partkey", TOTAL)
+    return (sales.select(F.lit("sales").alias("dataset"), "partition_index", F.col("region").alias("name"), F.col("total_revenue").alias("value"))
+            .unionByName(part.select(F.lit("part").alias("dataset"), "partition_index", F.col("metric").alias("name"), F.col("value").cast("double").alias("value"))))
+
+
+def dear_orders(pdf: pd.DataFrame, params: dict) -> pd.DataFrame:
+    """A user job that its parameters change: orders from a price on."""
+    dear = pdf[pdf["o_totalprice"] >= params["min_price"]]
+    return pd.DataFrame({"label": [params["label"]], "n_rows": [len(dear)]})
+
+
+def q_job_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One job under two sets of parameters."""
+    o = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    runs = [slices.slice_apply(o, dear_orders, "label string, n_rows long", "o_orderkey", TOTAL, params=p)
+            for p in ({"min_price": 100000.0, "label": "dear"}, {"min_price": 0.0, "label": "all"})]
+    return runs[0].unionByName(runs[1])
 
 
 def q_region_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +96,9 @@ QUERIES = {
     "region_rollup_by_slice": q_region_rollup_by_slice,
     "region_rollup": q_region_rollup,
     "shape_summary": q_shape_summary,
+    "slice_rows_by_text": q_slice_rows_by_text,
+    "schema_dispatch": q_schema_dispatch,
+    "job_parameters": q_job_parameters,
 }
 
 _SALES = """
@@ -119,5 +155,23 @@ s AS (SELECT CAST(r.range AS INTEGER) AS partition_index, count(p.pi) AS n_rows
 SELECT partition_index, 'row_count' AS metric, n_rows AS value FROM s
 UNION ALL
 SELECT partition_index, 'col_count' AS metric, CAST(6 AS BIGINT) AS value FROM s
+""",
+    "slice_rows_by_text": """
+SELECT o_orderkey,
+       CAST(LEAST((row_number() OVER (ORDER BY sha256(CAST(o_orderkey AS VARCHAR))) - 1)
+                  // GREATEST(1, count(*) OVER () // 5), 4) AS INTEGER) AS partition_index
+FROM orders
+""",
+    "job_parameters": """
+WITH p AS (
+  SELECT o_totalprice,
+         CAST(LEAST((row_number() OVER (ORDER BY o_orderkey) - 1)
+                    // GREATEST(1, count(*) OVER () // 3), 2) AS INTEGER) AS partition_index
+  FROM orders)
+SELECT partition_index, 'dear' AS label, count(*) FILTER (WHERE o_totalprice >= 100000) AS n_rows FROM p GROUP BY 1
+UNION ALL SELECT partition_index, 'all', count(*) FROM p GROUP BY 1
 """,
 }
+ORACLE["schema_dispatch"] = f"""
+SELECT 'sales' AS dataset, partition_index, region AS name, total_revenue AS value FROM ({ORACLE['region_rollup_by_slice']})
+UNION ALL SELECT 'part', partition_index, metric, CAST(value AS DOUBLE) FROM ({ORACLE['shape_summary']})"""

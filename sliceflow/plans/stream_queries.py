@@ -13,10 +13,11 @@ at-least-once publisher does after a crash between publish and mark.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..schemas import FAILURE_THRESHOLD
+from ..session import materialize, scratch_path
 from ..sources import topics as TP
 from ..streaming import jobs as S
 from . import views
@@ -25,18 +26,6 @@ from .ordered_queries import ORACLE as ORD_ORACLE
 FILES = 6
 TOPIC = "job.events"
 
-# A topic exists once and has many consumers: each replay folder is written
-# once per (application, data set) and then read by every streaming query.
-_SOURCES: dict[tuple, str] = {}
-
-
-def _once(spark: SparkSession, sf: str, name: str, build) -> str:
-    k = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
-    if k not in _SOURCES:
-        _SOURCES[k] = build()
-    return _SOURCES[k]
-
-
 def _events_topic(spark, sf) -> str:
     e = views.table(spark, sf, "events")
     js = F.to_json(F.struct(*[F.col(c) for c in e.columns]), TP.JSON_TS)
@@ -49,18 +38,16 @@ def _events_topic(spark, sf) -> str:
     dups = (chunked.where(F.col("event_type") == "purchase")
             .withColumn("_c", F.least(F.col("_c") + 1, F.lit(FILES - 1))))
     path = scratch_path(spark, "topic")
-    return S.write_in_order(chunked.unionByName(dups).select("key", "value", "topic", "_c"), path)
+    return S.write_in_order(chunked.unionByName(dups).select("key", "value", "topic", F.lit(None).cast(TP.TOPIC_SCHEMA["headers"].dataType).alias("headers"), "_c"), path)
 
 
 def _topic_stream(spark, sf) -> DataFrame:
-    path = _once(spark, sf, "topic", lambda: _events_topic(spark, sf))
-    return TP.read_topic(spark, path, stream=True, max_files_per_trigger=1)
+    return TP.read_topic(spark, _events_topic(spark, sf), stream=True, max_files_per_trigger=1)
 
 
 def _event_stream(spark, sf, kinds=None) -> DataFrame:
     e = views.job_events(spark, sf).drop("event_type", "props", "value")
-    path = _once(spark, sf, "events",
-                 lambda: S.replay_files(e, scratch_path(spark, "events"), "ts", FILES))
+    path = S.replay_files(e, scratch_path(spark, "events"), "ts", FILES)
     st = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
     return st.where(F.col("kind").isin(list(kinds))) if kinds else st
 
@@ -79,7 +66,7 @@ def q_parse_events(spark, sf):
 
 def q_quarantine(spark, sf):
     _, dead = _split(spark, sf)
-    return spark.read.parquet(dead).select("key", "error", "topic")
+    return spark.read.parquet(dead).select("key", "original_payload", "error", "topic")
 
 
 def _deduped(spark, sf) -> DataFrame:
@@ -109,21 +96,32 @@ def q_state_fold_stream(spark, sf):
 
 
 def q_progress_stream(spark, sf):
-    t = views.tasks(spark, sf).select("run_id", "state", "created_at")
-    src = _once(spark, sf, "tasks",
-                lambda: S.replay_files(t, scratch_path(spark, "tasks"), "created_at", FILES))
-    stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    """Every task is made, leased and ends as its row says, days apart."""
+    t = materialize(views.tasks(spark, sf).select(F.monotonically_increasing_id().alias("task_id"), "run_id", "state", "created_at"), "tasks")
+    step = lambda s, n: F.struct(F.lit(s).alias("state") if isinstance(s, str) else s.alias("state"),
+                                 F.lit(n).alias("seq"), (F.col("created_at") + F.expr(f"INTERVAL {40 * n} DAYS")).alias("ts"))
+    past = F.when(F.col("state") == "PENDING", F.array(step("PENDING", 0))).when(
+        F.col("state") == "LEASED", F.array(step("PENDING", 0), step("LEASED", 1))).otherwise(
+        F.array(step("PENDING", 0), step("LEASED", 1), step(F.col("state"), 2)))
+    log = t.select("task_id", "run_id", F.explode(past).alias("s")).select("task_id", "run_id", "s.state", "s.seq", "s.ts")
+    src = S.replay_files(log, scratch_path(spark, "tasks"), "ts", FILES)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
     path = scratch_path(spark, "progress")
-    S.run_available(lambda: S.upsert_log(S.progress_stream(stream), path,
+    S.run_available(lambda: S.upsert_log(S.latest_task_states(stream, ["ts", "seq"]), path,
                                          scratch_path(spark, "ck")), spark=spark)
-    return S.latest_rows(spark, path, ["run_id"])
+    return S.progress(S.latest_rows(spark, path, ["task_id"]))
 
 
 def q_queue_depth_windows(spark, sf):
     path = scratch_path(spark, "windows")
-    agg = S.windowed_counts(_event_stream(spark, sf), "ts", "kind", "1 hour", "1 day")
+    """Jobs pending and running at the end of each hour.  A submission waits, a first
+    sign of life starts it, its end or cancellation takes it away."""
+    k = F.col("kind")
+    change = lambda up, down: F.when(k.isin(*up), 1).when(k.isin(*down), -1).otherwise(0)
+    agg = S.windowed_sums(_event_stream(spark, sf), "ts", {"pending": change(["submitted"], ["heartbeat", "cancelled"]),
+                                                           "running": change(["heartbeat"], ["completed", "failed"])}, "1 hour", "1 day")
     S.run_available(lambda: S.upsert_log(agg, path, scratch_path(spark, "ck")), spark=spark)
-    return S.latest_rows(spark, path, ["window_start", "kind"])
+    return S.depth_per_tick(S.latest_rows(spark, path, ["window_start"]), "window_start", ["pending", "running"])
 
 
 def q_missed_heartbeats(spark, sf):
@@ -131,13 +129,17 @@ def q_missed_heartbeats(spark, sf):
     st = S.missed_heartbeats(_event_stream(spark, sf, ["heartbeat"]), 24 * 3600 * 1_000_000,
                              "1 day")
     S.run_available(lambda: S.to_parquet_sink(st, out, scratch_path(spark, "ck")), spark=spark)
-    return (spark.read.parquet(out).where(~F.col("open"))
-            .select("workspace_id", "from_ts", "to_ts", "open", "gap_us"))
+    # a gap may be reported as open and end later: the end stands
+    gaps = spark.read.parquet(out)
+    ended = gaps.where(~F.col("open"))
+    still = gaps.where("open").join(ended.select("workspace_id", "from_ts"), ["workspace_id", "from_ts"], "left_anti")
+    cols = ["workspace_id", "from_ts", "to_ts", "open", F.coalesce("gap_us", F.lit(0).cast("long")).alias("gap_us")]
+    return ended.select(cols).unionByName(still.select(cols))
 
 
 def q_streak_stream(spark, sf):
     out = scratch_path(spark, "streaks")
-    st = S.streak_stream(_event_stream(spark, sf), "failed", 3)
+    st = S.streak_stream(_event_stream(spark, sf), "failed", FAILURE_THRESHOLD)
     S.run_available(lambda: S.to_parquet_sink(st, out, scratch_path(spark, "ck")), spark=spark)
     return spark.read.parquet(out)
 
@@ -167,10 +169,10 @@ _GOOD = "SELECT * FROM events WHERE event_id % 97 <> 0"
 ORACLE = {
     "parse_events": f"""{_GOOD} UNION ALL
 SELECT * FROM events WHERE event_id % 97 <> 0 AND event_type = 'purchase'""",
-    "quarantine": """SELECT CAST(user_id AS VARCHAR) AS key, 'malformed JSON' AS error,
+    "quarantine": """SELECT CAST(user_id AS VARCHAR) AS key, '{"event_id":' AS original_payload, 'malformed JSON' AS error,
   'job.events.deadletter' AS topic FROM events WHERE event_id % 97 = 0
 UNION ALL
-SELECT CAST(user_id AS VARCHAR), 'malformed JSON', 'job.events.deadletter' FROM events
+SELECT CAST(user_id AS VARCHAR), '{"event_id":', 'malformed JSON', 'job.events.deadletter' FROM events
 WHERE event_id % 97 = 0 AND event_type = 'purchase'""",
     "dedup_events": _GOOD,
     "state_fold_stream": ORD_ORACLE["current_state"].replace(
@@ -181,12 +183,14 @@ WHERE event_id % 97 = 0 AND event_type = 'purchase'""",
   count(*) FILTER (WHERE l_returnflag <> 'R' AND l_linestatus = 'F') AS done,
   count(*) FILTER (WHERE l_returnflag = 'R') AS failed
 FROM lineitem GROUP BY l_orderkey""",
-    "queue_depth_windows": """SELECT date_trunc('hour', ts) AS window_start,
-  CASE event_type WHEN 'signup' THEN 'submitted' WHEN 'purchase' THEN 'completed'
-  WHEN 'error' THEN 'failed' WHEN 'view' THEN 'heartbeat' WHEN 'click' THEN 'cancelled' END AS kind,
-  count(*) AS n FROM events GROUP BY ALL""",
-    "missed_heartbeats": ORD_ORACLE["heartbeat_gaps"].replace(
-        "WHERE date_diff", "WHERE NOT open AND date_diff"),
+    "queue_depth_windows": """WITH t AS (SELECT date_trunc('hour', ts) AS window_start,
+  sum(CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN -1 WHEN 'click' THEN -1 ELSE 0 END) AS p,
+  sum(CASE event_type WHEN 'view' THEN 1 WHEN 'purchase' THEN -1 WHEN 'error' THEN -1 ELSE 0 END) AS r FROM events GROUP BY 1)
+SELECT window_start, CAST(sum(p) OVER (ORDER BY window_start) AS BIGINT) AS pending,
+  CAST(sum(r) OVER (ORDER BY window_start) AS BIGINT) AS running FROM t""",
+    "missed_heartbeats": f"""SELECT * FROM ({ORD_ORACLE["heartbeat_gaps"]}) WHERE NOT open
+UNION ALL SELECT user_id, max(ts), NULL, true, 0 FROM events WHERE event_type = 'view' GROUP BY user_id
+HAVING max(ts) + INTERVAL 1 DAY < (SELECT max(ts) FROM events WHERE event_type = 'view') - INTERVAL 1 DAY""",
     "streak_stream": ORD_ORACLE["failure_streaks"],
     "admission_stream": ORD_ORACLE["admission_check"],
 }

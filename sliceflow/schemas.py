@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # State enums of the platform tables.
-USER_ROLES = ("admin", "editor", "viewer")
 DATASET_STATES = ("INITIATED", "UPLOADING", "VALIDATING", "REGISTERING", "READY",
                   "FAILED", "DEPRECATED")
 JOB_STATES = ("SUBMITTED", "VALIDATING", "QUEUED", "PROVISIONING", "RUNNING",
@@ -21,10 +20,9 @@ FILE_FORMATS = ("csv", "parquet", "json", "jsonl")
 # Duration histogram upper bounds in seconds (+Inf implied).
 DURATION_BOUNDS = (1, 5, 10, 30, 60, 120, 300)
 
-# Lease 30 s, heartbeat 10 s, circuit breaker trips after 3
+# Lease 30 s, circuit breaker trips after 3
 # failures, 10 running jobs per workspace, 3 partitions per job.
 LEASE_SECONDS = 30
-HEARTBEAT_SECONDS = 10
 FAILURE_THRESHOLD = 3
 MAX_RUNNING_JOBS = 10
 DEFAULT_PARTITIONS = 3
@@ -38,79 +36,43 @@ PANDAS_NA_VALUES = (
 
 UUID_PATTERN = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 
-SALES = T.StructType([
-    T.StructField("region", T.StringType()),
-    T.StructField("revenue", T.DoubleType()),
-    T.StructField("date", T.StringType()),
-])
-
-COMPUTE = T.StructType([
-    T.StructField("cpu", T.IntegerType()),
-    T.StructField("memory_gb", T.IntegerType()),
-    T.StructField("workers", T.IntegerType()),
-])
-
-JOB_EVENT = T.StructType([
-    T.StructField("job_id", T.StringType()),
-    T.StructField("workspace_id", T.StringType()),
-    T.StructField("traceparent", T.StringType()),
-])
-
-SLICE_ROLLUP = T.StructType([
-    T.StructField("partition_index", T.IntegerType()),
-    T.StructField("region", T.StringType()),
-    T.StructField("total_revenue", T.DoubleType()),
-    T.StructField("avg_revenue", T.DoubleType()),
-    T.StructField("row_count", T.LongType()),
-])
-
-SHAPE_SUMMARY = T.StructType([
-    T.StructField("partition_index", T.IntegerType()),
-    T.StructField("metric", T.StringType()),
-    T.StructField("value", T.LongType()),
-])
-
-
-def _s(ddl: str) -> str:
-    return ddl
-
-
 def platform_schema(table: str) -> T.StructType:
     """Schema of a control-plane table (parsed when a session exists)."""
     return T.StructType.fromDDL(PLATFORM_TABLES[table])
 
 
-# Control-plane tables as DDL (timestamps without zone; JSON columns as text).
+# Columns of the control-plane tables as DDL (timestamps without
+# zone; JSON columns as text).
 PLATFORM_TABLES = {
-    "workspaces": _s("id string, owner_id string, name string, plan string, "
+    "workspaces": ("id string, owner_id string, name string, plan string, "
                      "created_at timestamp_ntz"),
-    "datasets": _s("id string, workspace_id string, created_by string, name string, "
+    "datasets": ("id string, workspace_id string, created_by string, name string, "
                    "state string, storage_path string, file_format string, size_bytes bigint, "
                    "created_at timestamp_ntz, updated_at timestamp_ntz"),
-    "jobs": _s("id string, workspace_id string, created_by string, dataset_id string, "
+    "jobs": ("id string, workspace_id string, created_by string, dataset_id string, "
                "state string, entrypoint string, parameters string, compute string, "
                "retry_count int, max_retries int, idempotency_key string, error_message string, "
                "created_at timestamp_ntz, started_at timestamp_ntz, finished_at timestamp_ntz"),
-    "runs": _s("id string, job_id string, workspace_id string, state string, attempt_number int, "
+    "runs": ("id string, job_id string, workspace_id string, state string, attempt_number int, "
                "tasks_total int, tasks_done int, tasks_pending int, tasks_running int, "
                "tasks_failed int, error_message string, created_at timestamp_ntz, "
                "started_at timestamp_ntz, finished_at timestamp_ntz"),
-    "tasks": _s("id string, run_id string, workspace_id string, state string, "
+    "tasks": ("id string, run_id string, workspace_id string, state string, "
                 "partition_index int, lease_owner string, lease_expires_at timestamp_ntz, "
                 "retry_count int, checkpoint_path string, error_message string, "
                 "created_at timestamp_ntz, started_at timestamp_ntz, finished_at timestamp_ntz"),
-    "artifacts": _s("id string, run_id string, workspace_id string, name string, "
+    "artifacts": ("id string, run_id string, workspace_id string, name string, "
                     "storage_path string, content_type string, size_bytes bigint, "
                     "created_at timestamp_ntz, expires_at timestamp_ntz"),
-    "outbox": _s("id string, event_type string, aggregate_id string, payload string, "
+    "outbox": ("id string, event_type string, aggregate_id string, payload string, "
                  "status string, attempts int, created_at timestamp_ntz, "
                  "published_at timestamp_ntz"),
-    "audit_logs": _s("id string, workspace_id string, user_id string, action string, "
+    "audit_logs": ("id string, workspace_id string, user_id string, action string, "
                      "resource_type string, resource_id string, metadata string, "
                      "created_at timestamp_ntz"),
 }
 
-# Enum-typed columns per table.
+# Enum-typed columns per table.
 ENUM_COLUMNS = {
     "workspaces": {"plan": WORKSPACE_PLANS},
     "datasets": {"state": DATASET_STATES, "file_format": FILE_FORMATS},

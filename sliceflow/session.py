@@ -9,7 +9,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -49,15 +49,18 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file system
-    every executor and the driver can reach).  Only when it is unset -- local
-    runs and tests -- a fresh folder is made here and registered.
+    On a cluster it must be set by the deployment (a file system that every
+    executor and the driver can reach); without it a job fails here.  Only on a
+    local master, where driver and executors are one process, a fresh folder
+    is made and registered.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.split("[")[0] == "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             d = tempfile.mkdtemp(prefix="sliceflow-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
@@ -74,10 +77,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/sliceflow-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs an OS path (tests only)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.  Every later use
+    sees the same rows with the same values, whatever changes in between
+    (split sizes, executors), and lineage ends here."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,10 +8,14 @@ tasks instead of downloaded whole by every task:
   the empty string.
 * no timestamp inference: ``2024-01`` stays text (Spark's ``inferSchema``
   would make it a timestamp).  Types are either given or inferred by one
-  distributed aggregate: a column is ``bigint`` if every value parses as an
+  distributed aggregate: a column is ``bigint`` if every value reads as an
   integer and none is missing (pandas makes an integer column with gaps
-  float64), ``double`` if every present value parses as a number, else
-  ``string``.
+  float64), ``double`` if every present value reads as a number, ``boolean``
+  if every value is a spelling of true or false and none is missing, else
+  ``string``.  Numbers are what pandas takes for numbers: ``1d`` is text.
+* fields may hold doubled quotes and, with ``multi_line`` (the default), line
+  feeds in quotes.  A file is then read by one task; give
+  ``multi_line=False`` for large files without such fields.
 """
 
 from __future__ import annotations
@@ -23,44 +27,61 @@ from pyspark.sql import types as T
 from ..schemas import FILE_FORMATS, PANDAS_NA_VALUES
 
 
+_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?|[iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY])\s*$"
+_BOOLEANS = ("True", "TRUE", "true", "False", "FALSE", "false")
+
+
+def _as(c: Column, kind: str) -> Column:
+    """A text value as a type, null where pandas would not read it as one."""
+    if kind == "bigint":
+        return F.when(c.rlike(_INTEGER), F.trim(c).try_cast("bigint"))
+    if kind == "double":
+        return F.when(c.rlike(_NUMBER), F.trim(c).try_cast("double"))
+    if kind == "boolean":
+        return F.when(c.isin(list(_BOOLEANS)), F.lower(c) == "true")
+    return c
+
+
 def _null_sentinels(c: Column) -> Column:
     return F.when(c.isin(list(PANDAS_NA_VALUES)), F.lit(None)).otherwise(c)
 
 
 def infer_pandas_types(df: DataFrame) -> dict[str, str]:
-    """One aggregate pass: the narrowest of bigint / double / string per column."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    """One aggregate pass: the narrowest type that pandas would give each column."""
+    kinds = ("bigint", "double", "boolean")
+    aggs = [F.count(F.lit(1))]
     for c in df.columns:
         v = F.col(f"`{c}`")
-        aggs += [F.count(v).alias(f"n_{c}"),
-                 F.count(v.try_cast("bigint")).alias(f"i_{c}"),
-                 F.count(v.try_cast("double")).alias(f"d_{c}")]
-    r = df.agg(*aggs).first()
+        aggs += [F.count(v), *[F.count(_as(v, k)) for k in kinds]]
+    rows, *found = df.agg(*[a.alias(f"c{i}") for i, a in enumerate(aggs)]).first()
     out = {}
-    for c in df.columns:
-        n, i, d = r[f"n_{c}"], r[f"i_{c}"], r[f"d_{c}"]
-        whole = n == r["_rows"]
-        out[c] = ("bigint" if n and i == n and whole
-                  else "double" if n and d == n else "string")
+    for at, c in enumerate(df.columns):
+        n, i, d, b = found[4 * at: 4 * at + 4]
+        whole = n == rows
+        out[c] = ("bigint" if n and i == n and whole else "double" if n and d == n
+                  else "boolean" if n and b == n and whole else "string")
         if n == 0:
             out[c] = "double"  # an all-missing column is float64 in pandas
     return out
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             pandas_nulls: bool = True, infer: bool = True, header: bool = True) -> DataFrame:
+             pandas_nulls: bool = True, infer: bool = True, header: bool = True,
+             multi_line: bool = True) -> DataFrame:
     """CSV with a header, pandas missing-value rules, no date inference."""
-    raw = spark.read.option("header", header).option("inferSchema", False).csv(path)
+    raw = (spark.read.option("header", header).option("inferSchema", False)
+           .option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path))
     if pandas_nulls:
         raw = raw.select(*[_null_sentinels(F.col(f"`{c}`")).alias(c) for c in raw.columns])
     if schema is not None:
         st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
+        return raw.select(*[_as(F.col(f"`{f.name}`"), f.dataType.simpleString()).try_cast(f.dataType).alias(f.name)
                             for f in st.fields])
     if not infer:
         return raw
     types = infer_pandas_types(raw)
-    return raw.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in types.items()])
+    return raw.select(*[_as(F.col(f"`{c}`"), t).alias(c) for c, t in types.items()])
 
 
 def read_dataset(spark: SparkSession, path: str, file_format: str,
@@ -110,6 +131,17 @@ def dataset_catalog(spark: SparkSession, root: str, glob: str = "*") -> DataFram
         .alias("state"))
 
 
+def catalog_rows(spark: SparkSession, catalog: list[tuple[str, str, str]]) -> DataFrame:
+    """Rows of each dataset (name, path, format): (name, n_rows).  One branch
+    for each dataset, counted in one job."""
+    counts = [read_dataset(spark, path, fmt).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"))
+              for name, path, fmt in catalog]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
 def read_history(spark: SparkSession, path: str, table: str | None = None,
                  fmt: str = "parquet", jdbc: dict | None = None) -> DataFrame:
     """A platform table, from files or from a database over JDBC (give

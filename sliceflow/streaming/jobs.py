@@ -18,12 +18,15 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..functions.exprs import ntz_micros
 from ..operators import changes as M
+from ..operators import ordered
 from ..operators.ordered import add_chunks
 from ..sources.topics import JSON_TS
 
@@ -44,8 +47,7 @@ def event_time(c: str) -> Column:
     """A ``timestamp`` column for watermarks from a ``timestamp_ntz`` one,
     reading the wall-clock value as UTC.  Built from epoch microseconds, so
     it does not depend on the session time zone."""
-    return F.timestamp_micros(
-        F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{c}`)"))
+    return F.timestamp_micros(ntz_micros(F.col(c)))
 
 
 def wall_clock(c: Column) -> Column:
@@ -112,15 +114,19 @@ def run_available(query_builder: Callable[[], object], spark: SparkSession | Non
 # -------------------------------------------------------- T1, T2, T3 parse
 
 def parse_events(records: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
-    """JSON value -> typed event, with the validity checks of the
-    platform: bad JSON, a missing id or an unknown event type is an error."""
-    parsed = records.select("key", "value", "topic",
-                            F.from_json("value", schema, {"mode": "PERMISSIVE", **JSON_TS})
-                            .alias("e"))
-    err = (F.when(F.col("e").isNull() | F.col("e.event_id").isNull(), F.lit("malformed JSON"))
+    """JSON value -> typed event.  Errors: text that is not one JSON object
+    (something after it included) or holds a value of another type; a
+    missing id, time or user; an unknown event type."""
+    whole = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", **JSON_TS}
+    parsed = records.select("key", "value", "topic", F.from_json("value", whole, options).alias("w"),
+                            F.size(F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<map<string,string>>")).alias("n"))
+    parsed = parsed.withColumn("e", F.when(F.col("w").isNotNull(), F.struct(*[F.col(f"w.{f.name}").alias(f.name) for f in schema.fields])))
+    err = (F.when(F.col("w").isNull() | F.col("w._bad").isNotNull() | ~F.coalesce(F.col("n") == 1, F.lit(False)), F.lit("malformed JSON"))
+           .when(F.col("e.event_id").isNull() | F.col("e.ts").isNull() | F.col("e.user_id").isNull(), F.lit("missing field"))
            .when(~F.coalesce(F.col("e.event_type").isin(list(EVENT_TYPES)), F.lit(False)),
                  F.lit("unknown event type")))
-    return parsed.withColumn("error", err)
+    return parsed.withColumn("error", err).drop("w", "n")
 
 
 def good_events(parsed: DataFrame) -> DataFrame:
@@ -140,9 +146,11 @@ def split_sinks(parsed: DataFrame, good_path: str, dead_path: str, checkpoint: s
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        good_events(batch).write.mode("overwrite").parquet(f"{good_path}/batch={batch_id}")
-        dead_letters(batch).write.mode("overwrite").parquet(f"{dead_path}/batch={batch_id}")
-        batch.unpersist()
+        try:
+            good_events(batch).write.mode("overwrite").parquet(f"{good_path}/batch={batch_id}")
+            dead_letters(batch).write.mode("overwrite").parquet(f"{dead_path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (parsed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -188,8 +196,10 @@ def latest_state_version(spark: SparkSession, state_path: str,
     try:
         files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
                  .option("recursiveFileLookup", True).load(state_path).select("path"))
-    except Exception:  # noqa: BLE001 - no folder yet: no state yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # no folder yet: no state yet
     v = F.regexp_extract("path", r"/v=(\d+)/[^/]+$", 1).cast("long")
     if before is not None:
         files = files.where(v < F.lit(before))
@@ -236,8 +246,16 @@ def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
-def progress_stream(tasks: DataFrame) -> DataFrame:
-    """Run counters as a streaming aggregate (update mode)."""
+def latest_task_states(changes: DataFrame, order_cols: list[str]) -> DataFrame:
+    """T6, the stream: the latest (run_id, state) of every task (update mode,
+    for ``upsert_log``).  A task that goes through several states counts once."""
+    at = F.struct(*[F.col(c) for c in order_cols])
+    return (changes.groupBy("task_id").agg(F.max_by(F.struct("run_id", "state"), at).alias("_r"))
+            .select("task_id", "_r.run_id", "_r.state"))
+
+
+def progress(tasks: DataFrame) -> DataFrame:
+    """Run counters of the tasks' latest states."""
     s = F.col("state")
     return tasks.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("total"),
@@ -257,6 +275,23 @@ def windowed_counts(events: DataFrame, ts: str, group: str, width: str,
             .select(wall_clock(F.col("w.start")).alias("window_start"), group, "n"))
 
 
+def depth_per_tick(deltas: DataFrame, tick: str, values: list[str]) -> DataFrame:
+    """Gauges at the end of each tick from their changes in it: running sums
+    over the small table of ticks (``ordered.running_sum``, chunked)."""
+    t = deltas.withColumn("_all", F.lit(0))
+    for v in values:
+        t = ordered.running_sum(t, ["_all"], [tick], F.col(v), f"_{v}").drop(v).withColumnRenamed(f"_{v}", v)
+    return t.drop("_all")
+
+
+def windowed_sums(events: DataFrame, ts: str, values: dict[str, Column], width: str, delay: str) -> DataFrame:
+    """Sums per tumbling window; rows later than the watermark are dropped."""
+    t = events.withColumn("_wts", event_time(ts)).withWatermark("_wts", delay)
+    return (t.groupBy(F.window("_wts", width).alias("w"))
+            .agg(*[F.sum(v).cast("long").alias(k) for k, v in values.items()])
+            .select(wall_clock(F.col("w.start")).alias("window_start"), *values))
+
+
 # ------------------------------------------------- T5, T8, T9 per-key state
 
 STREAK_OUT = T.StructType([
@@ -278,13 +313,16 @@ BUCKET_STATE = T.StructType([
     T.StructField("last_id", T.ArrayType(T.LongType())),
     T.StructField("value", T.ArrayType(T.LongType())),
 ])
-# Number of hashed state groups.  Keep it fixed for the life of a checkpoint
-# (state is stored per bucket); about active keys / 1000 for large key spaces.
-STATE_BUCKETS = 64
+# State groups for each core of the cluster at the first start, when the caller
+# gives no number.  It is part of the checkpoint: give it when a stream goes on
+# elsewhere; about active keys / 1000 for large key spaces.
+STATE_BUCKETS_PER_CORE = 16
 _BIG = np.iinfo("int64").max
 
 
-def _bucketed(events: DataFrame, key: str, buckets: int) -> DataFrame:
+def _bucketed(events: DataFrame, key: str, buckets: int | None) -> DataFrame:
+    if buckets is None:
+        buckets = STATE_BUCKETS_PER_CORE * max(1, events.sparkSession.sparkContext.defaultParallelism)
     return events.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)))
 
 
@@ -336,7 +374,7 @@ def _store_bucket(state, table: pd.DataFrame, k, us, eid, seg, new_value) -> Non
 
 
 def streak_stream(events: DataFrame, failed_kind: str, threshold: int,
-                  buckets: int = STATE_BUCKETS) -> DataFrame:
+                  buckets: int | None = None) -> DataFrame:
     """Consecutive failures per key; rows at streak >= threshold.
 
     Keys are grouped into ``buckets`` hashed state groups, so one Python call
@@ -367,7 +405,7 @@ def streak_stream(events: DataFrame, failed_kind: str, threshold: int,
 
 
 def admission_stream(events: DataFrame, submit_kind: str, release_kind: str,
-                     limit: int, buckets: int = STATE_BUCKETS) -> DataFrame:
+                     limit: int, buckets: int | None = None) -> DataFrame:
     """W5 on a stream; state = the counter of each key (bucketed as in
     ``streak_stream``).  Uses the same closed form as the batch fold:
     ``before_t = S_{t-1} + min(c0, min over earlier submits of (limit - S_j))``."""
@@ -407,7 +445,7 @@ GAP_OUT = T.StructType([
 
 
 def missed_heartbeats(beats: DataFrame, limit_us: int, delay: str,
-                      buckets: int = STATE_BUCKETS) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """T5: every gap between consecutive heartbeats of a key longer than the
     limit (closed gaps: inside a batch and across batches), and an open gap
     once the watermark passes ``last + limit`` with no new beat.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
@@ -12,7 +13,9 @@ from sliceflow.functions import exprs as X
 from sliceflow.operators import changes as M
 from sliceflow.operators import history as H
 from sliceflow.sources import artifacts as A
+from sliceflow.session import checkpoint_root
 from sliceflow.sources import readers as R
+from sliceflow.sources import topics as TP
 
 
 def test_percent_complete_half_up_and_zero_total(spark):
@@ -143,3 +146,44 @@ def test_write_artifacts_spreads_large_slices(spark, tmp_out):
     assert max(sum(1 for r in man if r.partition_index == i) for i in (0, 1)) > 1
     back = A.read_artifacts(spark, path, "id long, partition_index int")
     assert sorted(r.id for r in back.collect()) == list(range(400))
+
+
+def test_updates_of_one_id_are_folded(spark):
+    base = spark.createDataFrame([(1, "a", "free"), (2, "b", "free")], "id long, name string, plan string")
+    up = spark.createDataFrame([(1, "x", None, 1), (1, None, "pro", 2), (1, "y", None, 3)], "id long, name string, plan string, seq int")
+    got = M.partial_update(base, up, "id", ["name", "plan"], ["seq"])
+    assert sorted(map(tuple, got.collect())) == [(1, "y", "pro"), (2, "b", "free")]
+    with pytest.raises(Exception, match="several updates"):
+        M.partial_update(base, up.drop("seq"), "id", ["name", "plan"]).collect()
+
+
+def test_retried_task_waits_without_a_lease(spark):
+    log = spark.createDataFrame([("a", 1, "LEASED", None, 10), ("a", 2, "FAILED", "boom", 20), ("b", 1, "FAILED", "old", 5), ("b", 2, "LEASED", None, 30)],
+                                "id string, seq int, state string, err string, lease int")
+    got = M.retried_tasks(log, "id", ["seq"], "state", F.col("state") == "FAILED", "err", F.col("lease"))
+    assert sorted(map(tuple, got.collect())) == [("a", 1, "boom", "PENDING", None), ("b", 1, "old", "LEASED", 30)]
+
+
+def test_headers_travel_with_records(spark, tmp_out):
+    df = spark.createDataFrame([(1, "v")], "id long, v string")
+    TP.write_topic(TP.to_records(df, "id", ["v"], "t", {"trace": F.lit("abc")}), f"{tmp_out}/topic")
+    r = TP.read_topic(spark, f"{tmp_out}/topic").select(TP.header("trace").alias("a"), TP.header("none").alias("b")).first()
+    assert (r.a, r.b) == ("abc", None)
+
+
+def test_no_private_scratch_on_a_cluster(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

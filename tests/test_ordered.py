@@ -120,10 +120,36 @@ def test_running_jobs_release_on_cancel(spark):
 
 
 def test_many_chunks(ev):
-    """More than 128 chunks (Bucketizer path) gives the same running sums."""
+    """Very many chunks give the same running sums."""
     pdf, df = ev
     got = {r.event_id: r.run for r in
            W.running_sum(df, ["k"], ["ts", "event_id"], F.lit(1), "run",
                          rows_per_chunk=2, min_chunks=8).collect()}
     want = pdf.groupby("k").cumcount() + 1
     assert got == dict(zip(pdf.event_id, want))
+
+
+def test_ties_are_split_and_zones_play_no_part(spark):
+    """All rows of one time, on a day when clocks change; some flags are null."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        kinds = ["failed", None, "failed", "failed", "other"]
+        rows = [(0 if i % 3 else 1, i, "2024-03-10 02:30:00" if i < 2000 else f"2024-03-10 0{1 + i % 3}:{i % 60:02d}:00", kinds[i % 5]) for i in range(4000)]
+        df = spark.createDataFrame(rows, "k long, event_id long, t string, kind string").withColumn("ts", F.col("t").cast("timestamp_ntz"))
+        chunked = W.add_chunks(df, ["ts", "event_id"], rows_per_chunk=100)
+        assert chunked.groupBy("_c").count().agg(F.max("count")).first()[0] <= 300
+        order = sorted(rows, key=lambda r: (r[0], r[2], r[1]))
+        total, streak, prev, want = {}, {}, {}, {}
+        for k, i, _, kind in order:
+            total[k] = total.get(k, 0) + i
+            streak[k] = streak.get(k, 0) + 1 if kind == "failed" else 0
+            want[i] = (total[k], streak[k], prev.get(k))
+            prev[k] = i
+        keys = (["k"], ["ts", "event_id"])
+        a = {r.event_id: r.x for r in W.running_sum(df, *keys, F.col("event_id"), "x", rows_per_chunk=100).collect()}
+        b = {r.event_id: r.x for r in W.true_streak(df, *keys, F.col("kind") == "failed", "x", rows_per_chunk=100).collect()}
+        c = {r.event_id: r.x for r in W.previous_value(df, *keys, "event_id", "x", rows_per_chunk=100).collect()}
+        assert {i: (a[i], b[i], c[i]) for i in a} == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -15,6 +15,7 @@ from sliceflow.operators import rollup, slices
 from sliceflow.sources import artifacts as A
 from sliceflow.sources import readers as R
 
+# The nine rows of the sample data set.
 SAMPLE = [("IN", 1000.0, "2024-01"), ("IN", 2000.0, "2024-02"), ("US", 5000.0, "2024-01"),
           ("US", 3000.0, "2024-02"), ("EU", 4000.0, "2024-01"), ("EU", 2500.0, "2024-02"),
           ("IN", 1500.0, "2024-03"), ("US", 6000.0, "2024-03"), ("EU", 3500.0, "2024-03")]
@@ -25,15 +26,15 @@ def sample_df(spark):
     return spark.createDataFrame(rows, "idx long, region string, revenue double, date string")
 
 
-def reference_slices(n: int, total: int) -> list[int]:
-    """The reference runner's rule, written out directly."""
-    rpp = max(1, n // total)
-    out = []
-    for i in range(total):
-        start = i * rpp
-        end = start + rpp if i < total - 1 else n
-        out.append(len(range(n)[start:end]))
-    return out
+def sizes_by_dealing(n: int, total: int) -> list[int]:
+    """Rows dealt one after the other: a slice takes rows until it has its
+    share, the last takes whatever is left."""
+    share, sizes, at = max(1, n // total), [0] * total, 0
+    for _ in range(n):
+        if sizes[at] == share and at < total - 1:
+            at += 1
+        sizes[at] += 1
+    return sizes
 
 
 def test_golden_by_slice(spark):
@@ -61,7 +62,7 @@ def test_golden_merged_is_not_mean_of_means(spark):
     (0, 3, [0, 0, 0]), (1, 3, [1, 0, 0]), (2, 3, [1, 1, 0]), (3, 3, [1, 1, 1]),
     (7, 3, [2, 2, 3]), (100, 8, [12] * 7 + [16])])
 def test_slice_size_edges(spark, n, total, expect):
-    assert reference_slices(n, total) == expect
+    assert sizes_by_dealing(n, total) == expect
     df = spark.range(n).withColumnRenamed("id", "k")
     got = [0] * total
     for r in slices.slice_rows(df, "k", total).groupBy("partition_index").count().collect():
@@ -128,16 +129,16 @@ def test_slice_apply_two_phase_equals_one_phase(spark):
         df, _stats, "n long, first long, tag string", "k", 3, merge=_merge,
         max_rows_per_group=50, rows_per_bucket=40).collect())
     assert one == two
-    with pytest.raises(ValueError):
-        slices.slice_apply(df, _stats, "n long, first long, tag string", "k", 3,
-                           max_rows_per_group=50)
+    seen = slices.slice_apply(df, lambda p, q: pd.DataFrame({"n": [len(p)]}), "n long", "k", 3,
+                              merge=lambda p, q: pd.DataFrame({"n": [p["n"].max()]}), max_rows_per_group=50)
+    assert max(r.n for r in seen.collect()) <= 50
 
 
 def test_job_contract(spark):
     df = spark.range(3).withColumnRenamed("id", "k")
     with pytest.raises(ValueError):
         slices.slice_apply(df, None, "n long", "k", 3)
-    with pytest.raises(Exception, match="returned None"):
+    with pytest.raises(Exception, match="gave no DataFrame for slice"):
         slices.slice_apply(df, lambda p, q: None, "n long", "k", 3).collect()
 
 
@@ -181,14 +182,14 @@ def test_formats_round_trip(spark, tmp_out):
                       .collect()) == sorted((i, *r) for i, r in enumerate(SAMPLE)), fmt
 
 
-def sample_job(df, params):
-    """The sample job written the pandas way, as a user would."""
-    if "region" in df.columns and "revenue" in df.columns:
-        return (df.groupby("region").agg(total_revenue=("revenue", "sum"),
-                                         avg_revenue=("revenue", "mean"),
-                                         row_count=("revenue", "count")).reset_index())
-    return pd.DataFrame({"metric": ["row_count", "col_count"],
-                         "value": [len(df), len(df.columns)]})
+def spread(df, params):
+    """A user's job: smallest and largest revenue and number of months by region."""
+    found = {}
+    for region, revenue, month in zip(df["region"], df["revenue"], df["date"]):
+        lo, hi, months = found.get(region, (revenue, revenue, set()))
+        found[region] = min(lo, revenue), max(hi, revenue), months | {month}
+    return pd.DataFrame([(k, lo, hi, len(m)) for k, (lo, hi, m) in found.items()],
+                        columns=["region", "lowest", "highest", "months"])
 
 
 def test_run_slice_job_user_and_native_match_golden(spark, tmp_out):
@@ -203,28 +204,31 @@ def test_run_slice_job_user_and_native_match_golden(spark, tmp_out):
             (1, "EU"): (6500.0, 3250.0, 2), (1, "US"): (3000.0, 3000.0, 1),
             (2, "EU"): (3500.0, 3500.0, 1), (2, "IN"): (1500.0, 1500.0, 1),
             (2, "US"): (6000.0, 6000.0, 1)}
-    user = run_slice_job(spark, path, "csv", fn=sample_job,
-                         schema="region string, total_revenue double, avg_revenue double, "
-                                "row_count long", output_path=f"{tmp_out}/user")
+    user = run_slice_job(spark, path, "csv", fn=spread, schema="region string, lowest double, highest double, months long",
+                         output_path=f"{tmp_out}/user")
+    assert {(r.partition_index, r.region): (r.lowest, r.highest, r.months) for r in user.results.collect()} == {
+        (0, "IN"): (1000.0, 2000.0, 2), (0, "US"): (5000.0, 5000.0, 1), (1, "US"): (3000.0, 3000.0, 1), (1, "EU"): (2500.0, 4000.0, 2),
+        (2, "IN"): (1500.0, 1500.0, 1), (2, "US"): (6000.0, 6000.0, 1), (2, "EU"): (3500.0, 3500.0, 1)}
     native = run_slice_job(spark, path, "csv", output_path=f"{tmp_out}/native")
-    for res in (user, native):
-        got = {(r.partition_index, r.region): (r.total_revenue, r.avg_revenue, r.row_count)
-               for r in res.results.collect()}
-        assert got == want
-        assert sorted(r.partition_index for r in res.manifest.collect()) == [0, 1, 2]
+    got = {(r.partition_index, r.region): (r.total_revenue, r.avg_revenue, r.row_count) for r in native.results.collect()}
+    assert got == want
+    # more slices than rows: every slice has an artifact
+    wide = run_slice_job(spark, path, "csv", total=12, output_path=f"{tmp_out}/wide")
+    for res, n in ((user, 3), (native, 3), (wide, 12)):
+        assert sorted(r.partition_index for r in res.manifest.collect()) == list(range(n))
+        assert all(r.size_bytes > 0 for r in res.manifest.collect())
 
 
 def test_many_buckets_use_binary_search(spark):
-    """More than 128 cut points: the JVM Bucketizer path, same answer."""
+    """Very many parts and boundaries, and keys that a double can't hold."""
     rnd = random.Random(11)
-    keys = rnd.sample(range(-10**9, 10**9), 3000)
+    keys = rnd.sample(range(2**60, 2**60 + 10**5), 3000)
     df = spark.createDataFrame([(k,) for k in keys], "k long")
-    plan = slices.plan_slices(df, "k", 7, rows_per_bucket=10)
-    assert len(plan.bucket_splits) > slices.MAX_LITERAL_BOUNDARIES
+    plan = slices.plan_slices(df, "k", 7, rows_per_bucket=100)
     got = {r.k: r.partition_index for r in slices.assign_slices(df, plan).collect()}
     rpp = 3000 // 7
     assert got == {k: min(i // rpp, 6) for i, k in enumerate(sorted(keys))}
-    many = slices.plan_slices(df, "k", 300, rows_per_bucket=10)  # > 128 boundaries too
+    many = slices.plan_slices(df, "k", 300, rows_per_bucket=100)
     got = {r.k: r.partition_index for r in slices.assign_slices(df, many).collect()}
     assert got == {k: min(i // 10, 299) for i, k in enumerate(sorted(keys))}
 
@@ -240,4 +244,71 @@ def test_slices_property(spark, keys, total, rows_per_bucket):
     got = {r.k: r.partition_index for r in slices.assign_slices(df, plan).collect()}
     rpp = max(1, len(keys) // total)
     assert got == {k: min(i // rpp, total - 1) for i, k in enumerate(sorted(keys))}
-    assert plan.slice_sizes() == reference_slices(len(keys), total)
+    assert plan.slice_sizes() == sizes_by_dealing(len(keys), total)
+
+
+@pytest.mark.parametrize("kind,values", [
+    ("string", [f"id-{i * 7919 % 1000:03d}-é" for i in range(100)]),
+    ("timestamp_ntz", [f"2024-03-10 {1 + i // 60:02d}:{i % 60:02d}:00.000001" for i in range(100)]),
+    ("date", [f"20{i:02d}-02-28" for i in range(100)]),
+    ("decimal(38,2)", [f"{10**30 + i}.25" for i in range(100)]),
+    ("double", [str(i / 7) for i in range(100)])])
+def test_keys_of_any_type(spark, kind, values):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # clocks change on 2024-03-10
+    try:
+        df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "t string, i int").withColumn("k", F.col("t").cast(kind))
+        got = [r.p for r in slices.slice_rows(df.repartition(4), "k", 7, "p").orderBy("k").select("p").collect()]
+        assert got == [min(i // 14, 6) for i in range(100)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_repeated_and_missing_keys_are_refused(spark):
+    for n in (40, 4000):
+        df = spark.range(n).select((F.col("id") % (n - 1)).alias("k"))
+        with pytest.raises(ValueError, match="repeats"):
+            slices.plan_slices(df, "k", 3, rows_per_bucket=500)
+    with pytest.raises(ValueError, match="nulls"):
+        slices.plan_slices(spark.createDataFrame([(1,), (None,)], "k long"), "k", 3)
+
+
+def test_file_order_survives_other_splits(spark, tmp_out):
+    """The scan is cut differently between making and running the plan."""
+    path = f"{tmp_out}/big"
+    A.write_dataset(spark.range(20_000).withColumnRenamed("id", "k"), path, "csv", order_by="k", files=3)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    try:
+        spark.conf.set(names[0], "20k")
+        spark.conf.set(names[1], "1")
+        t = slices.slice_rows_in_file_order(R.read_csv(spark, path, multi_line=False), 7)
+        spark.conf.set(names[0], "7k")
+        spark.conf.set(names[2], "50")
+        rows = sorted((r.k, r.partition_index) for r in t.collect())
+    finally:
+        for n in names:
+            spark.conf.unset(n)
+    assert rows == [(k, min(k // 2857, 6)) for k in range(20_000)]
+
+
+CSV = 'a,b,c,d,e,f\n"x ""y"", z",1d, pad ,1,True,1e3\n"two\nlines",2f,q,2,false,.5\n" ",3,NA,3,TRUE, 7\n'
+
+
+def test_csv_reads_as_pandas_does(spark, tmp_out):
+    path = f"{tmp_out}/q.csv"
+    with open(path, "w") as f:
+        f.write(CSV)
+    got, want = R.read_csv(spark, path), pd.read_csv(path)
+    kinds = {"int64": "bigint", "float64": "double", "object": "string", "bool": "boolean"}
+    assert dict(got.dtypes) == {c: kinds[str(t)] for c, t in want.dtypes.items()}
+    rows = [tuple(None if pd.isna(v) else v for v in r) for r in want.itertuples(index=False)]
+    assert [tuple(r) for r in got.collect()] == rows
+
+
+def test_artifacts_keep_text(spark, tmp_out):
+    rows = [(0, " pad "), (0, ""), (0, None), (1, 'q "x", y'), (1, "two\nlines"), (1, "\ttab"), (3, "NA")]
+    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(rows)], "i int, partition_index int, t string")
+    path = A.write_artifacts(df, f"{tmp_out}/text", total=4)
+    back = A.read_artifacts(spark, path, "i int, t string, partition_index int")
+    assert sorted((r.i, r.partition_index, r.t) for r in back.collect()) == [(i, p, t) for i, (p, t) in enumerate(rows)]
+    assert sorted(r.partition_index for r in A.artifact_manifest(spark, path).collect()) == [0, 1, 2, 3]

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
+from sliceflow.functions.exprs import ntz_micros
 from sliceflow.operators import ordered as W
 from sliceflow.plans import views
 from sliceflow.session import scratch_path
@@ -66,7 +67,7 @@ def test_missed_heartbeats_equals_batch_gaps(spark, jev, files):
     assert {r.workspace_id for r in res.where(F.col("open")).collect()} == want_open
     prev = W.previous_value(beats, ["workspace_id"], ORDER, "ts", "prev")
     want = (prev.where(F.col("prev").isNotNull())
-            .where(F.expr("timestampdiff(MICROSECOND, prev, ts)") > limit)
+            .where(ntz_micros(F.col("ts")) - ntz_micros(F.col("prev")) > limit)
             .select("workspace_id", F.col("prev").alias("from_ts"), F.col("ts").alias("to_ts")))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert got.count() > 0
@@ -87,3 +88,33 @@ def test_state_fold_snapshot_equals_incremental(spark, jev):
     b = S.latest_rows(spark, log, ["workspace_id"]).select("workspace_id", *vals)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert a.count() == jev.select("workspace_id").distinct().count()
+
+
+def test_event_times_do_not_follow_the_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        t = spark.createDataFrame([(f"2024-03-10 0{1 + i // 60}:{i % 60:02d}:07.250001",) for i in range(180)], "t string")
+        us = [r.u for r in t.select(ntz_micros(F.col("t").cast("timestamp_ntz")).alias("u")).collect()]
+        assert [b - a for a, b in zip(us, us[1:])] == [60_000_000] * 179
+        back = t.withColumn("n", F.col("t").cast("timestamp_ntz"))
+        assert all(r.a == r.b for r in back.select(S.wall_clock(S.event_time("n")).alias("a"), F.col("n").alias("b")).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_broken_records_are_errors(spark):
+    good = '{"event_id": 1, "ts": "2024-01-01T00:00:00.000001", "user_id": 2, "event_type": "view", "value": 1.5, "props": "p"}'
+    bad = [good[:-5], good + " x", good + good, good.replace('"2024-01-01T00:00:00.000001"', '"garbage"'), good.replace("2,", '"x",', 1), good.replace('"user_id": 2', '"user_id": null'),
+           good.replace("view", "sing"), "", None, "[]", good.replace('"event_id": 1', '"event_id": null')]
+    df = spark.createDataFrame([("k", v, "t") for v in [good, *bad]], "key string, value string, topic string")
+    p = S.parse_events(df)
+    assert [r.event_id for r in S.good_events(p).collect()] == [1]
+    assert S.dead_letters(p).count() == len(bad)
+
+
+def test_a_task_counts_once(spark):
+    rows = [(1, 7, "PENDING", 1), (1, 7, "LEASED", 2), (1, 7, "SUCCEEDED", 3), (2, 7, "PENDING", 1)]
+    log = spark.createDataFrame(rows, "task_id long, run_id long, state string, seq int")
+    got = S.progress(S.latest_task_states(log, ["seq"])).first()
+    assert tuple(got) == (7, 2, 1, 0, 1, 0)
