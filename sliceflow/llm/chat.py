@@ -23,6 +23,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from sliceflow.llm.common import worker
 #: the template: TURN role HEAD text END, for each turn
 TURN, HEAD, END = "<|turn|>", "<|says|>", "<|end|>\n"
 PLACEHOLDERS = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>"}
@@ -124,7 +125,7 @@ def _format(parts: bool):
                     segment, start, stop, found = format_message(role, message if isinstance(message, list) else [message])
                     rows.append((conv, turn, segment, start, stop, [dict(zip(("kind", "ref", "position", "tokens"), a)) for a in found]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _MESSAGE.types)], schema=_MESSAGE)
-    return run
+    return worker(run)
 
 
 def format_messages(messages: DataFrame, content_col: str = "text", parts: bool = False) -> DataFrame:
@@ -145,6 +146,7 @@ _ROW = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha2
                   ("formatted_chars", pa.int64())])
 
 
+@worker
 def _digest(batches):
     """Rows in order of conversation and turn -> one row per conversation."""
     held, key, out = None, None, []

@@ -3,6 +3,9 @@ hashing of words, and connected components."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import zlib
 from collections.abc import Iterator
 
@@ -19,10 +22,37 @@ SLICE_CHARS = 1 << 20
 
 def spill(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back: a
-    lineage cut that survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
+    lineage cut that survives lost executors. Shuffles that only ``df`` needed
+    are garbage then; a collection lets Spark delete their files."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.spilled = path
+    del df
+    gc.collect()
+    spark._jvm.System.gc()
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a spilled table that no plan will read again."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.spilled)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def worker(run):
+    """``run`` over the batches of a task; when it ends, the Python worker, which
+    Spark keeps for later tasks, gives its free memory back."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library
+                ctypes.CDLL(None).malloc_trim(0)
+    return wrapped
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -173,6 +203,7 @@ def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             root = up
 
 
+@worker
 def _contract(batches):
     """Edges of a partition -> one edge (node, smallest node) per node."""
     u = v = np.empty(0, np.int64)
@@ -190,11 +221,12 @@ def _contract(batches):
         yield pa.RecordBatch.from_arrays([pa.array(u[keep]), pa.array(v[keep])], names=["hi", "lo"])
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, contract: bool = True) -> DataFrame:
     """(node, component: smallest node reachable) for every node of ``edges``
     (two long columns); nodes without an edge are not listed.
 
-    Each partition first replaces its edges by one per node. Then alternating
+    Each partition first replaces its edges by one per node (``contract``; not worth
+    it for edges of spanning forests). Then alternating
     star contraction: every node points its larger neighbours to its smallest
     one, then its smaller neighbours and itself; the minima are partial
     aggregates, so a hub is reduced before the shuffle, and no neighbour list is
@@ -203,7 +235,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     a, b = edges.columns
     e = edges.where((F.col(a) != F.col(b)) & F.col(a).isNotNull() & F.col(b).isNotNull())
-    e = spill(e.select(F.col(a).cast("long"), F.col(b).cast("long")).mapInArrow(_contract, "hi long, lo long"), "edges")
+    e = e.select(F.greatest(a, b).cast("long").alias("hi"), F.least(a, b).cast("long").alias("lo"))
+    e = spill(e.mapInArrow(_contract, "hi long, lo long") if contract else e, "edges")
     seen = None
     while True:
         both = e.select(F.col("hi").alias("n"), F.col("lo").alias("m")).unionByName(
@@ -212,8 +245,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = (both.where("m > n").join(least, "n").where("m > s")
                  .select(F.col("m").alias("hi"), F.col("s").alias("lo")).distinct())
         small = large.groupBy("hi").agg(F.min("lo").alias("s"))
-        e = spill(large.join(small, "hi").where("lo > s").select(F.col("lo").alias("hi"), F.col("s").alias("lo"))
+        last, e = e, spill(large.join(small, "hi").where("lo > s").select(F.col("lo").alias("hi"), F.col("s").alias("lo"))
                   .unionByName(small.select("hi", F.col("s").alias("lo"))).distinct(), "stars")
+        discard(last)
         now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
         if now == seen or now[0] == 0:
             break

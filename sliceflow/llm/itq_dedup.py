@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sliceflow.llm.common import connected_components, spill
+from sliceflow.llm.common import connected_components, spill, worker
 from sliceflow.llm.vectors import dimension, lists, matrix, usable
 
 THRESHOLD = 0.98
@@ -98,7 +98,7 @@ def _codes(r, tables, s):
                 code = subcodes(unit(matrix(part.column(2))), r, tables, s)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), part.column(3), lists(code)],
                                                  names=["node", "label", "embedding", "w", "code"])
-    return run
+    return worker(run)
 
 
 def _compare(threshold: float, radius: int):
@@ -177,7 +177,7 @@ def _compare(threshold: float, radius: int):
             out.append(done(held))
         if out:
             yield batch()
-    return run
+    return worker(run)
 
 
 def near_vectors(rows: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:

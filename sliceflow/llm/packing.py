@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sliceflow.llm.common import crc32_ids, spill, text_slices
+from sliceflow.llm.common import crc32_ids, spill, text_slices, worker
 from sliceflow.llm.tokenizing import encoder
 
 CAPACITY = 2048
@@ -106,7 +106,7 @@ def _pieces(tokenizer: str, end_id: int, capacity: int, with_ids: bool):
                         seen[len(piece)] += 1
                         rows.append((*row, piece.astype(np.int32)) if with_ids else row)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-    return run
+    return worker(run)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False,

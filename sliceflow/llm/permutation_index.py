@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sliceflow.llm.common import spill
+from sliceflow.llm.common import spill, worker
 from sliceflow.llm.vectors import dimension, matrix, usable
 
 PIVOTS = 128
@@ -102,7 +102,7 @@ def _orders(pivots, length):
                 order = orders(matrix(part.column(1)), pivots, length).astype(np.int32)
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(0, order.size + 1, length, dtype=np.int32)), pa.array(order.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), flat], names=["id", "vector", "pivots"])
-    return run
+    return worker(run)
 
 
 def _cells(k: int, n_pivots: int, files: int, bound: int):
@@ -166,7 +166,7 @@ def _cells(k: int, n_pivots: int, files: int, bound: int):
             out += done(held)
         if out:
             yield batch()
-    return run
+    return worker(run)
 
 
 def _search(entries: DataFrame, queries: DataFrame, k: int, n_pivots: int, files: int, bound: int) -> DataFrame:

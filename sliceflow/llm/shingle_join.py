@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sliceflow.llm.common import (connected_components, forest, mix64, shingle_set, spill, text_slices, word_hashes)
+from sliceflow.llm.common import (connected_components, discard, forest, mix64, shingle_set, spill, text_slices, word_hashes, worker)
 
 #: parts beyond D + 1, see above
 MARGIN = 2
@@ -48,6 +48,8 @@ BLOCK_SHINGLES = 1 << 22
 #: 64-bit words of the second sketch of a set of up to 1024 shingles; it doubles
 #: with the size, so that it has about as many bits as the set has shingles
 SKETCH_WORDS = 16
+#: words of the sketch that goes with the rows of large buckets
+SHORT_WORDS = 8
 _C1, _C2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA5A3564E3B1D2F35)
 
 
@@ -107,19 +109,27 @@ def _fold(sketch: np.ndarray) -> np.ndarray:
     return sketch[..., :half] ^ sketch[..., half:]
 
 
+def short_sketch(sketch: np.ndarray) -> np.ndarray:
+    """A sketch of SHORT_WORDS words: it tells less of large sets, and a set in many
+    large buckets is sent with it many times."""
+    while len(sketch) > SHORT_WORDS:
+        sketch = _fold(sketch)
+    return sketch
+
+
 def _allowed(distance, x, y, percent: int):
     """Whether sets of sizes x and y that differ in ``distance`` shingles can link."""
     return distance * (100 + percent) <= (100 - percent) * (x + y)
 
 
 def _first_pass(k: int, percent: int):
-    schema = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("sketch", pa.binary())])
+    schema = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("sketch", pa.binary()), ("short", pa.binary())])
 
-    def batch(kind, key, node, size, sketch=None):
+    def batch(kind, key, node, size, sketch=None, short=None):
         n = len(node)
         return pa.RecordBatch.from_arrays([
             pa.array(np.full(n, kind, np.int8)), key if isinstance(key, pa.Array) else pa.array(key), pa.array(node, pa.int64()), pa.array(size, pa.int32()),
-            pa.nulls(n, pa.binary()) if sketch is None else pa.array(sketch, pa.binary())], schema=schema)
+            *(pa.nulls(n, pa.binary()) if x is None else pa.array(x, pa.binary()) for x in (sketch, short))], schema=schema)
 
     def run(batches):
         # rows of kind 0: documents (key: doc_id); 1: keys; 2: sets with sketch
@@ -137,16 +147,17 @@ def _first_pass(k: int, percent: int):
                     if len(seen) >= 1 << 20:  # only saves work: a set may be sent twice
                         seen.clear()
                     seen.add(nodes[-1])
-                    new.append((nodes[-1], len(s), bit_sketch(s).tobytes()))
+                    wide = bit_sketch(s)
+                    new.append((nodes[-1], len(s), wide.tobytes(), short_sketch(wide).tobytes()))
                     keys.append(part_keys(s, percent).view(np.int64))
                     owner.append(len(new) - 1)
                 yield batch(0, ids.slice(i, j - i).cast(pa.int64()), nodes, sizes)
                 if new:
-                    n, z, sk = zip(*new)
-                    yield batch(2, pa.nulls(len(n), pa.int64()), list(n), list(z), list(sk))
+                    n, z, *sk = zip(*new)
+                    yield batch(2, pa.nulls(len(n), pa.int64()), list(n), list(z), *sk)
                     at = np.repeat(np.arange(len(n)), [len(x) for x in keys])
                     yield batch(1, np.concatenate(keys), np.array(n, np.int64)[at], np.array(z, np.int32)[at])
-    return run
+    return worker(run)
 
 
 def _buckets(percent: int):
@@ -206,7 +217,7 @@ def _buckets(percent: int):
             yield out(1, big)
         if found:
             yield out(0, list(found))
-    return run
+    return worker(run)
 
 
 def _near(percent: int):
@@ -228,13 +239,19 @@ def _near(percent: int):
                     q = _fold(q)
                 ok[at] = _allowed(np.bitwise_count(p ^ q).sum(1, dtype=np.int64), x[at].astype(np.int64), y[at], percent)
             yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(c[ok])], names=["a", "b"])
-    return run
+    return worker(run)
 
 
 def _cell(node, size, sketches, left, percent, check=None):
     """Spanning edges among the sets of a cell. ``left``: True for the first
     block of the cell, None when it has one block only. A pair is compared
     unless it is connected already."""
+    if check is None and left is None and len(node) <= 512:  # all at once
+        s = np.stack(sketches)
+        far = np.bitwise_count(s[:, None] ^ s[None]).sum(2, dtype=np.int64)
+        ok = _allowed(far, size[:, None], size[None], percent) & (100 * np.minimum(size[:, None], size) >= percent * np.maximum(size[:, None], size))
+        p, q = np.nonzero(np.triu(ok, 1))
+        return [(node[a], node[b]) for a, b in zip(*forest(p, q)) if a != b] if len(p) else []
     label, edges = np.arange(len(node)), []
     width = np.array([len(s) for s in sketches])
     by_width = {}
@@ -300,7 +317,7 @@ def _cell_edges(percent: int, exact: bool):
         if edges:
             u, v = forest(*np.array(edges, np.int64).T)
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["a", "b"])
-    return run
+    return worker(run)
 
 
 def _cells(rows: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -327,30 +344,30 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80, id_col: st
     if not 50 <= percent < 100:
         raise ValueError("percent must be from 50 to 99")
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    first = spill(base.mapInArrow(_first_pass(k, percent), "kind byte, key long, node long, size int, sketch binary"), "sketches")
-    documents = first.where("kind = 0").select(F.col("key").alias("doc_id"), "node", F.col("size").cast("long").alias("n_shingles"))
-    sets = first.where("kind = 2").dropDuplicates(["node"]).select("node", "size", "sketch")
+    first = spill(base.mapInArrow(_first_pass(k, percent), "kind byte, key long, node long, size int, sketch binary, short binary"), "sketches")
+    documents = spill(first.where("kind = 0").select(F.col("key").alias("doc_id"), "node", F.col("size").cast("long").alias("n_shingles")), "documents")
+    sets = spill(first.where("kind = 2").dropDuplicates(["node"]).select("node", "size", "sketch", "short"), "sets")
 
     bucket = spill(first.where("kind = 1").select("key", "node", "size").repartition("key").sortWithinPartitions("key", "node")
                    .mapInArrow(_buckets(percent), "kind byte, a long, b long"), "buckets")
+    discard(first)
     pairs = bucket.where("kind = 0").select("a", "b").distinct()
     side = lambda c: sets.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("sketch").alias(f"sketch_{c}"))
     near = (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b")
             .mapInArrow(_near(percent), "a long, b long"))
     large = bucket.where("kind = 1").select(F.col("a").alias("grp"), F.col("b").alias("node"))
     count = large.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("c"))
-    dense = (_cells(large.join(sets.withColumnRenamed("sketch", "data"), "node"), count)
+    dense = (_cells(large.join(sets.select("node", "size", F.col("short").alias("data")), "node"), count)
              .mapInArrow(_cell_edges(percent, False), "a long, b long"))
-    candidates = spill(connected_components(near.unionByName(dense)), "candidates")
+    candidates = spill(connected_components(near.unionByName(dense), contract=False), "candidates")
 
     # the sets of candidate components, each made from one document that has it
     chosen = (documents.join(candidates, "node").groupBy("node", "component").agg(F.min("doc_id").alias("id"))
               .withColumnRenamed("component", "grp"))
-    rows = spill(base.join(chosen, "id").select("text", "node", "grp").mapInArrow(_sets(k), "node long, grp long, size int, data binary")
-                 .dropDuplicates(["node"]), "sets")
-    blocks = rows.groupBy("grp").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.col("size").cast("long")) / BLOCK_SHINGLES)).cast("long").alias("c"))
+    rows = base.join(chosen, "id").select("text", "node", "grp").mapInArrow(_sets(k), "node long, grp long, size int, data binary")
+    blocks = sets.join(candidates, "node").groupBy(F.col("component").alias("grp")).agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.col("size").cast("long")) / BLOCK_SHINGLES)).cast("long").alias("c"))
     links = _cells(rows, blocks).mapInArrow(_cell_edges(percent, True), "a long, b long")
-    joined = connected_components(links)
+    joined = connected_components(links, contract=False)
     # a document is a node too, so that rows that repeat an id hold together
     smallest = documents.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = smallest.join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "least")
@@ -359,7 +376,7 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80, id_col: st
     found = documents.join(component, "node", "left")
     repeated = (found.where("root is not null and doc_id is not null").groupBy("doc_id")
                 .agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi"))
-    again = spill(connected_components(found.join(repeated.select("doc_id"), "doc_id").select("root", "doc_id")), "repeats")
+    again = spill(connected_components(found.join(repeated.select("doc_id"), "doc_id").select("root", "doc_id"), contract=False), "repeats")
     return (found.join(again.withColumnRenamed("node", "root"), "root", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNull(), F.lit(None).cast("long"))
                     .otherwise(F.coalesce("component", "root", "doc_id")).alias("component_id")))
@@ -375,7 +392,7 @@ def _sets(k: int):
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
                                                      names=["node", "grp", "size", "data"])
-    return run
+    return worker(run)
 
 
 def op9_ngram_jaccard_join(spark, sf_dir):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sliceflow.llm.common import filesystem, shared_folder, spill, text_slices
+from sliceflow.llm.common import filesystem, shared_folder, spill, text_slices, worker
 from sliceflow.llm.tokenizing import encoder
 
 #: places of a sequence
@@ -113,7 +113,7 @@ def _write(folder: str, tokenizer: str, end_id: int, length: int):
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([f"{folder}/tokens-{name}"]), pa.array([f"{folder}/index-{name}"]),
                                               pa.array([n_docs], pa.int64()), pa.array([total], pa.int64()), pa.array([-(-total // length)], pa.int64())],
                                              names=["shard", "tokens_uri", "index_uri", "n_docs", "n_tokens", "n_sequences"])
-    return run
+    return worker(run)
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, length: int = SEQUENCE, shards: int | None = None,
@@ -138,6 +138,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long")))
 
 
+@worker
 def _read(batches):
     for b in batches:
         for r in b.to_pylist():

@@ -16,13 +16,15 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from itertools import chain, groupby
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sliceflow.llm.common import text_slices
+from sliceflow.llm.common import text_slices, worker
 
 #: what characters stand for in disguised words (fixed values)
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -51,6 +53,7 @@ _DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+(<€£¡]+[^\W\d_]|^[0-9@$!|+(<€£
 # ---------------------------------------------------------------- language model
 
 
+@worker
 def _trigrams(batches):
     total = np.zeros(_SIZE ** 3, dtype=np.int64)
     for b in batches:
@@ -203,7 +206,7 @@ class _Hits(dict):
         self.model, self.weights = model, weights
 
     def __missing__(self, token: str) -> tuple:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         found = ((w, word_weight(w, self.weights)) for w in restored_words(token, self.model) if len(w) > 2)
         self[token] = hits = tuple(x for x in found if x[1] > 0)
@@ -222,15 +225,17 @@ def with_score(docs: DataFrame, model: np.ndarray, fitted: dict, name: str = "sc
     share of toxic documents. A column of that name is replaced, others are
     kept; repeated rows are scored each."""
     shared = docs.sparkSession.sparkContext.broadcast((model, fitted["weights"]))
-    base, made = fitted["base"], []
+    base = fitted["base"]
 
-    @F.pandas_udf("double")
-    def score(text):
-        import pandas as pd
+    @worker
+    def scores(series):
+        hits = _Hits(*shared.value)
+        for text in series:
+            yield pd.Series([text_score(t, hits, base) for t in text], dtype="float64")
 
-        if not made:
-            made.append(_Hits(*shared.value))
-        return pd.Series([text_score(t, made[0], base) for t in text], dtype="float64")
+    @F.pandas_udf("double")
+    def score(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return scores(series)
     return docs.withColumn(name, score(F.col(text_col).cast("string")))
 
 

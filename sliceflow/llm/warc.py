@@ -21,7 +21,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from sliceflow.llm.common import filesystem, shared_folder, spill
+from sliceflow.llm.common import filesystem, shared_folder, spill, worker
 
 #: skippable frame that carries a dictionary
 DICTIONARY_FRAME = 0x184D2A5D
@@ -80,7 +80,7 @@ def _write(folder: str, dictionary: bytes):
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([n], pa.int64())], names=["uri", "n_records"])
-    return run
+    return worker(run)
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
@@ -211,7 +211,7 @@ def _read(payloads: bool):
                     raise WarcError(f"{r['uri']} has {n} records, not {r['n_records']}")
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
-    return run
+    return worker(run)
 
 
 def read_archives(archives: DataFrame, payloads: bool = False) -> DataFrame:
