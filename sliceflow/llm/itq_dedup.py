@@ -231,8 +231,8 @@ def op6_itq_dedup(spark, sf_dir):
 
 
 ORACLE = """WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL),
-good AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
- AND len(list_filter(e, x -> x <> 0)) > 0),
+good AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+ AND len(list_filter(e, lambda x: x <> 0)) > 0),
 near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
 reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, near.b FROM reach JOIN near ON reach.b = near.a),
 least AS (SELECT a, min(b) AS c FROM reach GROUP BY a),

@@ -5,8 +5,8 @@ documents depends only on how many pieces there are of each length. The plan is
 made from that table (at most ``capacity`` rows, whatever the data): pieces
 are placed from the longest on, and a segment tree over the remaining
 capacities finds the tightest open sequence in logarithmic time. Pieces of
-equal length meet many equally filled sequences; such a run is one step, so the
-plan is short too. It says for each length which ranks of it go to which
+equal length meet many equally filled sequences; such a run is one step for each piece
+that a sequence takes, so the plan is short too. It says for each length which ranks of it go to which
 sequences; executors number the pieces of a length and look their places up.
 """
 
@@ -64,26 +64,28 @@ def plan_best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
     for length in sorted(counts, reverse=True):
         rank, left = 0, counts[length]
         while left:
-            room = tree.find(length) if length else None
+            room = tree.find(length)
             if room is None:  # as many new sequences as pieces of this length fill
-                each = capacity // length if length else left
-                n = -(-left // each)
+                n = -(-left // (capacity // length))
                 rooms.setdefault(capacity, deque()).append((opened, n))
                 tree.add(capacity, n)
                 opened += n
-                if not length:
-                    steps.append((0, rank, left, opened - 1, 0))
-                    break
                 continue
+            # once a piece lies in the tightest sequence, that is still the tightest while it has room
             first, n = rooms[room].popleft()
-            take = min(n, left)
-            if take < n:
-                rooms[room].appendleft((first + take, n - take))
-            steps.append((length, rank, take, first, capacity - room))
-            tree.add(room, -take)
-            tree.add(room - length, take)
-            rooms.setdefault(room - length, deque()).append((first, take))
-            rank, left = rank + take, left - take
+            each = room // length
+            k = min(n, left // each)
+            if not k:
+                k, each = 1, left
+            if k < n:
+                rooms[room].appendleft((first + k, n - k))
+            for j in range(each):
+                steps.append((length, rank, k, first, capacity - room + j * length))
+                rank += k
+            tree.add(room, -k)
+            tree.add(room - each * length, k)
+            rooms.setdefault(room - each * length, deque()).append((first, k))
+            left -= k * each
     return steps
 
 
@@ -130,8 +132,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = each.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("base"))
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    if any(n is None or not 0 <= n <= capacity for n in counts):
-        raise ValueError(f"lengths must be from 0 to {capacity}")
+    if any(n is None or not 1 <= n <= capacity for n in counts):
+        raise ValueError(f"lengths must be from 1 to {capacity}")
     steps = plan_best_fit(counts, capacity)
     plan: dict[int, list[np.ndarray]] = {}
     for length, rank, _, first, offset in steps:

@@ -32,7 +32,7 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 SEPARATORS = set(".-_*~·,'`:;/\\ ")
 #: channel costs: a sign read as a letter, kept as it is, a separator dropped or
 #: kept, a run of letters read as one or as two, a double letter read as one
-SWAP, KEEP, DROP, STAY, ONE, TWO, SINGLE = 0.5, 6.0, 0.2, 4.0, 0.7, 0.7, 3.0
+SWAP, KEEP, DROP, STAY, ONE, TWO, SINGLE = 0.5, 14.0, 0.2, 4.0, 0.7, 0.7, 3.0
 #: labelled documents that the weights are learned from, at most
 TRAIN_DOCS = 20_000
 #: words and beginnings that have a weight, at most; those of the largest weights
@@ -123,11 +123,6 @@ def decode(token: str, model: np.ndarray) -> str:
     return "".join(reversed(parts)).strip()
 
 
-def restore_token(token: str, model: np.ndarray) -> str:
-    """A lower-case token as it reads after deobfuscation."""
-    return decode(token, model) if _DISGUISED.search(token) else token
-
-
 def tokens(text: str) -> set[str]:
     """Distinct tokens of a text, lower-cased; runs of single letters are one."""
     text = text.lower()
@@ -138,8 +133,12 @@ def tokens(text: str) -> set[str]:
 
 
 def restored_words(token: str, model: np.ndarray) -> list[str]:
-    spaced = " " in token
-    return _WORD.findall(decode(token, model) if spaced else restore_token(token, model))
+    """The words that a token restores to, and those it shows as it is."""
+    plain = _WORD.findall(token)
+    if " " not in token and not _DISGUISED.search(token):
+        return plain
+    # signs that end a sentence are no letters at the end of a token
+    return list(dict.fromkeys(_WORD.findall(decode(token.rstrip("!?.,;:)'\""), model)) + plain))
 
 
 # ---------------------------------------------------------------- weights

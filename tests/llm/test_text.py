@@ -115,10 +115,10 @@ def model(spark):
 
 
 def test_disguised_words_are_restored(model):
-    for said, meant in (("1d10t", "idiot"), ("st00pid", "stoopid"), ("l0ser", "loser"), ("tr4sh!", "trash"), ("m0r0n", "moron"), ("looooser", None), ("p@thet1c", "pathetic"),
+    for said, meant in (("1d10t", "idiot"), ("st00pid", ("stoopid", "stopid")), ("l0ser", "loser"), ("tr4sh!", "trash"), ("m0r0n", "moron"), ("looooser", None), ("p@thet1c", "pathetic"),
                         ("i.d.i.o.t", "idiot"), ("t r a s h", "trash"), ("plain", "plain"), ("2024", "2024")):
         got = toxicity.restored_words(said, model)
-        assert meant is None or meant in got or got == [] and meant == "2024", (said, got)
+        assert meant is None or set([meant] if isinstance(meant, str) else meant) & set(got) or got == [] and meant == "2024", (said, got)
     assert toxicity.restored_words("looooser", model)[0] in ("loser", "looser")
     assert "s c u m" in toxicity.tokens("You S c u m here") and toxicity.tokens("") == set()
 
@@ -143,7 +143,7 @@ def test_held_out_labels_teach_nothing(spark, model):
 
 def test_edge_rows_are_scored(spark):
     rows = [(1, None, "x"), (2, "", "x"), (None, "you idiot", "x"), (3, "idiot " * 60_000, "x"), (3, "idiot " * 60_000, "x"), (4, "fine words", "x")] + [
-        (100 + i, "idiot and more words here" if i % 4 == 0 else f"calm words are here {i}", "x") for i in range(200)]
+        (100 + i, ("idiot and more of it " if i % 4 == 0 else "calm words are here ") + "abcdefghij"[i % 10] * 2 + "klmnopqrstuvwxyzabcd"[i // 10] * 3, "x") for i in range(200)]
     labels = [(i, int(i % 4 == 0)) for i in range(100, 300)] + [(100, 1), (101, None), (None, 1), (10 ** 9, 1)]
     docs, labels = spark.createDataFrame(rows, "doc_id long, text string, score string"), spark.createDataFrame(labels, "doc_id long, toxic int")
     got = toxicity.score_documents(docs, labels).collect()
