@@ -160,21 +160,19 @@ def _first_pass(k: int, percent: int):
     return worker(run)
 
 
-def _buckets(percent: int):
-    """Rows (key, node, size) in order of key and node -> distinct pairs of the
+def _buckets():
+    """Rows (key, node) in order of key and node -> distinct pairs of the
     small buckets (kind 0), rows of the large ones (kind 1: key, node)."""
     def run(batches):
-        rows: list[tuple[int, int]] = []  # of the current key, until it is known to be large
+        rows: list[int] = []  # of the current key, until it is known to be large
         key, large, last = None, False, None
         found: set[tuple[int, int]] = set()
         big: list[tuple[int, int]] = []
 
         def close():
             if not large:
-                for i, (a, x) in enumerate(rows):
-                    for b, y in rows[i + 1:]:
-                        if 100 * min(x, y) >= percent * max(x, y):
-                            found.add((a, b))
+                for i, a in enumerate(rows):
+                    found.update((a, b) for b in rows[i + 1:])
 
         def out(kind, pairs):
             n = len(pairs)
@@ -184,7 +182,7 @@ def _buckets(percent: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            k, node, size = (b.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+            k, node = (b.column(c).to_numpy(zero_copy_only=False) for c in range(2))
             start = np.concatenate([[0], np.flatnonzero(np.diff(k)) + 1, [len(k)]])
             length = np.diff(start)
             # runs of one row are alone, except those that may go on beyond the batch
@@ -194,17 +192,17 @@ def _buckets(percent: int):
                 if k[i] != key:
                     close()
                     key, rows, large, last = int(k[i]), [], False, None
-                for x, z in zip(node[i:j].tolist(), size[i:j].tolist()):
+                for x in node[i:j].tolist():
                     if x == last:
                         continue
                     last = x
                     if large:
                         big.append((key, x))
                     else:
-                        rows.append((x, z))
+                        rows.append(x)
                         if len(rows) > SMALL:
                             large = True
-                            big.extend((key, x) for x, _ in rows)
+                            big.extend((key, x) for x in rows)
                             rows = []
                 if len(big) >= 1 << 16:
                     yield out(1, big)
@@ -229,6 +227,7 @@ def _near(percent: int):
             a, c, x, y = (b.column(n).to_numpy(zero_copy_only=False) for n in ("a", "b", "size_a", "size_b"))
             left, right = (b.column(n).to_pylist() for n in ("sketch_a", "sketch_b"))
             width = np.array([(len(p), len(q)) for p, q in zip(left, right)])
+            ratio = 100 * np.minimum(x, y).astype(np.int64) >= percent * np.maximum(x, y)
             ok = np.zeros(len(a), dtype=bool)
             for m, n in np.unique(width, axis=0):
                 at = np.flatnonzero((width == (m, n)).all(1))
@@ -238,6 +237,7 @@ def _near(percent: int):
                 while q.shape[1] > p.shape[1]:
                     q = _fold(q)
                 ok[at] = _allowed(np.bitwise_count(p ^ q).sum(1, dtype=np.int64), x[at].astype(np.int64), y[at], percent)
+            ok &= ratio
             yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(c[ok])], names=["a", "b"])
     return worker(run)
 
@@ -277,16 +277,21 @@ def _cell(node, size, sketches, left, percent, check=None):
     return edges
 
 
-def _cell_edges(percent: int, exact: bool):
-    """Sorted rows (group, i, j, block, node, size, sketch or shingles) -> links
-    (exact) or pairs that sketches allow, a spanning forest for each cell."""
+def _cell_edges(percent: int, k: int = 0):
+    """Sorted rows (group, i, j, block, node, size, sketch or text) -> pairs that
+    sketches allow, or links of the ``k``-word shingles of the texts: a spanning forest for each cell.
+    Texts are smaller to send than their shingles."""
     def done(parts):
         t = pa.Table.from_batches(parts)
         node, size = t["node"].to_numpy(), t["size"].to_numpy().astype(np.int64)
         two = t["i"][0].as_py() != t["j"][0].as_py()
         left = t["block"].to_numpy() == t["i"].to_numpy() if two else None
-        if exact:
-            sets = [np.frombuffer(x, dtype=np.uint64) for x in t["data"].to_pylist()]
+        if k:
+            sets = [shingle_set(text_words(x), k) for x in t["data"].to_pylist()]
+            # a row that repeats an id may have another text
+            own = [i for i, s in enumerate(sets) if len(s) and fingerprint(s) == node[i]]
+            sets, node, left = [sets[i] for i in own], node[own], left[own] if two else None
+            size = np.array([len(s) for s in sets], dtype=np.int64)
 
             def check(i, j):
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
@@ -348,8 +353,8 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80, id_col: st
     documents = spill(first.where("kind = 0").select(F.col("key").alias("doc_id"), "node", F.col("size").cast("long").alias("n_shingles")), "documents")
     sets = spill(first.where("kind = 2").dropDuplicates(["node"]).select("node", "size", "sketch", "short"), "sets")
 
-    bucket = spill(first.where("kind = 1").select("key", "node", "size").repartition("key").sortWithinPartitions("key", "node")
-                   .mapInArrow(_buckets(percent), "kind byte, a long, b long"), "buckets")
+    bucket = spill(first.where("kind = 1").select("key", "node").repartition("key").sortWithinPartitions("key", "node")
+                   .mapInArrow(_buckets(), "kind byte, a long, b long"), "buckets")
     discard(first)
     pairs = bucket.where("kind = 0").select("a", "b").distinct()
     side = lambda c: sets.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("sketch").alias(f"sketch_{c}"))
@@ -358,15 +363,15 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80, id_col: st
     large = bucket.where("kind = 1").select(F.col("a").alias("grp"), F.col("b").alias("node"))
     count = large.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("c"))
     dense = (_cells(large.join(sets.select("node", "size", F.col("short").alias("data")), "node"), count)
-             .mapInArrow(_cell_edges(percent, False), "a long, b long"))
+             .mapInArrow(_cell_edges(percent), "a long, b long"))
     candidates = spill(connected_components(near.unionByName(dense), contract=False), "candidates")
 
     # the sets of candidate components, each made from one document that has it
     chosen = (documents.join(candidates, "node").groupBy("node", "component").agg(F.min("doc_id").alias("id"))
-              .withColumnRenamed("component", "grp"))
-    rows = base.join(chosen, "id").select("text", "node", "grp").mapInArrow(_sets(k), "node long, grp long, size int, data binary")
+              .withColumnRenamed("component", "grp").withColumn("size", F.lit(0)))
+    rows = base.join(chosen, "id").select("node", "grp", "size", F.col("text").alias("data"))
     blocks = sets.join(candidates, "node").groupBy(F.col("component").alias("grp")).agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.col("size").cast("long")) / BLOCK_SHINGLES)).cast("long").alias("c"))
-    links = _cells(rows, blocks).mapInArrow(_cell_edges(percent, True), "a long, b long")
+    links = _cells(rows, blocks).mapInArrow(_cell_edges(percent, k), "a long, b long")
     joined = connected_components(links, contract=False)
     # a document is a node too, so that rows that repeat an id hold together
     smallest = documents.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
@@ -382,19 +387,6 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80, id_col: st
                     .otherwise(F.coalesce("component", "root", "doc_id")).alias("component_id")))
 
 
-def _sets(k: int):
-    def run(batches):
-        for b in batches:
-            texts, node, grp = (b.column(c).to_pylist() for c in ("text", "node", "grp"))
-            for i, j in text_slices(texts):
-                out = [(n, g, len(s), s.tobytes()) for t, n, g in zip(texts[i:j], node[i:j], grp[i:j])
-                       if len(s := shingle_set(text_words(t), k)) and fingerprint(s) == n]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                                                     names=["node", "grp", "size", "data"])
-    return worker(run)
-
-
 def op9_ngram_jaccard_join(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return similar_documents(docs, k=3, percent=90)
