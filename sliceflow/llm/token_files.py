@@ -3,7 +3,7 @@
 Every range of documents (in order of doc_id) is one shard with two files:
 
 * ``tokens-*.arrow``: record batches of ``input_ids: fixed_size_list<uintN>[L]``
-  and ``mask: fixed_size_list<uint8>[L]``. All sequences have ``L`` places; the
+  and ``mask: fixed_size_list<uint8>[L / 8]``, a bit for each place. All sequences have ``L`` places; the
   documents of the shard lie in them end to end, and only the last sequence of
   a shard is padded (mask 0). Ids are uint16 when the vocabulary fits.
 * ``index-*.arrow``: (doc_id, start in the shard, n_tokens) in the same order.
@@ -56,9 +56,13 @@ class TokenFile:
         """Ids of sequence ``i``: a view of the file's bytes."""
         return self._row(i, 0)
 
+    def mask_bits(self, i: int) -> np.ndarray:
+        """Packed mask of sequence ``i``, lowest bit first: a view of the file's bytes."""
+        return self._row(i, 1)
+
     def mask(self, i: int) -> np.ndarray:
         """1 for the places of sequence ``i`` that hold a token."""
-        return self._row(i, 1)
+        return np.unpackbits(self.mask_bits(i), bitorder="little")
 
 
 def _write(folder: str, tokenizer: str, end_id: int, length: int):
@@ -67,7 +71,7 @@ def _write(folder: str, tokenizer: str, end_id: int, length: int):
         code = encoder(tokenizer)
         kind = np.uint16 if max(code.vocabulary, end_id) < 1 << 16 else np.uint32
         arrow = pa.from_numpy_dtype(kind)
-        tokens = pa.schema([("input_ids", pa.list_(arrow, length)), ("mask", pa.list_(pa.uint8(), length))])
+        tokens = pa.schema([("input_ids", pa.list_(arrow, length)), ("mask", pa.list_(pa.uint8(), length // 8))])
         index = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
         part = TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}.arrow"
@@ -79,7 +83,7 @@ def _write(folder: str, tokenizer: str, end_id: int, length: int):
             mask = np.zeros(len(flat), dtype=np.uint8)
             mask[:real] = 1
             out.write_batch(pa.RecordBatch.from_arrays([
-                pa.FixedSizeListArray.from_arrays(pa.array(flat), length), pa.FixedSizeListArray.from_arrays(pa.array(mask), length)], schema=tokens))
+                pa.FixedSizeListArray.from_arrays(pa.array(flat), length), pa.FixedSizeListArray.from_arrays(pa.array(np.packbits(mask, bitorder="little")), length // 8)], schema=tokens))
 
         for b in batches:
             ids, texts = b.column(0), b.column(1).to_pylist()
@@ -127,6 +131,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     table has an empty manifest. Memory is bounded by a slice of texts and a
     record batch; a shard is sorted by Spark, which spills.
     """
+    if length % 8:
+        raise ValueError("length must be a multiple of 8")
     spark = docs.sparkSession
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -152,7 +158,7 @@ def _read(batches):
                         while n:  # a document goes through many batches if it is long
                             if not len(buffer):
                                 part = file.batches[at]
-                                buffer = part.column(0).flatten().to_numpy(zero_copy_only=True)[part.column(1).flatten().to_numpy(zero_copy_only=True) == 1]
+                                buffer = part.column(0).flatten().to_numpy(zero_copy_only=True)[np.unpackbits(part.column(1).flatten().to_numpy(zero_copy_only=True), bitorder="little") == 1]
                                 at += 1
                             take = min(n, len(buffer))
                             c = zlib.crc32(buffer[:take].astype("<u4").tobytes(), c)

@@ -16,7 +16,7 @@ import numpy as np
 
 #: pieces kept in a worker; the cache is emptied when it is full, which changes
 #: speed only
-CACHE = 300_000
+CACHE = 700_000
 #: white space other than space and line feed
 _ODD = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0                　"
 #: runs of three spaces and line feeds, which pre-tokenizers treat as a whole
