@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sliceflow.session import scratch_path
 
@@ -55,6 +55,13 @@ def worker(run):
     return wrapped
 
 
+def hash_sample(df: DataFrame, h: Column, limit: int) -> DataFrame:
+    """At most ``limit`` rows, by a hash of them. One row in so many is kept
+    first, so that what tasks send for the order is about the sample itself,
+    however many tasks there are."""
+    return df.where(F.pmod(h, F.lit(max(1, df.count() // limit))) == 0).orderBy(h, *df.columns).limit(limit)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """URI of a new folder that the driver and all executors can reach."""
     return scratch_path(spark, name)

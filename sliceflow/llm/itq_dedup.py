@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sliceflow.llm.common import connected_components, spill, worker
+from sliceflow.llm.common import connected_components, hash_sample, spill, worker
 from sliceflow.llm.vectors import dimension, lists, matrix, usable
 
 THRESHOLD = 0.98
@@ -198,7 +198,7 @@ def near_vectors(rows: DataFrame, threshold: float = THRESHOLD, id_col: str = "v
     base = base.withColumn("node", F.when(takes_part, node))
     copies = spill(base.where("node is not null").groupBy("node", "label", "embedding").agg(F.count("*").alias("w"), F.min("vec_id").alias("least"))
                    .select("node", "label", "embedding", "w", "least"), "vectors")
-    sample = copies.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").toArrow()
+    sample = hash_sample(copies.select("node", "embedding"), F.xxhash64("node"), SAMPLE).select("embedding").toArrow()
     if not sample.num_rows:
         return base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     most = copies.groupBy("label").count().agg(F.max("count")).first()[0]

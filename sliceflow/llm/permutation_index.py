@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sliceflow.llm.common import spill, worker
+from sliceflow.llm.common import hash_sample, spill, worker
 from sliceflow.llm.vectors import dimension, matrix, usable
 
 PIVOTS = 128
@@ -200,7 +200,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
     if d is None:
         return asked.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).where("false")
     base, asked = (t.where(F.size("vector") == d).dropDuplicates(["id", "vector"]) for t in (base, asked))
-    sample = base.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow()
+    sample = hash_sample(base, F.xxhash64("id"), SAMPLE).select("vector").toArrow()
     pivots, length, files, bound = fit(matrix(sample["vector"]), k)
     kind = base.schema["vector"].dataType.simpleString()
     indexed, probing = (spill(t.mapInArrow(_orders(pivots, length), f"id long, vector {kind}, pivots array<int>"), "orders") for t in (base, asked))

@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sliceflow.llm.common import text_slices, worker
+from sliceflow.llm.common import hash_sample, text_slices, worker
 
 #: what characters stand for in disguised words (fixed values)
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -157,10 +157,11 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, folds: tuple[int,
     their long words, teach once. Without any labelled row every score is 0.5.
     """
     spark = docs.sparkSession
-    chosen = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+    taught = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
               .where(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(3)).isin(*folds))
               .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
-              .orderBy(F.xxhash64("id"), "id").limit(limit))  # a bounded sample, so it may be broadcast
+              )
+    chosen = hash_sample(taught, F.xxhash64("id"), limit)  # bounded, so it may be broadcast
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("array<string>")

@@ -21,7 +21,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from sliceflow.llm.common import filesystem, shared_folder, spill, worker
+from sliceflow.llm.common import filesystem, hash_sample, shared_folder, spill, worker
 
 #: skippable frame that carries a dictionary
 DICTIONARY_FRAME = 0x184D2A5D
@@ -35,8 +35,7 @@ DATE = "2024-01-01T00:00:00Z"
 def train_dictionary(pages: DataFrame, body: str = "html") -> bytes:
     """A dictionary from a bounded sample of pages (those with the smallest hash
     of their page_id); empty when there is too little to learn from."""
-    rows = (pages.where(F.length(body) > 0).select(F.substring(body, 1, SAMPLE_BYTES).alias("x"), F.xxhash64("page_id").alias("h"))
-            .orderBy("h", "x").limit(SAMPLE_PAGES).collect())
+    rows = hash_sample(pages.where(F.length(body) > 0).select("page_id", F.substring(body, 1, SAMPLE_BYTES).alias("x")), F.xxhash64("page_id"), SAMPLE_PAGES).collect()
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [r["x"].encode("utf-8", "surrogatepass")[:SAMPLE_BYTES] for r in rows], level=3).as_bytes()
     except (zstandard.ZstdError, ValueError):
