@@ -1,10 +1,10 @@
 """Operator 8: toxicity of whole texts after noisy-channel deobfuscation.
 
 1. A character trigram model is counted over all documents.
-2. Tokens that look disguised (letters mixed with digits or signs, letters
-   repeated three times or more, letters with separators between them, runs of
-   single letters) become lattices: each position lists what it may stand for
-   and what that costs in the channel. Viterbi decoding under the character
+2. Tokens with more than one reading (letters mixed with digits, signs or
+   separators, repeated letters, runs of single letters and signs) become
+   lattices: each position lists what it may stand for and what that costs in
+   the channel. Viterbi decoding under the character
    model picks the text that is restored.
 3. Words of the restored text and their beginnings carry weights learned from
    labelled documents; a document's score is the probability that they add up to.
@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from itertools import chain, groupby
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -46,8 +46,18 @@ _TABLE = np.zeros(0x180, dtype=np.uint32)
 for _c, _i in _ID.items():
     _TABLE[ord(_c)] = _i
 _WORD = re.compile(r"[^\W\d_]+")
-_SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*]+[^\W_]){3,}(?!\S)")
-_DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+(<€£¡]+[^\W\d_]|^[0-9@$!|+(<€£¡]{1,3}[^\W\d_]{2}|[^\W\d_]{2}[0-9@$|+€£]{1,3}$|([^\W\d_])\1\1|[^\W\d_](?:[.\-_*~·][^\W\d_](?![^\W_])){2}")
+_SIGNS = "".join(c for c in LEET if not c.isdigit())
+#: letters, none of them twice in a row: nothing but itself
+_PLAIN = re.compile(r"(?:([^\W\d_])(?!\1))*\Z")
+#: digits and separators, perhaps with a currency or a plus: a number
+_NUMBER = re.compile(r"[$€£+]?[\d.\-_*~·,'`:;/\\]*[$€£+]?\Z")
+#: single letters, digits and signs from the start of a token on, also beyond spaces
+_SPACED = re.compile(r"(?<!\S)(?=\S)(?:[^\W_](?![^\W_])|[^\w\s]|[_ ])++")
+_UNIT = re.compile(rf"[^\W_]|[{re.escape(_SIGNS)}]")
+#: what stands around a token: no letter, digit or sign, or a sign that ends a sentence
+_BEFORE, _AFTER = re.compile(rf"(?:(?![{re.escape(_SIGNS)}])[\W_])*"), re.compile(rf"(?:(?![{re.escape(_SIGNS.replace('!', ''))}])[\W_])*")
+#: places of a token with more than one reading
+_CHOICE = re.compile(rf"([{re.escape(''.join(LEET) + ''.join(sorted(SEPARATORS)))}])\1*|(.)\2+", re.S)
 
 
 # ---------------------------------------------------------------- language model
@@ -81,41 +91,48 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.log(p3).astype(np.float32)
 
 
-def _options(token: str) -> list[list[tuple[str, float]]]:
-    out = []
-    for c, run in groupby(token):
-        n = len(list(run))
-        if c in SEPARATORS:
-            out.append([("", DROP), (" ", STAY)])
-        elif c in LEET:
-            kept = [(c * n, KEEP)]
-            out.append([(x * k, SWAP + (k < n) * ONE) for x in LEET[c] for k in range(1, min(n, 2) + 1)] + kept)
-        elif n >= 3:
-            out.append([(c, ONE), (c * 2, TWO)])
-        elif n == 2:
-            out.append([(c * 2, 0.0), (c, SINGLE)])
-        else:
-            out.append([(c, 0.0)])
-    return out
+def _options(c: str, n: int) -> list[tuple[str, float]]:
+    """What ``c``, written ``n`` times, may stand for."""
+    if c in SEPARATORS:
+        return [("", DROP), (" ", STAY)]
+    if c in LEET:
+        return [(x * k, SWAP + (k < n) * ONE) for x in LEET[c] for k in range(1, min(n, 2) + 1)] + [(c * n, KEEP)]
+    return [(c, ONE), (c * 2, TWO)] if n >= 3 else [(c * 2, 0.0), (c, SINGLE)]
 
 
 def decode(token: str, model: np.ndarray) -> str:
     """The cheapest reading of a disguised token: Viterbi over its lattice, with
-    the last two letters as state."""
+    the last two letters as state. Between two choices a single state is left
+    after two letters, and what follows costs every reading the same."""
+    price_of = memoryview(np.ascontiguousarray(model).reshape(-1))
     states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-    for options in [*_options(token), [(" ", 0.0)]]:
+
+    def step(options):
         after: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (cost, path) in states.items():
             for text, price in options:
                 x, y, total = a, b, cost + price
                 for c in text:
                     z = _ID.get(c, 0)
-                    total -= float(model[x, y, z])
+                    total -= price_of[(x * _SIZE + y) * _SIZE + z]
                     x, y = y, z
                 old = after.get((x, y))
                 if old is None or total < old[0]:
                     after[x, y] = total, (path, text)
-        states = after
+        return after
+
+    at = 0
+    for m in chain(_CHOICE.finditer(token), [None]):
+        plain = token[at:m.start()] if m else token[at:] + " "
+        i = 0
+        while i < len(plain) and len(states) > 1:
+            states, i = step([(plain[i], 0.0)]), i + 1
+        if i < len(plain):
+            ((_, b), (_, path)), rest = next(iter(states.items())), plain[i:]
+            states = {(_ID.get(rest[-2], 0) if len(rest) > 1 else b, _ID.get(rest[-1], 0)): (0.0, (path, rest))}
+        if m:
+            at = m.end()
+            states = step(_options(token[m.start()], at - m.start()))
     path, parts = min(states.values(), key=lambda s: s[0])[1], []
     while path:
         path, text = path
@@ -123,22 +140,48 @@ def decode(token: str, model: np.ndarray) -> str:
     return "".join(reversed(parts)).strip()
 
 
+def _core(token: str) -> str:
+    """A token without what stands around it."""
+    token = token[_BEFORE.match(token).end():]
+    return token[:len(token) - _AFTER.match(token[::-1]).end()]
+
+
 def tokens(text: str) -> set[str]:
-    """Distinct tokens of a text, lower-cased; runs of single letters are one."""
+    """Distinct tokens of a text, lower-cased; runs of three or more single
+    letters, digits and signs are one, without what stands around them."""
     text = text.lower()
     found = set(text.split())
-    if _SPACED.search(text):
-        found.update(m[0] for m in _SPACED.finditer(text))
+    for m in _SPACED.finditer(text):
+        run = m[0]
+        if m.end() < len(text) and not text[m.end()].isspace():
+            run = run[:max(run.rfind(" "), 0)]  # the last token goes on
+        if " " in run and " " in (run := _core(run)) and len(_UNIT.findall(run)) >= 3:
+            found.add(run)
     return found
 
 
 def restored_words(token: str, model: np.ndarray) -> list[str]:
-    """The words that a token restores to, and those it shows as it is."""
+    """The words that a token restores to, and those it shows as it is. Only
+    tokens with a single reading, and numbers, are not decoded."""
     plain = _WORD.findall(token)
-    if " " not in token and not _DISGUISED.search(token):
+    core = _core(token)
+    if _PLAIN.match(core) or " " not in core and _NUMBER.match(core):
         return plain
-    # signs that end a sentence are no letters at the end of a token
-    return list(dict.fromkeys(_WORD.findall(decode(token.rstrip("!?.,;:)'\""), model)) + plain))
+    # a bracket or mark before a token is a letter or is none
+    inner = core.lstrip("(<¡!|+")
+    read = [decode(x, model) for x in ((core, inner) if inner != core else (core,))]
+    return list(dict.fromkeys([*(w for r in read for w in _WORD.findall(r)), *plain]))
+
+
+class _Words(dict):
+    """Token -> its words of three letters or more."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def __missing__(self, token: str) -> list[str]:
+        self[token] = found = [w for w in restored_words(token, self.model) if len(w) > 2]
+        return found
 
 
 # ---------------------------------------------------------------- weights
@@ -166,7 +209,8 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, folds: tuple[int,
 
     @F.pandas_udf("array<string>")
     def words(text):
-        return text.map(lambda t: sorted({w for x in tokens(t) for w in restored_words(x, shared.value) if len(w) > 2}))
+        known = _Words(shared.value)
+        return text.map(lambda t: sorted({w for x in tokens(t) for w in known[x]}))
 
     rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
             .join(F.broadcast(chosen), "id").select("id", "label", words("text").alias("words")))

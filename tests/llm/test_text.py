@@ -123,6 +123,15 @@ def test_disguised_words_are_restored(model):
     assert "s c u m" in toxicity.tokens("You S c u m here") and toxicity.tokens("") == set()
 
 
+def test_no_disguise_passes_the_gate(model):
+    for said, meant in (("i d i o t.", "idiot"), ("t r a s h!", "trash"), ("s c u m.", "scum"), ('"i d i o t"', "idiot"), ("(i d i o t)", "idiot"), ("t r @ s h", "trash"), ("i.d.1.0.t", "idiot"),
+                        ("m-0-r-0-n", "moron"), ("$ c u m", "scum"), ("i,d,i,o,t", "idiot"), ("i/d/i/o/t", "idiot"), ("a s s", "ass"), ("losser", "loser"), ("(1d10t)", "idiot"), ("1d10t.***", "idiot")):
+        got = {w for t in toxicity.tokens(f"You {said} here") for w in toxicity.restored_words(t, model)}
+        assert meant in got, (said, got)
+    assert toxicity.tokens("s c u m bag") == {"s", "c", "u", "m", "bag", "s c u m"}
+    assert toxicity.restored_words("$2,024.50", model) == toxicity.restored_words("555-5699!!", model) == []
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.score_documents(docs, labels).toPandas()
