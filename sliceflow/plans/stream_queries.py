@@ -35,8 +35,9 @@ def _events_topic(spark, sf) -> str:
     from ..operators.ordered import add_chunks
 
     chunked = add_chunks(rec, "ts", min_chunks=FILES)
+    last = max(FILES - 1, chunked.agg(F.max("_c")).first()[0] or 0)  # large tables have more files
     dups = (chunked.where(F.col("event_type") == "purchase")
-            .withColumn("_c", F.least(F.col("_c") + 1, F.lit(FILES - 1))))
+            .withColumn("_c", F.least(F.col("_c") + 1, F.lit(last))))
     path = scratch_path(spark, "topic")
     return S.write_in_order(chunked.unionByName(dups).select("key", "value", "topic", F.lit(None).cast(TP.TOPIC_SCHEMA["headers"].dataType).alias("headers"), "_c"), path)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 from sliceflow.functions.exprs import ntz_micros
 from sliceflow.operators import ordered as W
-from sliceflow.plans import views
+from sliceflow.plans import stream_queries as Q, views
 from sliceflow.session import scratch_path
 from sliceflow.streaming import jobs as S
 
@@ -73,6 +73,14 @@ def test_missed_heartbeats_equals_batch_gaps(spark, jev, files):
     assert got.count() > 0
 
 
+def test_more_files_than_the_least_lose_no_events(spark, monkeypatch):
+    events = views.table(spark, SF0001, "events")
+    add = W.add_chunks
+    monkeypatch.setattr(W, "add_chunks", lambda df, order, **kw: add(df, order, rows_per_chunk=events.count() // 12, **kw))
+    got = [r.event_id for r in Q.q_dedup_events(spark, SF0001).select("event_id").collect()]
+    assert sorted(got) == sorted(r.event_id for r in events.where("event_id % 97 <> 0").select("event_id").collect())
+
+
 def test_state_fold_snapshot_equals_incremental(spark, jev):
     ev = jev.select("workspace_id", "event_id", "ts", F.col("kind").alias("state"))
     vals = ["state", "ts", "event_id"]
