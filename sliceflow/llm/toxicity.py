@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -24,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sliceflow.llm.common import hash_sample, text_slices, worker
+from sliceflow.llm.common import hash_sample, spill, text_slices, worker
 
 #: what characters stand for in disguised words (fixed values)
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -38,6 +39,8 @@ TRAIN_DOCS = 20_000
 #: words and beginnings that have a weight, at most; those of the largest weights
 FEATURES = 50_000
 THRESHOLD = 0.7
+#: near copies agree in so many of their min-hashes; bands of four find them
+HASHES, ALIKE = 64, 52
 
 _LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœšž"
 _SIZE = 64
@@ -191,13 +194,46 @@ def _prefixes(word: str) -> list[str]:
     return [word[:n] for n in (6, 5, 4) if len(word) > n]
 
 
+_MIX = np.random.default_rng(8).integers(1, 1 << 63, (2, HASHES, 1), dtype=np.uint64) | np.uint64(1)
+
+
+def _sketch(words: list[str]) -> tuple[list[int], list[int]]:
+    """Keys of the bands of the words' min-hashes, and a byte of each min-hash."""
+    if not len(words):
+        return [], []
+    x = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words], dtype=np.uint64)
+    least = ((_MIX[0] * x + _MIX[1]) >> np.uint64(32)).min(axis=1)
+    keys = [hash((i, *band)) for i, band in enumerate(least.reshape(-1, 4).tolist())]  # of integers: the same in every process
+    return keys, (least & np.uint64(127)).tolist()
+
+
+def teaching_rows(rows: DataFrame) -> DataFrame:
+    """(label, words) of (id, label, words) without near copies: a row goes if it
+    has the set of words of another row of its label, or if the first row of one of its
+    bands has that label and agrees in ``ALIKE`` of ``HASHES`` min-hashes (about 0.8 of
+    both sets' words). All other rows stay."""
+    @F.pandas_udf("keys array<long>, bytes array<byte>")
+    def sketch(words):
+        return pd.DataFrame([_sketch(w) for w in words], columns=["keys", "bytes"])
+
+    rows = spill(rows.groupBy(F.xxhash64("words").alias("fp"), "label").agg(F.min_by("words", "id").alias("words"), F.min("id").alias("id")), "teaching")
+    each = (rows.select("label", F.struct("id", "fp").alias("row"), sketch("words").alias("s"))
+            .select("label", "row", F.col("s.bytes").alias("bytes"), F.explode("s.keys").alias("key")))
+    # bounded by the sample: at most HASHES / 8 a row
+    first = (each.groupBy("key", "label").agg(F.min(F.struct("row", "bytes")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    same = F.size(F.filter(F.zip_with("bytes", "first.bytes", lambda a, b: a == b), lambda x: x))
+    copies = (each.join(F.broadcast(first), ["key", "label"]).where(F.col("first.row") < F.col("row")).where(same >= ALIKE)
+              .select("label", F.col("row.fp").alias("fp")).distinct())
+    return rows.join(F.broadcast(copies), ["fp", "label"], "left_anti").select("label", "words")
+
+
 def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, folds: tuple[int, ...] = (0, 2), limit: int = TRAIN_DOCS,
         id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> dict:
     """Weights of words and beginnings, from labelled rows whose
     ``crc32(id as text) mod 3`` is in ``folds``: the ``limit`` ids of the
     smallest hash. Rows without a label, id or text teach nothing; an id with several labels
-    counts as toxic if one says so. Near copies of one text, found by the smallest hash of
-    their long words, teach once. Without any labelled row every score is 0.5.
+    counts as toxic if one says so. Near copies of one text (``teaching_rows``) teach once.
+    Without any labelled row every score is 0.5.
     """
     spark = docs.sparkSession
     taught = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -214,13 +250,8 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, folds: tuple[int,
 
     rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
             .join(F.broadcast(chosen), "id").select("id", "label", words("text").alias("words")))
-    long = F.filter("words", lambda w: F.length(w) > 8)
-    key = F.coalesce(F.array_min(F.transform(long, lambda w: F.xxhash64(w))), F.xxhash64("words"))
-    once = rows.groupBy(key.alias("key"), "label").agg(F.min_by("words", "id").alias("words"))
+    once = teaching_rows(rows)
     toxic, clean = F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")
-    from sliceflow.llm.common import spill
-
-    once = spill(once, "teaching")
     n = once.agg(toxic, clean).first()
     if not n["toxic"] or not n["clean"]:
         return {"base": (40.0 if n["toxic"] else -40.0) if n["toxic"] or n["clean"] else 0.0, "weights": {}}

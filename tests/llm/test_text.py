@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF0001, SF001
@@ -132,6 +133,20 @@ def test_no_disguise_passes_the_gate(model):
     assert toxicity.restored_words("$2,024.50", model) == toxicity.restored_words("555-5699!!", model) == []
 
 
+def test_only_near_copies_teach_once(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(9))
+    # unrelated texts, all with the same long word of the smallest hash
+    long = [word() for _ in range(4000)]
+    smallest = spark.createDataFrame([(w,) for w in long], "w string").orderBy(F.xxhash64("w")).first()[0]
+    rows = [(i, i % 2, sorted({smallest, *rng.sample(long, 60)})) for i in range(40)]
+    base = [word() for _ in range(100)]
+    copies = [(100 + i, 1, sorted({*base[i:], word()})) for i in range(5)] + [(200, 1, rows[1][2]), (201, 0, sorted(base))]
+    got = toxicity.teaching_rows(spark.createDataFrame(rows + copies, "id long, label int, words array<string>").repartition(3)).collect()
+    want = rows + [copies[0], copies[-1]]
+    assert sorted((r["label"], r["words"]) for r in got) == sorted((x, w) for _, x, w in want)
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.score_documents(docs, labels).toPandas()
