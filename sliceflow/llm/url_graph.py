@@ -11,12 +11,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sliceflow.llm.common import spill
+from sliceflow.llm.common import discard, spill
 
 #: (verdict, host and path), in any order
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 DAMPING = 0.85
+#: rounds that the DuckDB statement writes out; Spark goes on until nothing moves
 ROUNDS = 10
+#: at rest: what two rounds add to all trust, and to the distrust of any host
+TOLERANCE = 1e-6
 #: a host is blocked from this distrust on; 1 is a host of which all urls are blocked
 THRESHOLD = 0.5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -61,30 +64,42 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return found.join(total, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("weight"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) after ``rounds`` rounds of
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, trust, distrust) at rest, and the number of ``rounds`` as an attribute, of
     ``trust = seed + damping * sum of weight * trust of those that link here`` and
     ``distrust = seed + damping * sum of weight * distrust of those linked from here``,
     both divided by what a blocked or trusted host without links has. A
     round is a join on each end and a sum with partial aggregates; every second one is
-    written to the shared folder.
+    written to the shared folder and compared with the one before. Both only grow;
+    all trust together and the largest distrust move less by the damping in each round,
+    so the rounds end.
     """
     edges = spill(edges, "edges")
     nodes = seeds.select("host", "trust", "distrust").unionByName(
         edges.select(F.col("dst").alias("host"), F.lit(0.0).alias("trust"), F.lit(0.0).alias("distrust"))).unionByName(
         edges.select(F.col("src").alias("host"), F.lit(0.0).alias("trust"), F.lit(0.0).alias("distrust")))
     start = spill(nodes.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "seeds")
-    now = start
+    now, before = start, None
+    now.rounds = rounds = 0
     if edges.isEmpty():
         return now
-    for i in range(rounds):
+    while True:
         forth = edges.join(now, edges["src"] == now["host"]).select(F.col("dst").alias("host"), (F.col("weight") * F.col("trust")).alias("trust"), F.lit(0.0).alias("distrust"))
         back = edges.join(now, edges["dst"] == now["host"]).select(F.col("src").alias("host"), F.lit(0.0).alias("trust"), (F.col("weight") * F.col("distrust")).alias("distrust"))
         moved = forth.unionByName(back).select("host", (damping * F.col("trust")).alias("trust"), (damping * F.col("distrust")).alias("distrust"))
         now = start.unionByName(moved).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        if i % 2 or i == rounds - 1:
-            now = spill(now, "ranks")
-    return now
+        rounds += 1
+        if rounds % 2:
+            continue
+        now = spill(now, "ranks")
+        now.rounds = rounds
+        old = (start if before is None else before).select("host", F.col("trust").alias("_t"), F.col("distrust").alias("_d"))
+        more = now.join(old, "host").agg(F.sum(F.abs(F.col("trust") - F.col("_t"))).alias("t"), F.max(F.abs(F.col("distrust") - F.col("_d"))).alias("d")).first()
+        if before is not None:
+            discard(before)
+        before = now
+        if more["t"] < tolerance and more["d"] < tolerance:
+            return now
 
 
 def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -68,6 +68,15 @@ def test_urls_are_judged_as_defined(spark):
     assert url_graph.judge(df.where("false")).count() == 0
 
 
+def test_rounds_go_on_until_nothing_moves(spark):
+    # after ten rounds b has 0.464
+    seeds = spark.createDataFrame([("a", 0.0, 0.0), ("b", 0.0, 0.15)], "host string, trust double, distrust double")
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "src string, dst string, weight double")
+    rank = url_graph.propagate(seeds, edges, tolerance=1e-3)
+    got = {r["host"]: r["distrust"] for r in rank.collect()}
+    assert abs(got["b"] - 0.15 / (1 - 0.85 ** 2)) < 3e-3 and got["b"] > url_graph.THRESHOLD and rank.rounds > url_graph.ROUNDS
+
+
 def test_urls_run_without_python(spark):
     plan = url_graph.judge(spark.createDataFrame(PAGES, "page_id long, url string, html string, host string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
