@@ -4,7 +4,7 @@ Two sets A, B with ``100 * |A & B| >= t * |A | B|`` differ in at most
 ``D = (100 - t) / (100 + t) * (|A| + |B|)`` shingles. That is used twice:
 
 * **Pigeonhole join per size band.** In band k (sizes from ``lo`` to ``hi``; a
-  set near the upper border also enters the next band) shingles are dealt over
+  set also enters the bands above that a linked set may have) shingles are dealt over
   ``p = D + 1 + MARGIN`` parts, and each part is the XOR of its shingles' 64-bit
   hashes. A differing shingle changes one part at most, so two linked sets agree
   in at least ``MARGIN + 1`` parts, and (band, part, value) is an equi-join key.
@@ -69,7 +69,9 @@ def bands(size: int, percent: int) -> list[tuple[int, int]]:
     k = max(0, int(math.log(size) / math.log(BAND)) - 1)
     while _border(k + 1) <= size:
         k += 1
-    own = [k] + [k + 1] * (100 * size >= percent * _border(k + 1))
+    own = [k]
+    while 100 * size >= percent * _border(own[-1] + 1):
+        own.append(own[-1] + 1)
     return [(b, (100 - percent) * 2 * (_border(b + 1) - 1) // (100 + percent) + 1 + MARGIN) for b in own]
 
 

@@ -94,6 +94,16 @@ def test_linked_sets_share_a_key():
             assert len(x) != len(y) or np.bitwise_count(x ^ y).sum() <= far
 
 
+def test_sets_two_bands_apart_share_a_key():
+    rng = np.random.default_rng(4)
+    for percent in (50, 55, 60, 66):
+        for n in (1, 2, 3, 5, 10, 17, 40, 200):
+            b = np.unique(rng.integers(0, 1 << 62, n * 100 // percent).astype(np.uint64))
+            a = np.sort(rng.permutation(b)[:n])
+            assert len(np.intersect1d(join.part_keys(a, percent), join.part_keys(b, percent))), (percent, n)
+    assert [b for b, _ in join.bands(10, 50)] == [5, 6, 7] and len(join.bands(10, 90)) == 1
+
+
 def test_words_and_shingles():
     data = b" one\ttwo\n\x0bone \xc3\xa9 " + b"x" * 3_000_000 + b" one"
     h, start = word_hashes(data)
