@@ -48,10 +48,14 @@ def dear_orders(pdf: pd.DataFrame, params: dict) -> pd.DataFrame:
     return pd.DataFrame({"label": [params["label"]], "n_rows": [len(dear)]})
 
 
+def added_rows(partials: pd.DataFrame, params: dict) -> pd.DataFrame:
+    return partials.groupby("label", as_index=False)["n_rows"].sum()
+
+
 def q_job_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One job under two sets of parameters."""
     o = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    runs = [slices.slice_apply(o, dear_orders, "label string, n_rows long", "o_orderkey", TOTAL, params=p)
+    runs = [slices.slice_apply(o, dear_orders, "label string, n_rows long", "o_orderkey", TOTAL, params=p, merge=added_rows)
             for p in ({"min_price": 100000.0, "label": "dear"}, {"min_price": 0.0, "label": "all"})]
     return runs[0].unionByName(runs[1])
 

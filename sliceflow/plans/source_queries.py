@@ -61,13 +61,18 @@ def region_extremes(pdf: pd.DataFrame, params: dict) -> pd.DataFrame:
     return pd.DataFrame([(k, *v) for k, v in found.items()], columns=["region", "lowest", "highest", "n_rows"])
 
 
+def merged_extremes(partials: pd.DataFrame, params: dict) -> pd.DataFrame:
+    return (partials.groupby("region", as_index=False, dropna=False)
+            .agg(lowest=("lowest", "min"), highest=("highest", "max"), n_rows=("n_rows", "sum")))
+
+
 def q_slice_job(spark, sf):
     """The whole user path: CSV dataset -> slices -> user function -> one artifact
     per slice -> results read back, with the size of each slice's artifact."""
     path = scratch_path(spark, "sales-csv")
     A.write_dataset(views.sales(spark, sf), path, "csv", order_by="o_orderkey", files=_files(spark))
     done = run_slice_job(spark, path, "csv", fn=region_extremes, schema="region string, lowest double, highest double, n_rows long",
-                         total=3, key="o_orderkey")
+                         total=3, key="o_orderkey", merge=merged_extremes)
     size = done.manifest.groupBy("partition_index").agg((F.sum("size_bytes") > 0).alias("has_artifact"))
     return done.results.join(size, "partition_index")
 

@@ -312,3 +312,20 @@ def test_artifacts_keep_text(spark, tmp_out):
     back = A.read_artifacts(spark, path, "i int, t string, partition_index int")
     assert sorted((r.i, r.partition_index, r.t) for r in back.collect()) == [(i, p, t) for i, (p, t) in enumerate(rows)]
     assert sorted(r.partition_index for r in A.artifact_manifest(spark, path).collect()) == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("query", ["job_parameters", "slice_job"])
+def test_registered_jobs_run_on_parts_of_slices(spark, monkeypatch, query):
+    from conftest import SF0001
+    from sliceflow.plans import slice_queries, source_queries
+
+    run, apply, merges = (slice_queries.QUERIES | source_queries.QUERIES)[query], slices.slice_apply, []
+
+    def in_parts(*args, merge=None, **kw):
+        merges.append(merge)
+        return apply(*args, merge=merge, max_rows_per_group=100, **kw)
+
+    monkeypatch.setattr(slices, "slice_apply", in_parts)
+    got = sorted(map(str, run(spark, SF0001).collect()))
+    monkeypatch.setattr(slices, "slice_apply", lambda *args, merge=None, **kw: apply(*args, **kw))
+    assert merges and all(merges) and got == sorted(map(str, run(spark, SF0001).collect()))
