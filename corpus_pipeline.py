@@ -21,13 +21,16 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.8 of their five-word
-    shingles, that with the smallest doc_id stays. Of rows that repeat an id one
-    stays; rows without an id stay."""
-    group = similar_documents(docs, k=5, percent=80)
-    kept = group.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    some = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return some.unionByName(docs.where(F.col("doc_id").isNull()))
+    """Of rows linked by a Jaccard similarity of 0.8 of their five-word shingles, that
+    with the smallest doc_id stays (of equal ids by a hash of the text, null last). An id
+    is a name only: rows that repeat one, or have none, are linked by their texts like
+    others. Rows of the same id and text are one."""
+    row = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    rows = docs.withColumn("_row", row)
+    group = similar_documents(rows, k=5, percent=80, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    kept = (rows.select("_row", "doc_id").distinct().join(group, "_row").groupBy("component_id")
+            .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first")).select("first._row"))
+    return rows.join(kept, "_row", "left_semi").groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

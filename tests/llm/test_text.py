@@ -193,6 +193,15 @@ def test_edge_rows_are_scored(spark):
 # ------------------------------------------------------------------ pipeline
 
 
+def test_ids_are_names_only(spark):
+    one, two, three = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, one, "x"), (1, two, "x"), (2, two + " end", "x"), (None, one, "x"), (None, three, "z"), (None, three, "y"), (3, one, "x"), (4, None, "x"), (5, "", "x"), (5, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF0001)
+    assert got.columns == docs.columns
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [(1, one, "x"), (1, two, "x"), (None, three, "y"), (4, None, "x"), (5, "", "x")]))
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF0001}/documents.parquet")
     at, seen = docs, []
