@@ -6,6 +6,8 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -41,13 +43,24 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def only(docs: DataFrame, **columns: str) -> DataFrame:
+    """The columns of ``docs`` with exactly these names under new ones (``new="old"``),
+    whatever other columns there are, also names that differ by case alone."""
+    at = {name: i for i, name in reversed(list(enumerate(docs.columns)))}
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.select(*[F.col(f"c{at[old]}").alias(new) for new, old in columns.items()])
+
+
 def worker(run):
     """``run`` over the batches of a task; when it ends, the Python worker, which
-    Spark keeps for later tasks, gives its free memory back."""
+    Spark keeps for later tasks, gives its free memory back. Caches are large and hold
+    no cycles, so none are looked for while the task runs."""
     def wrapped(batches):
+        gc.disable()
         try:
             yield from run(batches)
         finally:
+            gc.enable()
             gc.collect()
             pa.default_memory_pool().release_unused()
             with contextlib.suppress(OSError, AttributeError):  # another C library
@@ -55,6 +68,16 @@ def worker(run):
     return wrapped
 
 
+def per_process(key: tuple, make):
+    """``make()`` once for each key in a Python process. Functions are sent to workers by
+    value, with the globals that they use, so a global is new in each task; a module
+    that the process has made for itself is not."""
+    held = sys.modules.setdefault("sliceflow_held", types.ModuleType("sliceflow_held")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def hash_sample(df: DataFrame, h: Column, limit: int) -> DataFrame:
     """At most ``limit`` rows, by a hash of them. One row in so many is kept
     first, so that what tasks send for the order is about the sample itself,
@@ -83,10 +106,10 @@ def crc32_ids(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").tobytes())
 
 
-def text_slices(texts: list, limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+def text_slices(texts: list, limit: int | None = None) -> Iterator[tuple[int, int]]:
     """Ranges [i, j) of ``texts`` whose total length is about ``limit``; a text
     that is longer than that has a range of its own."""
-    i, total = 0, 0
+    i, total, limit = 0, 0, limit or SLICE_CHARS
     for j, t in enumerate(texts):
         n = len(t) if t is not None else 0
         if j > i and total + n > limit:

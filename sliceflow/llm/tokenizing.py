@@ -10,32 +10,39 @@ from __future__ import annotations
 
 import json
 import re
-import struct
+from array import array
+from itertools import chain
 
 import numpy as np
 
-#: pieces kept in a worker; the cache is emptied when it is full, which changes
-#: speed only
-CACHE = 700_000
+from sliceflow.llm.common import per_process
+
+#: pieces kept in a worker; when there are more, those of the last slice of texts
+#: stay, which changes speed only
+CACHE = 1_200_000
 #: white space other than space and line feed
 _ODD = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0                　"
 #: runs of three spaces and line feeds, which pre-tokenizers treat as a whole
 _RUNS = [a + b + c for a in " \n" for b in " \n" for c in " \n"]
 _UNITS = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
 _ASCII_BLANK = re.compile(r"[ \t\r\n]+")
-_WORD = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
+#: what every pre-tokenizer here cuts alike: runs of Latin letters, digits and ASCII
+#: marks; an apostrophe may begin a contraction and is left to the library
+_LETTERS, _MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", "!-&(-/:-@\\[-`{-~"
+_PLAIN, _PARTS = re.compile(f"[0-9{_LETTERS}{_MARKS}]+"), re.compile(f"[{_LETTERS}]+|[0-9]+|[{_MARKS}]+")
 #: byte-level tokenizers write bytes that are not printable as code points from 256 on
 _PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_BYTE_CHARS = np.arange(256, dtype="<u4")
+_BYTE_CHARS[[b for b in range(256) if b not in _PRINTED]] = 256 + np.arange(256 - len(_PRINTED))
 #: before a piece that is not to get a space: a code point no text can hold
 _AS_IS = "\ud800"
-_loaded: dict[str, "CachedEncoder"] = {}
 
 
 class CachedEncoder:
-    """Ids as of ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``."""
+    """Ids as of ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``;
+    with ``plain`` the strings of special tokens are ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -43,32 +50,60 @@ class CachedEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre, added = spec.get("pre_tokenizer") or {}, spec.get("added_tokens") or []
-        plain = all(not (a["lstrip"] or a["rstrip"] or a["single_word"] or re.search(r"\s", a["content"])) for a in added)
+        self.tokenizer.encode_special_tokens = plain
+        simple = all(not (a["lstrip"] or a["rstrip"] or a["single_word"] or re.search(r"\s", a["content"])) for a in added)
         # byte-level: a space belongs to the word after it, other white space is alone
-        self.spaced = plain and spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
+        self.spaced = simple and spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         # pre-tokenizer that keeps only matches without white space
         steps = pre.get("pretokenizers") or [{}]
-        self.blank_free = (plain and pre.get("type") == "Sequence" and steps[0].get("type") == "Split" and steps[0].get("invert")
+        self.blank_free = (simple and pre.get("type") == "Sequence" and steps[0].get("type") == "Split" and steps[0].get("invert")
                            and steps[0].get("behavior") == "Removed" and r"[^\s\p{L}\p{N}]+" in steps[0]["pattern"].get("Regex", ""))
-        self.added = [t["content"] for t in added]
-        self.words: dict[str, bytes] = {}
+        self.added = [] if plain else [t["content"] for t in added]
+        self.runs: dict[str, bytes] = {}
         self.cache: dict[str, bytes] = {}
 
-    def _encode(self, text: str) -> bytes:
-        """Ids of a text. A word of plain letters, and a point or comma after it,
-        are what the pre-tokenizer would find: they go to the model at once."""
-        word = _WORD.fullmatch(text) if self.spaced or self.blank_free else None
-        if not word:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        out = b""
-        for part in word.groups():
-            if part:
-                if part not in self.words:
-                    raw = part if self.spaced else part.lower()
-                    ids = [t.id for t in self.tokenizer.model.tokenize(raw.encode().decode("latin-1").translate(_BYTE_CHARS))]
-                    self.words[part] = struct.pack(f"<{len(ids)}I", *ids)
-                out += self.words[part]
-        return out
+    def _tokenize(self, runs: list[str]) -> None:
+        """Ids of runs that the pre-tokenizer would find: they go to the model at once."""
+        raw = "\n".join(runs if self.spaced else map(str.lower, runs)).encode()
+        written = _BYTE_CHARS[np.frombuffer(raw, dtype=np.uint8)].tobytes().decode("utf-32-le").split(chr(_BYTE_CHARS[10]))
+        tokenize = self.tokenizer.model.tokenize
+        for run, text in zip(runs, written):
+            self.runs[run] = array("I", [t.id for t in tokenize(text)]).tobytes()
+
+    def _fill(self, pieces: list[str]) -> None:
+        """Put pieces into the cache. Pieces of plain runs are made of the ids of these."""
+        cache, lead = self.cache, " " if self.spaced else ""
+        alone, single, mixed, parts = [], [], [], []  # pieces of one run and that run, others and their runs
+        for p in pieces:
+            if p.isalpha() and p.isascii():
+                alone.append(p)
+                single.append(lead + p)
+                continue
+            text = self._text(p)
+            body = text.lstrip(" \n")
+            before = text[:len(text) - len(body)]
+            if (not before or before == " " or before == "\n") and _PLAIN.fullmatch(body) and not ("<" in body and any(a in body for a in self.added)):
+                found = _PARTS.findall(body)
+                if self.blank_free:
+                    if any(map(str.isdigit, found)):  # every digit is alone
+                        found = [y for x in found for y in (x if x.isdigit() else (x,))]
+                elif before == " ":
+                    found[0] = " " + found[0]
+                elif before:
+                    found.insert(0, "\n")
+                mixed.append(p)
+                parts.append(found)
+            else:
+                cache[p] = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        runs = self.runs
+        if "\n" not in runs:
+            runs["\n"] = array("I", self.tokenizer.encode("\n", add_special_tokens=False).ids).tobytes()
+        new = set(single).union(*parts).difference(runs)
+        if new:
+            self._tokenize(list(new))
+        cache.update(zip(alone, map(runs.__getitem__, single)))
+        for p, found in zip(mixed, parts):
+            cache[p] = b"".join(map(runs.__getitem__, found))
 
     def _pieces(self, text: str) -> list[str]:
         """Pieces whose ids, one after the other, are the ids of ``text``. In
@@ -95,17 +130,83 @@ class CachedEncoder:
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text."""
         parts = [self._pieces(t) for t in texts]
+        used = set(chain.from_iterable(parts))
         if len(self.cache) > CACHE:
-            self.cache.clear()
-            self.words.clear()
-        cache = self.cache
-        for p in set().union(*parts).difference(cache):
-            cache[p] = self._encode(self._text(p))
-        return [np.frombuffer(b"".join(map(cache.__getitem__, p)), dtype="<u4") for p in parts]
+            self.runs = {}
+            self.cache = {p: self.cache[p] for p in used if p in self.cache}
+        if self.spaced or self.blank_free:
+            self._fill([p for p in used if p not in self.cache])
+        else:
+            for p in used:
+                if p not in self.cache:
+                    self.cache[p] = array("I", self.tokenizer.encode(p, add_special_tokens=False).ids).tobytes()
+        return [np.frombuffer(b"".join(map(self.cache.__getitem__, p)), dtype="<u4") for p in parts]
+
+
+class PieceEncoder:
+    """Ids as of ``SentencePieceProcessor(model_file=path).encode(text)``, for models that
+    leave the text as it is, put a space before it and have no piece with a space after
+    another sign. Such a model never merges over the end of a word or a line feed, so
+    words are encoded once and kept."""
+
+    #: words of a text: spaces go with the word after them, a line feed begins a new one
+    WORDS = re.compile(r" +[^ \n]*|\n[^ \n]*")
+
+    def __init__(self, path: str):
+        from sentencepiece import SentencePieceProcessor
+
+        self.model = SentencePieceProcessor(model_file=path)
+        self.pieces = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
+        self.byte = [self.model.is_byte(i) for i in range(len(self.pieces))]
+        #: bytes that an id stands for
+        self.bytes = [bytes([int(p[3:5], 16)]) if b else p.replace("\u2581", " ").encode() for p, b in zip(self.pieces, self.byte)]
+        probe = " ａ  ﬁ\tx "
+        self.by_word = (b"".join([self.bytes[i] for i in self.model.encode(probe)]) == b" " + probe.encode()
+                        and not any(re.search("[^\u2581]\u2581|\n", p) for p, b in zip(self.pieces, self.byte) if not b))
+        self.cache: dict[str, bytes] = {}
+        self.bad: set[str] = set()
+
+    def _fill(self, words: list[str]) -> None:
+        # the model puts a space before what it gets: words go without theirs, and what begins with a line feed loses the one it gets
+        spaced = [w for w in words if w[0] == " " and len(w) > 1]
+        other = [w for w in words if w[0] != " "]
+        found = dict(zip(spaced, self.model.encode([w[1:] for w in spaced], num_threads=1)))
+        found.update(zip(other, (x[1:] for x in self.model.encode(other, num_threads=1))))
+        if " " in words:
+            found[" "] = [self.model.piece_to_id("\u2581")]
+        for w, ids in found.items():
+            self.cache[w] = array("I", ids).tobytes()
+            if b"".join([self.bytes[i] for i in ids]) != w.encode():
+                self.bad.add(w)
+
+    def ids(self, texts: list[str]) -> list[np.ndarray | None]:
+        """uint32 ids of each text; None where their bytes are not those of the text
+        with a space before it."""
+        if not self.by_word:
+            out = [np.array(x, dtype="<u4") for x in self.model.encode(texts, num_threads=1)]
+            return [x if b"".join([self.bytes[i] for i in x]) == b" " + t.encode() else None for x, t in zip(out, texts)]
+        parts = []
+        for t in texts:
+            if "  " in t or " \n" in t or t[:1] in " \n" or t[-1:] == " ":
+                parts.append(self.WORDS.findall(" " + t))
+            else:
+                found = t.replace("\n", " \n").split(" ")
+                parts.append([" " + w if w[:1] != "\n" else w for w in found])
+        used = set(chain.from_iterable(parts))
+        if len(self.cache) > CACHE:
+            self.cache = {w: self.cache[w] for w in used if w in self.cache}
+            self.bad &= used
+        new = [w for w in used if w not in self.cache]
+        if new:
+            self._fill(new)
+        return [None if self.bad and not self.bad.isdisjoint(p) else np.frombuffer(b"".join(map(self.cache.__getitem__, p)), dtype="<u4") for p in parts]
+
+
+def piece_encoder(path: str) -> PieceEncoder:
+    """The encoder of this process for a model file."""
+    return per_process(("pieces", path), lambda: PieceEncoder(path))
 
 
-def encoder(path: str) -> CachedEncoder:
+def encoder(path: str, plain: bool = False) -> CachedEncoder:
     """The encoder of this process for a tokenizer file."""
-    if path not in _loaded:
-        _loaded[path] = CachedEncoder(path)
-    return _loaded[path]
+    return per_process(("tokens", path, plain), lambda: CachedEncoder(path, plain))
