@@ -33,6 +33,37 @@ def current_state(log: DataFrame, key: str, order_cols: list[str],
     return ordered.first_per_key(log, [key], order_cols, value_cols, last=True)
 
 
+def validity(log: DataFrame, keys: list[str], ts: str, seq: str, **chunk_opts) -> DataFrame:
+    """M1, intervals: every change with ``valid_from`` (its time) and ``valid_to`` (the
+    time of the key's next change, null while it is in force)."""
+    return ordered.next_value(log.withColumn("valid_from", F.col(ts)), keys, [ts, seq], ts, "valid_to", **chunk_opts)
+
+
+def state_as_of(asked: DataFrame, log: DataFrame, keys: list[str], ts: str, seq: str,
+                value_cols: list[str], **chunk_opts) -> DataFrame:
+    """M1 at a point in time: each row of ``asked`` with the values of its key's last
+    change at or before the row's time (of equal times that of the largest ``seq``); null
+    before the first change.
+
+    An as-of join as one scan: both tables in one sequence per key, changes before
+    the rows of the same time, and the last change carried forward.  The sequence of
+    a hot key is split into chunks (see ``ordered``).  ``asked`` has ``keys``,
+    ``ts`` and columns other than ``value_cols``."""
+    rest = [c for c in asked.columns if c not in (*keys, ts)]
+    row = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(0).alias("_none"))
+    row_type = asked.select(row.alias("r")).schema["r"].dataType
+    change = F.struct(*[F.col(c) for c in value_cols])
+    change_type = log.select(change.alias("s")).schema["s"].dataType
+    seq_type = log.schema[seq].dataType
+    both = (log.select(*keys, ts, F.lit(0).alias("_kind"), F.col(seq).alias("_seq"), change.alias("_change"),
+                       F.lit(None).cast(row_type).alias("_asked"))
+            .unionByName(asked.select(*keys, ts, F.lit(1).alias("_kind"), F.lit(None).cast(seq_type).alias("_seq"),
+                                      F.lit(None).cast(change_type).alias("_change"), row.alias("_asked"))))
+    found = ordered.last_known(both, keys, [ts, "_kind", "_seq"], F.col("_change"), "_state", **chunk_opts)
+    return (found.where("_kind = 1")
+            .select(*keys, ts, *[F.col(f"_asked.{c}").alias(c) for c in rest], *[F.col(f"_state.{c}").alias(c) for c in value_cols]))
+
+
 def partial_update(base: DataFrame, updates: DataFrame, key: str, cols: list[str],
                    order_cols: list[str] | None = None) -> DataFrame:
     """M2: apply updates where a null means "keep the old value".

@@ -190,11 +190,44 @@ def gauge_series(deltas: DataFrame, ts: str, series: str, delta: str,
     so the running sum scans it instead of the events.
     There are only a few series, so the running sum is the chunked scan:
     a long tick history is never sorted by one task per series."""
+    return ordered.running_sum(_ticks(deltas, ts, series, delta, tick_seconds), ["series"], ["tick"], F.col("delta"), "value")
+
+
+def _ticks(deltas: DataFrame, ts: str, series: str, delta: str, tick_seconds: int) -> DataFrame:
     tick = F.window(F.col(ts), f"{tick_seconds} seconds").start
     per_tick = deltas.groupBy(F.col(series).alias("series"), tick.alias("tick")).agg(
         F.sum(delta).cast("long").alias("delta"))
-    per_tick = materialize(per_tick, "ticks")
-    return ordered.running_sum(per_tick, ["series"], ["tick"], F.col("delta"), "value")
+    return materialize(per_tick, "ticks")
+
+
+#: ticks that one task makes of a series
+TICKS_PER_CHUNK = 100_000
+
+
+def sampled_gauges(deltas: DataFrame, ts: str, series: str, delta: str, tick_seconds: int,
+                   ticks_per_chunk: int = TICKS_PER_CHUNK, **chunk_opts) -> DataFrame:
+    """A11 as a poller sees it: the value of every series at every tick from the first to
+    the last one of all series, whether it changed or not.
+
+    The spine of ticks is made in chunks: of each series the starts of its chunks, dealt to
+    tasks, and there the ticks.  Ticks without a delta add 0, and the running sum is the
+    chunked scan, so a long history is nowhere one task's work."""
+    per_tick = _ticks(deltas, ts, series, delta, tick_seconds)
+    kind = per_tick.schema["tick"].dataType
+    ends = per_tick.agg(F.min("tick").cast("string").alias("lo"), F.max("tick").cast("string").alias("hi")).first()
+    if ends["lo"] is None:
+        return per_tick.withColumn("value", F.lit(None).cast("long"))
+    lo, hi = (F.lit(ends[x]).cast(kind) for x in ("lo", "hi"))
+    step = F.make_dt_interval(secs=F.lit(float(tick_seconds)))
+    chunk = F.make_dt_interval(secs=F.lit(float(tick_seconds * ticks_per_chunk)))
+    last = F.make_dt_interval(secs=F.lit(float(tick_seconds * (ticks_per_chunk - 1))))
+    spine = (per_tick.select("series").distinct()
+             .select("series", F.explode(F.sequence(lo, hi, chunk)).alias("from"))
+             .repartition("series", "from")
+             .select("series", F.explode(F.sequence("from", F.least(F.col("from") + last, hi), step)).alias("tick")))
+    dense = (spine.withColumn("delta", F.lit(0).cast("long")).unionByName(per_tick.select("series", "tick", "delta"))
+             .groupBy("series", "tick").agg(F.sum("delta").alias("delta")))
+    return ordered.running_sum(dense, ["series"], ["tick"], F.col("delta"), "value", **chunk_opts)
 
 
 # ------------------------------------------------------------ sorts, top-k

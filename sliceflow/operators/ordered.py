@@ -18,7 +18,9 @@ third of the data alone.  The scans here split each key's sequence into
    partitioned on those columns, so only the small carry table moves.
 
 Each scan below is an associative summary, so the result is exactly the one
-a single sequential pass would give.
+a single sequential pass would give.  Keys are held in one struct, ``_k``: structs
+are equal where their nulls are, so rows of a null key are a key like others in
+the windows and in the join.
 """
 
 from __future__ import annotations
@@ -55,7 +57,11 @@ def _chunks(keys):
 
 
 def _attach(rows: DataFrame, carry: DataFrame, keys) -> DataFrame:
-    return rows.join(carry, [*keys, "_c"], "left")
+    return rows.join(carry, [*keys, "_c"], "left").drop("_k")
+
+
+def _keyed(rows: DataFrame, keys) -> tuple[DataFrame, list[str]]:
+    return rows.withColumn("_k", F.struct(*[F.col(k) for k in keys])), ["_k"]
 
 
 def running_sum(df: DataFrame, keys: list[str], order_cols: list[str], value: Column,
@@ -64,7 +70,7 @@ def running_sum(df: DataFrame, keys: list[str], order_cols: list[str], value: Co
     """``out`` = sum of ``value`` over all earlier rows of the key and this row."""
     t = chunked if chunked is not None else add_chunks(df, order_cols, rows_per_chunk,
                                                         min_chunks)
-    t = t.withColumn("_v", value)
+    t, keys = _keyed(t.withColumn("_v", value), keys)
     w = _local(keys, order_cols).rowsBetween(_UNB, 0)
     t = t.withColumn("_ls", F.sum("_v").over(w))
     summ = t.groupBy(*keys, "_c").agg(F.sum("_v").alias("_tot"))
@@ -80,7 +86,7 @@ def previous_value(df: DataFrame, keys: list[str], order_cols: list[str], value:
                    out: str, rows_per_chunk: int = ROWS_PER_CHUNK,
                    min_chunks: int = MIN_CHUNKS) -> DataFrame:
     """``out`` = ``value`` of the previous row of the same key (``lag``)."""
-    t = add_chunks(df, order_cols, rows_per_chunk, min_chunks)
+    t, keys = _keyed(add_chunks(df, order_cols, rows_per_chunk, min_chunks), keys)
     lw = _local(keys, order_cols)
     t = (t.withColumn("_rn", F.row_number().over(lw))
          .withColumn("_lag", F.lag(value).over(lw)))
@@ -92,12 +98,43 @@ def previous_value(df: DataFrame, keys: list[str], order_cols: list[str], value:
             .drop("_rn", "_lag", "_carry", "_c"))
 
 
+def next_value(df: DataFrame, keys: list[str], order_cols: list[str], value: str,
+               out: str, rows_per_chunk: int = ROWS_PER_CHUNK,
+               min_chunks: int = MIN_CHUNKS) -> DataFrame:
+    """``out`` = ``value`` of the next row of the same key (``lead``)."""
+    t, keys = _keyed(add_chunks(df, order_cols, rows_per_chunk, min_chunks), keys)
+    lw = _local(keys, order_cols)
+    t = (t.withColumn("_lead", F.lead(value).over(lw))
+         .withColumn("_end", F.lead(F.lit(True)).over(lw).isNull()))
+    ordkey = F.struct(*[F.col(c) for c in order_cols])
+    summ = t.groupBy(*keys, "_c").agg(F.min_by(F.col(value), ordkey).alias("_first"))
+    carry = summ.select(*keys, "_c", F.lead("_first").over(_chunks(keys)).alias("_carry"))
+    return (_attach(t, carry, keys)
+            .withColumn(out, F.when(F.col("_end"), F.col("_carry")).otherwise(F.col("_lead")))
+            .drop("_lead", "_end", "_carry", "_c"))
+
+
+def last_known(df: DataFrame, keys: list[str], order_cols: list[str], value: Column,
+               out: str, rows_per_chunk: int = ROWS_PER_CHUNK,
+               min_chunks: int = MIN_CHUNKS) -> DataFrame:
+    """``out`` = the last ``value`` that is not null, of this row or of an earlier
+    one of the key; null before the first."""
+    t, keys = _keyed(add_chunks(df.withColumn("_v", value), order_cols, rows_per_chunk, min_chunks), keys)
+    t = t.withColumn("_known", F.last("_v", ignorenulls=True).over(_local(keys, order_cols).rowsBetween(_UNB, 0)))
+    ordkey = F.when(F.col("_v").isNotNull(), F.struct(*[F.col(c) for c in order_cols]))
+    summ = t.groupBy(*keys, "_c").agg(F.max_by(F.col("_v"), ordkey).alias("_last"))
+    carry = summ.select(*keys, "_c", F.last("_last", ignorenulls=True)
+                        .over(_chunks(keys).rowsBetween(_UNB, -1)).alias("_carry"))
+    return (_attach(t, carry, keys).withColumn(out, F.coalesce("_known", "_carry"))
+            .drop("_v", "_known", "_carry", "_c"))
+
+
 def true_streak(df: DataFrame, keys: list[str], order_cols: list[str], flag: Column,
                 out: str, rows_per_chunk: int = ROWS_PER_CHUNK,
                 min_chunks: int = MIN_CHUNKS) -> DataFrame:
     """``out`` = number of consecutive rows with ``flag`` true ending at this
     row (0 when ``flag`` is false or null): the gaps-and-islands streak length."""
-    t = add_chunks(df.withColumn("_f", F.coalesce(flag, F.lit(False))), order_cols, rows_per_chunk, min_chunks)
+    t, keys = _keyed(add_chunks(df.withColumn("_f", F.coalesce(flag, F.lit(False))), order_cols, rows_per_chunk, min_chunks), keys)
     lw = _local(keys, order_cols)
     t = (t.withColumn("_rn", F.row_number().over(lw))
          .withColumn("_lastf", F.max(F.when(~F.col("_f"), F.col("_rn")))
@@ -140,7 +177,7 @@ def admission_fold(df: DataFrame, keys: list[str], order_cols: list[str], is_sub
     with ``S`` the running sum of ``a``.  Other rows pass through with
     ``admitted`` null.
     """
-    t = add_chunks(df, order_cols, rows_per_chunk, min_chunks)
+    t, keys = _keyed(add_chunks(df, order_cols, rows_per_chunk, min_chunks), keys)
     t = (t.withColumn("_a", F.when(is_submit, F.lit(1)).when(is_release, F.lit(-1))
                       .otherwise(F.lit(0)).cast("long"))
          .withColumn("_sub", F.coalesce(is_submit, F.lit(False))))

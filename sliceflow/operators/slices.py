@@ -131,12 +131,59 @@ def assign_slices(df: DataFrame, plan: SlicePlan, out: str = "partition_index")
     return df.withColumn(out, position_among(F.col(plan.key), cuts).cast("int"))
 
 
+def slice_rows_by_rank(df: DataFrame, key: str, total: int, out: str = "partition_index",
+                       rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """P1 for any number of slices: every row's slice is computed from its rank.
+
+    The rows are range-partitioned by the key, sorted inside each range and written
+    once with ``monotonically_increasing_id``, which is then the range and the place in
+    it.  Ranges before a row's own give the rank of its first place: a table of one
+    row per range, joined back.  No boundary reaches the driver and no expression
+    grows with ``total``."""
+    if total < 1:
+        raise ValueError("total must be >= 1")
+    parts = max(1, math.ceil(df.select(key).count() / rows_per_bucket))
+    fixed = materialize(df.repartitionByRange(parts, key).sortWithinPartitions(key)
+                        .withColumn("_mid", F.monotonically_increasing_id()), "ranked-rows")
+    place = fixed.withColumn("_p", F.shiftright("_mid", 33)).withColumn("_i", F.col("_mid").bitwiseAND((1 << 33) - 1))
+    # keys alone: nulls, and equal neighbours of a range (equal keys share a range)
+    near = Window.partitionBy("_p").orderBy("_i")
+    bad = (place.select("_p", "_i", F.col(key).alias("_k")).withColumn("_twice", F.lag("_k").over(near) == F.col("_k"))
+           .agg(F.count_if(F.col("_k").isNull()).alias("nulls"), F.count_if("_twice").alias("twice")).first())
+    if bad["nulls"]:
+        raise ValueError(f"slice key {key!r} has nulls; it must be unique and non-null")
+    if bad["twice"]:
+        raise ValueError(f"slice key {key!r} repeats values; it must be unique")
+    sizes = place.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = sizes.select(F.col("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")).alias("_start"),
+                          F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    size = F.greatest(F.lit(1), F.floor(F.col("_all") / F.lit(total)))
+    return (place.join(starts, "_p")
+            .withColumn(out, F.least(F.floor((F.col("_start") + F.col("_i")) / size), F.lit(total - 1)).cast("int"))
+            .drop("_p", "_i", "_mid", "_start", "_all"))
+
+
+#: from so many slices on, rows are ranked instead of compared with every boundary
+MANY_SLICES = 64
+
+
 def slice_rows(df: DataFrame, key: str, total: int = 3,
                out: str = "partition_index") -> DataFrame:
     """Every row with the index of its contiguous slice."""
+    if total >= MANY_SLICES:
+        return slice_rows_by_rank(df, key, total, out)
     return assign_slices(df, plan_slices(df, key, total), out)
 
 
+def slice_rows_by_position(df: DataFrame, position: str, total: int = 3, out: str = "partition_index") -> DataFrame:
+    """P1 for rows that carry their position, 0 to n - 1, in a column (which is dropped)."""
+    n = df.agg(F.max(position)).first()[0]
+    size = max(1, ((n if n is not None else -1) + 1) // total)
+    return (df.withColumn(out, F.least(F.floor(F.col(position) / F.lit(size)), F.lit(total - 1)).cast("int"))
+            .drop(position))
+
+
 def _file_positions(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of a file scan with ``_fp``, ``_fb``, ``_mid``; first position, and
     number of rows in all, of each file split).
@@ -271,3 +318,61 @@ def slice_apply(df: DataFrame, fn: Callable[[pd.DataFrame, dict], pd.DataFrame],
         return res
 
     return partial.groupBy("partition_index").applyInPandas(merge_one, final_schema)
+
+
+def slice_stream(df: DataFrame, fn: Callable, schema: str | T.StructType, key: str, total: int = 3,
+                 params: dict | None = None, tasks: int | None = None) -> DataFrame:
+    """P2 over slices of any size: ``fn(frames, params)`` is called once per slice, empty
+    slices included, with an iterator of pandas frames that hold the slice's rows in
+    key order; it yields frames of ``schema``.
+
+    Rows are dealt by slice, sorted by Spark (which spills) and streamed in Arrow
+    batches (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows), so memory is that of a
+    batch and of what the function itself keeps.  A slice is one task's work: take as
+    many slices as tasks should share."""
+    check_job_function(fn)
+    params = dict(params or {})
+    out_schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    cols, names = df.columns, [f.name for f in out_schema.fields]
+    sliced = slice_rows(df, key, total).withColumn("_row", F.lit(True))
+    # a mark before the rows of each slice, so that empty ones are called too
+    marks = df.sparkSession.range(total).select(F.col("id").cast("int").alias("partition_index"), F.lit(False).alias("_row"))
+    rows = sliced.unionByName(marks, allowMissingColumns=True)
+    tasks = tasks or min(total, max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1))
+    dealt = rows.repartition(tasks, "partition_index").sortWithinPartitions("partition_index", "_row", key)
+
+    def run(batches):
+        def pieces():  # (slice, frame) in order; a batch may hold rows of several slices
+            for pdf in batches:
+                index = pdf["partition_index"].to_numpy()
+                cuts = [0, *(i + 1 for i in (index[1:] != index[:-1]).nonzero()[0].tolist()), len(pdf)]
+                for a, b in zip(cuts, cuts[1:]):
+                    if b > a:
+                        part = pdf.iloc[a:b]
+                        yield int(index[a]), part.loc[part["_row"].to_numpy(dtype=bool), cols].reset_index(drop=True)
+
+        coming = pieces()
+        ahead = next(coming, None)
+        while ahead is not None:
+            index = ahead[0]
+
+            def frames():
+                nonlocal ahead
+                while ahead is not None and ahead[0] == index:
+                    frame = ahead[1]
+                    ahead = next(coming, None)
+                    if len(frame):
+                        yield frame
+
+            given = frames()
+            for res in fn(given, params):
+                missing = [c for c in names if c not in res.columns]
+                if missing:
+                    raise ValueError(f"the job function's result for slice {index} lacks columns {missing}")
+                res = res[names].reset_index(drop=True).copy()
+                res.insert(0, "partition_index", index)
+                yield res
+            for _ in given:  # rows that the function left
+                pass
+
+    return dealt.mapInPandas(run, T.StructType([T.StructField("partition_index", T.IntegerType()), *out_schema.fields]))

@@ -204,6 +204,11 @@ def q_pending_running_gauges(spark, sf):
     return H.gauge_series(gauge_deltas(spark, sf), "ts", "series", "delta", 3600)
 
 
+def q_sampled_gauges(spark, sf):
+    """Every hour of every series, also those in which nothing changed."""
+    return H.sampled_gauges(gauge_deltas(spark, sf), "ts", "series", "delta", 3600)
+
+
 def q_list_newest_first(spark, sf):
     r = views.runs(spark, sf).select("workspace_id", "id", "created_at")
     return H.list_newest_first(r, "workspace_id", "created_at", "id")
@@ -260,6 +265,7 @@ QUERIES = {
     "duration_histogram": q_duration_histogram,
     "jobs_totals": q_jobs_totals,
     "pending_running_gauges": q_pending_running_gauges,
+    "sampled_gauges": q_sampled_gauges,
     "list_newest_first": q_list_newest_first,
     "tasks_in_order": q_tasks_in_order,
     "oldest_pending_events": q_oldest_pending_events,
@@ -377,6 +383,14 @@ t AS (SELECT series, date_trunc('hour', ts) AS tick, CAST(sum(delta) AS BIGINT)
       FROM d WHERE delta IS NOT NULL GROUP BY 1, 2)
 SELECT series, tick, delta, CAST(sum(delta) OVER (PARTITION BY series ORDER BY tick) AS BIGINT) AS value
 FROM t""",
+    "sampled_gauges": f"""WITH {DELTAS},
+t AS (SELECT series, date_trunc('hour', ts) AS tick, CAST(sum(delta) AS BIGINT) AS delta
+      FROM d WHERE delta IS NOT NULL GROUP BY 1, 2),
+spine AS (SELECT series, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS tick
+          FROM (SELECT DISTINCT series FROM t), (SELECT min(tick) AS lo, max(tick) AS hi FROM t))
+SELECT s.series, s.tick, coalesce(t.delta, 0) AS delta,
+  CAST(sum(coalesce(t.delta, 0)) OVER (PARTITION BY s.series ORDER BY s.tick) AS BIGINT) AS value
+FROM spine s LEFT JOIN t ON t.series = s.series AND t.tick = s.tick""",
     "list_newest_first": f"""WITH {RUNS}
 SELECT workspace_id, id, created_at,
   row_number() OVER (PARTITION BY workspace_id ORDER BY created_at DESC, id) AS pos FROM runs""",

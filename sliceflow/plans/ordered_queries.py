@@ -89,6 +89,20 @@ def q_current_state(spark, sf):
         F.col("event_id").alias("last_event_id"))
 
 
+def q_state_as_of(spark, sf):
+    """State of the workspace at each of its heartbeats, from the log of all other events."""
+    e = views.job_events(spark, sf).select("workspace_id", "ts", "event_id", "kind")
+    log = e.where("kind <> 'heartbeat'").withColumnsRenamed({"event_id": "change_id", "kind": "state"}).withColumn("since", F.col("ts"))
+    asked = e.where("kind = 'heartbeat'").select("workspace_id", "ts", "event_id")
+    return M.state_as_of(asked, log, ["workspace_id"], "ts", "change_id", ["state", "since", "change_id"])
+
+
+def q_state_intervals(spark, sf):
+    """Validity of every change but heartbeats."""
+    log = views.job_events(spark, sf).where("kind <> 'heartbeat'").select("workspace_id", "ts", "event_id", F.col("kind").alias("state"))
+    return M.validity(log, ["workspace_id"], "ts", "event_id").drop("ts")
+
+
 def q_partial_update(spark, sf):
     ws = views.workspaces(spark, sf)
     c = views.table(spark, sf, "customer").where(F.col("c_mktsegment") == "AUTOMOBILE")
@@ -159,6 +173,8 @@ QUERIES = {
     "first_by_idempotency_key": q_first_by_idempotency_key,
     "first_start": q_first_start,
     "current_state": q_current_state,
+    "state_as_of": q_state_as_of,
+    "state_intervals": q_state_intervals,
     "partial_update": q_partial_update,
     "retention": q_retention,
     "delete_scoped": q_delete_scoped,
@@ -219,6 +235,13 @@ UNION ALL SELECT * FROM e WHERE idempotency_key IS NULL""",
     "current_state": f"""SELECT user_id AS workspace_id,
   arg_max({KIND}, (ts, event_id)) AS state, max(ts) AS updated_at,
   arg_max(event_id, (ts, event_id)) AS last_event_id FROM events GROUP BY user_id""",
+    "state_as_of": f"""WITH c AS (SELECT user_id, ts, arg_max({KIND}, event_id) AS state, max(event_id) AS change_id
+           FROM events WHERE event_type <> 'view' GROUP BY user_id, ts)
+SELECT v.user_id AS workspace_id, v.ts, v.event_id, c.state, c.ts AS since, c.change_id
+FROM (SELECT user_id, ts, event_id FROM events WHERE event_type = 'view') v
+ASOF LEFT JOIN c ON c.user_id = v.user_id AND v.ts >= c.ts""",
+    "state_intervals": f"""SELECT user_id AS workspace_id, event_id, {KIND} AS state, ts AS valid_from,
+  lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to FROM events WHERE event_type <> 'view'""",
     "partial_update": """SELECT c_custkey AS id, c_nationkey AS owner_id,
   CASE WHEN c_mktsegment = 'AUTOMOBILE' AND c_custkey % 3 = 0 THEN lower(c_name)
        WHEN c_mktsegment = 'AUTOMOBILE' AND c_acctbal >= 0 THEN upper(c_name) ELSE c_name END AS name,

@@ -34,6 +34,28 @@ def q_slice_rows_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slices.slice_rows(views.table(spark, sf_dir, "orders").select("o_orderkey", k), "id", 5).drop("id")
 
 
+def q_slice_rows_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 into 100,000 slices: most hold a row or none."""
+    return slices.slice_rows(views.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 100_000)
+
+
+def new_highs(frames, params: dict):
+    """A user job that streams its slice: rows, and how often the price passes all before."""
+    n, highs, top = 0, 0, None
+    for f in frames:
+        for price in f["o_totalprice"]:
+            if top is None or price > top:
+                highs, top = highs + 1, price
+        n += len(f)
+    yield pd.DataFrame({"n_rows": [n], "new_highs": [highs], "top": pd.array([top], dtype="Float64")})
+
+
+def q_slice_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 on slices of any size: rows streamed in key order."""
+    o = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return slices.slice_stream(o, new_highs, "n_rows long, new_highs long, top double", "o_orderkey", 8)
+
+
 def q_schema_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same call on a table with and one without the sample columns."""
     sales = rollup.analyze_slices(views.sales(spark, sf_dir), "o_orderkey", TOTAL, money_scale=MONEY)
@@ -96,7 +118,9 @@ def q_slice_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "slice_rows": q_slice_rows,
+    "slice_rows_many": q_slice_rows_many,
     "slice_apply": q_slice_apply,
+    "slice_stream": q_slice_stream,
     "region_rollup_by_slice": q_region_rollup_by_slice,
     "region_rollup": q_region_rollup,
     "shape_summary": q_shape_summary,
@@ -125,6 +149,24 @@ SELECT o_orderkey,
        CAST(LEAST((row_number() OVER (ORDER BY o_orderkey) - 1)
                   // GREATEST(1, count(*) OVER () // 3), 2) AS INTEGER) AS partition_index
 FROM orders
+""",
+    "slice_rows_many": """
+SELECT o_orderkey, o_custkey,
+       CAST(LEAST((row_number() OVER (ORDER BY o_orderkey) - 1)
+                  // GREATEST(1, count(*) OVER () // 100000), 99999) AS INTEGER) AS partition_index
+FROM orders
+""",
+    "slice_stream": """
+WITH s AS (
+  SELECT o_orderkey, o_totalprice,
+         CAST(LEAST((row_number() OVER (ORDER BY o_orderkey) - 1)
+                    // GREATEST(1, count(*) OVER () // 8), 7) AS INTEGER) AS partition_index
+  FROM orders),
+h AS (SELECT *, max(o_totalprice) OVER (PARTITION BY partition_index ORDER BY o_orderkey
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s)
+SELECT i AS partition_index, count(o_orderkey) AS n_rows,
+       count(*) FILTER (WHERE o_orderkey IS NOT NULL AND (before IS NULL OR o_totalprice > before)) AS new_highs, max(o_totalprice) AS top
+FROM (SELECT CAST(unnest(range(8)) AS INTEGER) AS i) LEFT JOIN h ON partition_index = i GROUP BY i
 """,
     "slice_apply": """
 WITH p AS (

@@ -40,8 +40,8 @@ def q_read_csv(spark, sf):
     path = scratch_path(spark, "sales-csv")
     A.write_dataset(views.sales(spark, sf), path, "csv", order_by="o_orderkey",
                     files=_files(spark))
-    df = R.read_csv(spark, path)
-    sliced = slices.slice_rows_in_file_order(df, 3)
+    df = R.read_csv(spark, path, position="_at")
+    sliced = slices.slice_rows_by_position(df, "_at", 3)
     return rollup.by_slice_rollup(sliced, money_scale=2)
 
 
@@ -49,7 +49,17 @@ def q_slice_file_order(spark, sf):
     """P1 without a key: every row of a CSV dataset with its slice, in file order."""
     path = scratch_path(spark, "sales-csv")
     A.write_dataset(views.sales(spark, sf), path, "csv", order_by="o_orderkey", files=_files(spark))
-    return slices.slice_rows_in_file_order(R.read_csv(spark, path), 4).select("o_orderkey", "region", "partition_index")
+    return slices.slice_rows_in_file_order(R.read_csv(spark, path, multi_line=False), 4).select("o_orderkey", "region", "partition_index")
+
+
+def q_read_csv_multiline(spark, sf):
+    """S1 on large files whose fields hold quotes and line feeds: documents written to a
+    single CSV file, read back in many splits, with their places in the file."""
+    path = scratch_path(spark, "documents-csv")
+    docs = views.table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    A.write_dataset(docs, path, "csv", order_by="doc_id", files=2)
+    back = R.read_csv(spark, path, schema="doc_id long, text string, lang string, source string", position="position")
+    return back.select("position", "doc_id", "lang", "source", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
 def region_extremes(pdf: pd.DataFrame, params: dict) -> pd.DataFrame:
@@ -184,6 +194,7 @@ def q_runner_lines(spark, sf):
 
 QUERIES = {
     "read_csv": q_read_csv,
+    "read_csv_multiline": q_read_csv_multiline,
     "read_by_format": q_read_by_format,
     "dataset_catalog": q_dataset_catalog,
     "write_artifacts": q_write_artifacts,
@@ -202,6 +213,8 @@ _UUID = """substr(md5(CAST({0} AS VARCHAR)), 1, 8) || '-' || substr(md5(CAST({0}
 
 ORACLE = {
     "read_csv": SLICE_ORACLE["region_rollup_by_slice"],
+    "read_csv_multiline": """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, doc_id, lang, source,
+  length(text) AS n_chars, md5(text) AS text_md5 FROM documents""",
     "read_by_format": f"""SELECT f.file_format, r.* FROM ({SLICE_ORACLE['region_rollup']}) r,
   (VALUES ('csv'), ('parquet'), ('json'), ('jsonl')) f(file_format)""",
     "dataset_catalog": " UNION ALL ".join(

@@ -14,8 +14,9 @@ tasks instead of downloaded whole by every task:
   if every value is a spelling of true or false and none is missing, else
   ``string``.  Numbers are what pandas takes for numbers: ``1d`` is text.
 * fields may hold doubled quotes and, with ``multi_line`` (the default), line
-  feeds in quotes.  A file is then read by one task; give
-  ``multi_line=False`` for large files without such fields.
+  feeds in quotes.  A file is read in many splits either way: records are cut
+  by a prefix scan over its lines (``csv_records``).  ``multi_line=False`` is Spark's
+  own reader, for files that hold no such fields.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import FILE_FORMATS, PANDAS_NA_VALUES
+from .csv_records import read_csv_text
 
 
 _INTEGER = r"^\s*[+-]?[0-9]+\s*$"
@@ -68,20 +70,29 @@ def infer_pandas_types(df: DataFrame) -> dict[str, str]:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              pandas_nulls: bool = True, infer: bool = True, header: bool = True,
-             multi_line: bool = True) -> DataFrame:
-    """CSV with a header, pandas missing-value rules, no date inference."""
-    raw = (spark.read.option("header", header).option("inferSchema", False)
-           .option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path))
+             multi_line: bool = True, position: str | None = None) -> DataFrame:
+    """CSV with a header, pandas missing-value rules, no date inference.
+    ``position`` (with ``multi_line``) names a column that numbers the rows in
+    file order."""
+    if multi_line:
+        raw = read_csv_text(spark, path, header, position)
+    elif position is not None:
+        raise ValueError("position needs multi_line")
+    else:
+        raw = (spark.read.option("header", header).option("inferSchema", False)
+               .option("quote", '"').option("escape", '"').csv(path))
+    at = [F.col(f"`{position}`")] if position is not None else []
+    names = [c for c in raw.columns if c != position]
     if pandas_nulls:
-        raw = raw.select(*[_null_sentinels(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+        raw = raw.select(*[_null_sentinels(F.col(f"`{c}`")).alias(c) for c in names], *at)
     if schema is not None:
         st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         return raw.select(*[_as(F.col(f"`{f.name}`"), f.dataType.simpleString()).try_cast(f.dataType).alias(f.name)
-                            for f in st.fields])
+                            for f in st.fields], *at)
     if not infer:
         return raw
-    types = infer_pandas_types(raw)
-    return raw.select(*[_as(F.col(f"`{c}`"), t).alias(c) for c, t in types.items()])
+    types = infer_pandas_types(raw.select(*[F.col(f"`{c}`") for c in names]))
+    return raw.select(*[_as(F.col(f"`{c}`"), t).alias(c) for c, t in types.items()], *at)
 
 
 def read_dataset(spark: SparkSession, path: str, file_format: str,
