@@ -2,8 +2,8 @@
 
 Both tokenizers cut the same bytes. Where a token of each ends and the next token of each
 begins with a space, the text is cut into windows: the ids of the one and of the other
-between two such anchors. Words recur, so windows do: each is aligned once and kept by
-its ids. Within a window, ends that both share cut groups, and tokens whose bytes
+between two such anchors. Words recur, so windows do: each is aligned once in a block and
+kept by its ids. Within a window, ends that both share cut groups, and tokens whose bytes
 overlap are linked.
 
 How often a pair of ids is linked is a count over the whole corpus, which no task has
@@ -20,7 +20,7 @@ import hashlib
 import json
 import uuid
 from collections import defaultdict
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,51 +33,29 @@ from sliceflow.llm.tokenizing import encoder, piece_encoder
 
 #: slices of texts in a block, about a million characters each
 BLOCK_SLICES = 4
-#: aligned windows that a worker keeps; changes speed only
-KEPT = 200_000
+#: words of each tokenizer that a worker keeps; changes speed only
+WORDS_KEPT = 400_000
 
 _BLOCK = pa.schema([("doc_id", pa.list_(pa.int64())), ("n_a", pa.list_(pa.int64())), ("n_b", pa.list_(pa.int64())), ("n_groups", pa.list_(pa.int64())),
                     ("n_links", pa.list_(pa.int64())), ("groups_sha256", pa.list_(pa.string())), ("groups", pa.list_(pa.large_string())), ("n_windows", pa.list_(pa.int64())),
                     ("windows", pa.list_(pa.int32())), ("links", pa.list_(pa.int32())), ("pair_of", pa.list_(pa.int32())), ("pairs", pa.list_(pa.int64()))])
 
 
-def align(a: list[int], b: list[int], a_length: list[int], b_length: list[int]) -> tuple[str, int, list[int]]:
-    """Groups of a window as ``a1,a2|b1;a3|b2``, their number, and the linked pairs
-    ``a << 32 | b``, one for each pair of tokens whose bytes overlap."""
-    groups, links = [], []
-    i = j = first_i = first_j = 0
-    end_a, end_b = a_length[a[0]], b_length[b[0]]
-    while True:
-        links.append(a[i] << 32 | b[j])
-        if end_a == end_b:
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, a[first_i:i])) + "|" + ",".join(map(str, b[first_j:j])))
-            if i == len(a):
-                return ";".join(groups), len(groups), links
-            first_i, first_j = i, j
-            end_a, end_b = end_a + a_length[a[i]], end_b + b_length[b[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a += a_length[a[i]]
-        else:
-            j += 1
-            end_b += b_length[b[j]]
-
-
 class Aligner:
-    """Both tokenizers and the windows that this process has aligned."""
+    """Both tokenizers, and what their ids stand for."""
 
     def __init__(self, a_path: str, b_path: str):
-        self.a, self.b = encoder(a_path, plain=True), piece_encoder(b_path)
+        self.a, self.b = encoder(a_path, plain=True, keep=WORDS_KEPT), piece_encoder(b_path, WORDS_KEPT)
         with open(a_path, encoding="utf-8") as f:
             vocabulary = json.load(f)["model"]["vocab"]
         size = max(self.a.vocabulary, max(vocabulary.values()) + 1)
-        self.a_length, self.a_space = [1] * size, np.zeros(size, dtype=bool)
+        self.a_length, self.a_space = np.ones(size, dtype=np.int64), np.zeros(size, dtype=bool)
         for token, i in vocabulary.items():  # byte-level: a sign for each byte
             self.a_length[i], self.a_space[i] = len(token), token[0] == "Ġ"
-        self.b_length = [max(1, len(x)) for x in self.b.bytes]
+        self.b_length = np.array([max(1, len(x)) for x in self.b.bytes], dtype=np.int64)
         self.b_space = np.array([x[:1] == b" " for x in self.b.bytes])
-        self.kept: dict[tuple[bytes, bytes], tuple[str, int, list[int]]] = {}
+        # ids as they are written: of A within a group or last in it, of B within a group, last in it or last in its window
+        self.written = [f"{i}{end}" for end, n in ((",", size), ("|", size), (",", len(self.b.bytes)), (";", len(self.b.bytes)), ("", len(self.b.bytes))) for i in range(n)]
 
     def windows(self, texts: list[str]) -> tuple[list[tuple[bytes, bytes]], np.ndarray, np.ndarray, np.ndarray]:
         """Windows of all texts in order, and how many windows, A and B ids each text has."""
@@ -88,7 +66,7 @@ class Aligner:
         a, b = np.concatenate(a).astype("<u4"), np.concatenate(b).astype("<u4")
         if not len(a):
             return [], np.zeros(len(texts), np.int64), n_a, n_b
-        end_a, end_b = np.cumsum(np.array(self.a_length)[a]), np.cumsum(np.array(self.b_length)[b])
+        end_a, end_b = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
         at = np.minimum(np.searchsorted(end_b, end_a), len(end_b) - 1)
         i = np.flatnonzero(end_b[at] == end_a)  # shared ends
         j = at[i]
@@ -104,14 +82,31 @@ class Aligner:
         ends = np.searchsorted(i[anchor], np.cumsum(n_a) - 1, side="right")
         return keys, np.diff(ends, prepend=0), n_a, n_b
 
-    def aligned(self, window: tuple[bytes, bytes]) -> tuple[str, int, list[int]]:
-        found = self.kept.get(window)
-        if found is None:
-            if len(self.kept) > KEPT:
-                self.kept.clear()
-            a, b = (memoryview(x).cast("I").tolist() for x in window)
-            self.kept[window] = found = align(a, b, self.a_length, self.b_length)
-        return found
+    def align(self, windows: list[tuple[bytes, bytes]]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Groups of each window as ``a1,a2|b1;a3|b2``, how many groups and how many links
+        each has, and the linked pairs ``a << 32 | b``, one for each pair of tokens whose bytes
+        overlap: where the ends of both sides cut the bytes, each part lies in one token of each."""
+        (a, n_a), (b, n_b) = ((np.frombuffer(b"".join([w[k] for w in windows]), dtype="<u4").astype(np.int64), np.array([len(w[k]) // 4 for w in windows])) for k in (0, 1))
+        end_a, end_b = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
+        ends = np.union1d(end_a, end_b)
+        i, j = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
+        of = np.searchsorted(np.cumsum(n_a) - 1, i)
+        shared = (end_a[i] == ends) & (end_b[j] == ends)
+        last_a, last_b = i[shared], j[shared]  # of each group
+        in_a, in_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        place_a = np.arange(len(a)) + np.repeat(np.cumsum(in_b) - in_b, in_a)
+        place_b = np.arange(len(b)) + np.repeat(np.cumsum(in_a), in_b)
+        size_a, size_b = len(self.a_length), len(self.b_length)
+        code = np.empty(len(a) + len(b), dtype=np.int64)
+        code[place_a], code[place_b] = a, 2 * size_a + b
+        code[place_a[last_a]] += size_a
+        code[place_b[last_b]] += size_b
+        stop = place_b[np.cumsum(n_b) - 1]
+        code[stop] += size_b
+        written = list(map(self.written.__getitem__, code.tolist()))
+        stop = (stop + 1).tolist()
+        texts = ["".join(written[s:e]) for s, e in zip([0, *stop], stop)]
+        return texts, np.bincount(of[shared], minlength=len(windows)), np.bincount(of, minlength=len(windows)), a[i] << 32 | b[j]
 
 
 class _Block:
@@ -119,25 +114,25 @@ class _Block:
 
     def __init__(self, aligner: Aligner, with_groups: bool):
         self.aligner, self.with_groups = aligner, with_groups
-        self.number = defaultdict(count().__next__)
-        self.found: list[tuple[str, int, list[int]]] = []
+        self.number = defaultdict(count().__next__)  # of each window, by its ids
+        self.text: list[str] = []
+        self.n_groups = self.n_links = self.links = np.empty(0, np.int64)
         self.docs = defaultdict(list)
         self.windows: list[np.ndarray] = []
 
     def add(self, ids: list, texts: list[str | None]) -> None:
         keys, each, n_a, n_b = self.aligner.windows([t or "" for t in texts])
         at = np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))
-        fresh = at >= len(self.found)
-        for k in np.flatnonzero(fresh).tolist():
-            if at[k] == len(self.found):
-                self.found.append(self.aligner.aligned(keys[k]))
-        text, groups, links = zip(*self.found) if self.found else ((), (), ())
-        n_groups, n_links = np.array(groups, dtype=np.int64), np.array(list(map(len, links)), dtype=np.int64)
+        if len(self.number) > len(self.text):
+            text, n_groups, n_links, links = self.aligner.align(list(islice(self.number, len(self.text), None)))
+            self.text += text
+            self.n_groups, self.n_links = np.concatenate([self.n_groups, n_groups]), np.concatenate([self.n_links, n_links])
+            self.links = np.concatenate([self.links, links])
         ends = np.cumsum(each)
-        for name, per in (("n_groups", n_groups), ("n_links", n_links)):
+        for name, per in (("n_groups", self.n_groups), ("n_links", self.n_links)):
             total = np.concatenate([[0], np.cumsum(per[at])])
             self.docs[name] += (total[ends] - total[ends - each]).tolist()
-        at_list = at.tolist()
+        text, at_list = self.text, at.tolist()
         for e, n in zip(ends.tolist(), each.tolist()):
             joined = ";".join([text[k] for k in at_list[e - n: e]])
             self.docs["groups_sha256"].append(hashlib.sha256(joined.encode()).hexdigest() if n else "")
@@ -152,11 +147,10 @@ class _Block:
     def batch(self) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
         """The block as a row, its pairs, and how often each is linked in it."""
         windows = np.concatenate(self.windows)
-        n_links = np.array([len(x[2]) for x in self.found], dtype=np.int64)
-        pairs, of = np.unique(np.array([y for x in self.found for y in x[2]], dtype=np.int64), return_inverse=True)
-        times = np.bincount(windows, minlength=len(self.found))
-        n = np.bincount(of, weights=np.repeat(times, n_links), minlength=len(pairs)).astype(np.int64)
-        values = {**self.docs, "windows": windows, "links": n_links.astype(np.int32), "pair_of": of.astype(np.int32), "pairs": pairs}
+        pairs, of = np.unique(self.links, return_inverse=True)
+        times = np.bincount(windows, minlength=len(self.text))
+        n = np.bincount(of, weights=np.repeat(times, self.n_links), minlength=len(pairs)).astype(np.int64)
+        values = {**self.docs, "windows": windows, "links": self.n_links.astype(np.int32), "pair_of": of.astype(np.int32), "pairs": pairs}
         row = [pa.array([values.get(f.name, [])], f.type) for f in _BLOCK]
         return pa.RecordBatch.from_arrays(row, schema=_BLOCK), pairs, n
 

@@ -19,7 +19,7 @@ from sliceflow.llm.common import per_process
 
 #: pieces kept in a worker; when there are more, those of the last slice of texts
 #: stay, which changes speed only
-CACHE = 1_200_000
+CACHE = 900_000
 #: white space other than space and line feed
 _ODD = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0                　"
 #: runs of three spaces and line feeds, which pre-tokenizers treat as a whole
@@ -42,9 +42,10 @@ class CachedEncoder:
     """Ids as of ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``;
     with ``plain`` the strings of special tokens are ordinary text."""
 
-    def __init__(self, path: str, plain: bool = False):
+    def __init__(self, path: str, plain: bool = False, keep: int = CACHE):
         from tokenizers import Tokenizer
 
+        self.keep = keep
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         with open(path, encoding="utf-8") as f:
@@ -131,7 +132,7 @@ class CachedEncoder:
         """uint32 ids of each text."""
         parts = [self._pieces(t) for t in texts]
         used = set(chain.from_iterable(parts))
-        if len(self.cache) > CACHE:
+        if len(self.cache) > self.keep:
             self.runs = {}
             self.cache = {p: self.cache[p] for p in used if p in self.cache}
         if self.spaced or self.blank_free:
@@ -152,9 +153,10 @@ class PieceEncoder:
     #: words of a text: spaces go with the word after them, a line feed begins a new one
     WORDS = re.compile(r" +[^ \n]*|\n[^ \n]*")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, keep: int = CACHE):
         from sentencepiece import SentencePieceProcessor
 
+        self.keep = keep
         self.model = SentencePieceProcessor(model_file=path)
         self.pieces = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
         self.byte = [self.model.is_byte(i) for i in range(len(self.pieces))]
@@ -193,7 +195,7 @@ class PieceEncoder:
                 found = t.replace("\n", " \n").split(" ")
                 parts.append([" " + w if w[:1] != "\n" else w for w in found])
         used = set(chain.from_iterable(parts))
-        if len(self.cache) > CACHE:
+        if len(self.cache) > self.keep:
             self.cache = {w: self.cache[w] for w in used if w in self.cache}
             self.bad &= used
         new = [w for w in used if w not in self.cache]
@@ -202,11 +204,11 @@ class PieceEncoder:
         return [None if self.bad and not self.bad.isdisjoint(p) else np.frombuffer(b"".join(map(self.cache.__getitem__, p)), dtype="<u4") for p in parts]
 
 
-def piece_encoder(path: str) -> PieceEncoder:
+def piece_encoder(path: str, keep: int = CACHE) -> PieceEncoder:
     """The encoder of this process for a model file."""
-    return per_process(("pieces", path), lambda: PieceEncoder(path))
+    return per_process(("pieces", path, keep), lambda: PieceEncoder(path, keep))
 
 
-def encoder(path: str, plain: bool = False) -> CachedEncoder:
+def encoder(path: str, plain: bool = False, keep: int = CACHE) -> CachedEncoder:
     """The encoder of this process for a tokenizer file."""
-    return per_process(("tokens", path, plain), lambda: CachedEncoder(path, plain))
+    return per_process(("tokens", path, plain, keep), lambda: CachedEncoder(path, plain, keep))
