@@ -70,6 +70,36 @@ def q_quarantine(spark, sf):
     return spark.read.parquet(dead).select("key", "original_payload", "error", "topic")
 
 
+def flaky(frame):
+    """A handler that fails ``id % 5`` times for every message."""
+    return [None if n > i % 5 else f"attempt {n} failed" for i, n in zip(frame["id"], frame["attempt"])]
+
+
+def q_retry_dead_letters(spark, sf):
+    """T2, transient failures: some heal after an attempt or two, some never."""
+    e = views.table(spark, sf, "events").select(F.col("event_id").alias("id"), "event_type", "ts")
+    path = S.replay_files(e, scratch_path(spark, "events"), "ts", FILES)
+    st = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = scratch_path(spark, "attempts")
+    done = S.deliver_with_retries(st.withColumnRenamed("event_type", "payload"), flaky, "1 day")
+    S.run_available(lambda: S.to_parquet_sink(done, out, scratch_path(spark, "ck")), spark=spark)
+    return spark.read.parquet(out)
+
+
+def q_undelivered_stream(spark, sf):
+    """U1 while the stream runs: what no publication followed within a day.  Errors are never
+    published, others up to two hours later."""
+    e = views.table(spark, sf, "events").select("event_id", "ts", "event_type")
+    path = S.replay_files(e, scratch_path(spark, "events"), "ts", FILES)
+    read = lambda: spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    late = F.col("ts") + F.make_dt_interval(mins=F.pmod("event_id", F.lit(120)).cast("int"))
+    found = S.undelivered_stream(read().select(F.col("event_id").alias("id"), F.col("ts").alias("created_at")),
+                                 read().where("event_type <> 'error'").select(F.col("event_id").alias("id"), late.alias("published_at")), "1 DAY", "6 hours")
+    out = scratch_path(spark, "undelivered")
+    S.run_available(lambda: S.to_parquet_sink(found, out, scratch_path(spark, "ck")), spark=spark)
+    return spark.read.parquet(out)
+
+
 def _deduped(spark, sf) -> DataFrame:
     ev = S.good_events(S.parse_events(_topic_stream(spark, sf)))
     return S.dedup_events(ev, "10 days")
@@ -156,6 +186,8 @@ def q_admission_stream(spark, sf):
 QUERIES = {
     "parse_events": q_parse_events,
     "quarantine": q_quarantine,
+    "retry_dead_letters": q_retry_dead_letters,
+    "undelivered_stream": q_undelivered_stream,
     "dedup_events": q_dedup_events,
     "state_fold_stream": q_state_fold_stream,
     "progress_stream": q_progress_stream,
@@ -175,6 +207,16 @@ SELECT * FROM events WHERE event_id % 97 <> 0 AND event_type = 'purchase'""",
 UNION ALL
 SELECT CAST(user_id AS VARCHAR), '{"event_id":', 'malformed JSON', 'job.events.deadletter' FROM events
 WHERE event_id % 97 = 0 AND event_type = 'purchase'""",
+    # attempts 2 and 3 are made one and three minutes later, once the watermark is there
+    "retry_dead_letters": """WITH w AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 DAY AS wm FROM events),
+e AS (SELECT event_id AS id, event_type AS payload, date_trunc('milliseconds', ts) AS ts, event_id % 5 AS k FROM events)
+SELECT id, payload, CAST(least(k + 1, 3) AS INTEGER) AS attempts, k < 3 AS delivered,
+  CASE WHEN k >= 3 THEN 'attempt 3 failed' END AS error
+FROM e, w WHERE k = 0 OR (k = 1 AND ts + INTERVAL 1 MINUTE <= wm) OR (k >= 2 AND ts + INTERVAL 3 MINUTE <= wm)""",
+    "undelivered_stream": """WITH p AS (SELECT event_id, ts + to_minutes(CAST(event_id % 120 AS INTEGER)) AS sent FROM events WHERE event_type <> 'error'),
+w AS (SELECT date_trunc('milliseconds', least((SELECT max(ts) FROM events), (SELECT max(sent) FROM p))) - INTERVAL 6 HOUR AS wm)
+SELECT event_id AS id, ts AS created_at FROM events e, w WHERE ts + INTERVAL 1 DAY < wm
+AND NOT EXISTS (SELECT 1 FROM p WHERE p.event_id = e.event_id AND p.sent BETWEEN e.ts AND e.ts + INTERVAL 1 DAY)""",
     "dedup_events": _GOOD,
     "state_fold_stream": ORD_ORACLE["current_state"].replace(
         "FROM events GROUP BY user_id", "FROM events WHERE event_id % 97 <> 0 GROUP BY user_id"),

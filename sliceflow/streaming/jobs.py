@@ -41,6 +41,10 @@ EVENT_SCHEMA = T.StructType([
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
+#: attempts before a message goes to the dead letters
+MAX_ATTEMPTS = 3
+
+
 # ------------------------------------------------------------ event time
 
 def event_time(c: str) -> Column:
@@ -156,6 +160,85 @@ def split_sinks(parsed: DataFrame, good_path: str, dead_path: str, checkpoint: s
             .trigger(availableNow=True).start())
 
 
+ATTEMPT_OUT = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("payload", T.StringType()),
+    T.StructField("attempts", T.IntegerType()),
+    T.StructField("delivered", T.BooleanType()),
+    T.StructField("error", T.StringType()),
+])
+# Per bucket: parallel arrays, an entry for each message that waits for its next attempt.
+WAITING_STATE = T.StructType([
+    T.StructField("ids", T.ArrayType(T.LongType())),
+    T.StructField("payloads", T.ArrayType(T.StringType())),
+    T.StructField("attempts", T.ArrayType(T.IntegerType())),
+    T.StructField("due_ms", T.ArrayType(T.LongType())),
+])
+
+
+def deliver_with_retries(messages: DataFrame, handler: Callable[[pd.DataFrame], list], delay: str,
+                         max_attempts: int = MAX_ATTEMPTS, backoff_ms: int = 60_000, buckets: int | None = None) -> DataFrame:
+    """T2, transient failures: ``handler(frame)`` gets messages (id, payload, attempt from 1)
+    and gives an error text or None for each.  A message that fails waits in the state
+    and is tried again ``attempt * backoff_ms`` of event time later; after the last attempt it
+    is given up with its error.
+
+    ``messages``: (id, payload, ts).  One row per message once it is delivered or given up:
+    (id, payload, attempts, delivered, error).  Only messages that have failed are
+    state; a null id or payload is handled like others.  Attempts are due by the
+    watermark, so a replay gives the same rows."""
+
+    def fn(bkey, pdfs, state):
+        wm = state.getCurrentWatermarkMs()
+        waiting = list(zip(*state.get)) if state.exists else []
+        turn = [(i, p, n + 1, due) for i, p, n, due in waiting if due <= wm]
+        waiting = [x for x in waiting if x[3] > wm]
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                ids = [None if pd.isna(x) else int(x) for x in pdf["id"]]
+                times = pdf["_wts"].to_numpy("datetime64[ms]").astype("int64").tolist()
+                turn += [(i, None if pd.isna(p) else p, 1, t) for i, p, t in zip(ids, pdf["payload"], times)]
+        done = []
+        while turn:
+            frame = pd.DataFrame({"id": pd.array([x[0] for x in turn], dtype="Int64"), "payload": [x[1] for x in turn], "attempt": [x[2] for x in turn]})
+            again = []
+            for (i, p, n, at), error in zip(turn, handler(frame)):
+                due = at + n * backoff_ms
+                if error is None or n >= max_attempts:
+                    done.append((i, p, n, error is None, error))
+                elif due <= wm:
+                    again.append((i, p, n + 1, due))
+                else:
+                    waiting.append((i, p, n, due))
+            turn = again
+        if waiting:
+            state.update(tuple(list(x) for x in zip(*waiting)))
+            state.setTimeoutTimestamp(min(x[3] for x in waiting))
+        elif state.exists:
+            state.remove()
+        if done:
+            out = pd.DataFrame(done, columns=ATTEMPT_OUT.names)
+            yield out.astype({"id": "Int64"})
+
+    t = (_bucketed(messages.select("id", "payload", "ts"), "id", buckets)
+         .withColumn("_wts", event_time("ts")).withWatermark("_wts", delay).drop("ts"))
+    return t.groupBy("_bucket").applyInPandasWithState(
+        fn, ATTEMPT_OUT, WAITING_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def undelivered_stream(outbox: DataFrame, published: DataFrame, horizon: str, delay: str) -> DataFrame:
+    """U1 on streams: (id, created_at) of outbox rows of which no publication came in the
+    ``horizon`` after them.  ``outbox``: (id, created_at), ``published``: (id, published_at).
+
+    A left outer join of two streams with a watermark each: both sides keep rows for
+    the horizon only, and a row is reported once the watermark is past it.  Rows without
+    an id have no publication."""
+    made = outbox.select(F.col("id").alias("_id"), "created_at", event_time("created_at").alias("_made")).withWatermark("_made", delay)
+    sent = published.select(F.col("id").alias("_sent_id"), event_time("published_at").alias("_sent")).withWatermark("_sent", delay)
+    on = (F.col("_id") == F.col("_sent_id")) & (F.col("_sent") >= F.col("_made")) & (F.col("_sent") <= F.col("_made") + F.expr(f"INTERVAL {horizon}"))
+    return made.join(sent, on, "left_outer").where(F.col("_sent_id").isNull()).select(F.col("_id").alias("id"), "created_at")
+
+
 def dedup_events(events: DataFrame, delay: str, key: str = "event_id",
                  ts: str = "ts") -> DataFrame:
     """Drop redelivered copies (same event id) arriving within ``delay``."""
@@ -323,16 +406,25 @@ _BIG = np.iinfo("int64").max
 def _bucketed(events: DataFrame, key: str, buckets: int | None) -> DataFrame:
     if buckets is None:
         buckets = STATE_BUCKETS_PER_CORE * max(1, events.sparkSession.sparkContext.defaultParallelism)
-    return events.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)))
+    # a null key has a bucket of its own
+    return events.withColumn("_bucket", F.when(F.col(key).isNull(), F.lit(NULL_BUCKET)).otherwise(F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))))
+
+
+NULL_BUCKET = -1
+
+
+def _named(k, bkey):
+    """Keys of a bucket as they were: null in the bucket of the null key."""
+    return pd.array([pd.NA] * len(k), dtype="Int64") if bkey[0] == NULL_BUCKET else k
 
 
-def _load_bucket(pdfs, state, key: str):
+def _load_bucket(pdfs, state, key: str, bkey):
     """Rows of one bucket for one batch, sorted by (key, ts, event_id), with
     each row's carried state; rows not newer than their key's state are late
     and dropped.  Returns (rows, seg, first, carry, keys, table)."""
     parts = list(pdfs)
     pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    k = pdf[key].to_numpy("int64")
+    k = np.zeros(len(pdf), dtype="int64") if bkey[0] == NULL_BUCKET else pdf[key].to_numpy("int64")
     us = pdf["ts"].to_numpy("datetime64[us]").astype("int64")
     eid = pdf["event_id"].to_numpy("int64")
     order = np.lexsort((eid, us, k))
@@ -383,7 +475,7 @@ def streak_stream(events: DataFrame, failed_kind: str, threshold: int,
     active keys / 1000 so a bucket's state stays small."""
 
     def fn(bkey, pdfs, state):
-        pdf, k, us, eid, seg, first, carry, table = _load_bucket(pdfs, state, "workspace_id")
+        pdf, k, us, eid, seg, first, carry, table = _load_bucket(pdfs, state, "workspace_id", bkey)
         if not len(k):
             return
         f = (pdf["kind"] == failed_kind).to_numpy()
@@ -395,7 +487,7 @@ def streak_stream(events: DataFrame, failed_kind: str, threshold: int,
         _store_bucket(state, table, k, us, eid, seg, streak[last])
         sel = streak >= threshold
         if sel.any():
-            yield pd.DataFrame({"workspace_id": k[sel], "event_id": eid[sel],
+            yield pd.DataFrame({"workspace_id": _named(k[sel], bkey), "event_id": eid[sel],
                                 "ts": pdf["ts"][sel].to_numpy(), "streak": streak[sel]})
 
     ev = _bucketed(events.select("workspace_id", "event_id", "ts", "kind"), "workspace_id",
@@ -411,7 +503,7 @@ def admission_stream(events: DataFrame, submit_kind: str, release_kind: str,
     ``before_t = S_{t-1} + min(c0, min over earlier submits of (limit - S_j))``."""
 
     def fn(bkey, pdfs, state):
-        pdf, k, us, eid, seg, first, c0, table = _load_bucket(pdfs, state, "workspace_id")
+        pdf, k, us, eid, seg, first, c0, table = _load_bucket(pdfs, state, "workspace_id", bkey)
         if not len(k):
             return
         kind = pdf["kind"].to_numpy()
@@ -425,7 +517,7 @@ def admission_stream(events: DataFrame, submit_kind: str, release_kind: str,
         last = np.r_[np.nonzero(np.diff(seg))[0], len(seg) - 1]
         after = s[last] + np.minimum(c0[last], cm[last])
         _store_bucket(state, table, k, us, eid, seg, after)
-        yield pd.DataFrame({"workspace_id": k, "event_id": eid, "running_before": before,
+        yield pd.DataFrame({"workspace_id": _named(k, bkey), "event_id": eid, "running_before": before,
                             "admitted": pd.Series(before < limit, dtype="boolean")
                             .where(sub, pd.NA)})
 
@@ -456,12 +548,12 @@ def missed_heartbeats(beats: DataFrame, limit_us: int, delay: str,
     of its unreported keys."""
     limit_ms = limit_us // 1000
 
-    def open_gaps(table: pd.DataFrame, wm_ms: int):
+    def open_gaps(table: pd.DataFrame, wm_ms: int, bkey):
         due = table["last_us"].to_numpy() // 1000 + limit_ms
         hit = (table["value"].to_numpy() == 0) & (due <= wm_ms)
         out = None
         if hit.any():
-            out = pd.DataFrame({"workspace_id": table.index.to_numpy()[hit],
+            out = pd.DataFrame({"workspace_id": _named(table.index.to_numpy()[hit], bkey),
                                 "from_ts": pd.to_datetime(table["last_us"].to_numpy()[hit],
                                                           unit="us"),
                                 "to_ts": pd.NaT, "gap_us": None, "open": True})
@@ -482,14 +574,14 @@ def missed_heartbeats(beats: DataFrame, limit_us: int, delay: str,
             st = state.get
             table = pd.DataFrame({"last_us": st[1], "last_id": st[2], "value": st[3]},
                                  index=pd.Index(st[0], dtype="int64"))
-            table, out = open_gaps(table, wm)
+            table, out = open_gaps(table, wm, bkey)
             state.update((table.index.to_numpy().tolist(), table["last_us"].tolist(),
                           table["last_id"].tolist(), table["value"].tolist()))
             schedule(state, table, wm)
             if out is not None:
                 yield out
             return
-        pdf, k, us, eid, seg, first, _, table = _load_bucket(pdfs, state, "workspace_id")
+        pdf, k, us, eid, seg, first, _, table = _load_bucket(pdfs, state, "workspace_id", bkey)
         if not len(k):
             return
         prev_known = table.index.get_indexer(k)
@@ -503,14 +595,14 @@ def missed_heartbeats(beats: DataFrame, limit_us: int, delay: str,
         table = pd.DataFrame({"last_us": st[1], "last_id": st[2], "value": st[3]},
                              index=pd.Index(st[0], dtype="int64"))
         # a bucket with data gets no timeout call: report its due keys here
-        table, out = open_gaps(table, wm)
+        table, out = open_gaps(table, wm, bkey)
         state.update((table.index.to_numpy().tolist(), table["last_us"].tolist(),
                       table["last_id"].tolist(), table["value"].tolist()))
         schedule(state, table, wm)
         if out is not None:
             yield out
         if sel.any():
-            yield pd.DataFrame({"workspace_id": k[sel],
+            yield pd.DataFrame({"workspace_id": _named(k[sel], bkey),
                                 "from_ts": pd.to_datetime(prev[sel], unit="us"),
                                 "to_ts": pd.to_datetime(us[sel], unit="us"),
                                 "gap_us": gap[sel], "open": False})

@@ -126,3 +126,56 @@ def test_a_task_counts_once(spark):
     log = spark.createDataFrame(rows, "task_id long, run_id long, state string, seq int")
     got = S.progress(S.latest_task_states(log, ["seq"])).first()
     assert tuple(got) == (7, 2, 1, 0, 1, 0)
+
+
+def _null_keys(spark):
+    rows = [(None if i % 3 else 7, i, f"2024-01-{1 + i // 20:02d} 00:{i % 20:02d}:00", "failed" if i % 7 else "submitted") for i in range(120)]
+    return spark.createDataFrame(rows, "workspace_id long, event_id long, ts string, kind string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_null_keys_are_a_key_like_others(spark, files):
+    ev = _null_keys(spark)
+    got = _run(spark, S.streak_stream(_stream(spark, ev, files), "failed", 3, 4))
+    want = W.true_streak(ev, ["workspace_id"], ORDER, F.col("kind") == "failed", "streak").where(F.col("streak") >= 3).select("workspace_id", "event_id", "ts", "streak")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert {r["workspace_id"] for r in got.collect()} == {None, 7}
+    got = _run(spark, S.admission_stream(_stream(spark, ev, files), "submitted", "failed", 2, 4))
+    want = W.admission_fold(ev, ["workspace_id"], ORDER, F.col("kind") == "submitted", F.col("kind") == "failed", 2).select("workspace_id", "event_id", "running_before", "admitted")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    gaps = _run(spark, S.missed_heartbeats(_stream(spark, ev, files), 10 * 60 * 1_000_000, "1 hour", 4)).where(~F.col("open"))
+    prev = W.previous_value(ev, ["workspace_id"], ORDER, "ts", "from_ts").where(ntz_micros(F.col("ts")) - ntz_micros(F.col("from_ts")) > 10 * 60 * 1_000_000)
+    assert sorted(map(tuple, gaps.select("workspace_id", "from_ts", "to_ts").collect()), key=str) == sorted(map(tuple, prev.select("workspace_id", "from_ts", "ts").collect()), key=str)
+
+
+@pytest.mark.parametrize("files,buckets", [(1, 8), (5, 2)])
+def test_retries(spark, files, buckets):
+    ev = _null_keys(spark).select(F.when(F.col("event_id") != 5, F.col("event_id")).alias("id"), F.when(F.col("event_id") != 6, F.col("kind")).alias("payload"), "ts")
+
+    def handler(frame):
+        return [None if n > (0 if str(i) == "<NA>" else i % 5) else f"no {n}" for i, n in zip(frame["id"], frame["attempt"])]
+
+    got = _run(spark, S.deliver_with_retries(_stream(spark, ev, files), handler, "1 day", 3, 60_000, buckets)).collect()
+    end = max(r["ts"] for r in ev.collect()) - timedelta(days=1)
+    want = []
+    for r in ev.collect():
+        k = 0 if r["id"] is None else r["id"] % 5
+        if k == 0 or r["ts"] + timedelta(minutes=1 if k == 1 else 3) <= end:
+            want.append((r["id"], r["payload"], min(k + 1, 3), k < 3, None if k < 3 else "no 3"))
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert {r[3] for r in want} == {True, False}
+
+
+def test_undelivered_rows_appear_when_time_is_closed(spark):
+    ev = _null_keys(spark).withColumn("id", F.when(F.col("event_id") != 3, F.col("event_id")))
+    made = ev.select("id", F.col("ts").alias("created_at"))
+    # every fourth is never published, the others at once; 8 too late
+    sent = ev.where("event_id % 4 <> 0 or event_id = 8").select("id", F.when(F.col("event_id") == 8, F.col("ts") + F.expr("INTERVAL 2 DAYS")).otherwise(F.col("ts")).alias("published_at"))
+
+    def source(df, col):
+        return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(S.replay_files(df, scratch_path(spark, "t-src"), col, 3))
+    got = _run(spark, S.undelivered_stream(source(made, "created_at"), source(sent, "published_at"), "1 DAY", "1 hour")).collect()
+    rows = ev.collect()
+    end = min(max(r["ts"] for r in rows), max(r["published_at"] for r in sent.collect())) - timedelta(hours=1)
+    want = [(r["id"], r["ts"]) for r in rows if (r["event_id"] % 4 == 0 or r["id"] is None) and r["ts"] + timedelta(days=1) < end]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str) and len(want) > 10
