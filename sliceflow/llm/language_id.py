@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sliceflow.llm.common import mix64, only, text_slices, word_hashes, worker
+from sliceflow.llm.common import mix64, only, spill, text_slices, word_hashes, worker
 
 #: labelled rows of each language that frequencies are counted over, at most
 TRAIN_DOCS = 2_000
@@ -128,27 +128,41 @@ def learn(docs: DataFrame, limit: int = TRAIN_DOCS, id_col: str = "doc_id", text
     driver is bounded by the words of these rows."""
     rows = (only(docs, id=id_col, text=text_col, lang=lang_col).where("text is not null and lang is not null")
             .select(F.xxhash64("id", "text").alias("h"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")))
-    share = rows.groupBy("lang").agg(F.count("*").alias("all"))
-    # a hash of twice the wanted share of rows first, so that what tasks order is about the sample itself
+    # a row for each language, of which the model holds frequencies
+    share = F.broadcast(rows.groupBy("lang").agg(F.count("*").alias("all")))
+    # a hash of twice the wanted share of rows first, so that texts of the sample alone are sent
     near = rows.join(share, "lang").where(F.pmod("h", F.greatest(F.lit(1), F.floor(F.col("all") / (2 * limit)))) == 0)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
     sample = near.select("lang", "h", "text").withColumn("place", place).where(F.col("place") <= limit).select("lang", "text")
-    counted = (sample.repartition("lang", F.xxhash64("text")).mapInArrow(_frequencies, "lang string, kind int, hash long, n long")
-               .groupBy("lang", "kind", "hash").agg(F.sum("n").alias("n")).toPandas())
-    names = sorted(counted["lang"].unique())
+    counted = spill(sample.repartition("lang", F.xxhash64("text")).mapInArrow(_frequencies, "lang string, kind int, hash long, n long")
+                    .groupBy("lang", "kind", "hash").agg(F.sum("n").alias("n")), "frequencies")
+    names = [r["lang"] for r in counted.select("lang").distinct().orderBy("lang").collect()]
+    packed = counted.mapInArrow(_pack(names), "kind binary, lang binary, hash binary, n binary").collect()
+    kinds, langs, hashes, n = (np.frombuffer(b"".join([r[i] for r in packed]), dtype=t) for i, t in enumerate((np.int8, np.int32, np.uint64, np.int64)))
     tables = []
     for kind in range(LONGEST + 1):
-        part = counted[counted["kind"] == kind]
-        lang = part["lang"].map({x: i for i, x in enumerate(names)}).to_numpy(dtype=np.int32)
-        n, key = part["n"].to_numpy(dtype=np.float64), part["hash"].to_numpy(dtype=np.int64).view(np.uint64)
-        all_of = np.bincount(lang, weights=n, minlength=len(names))
+        at = kinds == kind
+        lang, key, times = langs[at], hashes[at], n[at].astype(np.float64)
+        all_of = np.bincount(lang, weights=times, minlength=len(names))
         order = np.lexsort((lang, key))
         keys, first = np.unique(key[order], return_index=True)
-        cost = np.minimum(-np.log10(n / all_of[lang]), PENALTY).astype(np.float32)
+        cost = np.minimum(-np.log10(times / all_of[lang]), PENALTY).astype(np.float32)
         tables.append((keys, np.append(first, len(key)).astype(np.int64), lang[order], cost[order]))
     return Languages(names, tables)
 
 
+def _pack(names: list[str]):
+    """Rows of a batch as arrays of bytes, which are small to collect."""
+    number = {x: i for i, x in enumerate(names)}
+
+    def run(batches):
+        for b in batches:
+            lang, kind, key, n = b.columns
+            values = (kind.to_numpy().astype(np.int8), np.array([number[x] for x in lang.to_pylist()], dtype=np.int32), key.to_numpy(), n.to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in values], names=["kind", "lang", "hash", "n"])
+    return worker(run)
+
+
 def _predict(model: Languages, texts: list[str | None], rows: dict[str, int], held: list[np.ndarray]) -> tuple[list[str], np.ndarray]:
     """Language and score of each text. ``rows`` and ``held`` keep scores of words."""
     found = [words_of(t) if t else [] for t in texts]
