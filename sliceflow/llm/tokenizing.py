@@ -29,15 +29,27 @@ _ASCII_BLANK = re.compile(r"[ \t\r\n]+")
 #: what every pre-tokenizer here cuts alike: runs of Latin letters, digits and ASCII
 #: marks; an apostrophe may begin a contraction and is left to the library
 _LETTERS, _MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", "!-&(-/:-@\\[-`{-~"
+_WORD = re.compile(f"[{_LETTERS}]+")
 _PLAIN, _PARTS = re.compile(f"[0-9{_LETTERS}{_MARKS}]+"), re.compile(f"[{_LETTERS}]+|[0-9]+|[{_MARKS}]+")
 #: byte-level tokenizers write bytes that are not printable as code points from 256 on
 _PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-_BYTE_CHARS = np.arange(256, dtype="<u4")
-_BYTE_CHARS[[b for b in range(256) if b not in _PRINTED]] = 256 + np.arange(256 - len(_PRINTED))
+_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_WRITTEN = {c: "".join(chr(_BYTE_CHARS.get(b, b)) for b in chr(c).encode()) for c in (0x20, *range(0xC0, 0x100))}
 #: before a piece that is not to get a space: a code point no text can hold
 _AS_IS = "\ud800"
 
 
+class _Kept(dict):
+    """What ``make`` gives for each key, made once."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key):
+        self[key] = value = self.make(key)
+        return value
+
+
 class CachedEncoder:
     """Ids as of ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``;
     with ``plain`` the strings of special tokens are ordinary text."""
@@ -60,51 +72,49 @@ class CachedEncoder:
         self.blank_free = (simple and pre.get("type") == "Sequence" and steps[0].get("type") == "Split" and steps[0].get("invert")
                            and steps[0].get("behavior") == "Removed" and r"[^\s\p{L}\p{N}]+" in steps[0]["pattern"].get("Regex", ""))
         self.added = [] if plain else [t["content"] for t in added]
-        self.runs: dict[str, bytes] = {}
-        self.cache: dict[str, bytes] = {}
+        self._model = self.tokenizer.model.tokenize
+        self.runs, self.cache = _Kept(self._run), _Kept(self._piece)
 
-    def _tokenize(self, runs: list[str]) -> None:
-        """Ids of runs that the pre-tokenizer would find: they go to the model at once."""
-        raw = "\n".join(runs if self.spaced else map(str.lower, runs)).encode()
-        written = _BYTE_CHARS[np.frombuffer(raw, dtype=np.uint8)].tobytes().decode("utf-32-le").split(chr(_BYTE_CHARS[10]))
-        tokenize = self.tokenizer.model.tokenize
-        for run, text in zip(runs, written):
-            self.runs[run] = array("I", [t.id for t in tokenize(text)]).tobytes()
-
-    def _fill(self, pieces: list[str]) -> None:
-        """Put pieces into the cache. Pieces of plain runs are made of the ids of these."""
-        cache, lead = self.cache, " " if self.spaced else ""
-        alone, single, mixed, parts = [], [], [], []  # pieces of one run and that run, others and their runs
-        for p in pieces:
-            if p.isalpha() and p.isascii():
-                alone.append(p)
-                single.append(lead + p)
-                continue
-            text = self._text(p)
-            body = text.lstrip(" \n")
-            before = text[:len(text) - len(body)]
-            if (not before or before == " " or before == "\n") and _PLAIN.fullmatch(body) and not ("<" in body and any(a in body for a in self.added)):
-                found = _PARTS.findall(body)
-                if self.blank_free:
-                    if any(map(str.isdigit, found)):  # every digit is alone
-                        found = [y for x in found for y in (x if x.isdigit() else (x,))]
-                elif before == " ":
-                    found[0] = " " + found[0]
-                elif before:
-                    found.insert(0, "\n")
-                mixed.append(p)
-                parts.append(found)
-            else:
-                cache[p] = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        runs = self.runs
-        if "\n" not in runs:
-            runs["\n"] = array("I", self.tokenizer.encode("\n", add_special_tokens=False).ids).tobytes()
-        new = set(single).union(*parts).difference(runs)
-        if new:
-            self._tokenize(list(new))
-        cache.update(zip(alone, map(runs.__getitem__, single)))
-        for p, found in zip(mixed, parts):
-            cache[p] = b"".join(map(runs.__getitem__, found))
+    def _encode(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _run(self, run: str) -> bytes:
+        """Ids of what the pre-tokenizer would find: it goes to the model at once."""
+        if run == "\n":
+            return self._encode(run)
+        if not self.spaced:
+            run = run.lower()
+        if not run.isascii():
+            run = run.translate(_WRITTEN)
+        elif run[0] == " ":
+            run = _WRITTEN[0x20] + run[1:]
+        return array("I", [t.id for t in self._model(run)]).tobytes()
+
+    def _piece(self, p: str) -> bytes:
+        """Ids of a piece. Pieces of plain runs are made of the ids of these."""
+        if not (self.spaced or self.blank_free):
+            return self._encode(p)
+        if p.isalpha():  # the usual ones first
+            if p.isascii() or _WORD.fullmatch(p):
+                return self.runs[" " + p if self.spaced else p]
+        elif p[-1:] in (".", ","):
+            word = p[:-1]
+            if word.isalpha() and (word.isascii() or _WORD.fullmatch(word)):
+                return self.runs[" " + word if self.spaced else word] + self.runs[p[-1]]
+        text = self._text(p)
+        body = text.lstrip(" \n")
+        before = text[:len(text) - len(body)]
+        if before not in ("", " ", "\n") or not _PLAIN.fullmatch(body) or "<" in body and any(a in body for a in self.added):
+            return self._encode(text)
+        found = _PARTS.findall(body)
+        if self.blank_free:
+            if any(map(str.isdigit, found)):  # every digit is alone
+                found = [y for x in found for y in (x if x.isdigit() else (x,))]
+        elif before == " ":
+            found[0] = " " + found[0]
+        elif before:
+            found.insert(0, "\n")
+        return self.runs[found[0]] if len(found) == 1 else b"".join(map(self.runs.__getitem__, found))
 
     def _pieces(self, text: str) -> list[str]:
         """Pieces whose ids, one after the other, are the ids of ``text``. In
@@ -131,16 +141,10 @@ class CachedEncoder:
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text."""
         parts = [self._pieces(t) for t in texts]
-        used = set(chain.from_iterable(parts))
-        if len(self.cache) > self.keep:
-            self.runs = {}
-            self.cache = {p: self.cache[p] for p in used if p in self.cache}
-        if self.spaced or self.blank_free:
-            self._fill([p for p in used if p not in self.cache])
-        else:
-            for p in used:
-                if p not in self.cache:
-                    self.cache[p] = array("I", self.tokenizer.encode(p, add_special_tokens=False).ids).tobytes()
+        if len(self.cache) > self.keep:  # what these texts need stays
+            held = self.cache
+            self.runs, self.cache = _Kept(self._run), _Kept(self._piece)
+            self.cache.update((p, held[p]) for p in set(chain.from_iterable(parts)) if p in held)
         return [np.frombuffer(b"".join(map(self.cache.__getitem__, p)), dtype="<u4") for p in parts]
 
 
