@@ -21,13 +21,14 @@ compared block against block.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sliceflow.llm.common import connected_components, hash_sample, spill, worker
-from sliceflow.llm.vectors import dimension, lists, matrix, usable
+from sliceflow.llm.vectors import dimensions, lists, matrix, usable
 
 THRESHOLD = 0.98
 #: vectors that the rotation is learned from, at most; those of the smallest hash
@@ -185,22 +186,33 @@ def near_vectors(rows: DataFrame, threshold: float = THRESHOLD, id_col: str = "v
 
     Two vectors link when their labels are equal and not null and their cosine
     in double precision is ``threshold`` or more. Vectors that are null, empty,
-    zero, or hold null or non-finite components link with nothing, as do those of
-    another length than the commonest. Every row is a vector: rows that repeat an id count
+    zero, or hold null or non-finite components link with nothing. Vectors of different
+    lengths never link; each length has codes of its own. Every row is a vector: rows that repeat an id count
     each. Null ids are never the smallest; a component of null ids has id
     null. Other columns are ignored; an empty table gives no rows.
     """
     base = rows.select(rows[id_col].cast("long").alias("vec_id"), rows[vector_col].cast("array<double>").alias("embedding"), rows[label_col].cast("long").alias("label"))
-    whole = base.where(usable(F.col("embedding")) & F.col("label").isNotNull())
-    d = dimension(whole, "embedding") or 0
-    takes_part = usable(F.col("embedding")) & F.col("label").isNotNull() & (F.size("embedding") == d)
+    takes_part = usable(F.col("embedding")) & F.col("label").isNotNull()
     node = F.xxhash64("label", "embedding")
     base = base.withColumn("node", F.when(takes_part, node))
     copies = spill(base.where("node is not null").groupBy("node", "label", "embedding").agg(F.count("*").alias("w"), F.min("vec_id").alias("least"))
                    .select("node", "label", "embedding", "w", "least"), "vectors")
-    sample = hash_sample(copies.select("node", "embedding"), F.xxhash64("node"), SAMPLE).select("embedding").toArrow()
-    if not sample.num_rows:
+    found = [_linked(copies.where(F.size("embedding") == d), threshold) for d in dimensions(copies, "embedding")]
+    if not found:
         return base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
+    named = reduce(DataFrame.unionByName, found)
+    root = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.join(root, "component").select(F.col("node").alias("_node"), "n_links", "component_id")
+    out = base.select("vec_id", "node").join(named, F.col("node") == F.col("_node"), "left")
+    component = F.when(F.col("_node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"),
+                      F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+
+
+def _linked(copies: DataFrame, threshold: float) -> DataFrame:
+    """(node, least, n_links, component) of the distinct vectors (node, label, embedding,
+    w, least) of one length."""
+    sample = hash_sample(copies.select("node", "embedding"), F.xxhash64("node"), SAMPLE).select("embedding").toArrow()
     most = copies.groupBy("label").count().agg(F.max("count")).first()[0]
     s = max(6, math.ceil(math.log2(max(1, most) / BUCKET)))
     r, tables, radius = fit(unit(matrix(sample["embedding"])), s, threshold)
@@ -216,14 +228,8 @@ def near_vectors(rows: DataFrame, threshold: float = THRESHOLD, id_col: str = "v
                   .mapInArrow(_compare(threshold, radius), "node long, lo long, n long"), "links")
     degree = links.groupBy("node").agg(F.sum("n").alias("n"))
     group = connected_components(links.select("node", "lo"))
-    named = copies.select("node", "w", "least").join(degree, "node", "left").join(group, "node", "left").select(
+    return copies.select("node", "w", "least").join(degree, "node", "left").join(group, "node", "left").select(
         "node", "least", (F.coalesce("n", F.lit(0).cast("long")) + F.col("w") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
-    root = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(root, "component").select(F.col("node").alias("_node"), "n_links", "component_id")
-    out = base.select("vec_id", "node").join(named, F.col("node") == F.col("_node"), "left")
-    component = F.when(F.col("_node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"),
-                      F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
 
 def op6_itq_dedup(spark, sf_dir):

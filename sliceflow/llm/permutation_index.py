@@ -18,12 +18,14 @@ file where it meets. A query that finds too few is compared with all vectors.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sliceflow.llm.common import hash_sample, spill, worker
-from sliceflow.llm.vectors import dimension, matrix, usable
+from sliceflow.llm.vectors import dimensions, matrix, usable
 
 PIVOTS = 128
 LENGTH = 32
@@ -189,17 +191,22 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
     precision, ties to the smaller id; a row of the query's id is no
     candidate.
 
-    Rows without an id, and vectors that are null, empty, zero, hold null or
-    non-finite components or have another length than the commonest take no part,
-    neither as queries nor as candidates. Repeated rows count once. Other
-    columns are ignored; empty tables give no rows.
+    Rows without an id, and vectors that are null, empty, zero or hold null or
+    non-finite components take no part, neither as queries nor as candidates.
+    Vectors of another length are no candidates; each length has an index of its own.
+    Repeated rows count once. Other columns are ignored; empty tables give no rows.
     """
     base = rows.select(rows[id_col].cast("long").alias("id"), rows[vector_col].alias("vector")).where(F.col("id").isNotNull() & usable(F.col("vector")))
-    d = dimension(base, "vector")
     asked = queries.select(queries[id_col].cast("long").alias("id"), queries[vector_col].alias("vector")).where(F.col("id").isNotNull() & usable(F.col("vector")))
-    if d is None:
+    of = lambda t, d: t.where(F.size("vector") == d).dropDuplicates(["id", "vector"])
+    found = [_nearest(of(base, d), of(asked, d), k) for d in dimensions(base, "vector")]
+    if not found:
         return asked.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).where("false")
-    base, asked = (t.where(F.size("vector") == d).dropDuplicates(["id", "vector"]) for t in (base, asked))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest(base: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The search among vectors of one length."""
     sample = hash_sample(base, F.xxhash64("id"), SAMPLE).select("vector").toArrow()
     pivots, length, files, bound = fit(matrix(sample["vector"]), k)
     kind = base.schema["vector"].dataType.simpleString()

@@ -13,10 +13,9 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def dimension(rows: DataFrame, vector: str) -> int | None:
-    """The commonest length of the vectors of ``rows``, ties to the smaller."""
-    top = rows.groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return top["d"] if top else None
+def dimensions(rows: DataFrame, vector: str) -> list[int]:
+    """The lengths that the vectors of ``rows`` have."""
+    return [r["d"] for r in rows.select(F.size(vector).alias("d")).distinct().orderBy("d").collect()]
 
 
 def matrix(column, kind=np.float64) -> np.ndarray:

@@ -135,3 +135,22 @@ def test_footrule_is_that_of_the_definition():
     for o in order[:10]:
         mine = index.places(o[None], 12)[0]
         assert (index.footrule(place, o) == np.abs(place - mine).sum(1)).all()
+
+
+def test_every_length_is_compared(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(n).tolist(), 0, "n") for n in (1, 2, 3, 8) for i in range(n * 100, n * 100 + 14)]
+    rows += [(900, [1.0, 2.0], 1, "n"), (901, [1.0, 2.0], 1, "n"), (902, [2.0, 4.0], 1, "n"), (903, [1.0, 2.0, 0.0], 1, "n"), (904, [5.0], 1, "n"), (905, [7.0], 1, "n"), (906, [-7.0], 1, "n")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    links = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in itq_dedup.near_vectors(df).collect()}
+    vec = {r[0]: (np.array(r[1], dtype=np.float32).astype(float), r[2]) for r in rows}
+    for i, (x, label) in vec.items():
+        same = [j for j, (y, other) in vec.items() if j != i and len(y) == len(x) and other == label and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.98]
+        assert links[i][0] == len(same), i
+    assert [links[i][1] for i in range(900, 907)] == [900, 900, 900, 903, 904, 904, 906]
+    got = index.nearest(df, df.where("vec_id in (105, 203, 805, 900)"), 4).collect()
+    for q in (105, 203, 805, 900):
+        mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        near = sorted((float(np.sqrt(((y - vec[q][0]) ** 2).sum())), j) for j, (y, _) in vec.items() if j != q and len(y) == len(vec[q][0]))
+        assert len(mine) == 4 and {v for _, v, _ in mine} <= {j for _, j in near}
+        assert q != 900 or [v for _, v, _ in mine] == [j for _, j in near[:4]]
