@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -25,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sliceflow.llm.common import hash_sample, spill, text_slices, worker
+from sliceflow.llm.common import hash_sample, per_process, spill, text_slices, worker
 
 #: what characters stand for in disguised words (fixed values)
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -36,8 +37,8 @@ SEPARATORS = set(".-_*~·,'`:;/\\ ")
 SWAP, KEEP, DROP, STAY, ONE, TWO, SINGLE = 0.5, 14.0, 0.2, 4.0, 0.7, 0.7, 3.0
 #: labelled documents that the weights are learned from, at most
 TRAIN_DOCS = 20_000
-#: words and beginnings that have a weight, at most; those of the largest weights
-FEATURES = 50_000
+#: tokens whose weights a worker keeps; changes speed only
+KEPT = 400_000
 THRESHOLD = 0.7
 #: near copies agree in so many of their min-hashes; bands of four find them
 HASHES, ALIKE = 64, 52
@@ -265,7 +266,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, folds: tuple[int,
     both = each.select(F.concat(F.lit("="), "word").alias("x"), "toxic", "clean").unionByName(heads)
     m, p, z = F.col("toxic") + F.col("clean"), F.col("toxic") / (F.col("toxic") + F.col("clean")), 1.64
     low = (p + z * z / (2 * m) - z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
-    kept = (both.where("toxic >= 5").select("x", low.alias("low")).where("low >= 0.5").orderBy(F.desc("low"), "x").limit(FEATURES).collect())
+    kept = (both.where("toxic >= 5").select("x", low.alias("low")).where("low >= 0.5").collect())
     return {"base": base, "weights": {r["x"]: min(math.log(r["low"] / (1 - r["low"])) - base, 9.0) for r in kept}}
 
 
@@ -274,15 +275,38 @@ def word_weight(word: str, weights: dict[str, float]) -> float:
     return max((weights.get(x, 0.0) for x in ("=" + word, *("^" + p for p in _prefixes(word)))), default=0.0)
 
 
+_RUN = re.compile(r"(.)\1+", re.S)
+
+
 class _Hits(dict):
     """Token -> ((word, weight), ...) for its words that have a weight."""
 
     def __init__(self, model, weights):
         self.model, self.weights = model, weights
+        #: how weighted words begin; all of them have three letters at least
+        self.starts = {x[1:4] for x in weights}
+
+    def _without(self, token: str) -> bool:
+        """Whether it is plain that no word of a token has a weight: it is a word, perhaps
+        with a point or comma after it, and none of its readings begins like one that has. Letters
+        may be read as one or two, so readings of a word begin with its first three different
+        letters, or with two of them of which one is double."""
+        word = token.rstrip(".,")
+        if not word.isalpha():
+            return False
+        if word[:3] in self.starts:
+            return False
+        if not _RUN.search(word):
+            return True
+        a, b, c = (_RUN.sub(r"\1", word[:64]) + "   ")[:3]
+        return len(word) < 64 and not {a + b + c, a + a + b, a + b + b, a + a + a, a + a, a + b}.intersection(self.starts)
 
     def __missing__(self, token: str) -> tuple:
-        if len(self) > 100_000:
+        if len(self) > KEPT:
             self.clear()
+        if self._without(token):
+            self[token] = ()
+            return ()
         found = ((w, word_weight(w, self.weights)) for w in restored_words(token, self.model) if len(w) > 2)
         self[token] = hits = tuple(x for x in found if x[1] > 0)
         return hits
@@ -300,11 +324,11 @@ def with_score(docs: DataFrame, model: np.ndarray, fitted: dict, name: str = "sc
     share of toxic documents. A column of that name is replaced, others are
     kept; repeated rows are scored each."""
     shared = docs.sparkSession.sparkContext.broadcast((model, fitted["weights"]))
-    base = fitted["base"]
+    base, own = fitted["base"], uuid.uuid4().hex
 
     @worker
     def scores(series):
-        hits = _Hits(*shared.value)
+        hits = per_process(("toxicity", own), lambda: _Hits(*shared.value))
         for text in series:
             yield pd.Series([text_score(t, hits, base) for t in text], dtype="float64")
 
