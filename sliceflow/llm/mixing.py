@@ -27,6 +27,8 @@ BLOCK = 16
 #: words in a shard, about
 SHARD = 1 << 22
 #: a source has so many shards at most
+#: rows of a shard on average, at most
+SHARD_ROWS = 1_000_000
 SLOTS = 1 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -80,28 +82,30 @@ def sainte_lague(units: DataFrame, group: list[str], order: list[str], entitleme
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, block: int = BLOCK, shard: int = SHARD, seed: int = 0,
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: list[str] | None = None) -> DataFrame:
     """Adds (size, source_size, target, taken) to every row of ``docs``: words of
     its text (null: 0), of its source, the words that its source should
     give, and those that the mix takes of this row, repeats counted.
 
     A row is taken ``repeats`` times its size at most. Columns of these four
-    names are replaced, other columns are kept whatever they are called. Rows
+    names are replaced, other columns are kept whatever they are called (those of ``keep``
+    alone, if it is given: texts that nobody wants are not sent). Rows
     that repeat an id are rows of their own; null sources are one source, the
     last. An empty table gives no rows. The same seed gives the same mix.
     """
     made = ["size", "source_size", "target", "taken"]
-    own = [c for c in docs.columns if c not in made]
-    row = docs.select(F.struct(*[docs[c] for c in own]).alias("row"))
-    key = [F.col(f"row.`{c}`") for c in (source_col, id_col, text_col)]
-    row = (row.withColumn("source", key[0].cast("string")).withColumn("size", word_count(key[2]))
-           .withColumn("draw", F.xxhash64(F.lit(seed), key[1], key[2])).withColumn("slot", F.pmod("draw", F.lit(SLOTS))))
-    slots = spill(row.groupBy("source", "slot").agg(F.sum("size").alias("words")), "slots")
+    own = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    row = docs.select(F.struct(*[docs[c] for c in own]).alias("row"), docs[id_col].alias("id"), docs[source_col].cast("string").alias("source"), word_count(docs[text_col]).alias("size"),
+                      F.xxhash64(F.lit(seed), docs[id_col], docs[text_col]).alias("draw")).withColumn("slot", F.pmod("draw", F.lit(SLOTS)))
+    slots = spill(row.groupBy("source", "slot").agg(F.sum("size").alias("words"), F.count("*").alias("rows")), "slots")
+    heads = slots.groupBy("source").agg(F.sum("rows").alias("rows")).withColumnRenamed("source", "_h")
 
     s = targets(slots.groupBy("source").agg(F.sum("words").alias("source_size")), weights, repeats)
     s = s.withColumn("blocks", F.col("target") / block).withColumn("seats", F.round(F.sum("target").over(Window.partitionBy()) / block))
     s = sainte_lague(s, [], ["place"], "blocks", "seats", "quota")
-    s = s.withColumn("shards", F.greatest(F.lit(1), F.least(F.lit(SLOTS), F.ceil(F.col("source_size") / shard))).cast("long"))
+    # a shard has so many words and rows on average, whichever are more
+    parts = F.greatest(F.col("source_size") / shard, F.col("rows") / SHARD_ROWS)
+    s = (s.join(heads, F.col("source").eqNullSafe(F.col("_h"))).withColumn("shards", F.greatest(F.lit(1), F.least(F.lit(SLOTS), F.ceil(parts))).cast("long")).drop("_h", "rows"))
 
     u = slots.join(s.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).withColumn("shard", F.pmod("slot", F.col("shards")))
     u = (u.groupBy("place", "shard").agg(F.first("source").alias("source"), F.first("shards").alias("shards"), F.first("source_size").alias("source_size"),
@@ -117,7 +121,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPE
     n = u.groupBy("_s").agg(F.first("shards").alias("shards")).withColumnRenamed("_s", "_n")
     row = row.join(n, F.col("source").eqNullSafe(F.col("_n"))).withColumn("_shard", F.pmod("slot", F.col("shards"))).drop("shards", "_n")
     row = row.join(u.drop("shards"), F.col("source").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("shard")))
-    order = Window.partitionBy("source", "shard").orderBy("draw", F.col(f"row.`{id_col}`"), "size").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("source", "shard").orderBy("draw", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     row = row.withColumn("start", F.coalesce(F.sum("size").over(order), F.lit(0).cast("long")))
     end = F.col("start") + F.col("size")
     overlap = lambda a, b: F.greatest(F.least(end, b) - F.greatest(F.col("start"), a), F.lit(0).cast("long"))
@@ -130,11 +134,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix with their own columns: every row as often as the
     words taken of it fill it, to the nearest whole document; rows of which
     less than half is taken, and those without words, go."""
-    t = mix(docs, **options)
+    at = {name: i for i, name in reversed(list(enumerate(docs.columns)))}
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # whatever the names are
+    t = mix(plain, id_col=f"c{at['doc_id']}", text_col=f"c{at['text']}", source_col=f"c{at['source']}", **options)
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(F.lit(0)).cast("int")
     t = t.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies)))
-    return t.select(*docs.columns)
+    return t.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)])
 
 
 def op5_mixing(spark, sf_dir):
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")

@@ -125,13 +125,13 @@ def _allowed(distance, x, y, percent: int):
 
 
 def _first_pass(k: int, percent: int):
-    schema = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("sketch", pa.binary()), ("short", pa.binary())])
+    schema = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("sketch", pa.binary()), ("short", pa.binary()), ("text", pa.int64())])
 
-    def batch(kind, key, node, size, sketch=None, short=None):
+    def batch(kind, key, node, size, sketch=None, short=None, text=None):
         n = len(node)
         return pa.RecordBatch.from_arrays([
             pa.array(np.full(n, kind, np.int8)), key if isinstance(key, pa.Array) else pa.array(key), pa.array(node, pa.int64()), pa.array(size, pa.int32()),
-            *(pa.nulls(n, pa.binary()) if x is None else pa.array(x, pa.binary()) for x in (sketch, short))], schema=schema)
+            *(pa.nulls(n, pa.binary()) if x is None else pa.array(x, pa.binary()) for x in (sketch, short)), pa.nulls(n, pa.int64()) if text is None else text], schema=schema)
 
     def run(batches):
         # rows of kind 0: documents (key: doc_id); 1: keys; 2: sets with sketch
@@ -153,7 +153,7 @@ def _first_pass(k: int, percent: int):
                     new.append((nodes[-1], len(s), wide.tobytes(), short_sketch(wide).tobytes()))
                     keys.append(part_keys(s, percent).view(np.int64))
                     owner.append(len(new) - 1)
-                yield batch(0, ids.slice(i, j - i).cast(pa.int64()), nodes, sizes)
+                yield batch(0, ids.slice(i, j - i).cast(pa.int64()), nodes, sizes, text=b.column(2).slice(i, j - i))
                 if new:
                     n, z, *sk = zip(*new)
                     yield batch(2, pa.nulls(len(n), pa.int64()), list(n), list(z), *sk)
@@ -336,6 +336,21 @@ def _cells(rows: DataFrame, blocks: DataFrame) -> DataFrame:
             .repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j"))
 
 
+#: bits of the filter that keeps texts from being sent in vain: 65,536 rows are broadcast at most
+FILTER_BITS = 1 << 22
+
+
+def with_bits(rows: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` without most of those that have no row of ``wanted`` with equal columns ``on``: a
+    hash of these is a bit, and rows of other bits go. It leaves more when there are many
+    wanted, and never takes one that is."""
+    bit = F.pmod(F.xxhash64(*on), F.lit(FILTER_BITS))
+    mask = F.expr("shiftleft(1L, cast(pmod(_bit, 64) as int))")
+    split = lambda t: t.withColumn("_bit", bit).withColumn("_word", F.floor(F.col("_bit") / 64)).withColumn("_mask", mask)
+    words = split(wanted.select(*on)).groupBy("_word").agg(F.bit_or("_mask").alias("_set"))
+    return split(rows).join(F.broadcast(words), "_word").where(F.col("_set").bitwiseAND(F.col("_mask")) != 0).select(*rows.columns)
+
+
 def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: (doc_id, n_shingles, component_id).
 
@@ -350,9 +365,9 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80, id_col: st
     """
     if not 50 <= percent < 100:
         raise ValueError("percent must be from 50 to 99")
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    first = spill(base.mapInArrow(_first_pass(k, percent), "kind byte, key long, node long, size int, sketch binary, short binary"), "sketches")
-    documents = spill(first.where("kind = 0").select(F.col("key").alias("doc_id"), "node", F.col("size").cast("long").alias("n_shingles")), "documents")
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
+    first = spill(base.select("id", "text", "hash").mapInArrow(_first_pass(k, percent), "kind byte, key long, node long, size int, sketch binary, short binary, text long"), "sketches")
+    documents = spill(first.where("kind = 0").select(F.col("key").alias("doc_id"), "node", F.col("size").cast("long").alias("n_shingles"), F.col("text").alias("hash")), "documents")
     sets = spill(first.where("kind = 2").dropDuplicates(["node"]).select("node", "size", "sketch", "short"), "sets")
 
     bucket = spill(first.where("kind = 1").select("key", "node").repartition("key").sortWithinPartitions("key", "node")
@@ -368,14 +383,20 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80, id_col: st
              .mapInArrow(_cell_edges(percent), "a long, b long"))
     candidates = spill(connected_components(near.unionByName(dense), contract=False), "candidates")
 
-    # the sets of candidate components, each made from one document that has it
-    chosen = (documents.join(candidates, "node").groupBy("node", "component").agg(F.min("doc_id").alias("id"))
-              .withColumnRenamed("component", "grp").withColumn("size", F.lit(0)))
-    rows = base.join(chosen, "id").select("node", "grp", "size", F.col("text").alias("data"))
+    # the sets of candidate components, each made from one document that has it; of all texts
+    # only these are sent, but for a few that share a bit with one of them
+    row = [F.col("id").isNull().alias("none"), F.coalesce("id", F.lit(0).cast("long")).alias("id"), "hash"]
+    chosen = (documents.withColumnRenamed("doc_id", "id").join(candidates, "node").select("node", "component", F.struct(*row).alias("row"))
+              .groupBy("node", "component").agg(F.min("row").alias("row")).select("node", F.col("component").alias("grp"), "row.*", F.lit(0).alias("size")))
+    chosen = spill(chosen, "chosen")
+    wanted = with_bits(base.select(*row, "text"), chosen, ["none", "id", "hash"])
+    texts = wanted.groupBy("none", "id", "hash").agg(F.first("text").alias("data"))  # rows that repeat are one
+    rows = texts.join(chosen, ["none", "id", "hash"]).select("node", "grp", "size", "data")
     blocks = sets.join(candidates, "node").groupBy(F.col("component").alias("grp")).agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.col("size").cast("long")) / BLOCK_SHINGLES)).cast("long").alias("c"))
     links = _cells(rows, blocks).mapInArrow(_cell_edges(percent, k), "a long, b long")
     joined = connected_components(links, contract=False)
     # a document is a node too, so that rows that repeat an id hold together
+    documents = documents.drop("hash")
     smallest = documents.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = smallest.join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "least")
     component = (named.groupBy("component").agg(F.min("least").alias("root")).join(named.select("node", "component"), "component")

@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sliceflow.llm.common import hash_sample, per_process, spill, text_slices, worker
+from sliceflow.llm.common import hash_sample, only, per_process, spill, text_slices, worker
 
 #: what characters stand for in disguised words (fixed values)
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -349,13 +349,13 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows whose texts score below the threshold, with their own columns."""
-    model = character_model(docs)
-    fitted = fit(docs, labels, model)
-    name = "toxicity"
-    while name in docs.columns:
-        name += "_"
-    return with_score(docs, model, fitted, name).where(F.col(name) < threshold).select(*docs.columns)
+    """The rows whose texts score below the threshold, with their own columns, of any name."""
+    known = only(docs, doc_id="doc_id", text="text")
+    model = character_model(known)
+    fitted = fit(known, labels, model)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # whatever the names are
+    scored = with_score(plain, model, fitted, "score", f"c{docs.columns.index('text')}")
+    return scored.where(F.col("score") < threshold).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op8_toxicity(spark, sf_dir):
