@@ -24,13 +24,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of rows linked by a Jaccard similarity of 0.8 of their five-word shingles, that
     with the smallest doc_id stays (of equal ids by a hash of the text, null last). An id
     is a name only: rows that repeat one, or have none, are linked by their texts like
-    others. Rows of the same id and text are one."""
-    row = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
-    rows = docs.withColumn("_row", row)
-    group = similar_documents(rows, k=5, percent=80, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id").distinct()
-    kept = (rows.select("_row", "doc_id").distinct().join(group, "_row").groupBy("component_id")
-            .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first")).select("first._row"))
-    return rows.join(kept, "_row", "left_semi").groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    others. Rows of the same id and text are one, that whose other columns come first as JSON.
+    Columns of any name and type come back as they were. Rows whose hashes meet by
+    chance all stay."""
+    at = {name: i for i, name in reversed(list(enumerate(docs.columns)))}
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    doc_id, text = F.col(f"c{at['doc_id']}"), F.col(f"c{at['text']}")
+    rest = [c for i, c in enumerate(plain.columns) if i not in (at["doc_id"], at["text"])]
+    rows = plain.select(F.struct(*plain.columns).alias("row"), doc_id.alias("doc_id"), text.alias("text"), F.to_json(F.struct(F.lit(0).alias("_"), *rest)).alias("rest"),
+                        F.xxhash64(doc_id.isNull(), doc_id, text.isNull(), text).alias("key"), F.xxhash64(text, F.lit("second"), doc_id).alias("second"))
+    group = similar_documents(rows, k=5, percent=80, id_col="key").select(F.col("doc_id").alias("key"), "component_id").distinct()
+    names = spill(rows.select("key", "second", "doc_id").distinct(), "names")
+    first = (names.join(group, "key").groupBy("component_id")
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")).select("first.key"))
+    met = names.groupBy("key").agg(F.min("second").alias("lo"), F.max("second").alias("hi")).where("lo <> hi").select("key")
+    kept = rows.select("key", "second", "row", "rest").join(first.union(met).distinct(), "key", "left_semi")
+    one = kept.groupBy("key", "second").agg(F.min_by("row", "rest").alias("row"))
+    return one.select(*[F.col(f"row.c{i}").alias(name) for i, name in enumerate(docs.columns)])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
