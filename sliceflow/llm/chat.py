@@ -48,9 +48,21 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
+def _size(part: dict, name: str, default: float) -> float:
+    """A size that a part gives; the default if it is no number from 0 to 2^31."""
+    x = part.get(name, default)
+    return x if isinstance(x, (int, float)) and not isinstance(x, bool) and 0 <= x <= 1 << 31 else default
+
+
+def _valid(text: str) -> str:
+    """Text without lone surrogates, which JSON can hold and UTF-8 can't."""
+    return text if text.isascii() else text.encode("utf-8", "replace").decode()
+
+
 class Flatten:
     """Visitor over the parts of a message: ``text`` is what they flatten to,
-    ``attachments`` what it refers to."""
+    ``attachments`` what it refers to. A part that is none of the known ones (another type,
+    a number, a list) is the text of its JSON, null is nothing."""
 
     def __init__(self):
         self.out: list[str] = []
@@ -63,32 +75,41 @@ class Flatten:
 
     def visit(self, part) -> None:
         kind = part.get("type") if isinstance(part, dict) else None
-        if isinstance(part, str):
-            self.visit_text({"text": part})
-        elif kind in ("text", *PLACEHOLDERS):
+        if isinstance(kind, str) and kind in ("text", *PLACEHOLDERS):
             getattr(self, f"visit_{kind}")(part)
-        else:
-            raise ValueError(f"unknown content part: {str(part)[:80]}")
+        elif part is not None:
+            self.visit_text({"text": part})
 
     def _put(self, text: str) -> None:
         self.out.append(text)
         self.length += len(text)
 
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
-        self.attachments.append((kind, str(part.get("ref", "")), self.length, tokens))
+        self.attachments.append((kind, _valid(str(part.get("ref", ""))), self.length, tokens))
         self._put(PLACEHOLDERS[kind])
 
     def visit_text(self, part: dict) -> None:
-        self._put(escape(part.get("text") or ""))
+        text = part.get("text")
+        text = "" if text is None else text if isinstance(text, str) else json.dumps(text, ensure_ascii=False)
+        self._put(escape(_valid(text)))
 
     def visit_image(self, part: dict) -> None:
-        self._attach("image", part, math.ceil(part.get("width", PATCH) / PATCH) * math.ceil(part.get("height", PATCH) / PATCH))
+        self._attach("image", part, math.ceil(_size(part, "width", PATCH) / PATCH) * math.ceil(_size(part, "height", PATCH) / PATCH))
 
     def visit_audio(self, part: dict) -> None:
-        self._attach("audio", part, math.ceil(part.get("seconds", 0) * AUDIO_RATE))
+        self._attach("audio", part, math.ceil(_size(part, "seconds", 0) * AUDIO_RATE))
 
     def visit_document(self, part: dict) -> None:
-        self._attach("document", part, int(part.get("pages", 1)) * PAGE_TOKENS)
+        self._attach("document", part, int(_size(part, "pages", 1)) * PAGE_TOKENS)
+
+
+def message_parts(content: str | None) -> list:
+    """The parts that a message's JSON lists; text that is no JSON is one part."""
+    try:
+        parts = json.loads(content) if content is not None else []
+    except (ValueError, RecursionError):
+        return [content]
+    return parts if isinstance(parts, list) else [parts]
 
 
 def format_message(role: str | None, parts: list) -> tuple[str, int, int, list]:
@@ -121,8 +142,7 @@ def _format(parts: bool):
             for i in range(0, b.num_rows, 512):
                 rows = []
                 for conv, turn, role, content in zip(*(c.to_pylist() for c in b.slice(i, 512).columns)):
-                    message = (json.loads(content) if parts else [content]) if content is not None else []
-                    segment, start, stop, found = format_message(role, message if isinstance(message, list) else [message])
+                    segment, start, stop, found = format_message(role, message_parts(content) if parts else [content])
                     rows.append((conv, turn, segment, start, stop, [dict(zip(("kind", "ref", "position", "tokens"), a)) for a in found]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _MESSAGE.types)], schema=_MESSAGE)
     return worker(run)

@@ -6,6 +6,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 import sys
 import types
 import zlib
@@ -98,7 +99,7 @@ def filesystem(uri: str):
         return fs.LocalFileSystem(), uri
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))  # names that Hadoop has for it
 
 
 def crc32_ids(ids: np.ndarray) -> int:

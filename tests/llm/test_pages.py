@@ -181,3 +181,14 @@ def test_records_are_validated():
     for old, new in ((b"sha256:", b"sha256:0"), (b"Payload-Length: 120", b"Payload-Length: 121"), (b"WARC-Type: response", b"WARC-Type: resource")):
         with pytest.raises(warc.WarcError):
             warc.page_row(*warc.parse_record(good.replace(old, new)))
+
+
+@pytest.mark.parametrize("content,text,tokens", [
+    ('[{"type": "text"', '[{"type": "text"', []), ('["a", 5, [1], null, {"type": "video", "x": 1}]', 'a5[1]{"type": "video", "x": 1}', []),
+    ('[{"type": "image", "width": null, "height": 56}]', "<|image|>", [2]), ('[{"type": "audio", "seconds": "long"}, {"type": "audio", "seconds": 2}]', "<|audio|><|audio|>", [0, 50]),
+    ('[{"type": "document", "pages": -3}, {"type": "image", "width": 1e300}, {"type": "audio", "seconds": NaN}]', "<|document|><|image|><|audio|>", [256, 1, 0]),
+    ('[{"type": "text", "text": 7}, {"type": ["text"]}]', '7{"type": ["text"]}', []), ('"\\ud800x"', "?x", []), ("[" * 100_000, "[" * 100_000, []), (None, "", []), ("<|turn|>", "<|turn|>", [])])
+def test_bad_parts_have_a_defined_result(spark, content, text, tokens):
+    row = chat.format_messages(spark.createDataFrame([(1, 0, "user", content)], "conv_id long, turn long, role string, text string"), parts=True).first()
+    assert chat.parse_segment(row["segment"]) == ("user", text)
+    assert [a["tokens"] for a in row["attachments"]] == tokens
