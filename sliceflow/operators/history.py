@@ -7,6 +7,8 @@ one entity at a time; here each is one job over all entities.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +65,41 @@ def removed_children(child: DataFrame, fk: str, removed: DataFrame, key: str,
             .select(child_key))
 
 
+def cascade(tables: dict[str, DataFrame], keys: dict[str, str], links: list[tuple[str, str, str]],
+            removed: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """J5 over any schema: for each table the keys of the rows that go when the rows of
+    ``removed`` (table -> frame with its key column) go.
+
+    ``keys``: key column of each table; ``links``: (child table, foreign key, parent table).
+    Parents come before their children; a table that refers to itself is followed in
+    rounds, each a table in the shared folder, until a round finds nothing new, so a
+    chain may have any length.  Null foreign keys refer to nothing.  Circles of several
+    tables are refused."""
+    waiting, done = list(tables), {}
+    while waiting:
+        ready = [t for t in waiting if all(p in done or p == t for c, _, p in links if c == t)]
+        if not ready:
+            raise ValueError(f"tables refer to each other in a circle: {waiting}")
+        for name in ready:
+            key, rows = keys[name], tables[name]
+            gone = [removed[name].select(key)] if name in removed else []
+            for child, fk, parent in links:
+                if child == name and parent != name:
+                    lost = done[parent].select(F.col(keys[parent]).alias(fk))
+                    gone.append(rows.join(lost, fk, "left_semi").select(key))
+            found = (reduce(DataFrame.unionByName, gone) if gone else rows.select(key).where(F.lit(False))).distinct()
+            own = [fk for child, fk, parent in links if child == name and parent == name]
+            if own:
+                found = fresh = materialize(found, "cascade")
+                while not fresh.isEmpty():
+                    below = [rows.join(fresh.select(F.col(key).alias(fk)), fk, "left_semi").select(key) for fk in own]
+                    fresh = materialize(reduce(DataFrame.unionByName, below).distinct().join(found, key, "left_anti"), "cascade")
+                    found = found.unionByName(fresh)
+            done[name] = found
+            waiting.remove(name)
+    return done
+
+
 def artifacts_by_job(artifacts: DataFrame, runs: DataFrame, jobs: DataFrame | None = None,
                      ts: str = "created_at", ids: list[str] = ["storage_path"], **chunk_opts) -> DataFrame:
     """Artifacts of the runs of the given jobs (``job_id``; all jobs without),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import artifact_key, json_field
@@ -209,6 +211,24 @@ def q_sampled_gauges(spark, sf):
     return H.sampled_gauges(gauge_deltas(spark, sf), "ts", "series", "delta", 3600)
 
 
+CASCADE_LINKS = [("nation", "n_regionkey", "region"), ("customer", "c_nationkey", "nation"), ("supplier", "s_nationkey", "nation"),
+                 ("orders", "o_custkey", "customer"), ("lineitem", "l_orderkey", "orders"), ("lineitem", "l_suppkey", "supplier")]
+
+
+def q_cascade_tables(spark, sf):
+    """J5 from a region down to the line items: rows that go and stay in every table."""
+    keys = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "orders": "o_orderkey", "lineitem": "l_id"}
+    tables = {t: views.table(spark, sf, t) for t in keys if t != "lineitem"}
+    # order and line are not unique together: lines that share them go or stay together
+    li = views.table(spark, sf, "lineitem").withColumn("l_id", F.struct("l_orderkey", "l_suppkey", "l_linenumber"))
+    gone = H.cascade({**tables, "lineitem": li}, keys, CASCADE_LINKS, {"region": tables["region"].where("r_name = 'ASIA'")})
+    parts = []
+    for t, df in {**tables, "lineitem": li}.items():
+        marked = df.join(gone[t].withColumn("_gone", F.lit(True)), keys[t], "left")
+        parts.append(marked.agg(F.lit(t).alias("table_name"), F.count_if(F.col("_gone").isNull()).alias("kept"), F.count_if("_gone").alias("removed")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_list_newest_first(spark, sf):
     r = views.runs(spark, sf).select("workspace_id", "id", "created_at")
     return H.list_newest_first(r, "workspace_id", "created_at", "id")
@@ -266,6 +286,7 @@ QUERIES = {
     "jobs_totals": q_jobs_totals,
     "pending_running_gauges": q_pending_running_gauges,
     "sampled_gauges": q_sampled_gauges,
+    "cascade_tables": q_cascade_tables,
     "list_newest_first": q_list_newest_first,
     "tasks_in_order": q_tasks_in_order,
     "oldest_pending_events": q_oldest_pending_events,
@@ -383,6 +404,16 @@ t AS (SELECT series, date_trunc('hour', ts) AS tick, CAST(sum(delta) AS BIGINT)
       FROM d WHERE delta IS NOT NULL GROUP BY 1, 2)
 SELECT series, tick, delta, CAST(sum(delta) OVER (PARTITION BY series ORDER BY tick) AS BIGINT) AS value
 FROM t""",
+    "cascade_tables": """WITH n AS (SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'),
+c AS (SELECT c_custkey FROM customer WHERE c_nationkey IN (SELECT * FROM n)), s AS (SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT * FROM n)),
+o AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT * FROM c)),
+l AS (SELECT l_orderkey IN (SELECT * FROM o) OR l_suppkey IN (SELECT * FROM s) AS gone FROM lineitem)
+SELECT 'region' AS table_name, count(*) FILTER (WHERE r_name <> 'ASIA') AS kept, count(*) FILTER (WHERE r_name = 'ASIA') AS removed FROM region
+UNION ALL SELECT 'nation', (SELECT count(*) FROM nation) - count(*), count(*) FROM n
+UNION ALL SELECT 'customer', (SELECT count(*) FROM customer) - count(*), count(*) FROM c
+UNION ALL SELECT 'supplier', (SELECT count(*) FROM supplier) - count(*), count(*) FROM s
+UNION ALL SELECT 'orders', (SELECT count(*) FROM orders) - count(*), count(*) FROM o
+UNION ALL SELECT 'lineitem', count(*) FILTER (WHERE NOT gone), count(*) FILTER (WHERE gone) FROM l""",
     "sampled_gauges": f"""WITH {DELTAS},
 t AS (SELECT series, date_trunc('hour', ts) AS tick, CAST(sum(delta) AS BIGINT) AS delta
       FROM d WHERE delta IS NOT NULL GROUP BY 1, 2),
