@@ -95,8 +95,9 @@ def _names(header: str) -> list[str]:
 
 
 def read_csv_text(spark: SparkSession, path: str, header: bool = True, position: str | None = None) -> DataFrame:
-    """All fields of all records as text, null where they are empty or missing. With ``position`` a
-    column of that name numbers the rows from 0, in the order of files and records."""
+    """All fields of all records as text, null where they are empty or missing, in the order of
+    files and records (a sort that Spark leaves out where the order does not matter). With
+    ``position`` a column of that name numbers the rows from 0 in this order."""
     records = materialize(csv_records(spark, path), "csv-records")
     first = records.where("record = 0").orderBy("file").limit(1).collect()
     if not first:
@@ -109,11 +110,11 @@ def read_csv_text(spark: SparkSession, path: str, header: bool = True, position:
     rows = records.where("record > 0") if header else records
     columns = [F.col(f"x.c{i}").alias(c) for i, c in enumerate(names)]
     if position is None:
-        return rows.select(fields.alias("x")).select(*columns)
+        return rows.orderBy("file", "record").select(fields.alias("x")).select(*columns)
     skipped = 1 if header else 0
     # one row per file
     start = F.sum("_n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
     files = (records.groupBy("file").agg((F.max("record") + 1 - skipped).alias("_n"))
              .select("file", F.coalesce(start, F.lit(0).cast("long")).alias("_start")))
-    return (rows.join(files, "file").select(fields.alias("x"), (F.col("_start") + F.col("record") - skipped).alias("_at"))
+    return (rows.join(files, "file").orderBy("file", "record").select(fields.alias("x"), (F.col("_start") + F.col("record") - skipped).alias("_at"))
             .select(*columns, F.col("_at").alias(position)))
