@@ -1,7 +1,7 @@
 """Registered streaming queries.
 
-Each replays a driver table as a file stream (one file per time range, one
-file per micro-batch), runs the streaming job to the end with
+Each replays a driver table as a file stream (a time range per micro-batch, as
+many files each as the table needs), runs the streaming job to the end with
 ``trigger(availableNow=True)`` and returns the finished sink read as a batch,
 so the oracle is the SQL of the batch twin.
 
@@ -26,7 +26,8 @@ from .ordered_queries import ORACLE as ORD_ORACLE
 FILES = 6
 TOPIC = "job.events"
 
-def _events_topic(spark, sf) -> str:
+def _events_topic(spark, sf) -> tuple[str, int]:
+    """The folder and the number of files in a micro-batch."""
     e = views.table(spark, sf, "events")
     js = F.to_json(F.struct(*[F.col(c) for c in e.columns]), TP.JSON_TS)
     value = F.when(F.col("event_id") % 97 == 0, F.substring(js, 1, 12)).otherwise(js)
@@ -34,22 +35,32 @@ def _events_topic(spark, sf) -> str:
                    value.alias("value"), F.lit(TOPIC).alias("topic"))
     from ..operators.ordered import add_chunks
 
-    chunked = add_chunks(rec, "ts", min_chunks=FILES)
-    last = max(FILES - 1, chunked.agg(F.max("_c")).first()[0] or 0)  # large tables have more files
-    dups = (chunked.where(F.col("event_type") == "purchase")
-            .withColumn("_c", F.least(F.col("_c") + 1, F.lit(last))))
-    path = scratch_path(spark, "topic")
-    return S.write_in_order(chunked.unionByName(dups).select("key", "value", "topic", F.lit(None).cast(TP.TOPIC_SCHEMA["headers"].dataType).alias("headers"), "_c"), path)
+    parts = S.whole_chunks(add_chunks(rec, "ts", min_chunks=FILES), FILES)
+    again = [p.where(F.col("event_type") == "purchase") for p in parts]
+    late = [None, *again]  # by the batch in which copies land: the next, the last its own too
+    parts = [p if d is None else p.unionByName(d) for p, d in zip(parts, late)]
+    if parts:
+        parts[-1] = parts[-1].unionByName(again[-1])
+    n = S.files_per_batch(e, FILES)
+    headers = F.lit(None).cast(TP.TOPIC_SCHEMA["headers"].dataType).alias("headers")
+    return S.write_in_order([p.select("key", "value", "topic", headers) for p in parts], scratch_path(spark, "topic"), n), n
 
 
 def _topic_stream(spark, sf) -> DataFrame:
-    return TP.read_topic(spark, _events_topic(spark, sf), stream=True, max_files_per_trigger=1)
+    path, n = _events_topic(spark, sf)
+    return TP.read_topic(spark, path, stream=True, max_files_per_trigger=n)
+
+
+def _replayed(spark, df, name):
+    """``df`` written in order of ``ts``, as a function that starts a stream over it."""
+    n = S.files_per_batch(df, FILES)
+    path = S.replay_files(df, scratch_path(spark, name), "ts", FILES, n)
+    return lambda: spark.readStream.schema(df.schema).option("maxFilesPerTrigger", n).parquet(path)
 
 
 def _event_stream(spark, sf, kinds=None) -> DataFrame:
     e = views.job_events(spark, sf).drop("event_type", "props", "value")
-    path = S.replay_files(e, scratch_path(spark, "events"), "ts", FILES)
-    st = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    st = _replayed(spark, e, "events")()
     return st.where(F.col("kind").isin(list(kinds))) if kinds else st
 
 
@@ -78,8 +89,7 @@ def flaky(frame):
 def q_retry_dead_letters(spark, sf):
     """T2, transient failures: some heal after an attempt or two, some never."""
     e = views.table(spark, sf, "events").select(F.col("event_id").alias("id"), "event_type", "ts")
-    path = S.replay_files(e, scratch_path(spark, "events"), "ts", FILES)
-    st = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    st = _replayed(spark, e, "events")()
     out = scratch_path(spark, "attempts")
     done = S.deliver_with_retries(st.withColumnRenamed("event_type", "payload"), flaky, "1 day")
     S.run_available(lambda: S.to_parquet_sink(done, out, scratch_path(spark, "ck")), spark=spark)
@@ -90,8 +100,7 @@ def q_undelivered_stream(spark, sf):
     """U1 while the stream runs: what no publication followed within a day.  Errors are never
     published, others up to two hours later."""
     e = views.table(spark, sf, "events").select("event_id", "ts", "event_type")
-    path = S.replay_files(e, scratch_path(spark, "events"), "ts", FILES)
-    read = lambda: spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    read = _replayed(spark, e, "events")
     late = F.col("ts") + F.make_dt_interval(mins=F.pmod("event_id", F.lit(120)).cast("int"))
     found = S.undelivered_stream(read().select(F.col("event_id").alias("id"), F.col("ts").alias("created_at")),
                                  read().where("event_type <> 'error'").select(F.col("event_id").alias("id"), late.alias("published_at")), "1 DAY", "6 hours")
@@ -135,11 +144,10 @@ def q_progress_stream(spark, sf):
         F.col("state") == "LEASED", F.array(step("PENDING", 0), step("LEASED", 1))).otherwise(
         F.array(step("PENDING", 0), step("LEASED", 1), step(F.col("state"), 2)))
     log = t.select("task_id", "run_id", F.explode(past).alias("s")).select("task_id", "run_id", "s.state", "s.seq", "s.ts")
-    src = S.replay_files(log, scratch_path(spark, "tasks"), "ts", FILES)
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    stream = _replayed(spark, log, "tasks")()
     path = scratch_path(spark, "progress")
     S.run_available(lambda: S.upsert_log(S.latest_task_states(stream, ["ts", "seq"]), path,
-                                         scratch_path(spark, "ck")), spark=spark)
+                                         scratch_path(spark, "ck")), spark=spark, large_state=True)
     return S.progress(S.latest_rows(spark, path, ["task_id"]))
 
 

@@ -14,6 +14,7 @@ rule, this one is documented).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -62,34 +63,58 @@ def wall_clock(c: Column) -> Column:
 
 # ------------------------------------------------------------ replay source
 
-def write_in_order(chunked: DataFrame, path: str, chunk_col: str = "_c") -> str:
-    """Write one parquet file per ``chunk_col`` value, in increasing order, one
-    write per file so file times follow the order (a file stream source takes
-    the oldest file first, and each micro-batch then holds whole chunks).
+#: rows in a file of a replayed table, about
+ROWS_PER_FILE = 250_000
 
-    The input is persisted once so the per-file writes do not rescan it, and
-    each write reads in parallel and moves only its chunk to the one writer
-    task (``repartition(1)``, not ``coalesce(1)``, which would make the whole
-    scan single-threaded)."""
-    t = chunked.persist()
-    try:
-        n = t.agg(F.max(chunk_col)).first()[0]
-        for i in range(0 if n is None else n + 1):
-            (t.where(F.col(chunk_col) == i).drop(chunk_col).repartition(1)
-             .write.mode("append").parquet(path))
-    finally:
-        t.unpersist()
+
+def files_per_batch(df: DataFrame, batches: int) -> int:
+    """Files that each of ``batches`` micro-batches of ``df`` has, so that a file has about
+    ``ROWS_PER_FILE`` rows at any size: ``maxFilesPerTrigger`` of the stream."""
+    return max(1, math.ceil(df.count() / batches / ROWS_PER_FILE))
+
+
+def whole_chunks(chunked: DataFrame, batches: int, chunk_col: str = "_c") -> list[DataFrame]:
+    """The rows of each micro-batch, ``batches`` at most: whole chunks, in their order."""
+    last = chunked.agg(F.max(chunk_col)).first()[0]
+    n = 0 if last is None else max(batches, last + 1)
+    at = [n * i // batches for i in range(batches + 1)]
+    # ranges of the chunk column, so that a scan leaves out the files of other chunks
+    return [chunked.where(F.col(chunk_col).between(lo, hi - 1)).drop(chunk_col)
+            for lo, hi in zip(at, at[1:]) if last is not None and lo <= last]
+
+
+def write_in_order(parts: list[DataFrame], path: str, files: int = 1) -> str:
+    """Write exactly ``files`` parquet files for each part, one write per part so
+    file times follow the order (a file stream source takes the oldest files first, and
+    with ``maxFilesPerTrigger`` = ``files`` each micro-batch is one part).
+
+    A write reads its own part and is done by ``files`` tasks; a part too small
+    for so many gets empty files."""
+    for i, part in enumerate(parts):
+        part.repartition(files).write.mode("append").parquet(path)
+        if files > 1:
+            there = len(part.sparkSession.read.schema(part.schema).parquet(path).inputFiles())
+            for _ in range(files * (i + 1) - there):
+                part.limit(0).repartition(1).write.mode("append").parquet(path)
     return path
 
 
-def replay_files(df: DataFrame, path: str, order_col: str, files: int) -> str:
-    """Replay a table as ``files`` parquet files in ``order_col`` order
-    (balanced time ranges from global quantiles)."""
-    return write_in_order(add_chunks(df, order_col, min_chunks=files), path)
+def replay_files(df: DataFrame, path: str, order_col: str, batches: int, files: int = 1) -> str:
+    """Replay a table as ``batches`` times ``files`` parquet files, in ``order_col`` order from
+    batch to batch (balanced time ranges from global quantiles)."""
+    return write_in_order(whole_chunks(add_chunks(df, order_col, min_chunks=batches), batches), path, files)
+
+
+#: state on the executors' disks, with a bounded part of it in memory
+LARGE_STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+               "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+               # rows of the state are not counted: that is a lookup for every write
+               "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+               "spark.sql.streaming.stateStore.rocksdb.blockCacheSizeMB": "64"}
 
 
 def run_available(query_builder: Callable[[], object], spark: SparkSession | None = None,
-                  state_partitions: int | None = None) -> None:
+                  state_partitions: int | None = None, large_state: bool = False) -> None:
     """Start a query built with ``trigger(availableNow=True)`` and wait.
 
     A stateful query fixes its number of state partitions when it first
@@ -97,19 +122,22 @@ def run_available(query_builder: Callable[[], object], spark: SparkSession | Non
     ``spark.sql.shuffle.partitions``.  With ``spark`` given, that setting is
     ``state_partitions`` (default: the cluster's default parallelism) while
     the query starts, and restored right after: the query keeps its own copy
-    of the session settings.
+    of the session settings.  ``large_state`` (with ``spark``): a state that grows
+    with the input is kept in RocksDB, not in the executors' heaps.
     """
     if spark is None:
         q = query_builder()
     else:
         n = state_partitions or max(1, spark.sparkContext.defaultParallelism)
-        key = "spark.sql.shuffle.partitions"
-        old = spark.conf.get(key)
-        spark.conf.set(key, str(n))
+        settings = {"spark.sql.shuffle.partitions": str(n), **(LARGE_STATE if large_state else {})}
+        old = {key: spark.conf.get(key, None) for key in settings}
         try:
+            for key, value in settings.items():
+                spark.conf.set(key, value)
             q = query_builder()
         finally:
-            spark.conf.set(key, old)
+            for key, value in old.items():
+                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
@@ -146,7 +174,9 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
 
 def split_sinks(parsed: DataFrame, good_path: str, dead_path: str, checkpoint: str):
     """One stream, two sinks; each micro-batch is written to both in
-    ``foreachBatch`` (batch id in the path keeps a replay idempotent)."""
+    ``foreachBatch`` (batch id in the path keeps a replay idempotent). The payload
+    is kept for the rows that go to the dead letters alone."""
+    parsed = parsed.withColumn("value", F.when(F.col("error").isNotNull(), F.col("value")))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()

@@ -81,6 +81,37 @@ def test_more_files_than_the_least_lose_no_events(spark, monkeypatch):
     assert sorted(got) == sorted(r.event_id for r in events.where("event_id % 97 <> 0").select("event_id").collect())
 
 
+@pytest.mark.parametrize("rows", [1000, 4])
+def test_large_batches_have_more_files_not_more_batches(spark, monkeypatch, rows):
+    monkeypatch.setattr(S, "ROWS_PER_FILE", 50 if rows > 50 else 1)
+    add = S.add_chunks
+    monkeypatch.setattr(S, "add_chunks", lambda df, order, **kw: add(df, order, rows_per_chunk=max(1, rows // 12), **kw))
+    df = spark.range(rows).select("id", F.timestamp_micros(F.col("id")).cast("timestamp_ntz").alias("ts"))
+    n = S.files_per_batch(df, 3)
+    assert n == (7 if rows > 50 else 2)
+    path = S.replay_files(df, scratch_path(spark, "t-src"), "ts", 3, n)
+    files = spark.read.parquet(path).inputFiles()
+    assert len(files) % n == 0 and len(files) <= 3 * n
+    log = scratch_path(spark, "t-log")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", n).parquet(path)
+    S.run_available(lambda: S.upsert_log(stream.groupBy("id").agg(F.max("ts").alias("ts")), log, scratch_path(spark, "t-ck")), spark=spark, large_state=True)
+    got = spark.read.parquet(log).groupBy("batch").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).orderBy("lo").collect()
+    assert len(got) <= 3 and [r["batch"] for r in got] == sorted(r["batch"] for r in got)
+    assert sum(r["n"] for r in got) == rows and all(r["hi"] - r["lo"] + 1 == r["n"] for r in got)
+
+
+def test_good_rows_of_a_split_keep_no_payload(spark):
+    good = '{"event_id": 1, "ts": "2024-01-01T00:00:00.000001", "user_id": 2, "event_type": "view", "value": 1.5, "props": "p"}'
+    src, out, dead = (scratch_path(spark, n) for n in ("t-src", "t-good", "t-dead"))
+    df = spark.createDataFrame([("k", good, "t"), ("k", None, "t"), ("k", "{", "t")], "key string, value string, topic string")
+    S.write_in_order([df.limit(0), df], src, 4)
+    assert len(spark.read.parquet(src).inputFiles()) == 8
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 4).parquet(src)
+    S.run_available(lambda: S.split_sinks(S.parse_events(stream), out, dead, scratch_path(spark, "t-ck")))
+    assert [r["event_id"] for r in spark.read.parquet(out).collect()] == [1]
+    assert sorted(str(r["original_payload"]) for r in spark.read.parquet(dead).collect()) == ["None", "{"]
+
+
 def test_state_fold_snapshot_equals_incremental(spark, jev):
     ev = jev.select("workspace_id", "event_id", "ts", F.col("kind").alias("state"))
     vals = ["state", "ts", "event_id"]
