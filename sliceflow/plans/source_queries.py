@@ -7,6 +7,7 @@ returns what the reader saw, so the oracle is the SQL of the original rows.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import pandas as pd
@@ -29,6 +30,10 @@ ROLLUP_SCHEMA = ("partition_index int, region string, total_revenue double, "
                  "avg_revenue double, row_count long")
 
 
+#: text in a CSV file of documents, about: a task writes a file
+CSV_FILE_BYTES = 64 << 20
+
+
 def _files(spark) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
 
@@ -53,11 +58,12 @@ def q_slice_file_order(spark, sf):
 
 
 def q_read_csv_multiline(spark, sf):
-    """S1 on large files whose fields hold quotes and line feeds: documents written to a
-    single CSV file, read back in many splits, with their places in the file."""
+    """S1 on large files whose fields hold quotes and line feeds: documents written to CSV
+    files of about ``CSV_FILE_BYTES`` (two at least), read back in many splits, with their places in the order of files."""
     path = scratch_path(spark, "documents-csv")
     docs = views.table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
-    A.write_dataset(docs, path, "csv", order_by="doc_id", files=2)
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    A.write_dataset(docs, path, "csv", order_by="doc_id", files=max(2, math.ceil(held / CSV_FILE_BYTES)))
     back = R.read_csv(spark, path, schema="doc_id long, text string, lang string, source string", position="position")
     return back.select("position", "doc_id", "lang", "source", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
 

@@ -116,5 +116,6 @@ def read_csv_text(spark: SparkSession, path: str, header: bool = True, position:
     start = F.sum("_n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
     files = (records.groupBy("file").agg((F.max("record") + 1 - skipped).alias("_n"))
              .select("file", F.coalesce(start, F.lit(0).cast("long")).alias("_start")))
-    return (rows.join(files, "file").orderBy("file", "record").select(fields.alias("x"), (F.col("_start") + F.col("record") - skipped).alias("_at"))
+    # sent to the rows: by file, the rows of a file would all go to one task
+    return (rows.join(F.broadcast(files), "file").orderBy("file", "record").select(fields.alias("x"), (F.col("_start") + F.col("record") - skipped).alias("_at"))
             .select(*columns, F.col("_at").alias(position)))

@@ -8,7 +8,7 @@ import pytest
 
 from sliceflow.operators import slices
 from sliceflow.sources import readers as R
-from sliceflow.sources.csv_records import _names, csv_records
+from sliceflow.sources.csv_records import _names, csv_records, read_csv_text
 
 PIECES = ['"a, b"', '"he said ""no"""', '"line\nfeed"', '""', "plain", '"\n\n"', '"""\n"', "5 feet", 'x"y', "", '"cr\r\nlf"', "é", '","', '"\n,\n"', "'", " "]
 
@@ -76,3 +76,30 @@ def test_names_and_no_rows(spark, tmp_path):
     (tmp_path / "a.csv").write_text("a,b\n")
     assert R.read_csv(spark, str(tmp_path)).collect() == []
     assert R.read_csv(spark, str(tmp_path), header=False, infer=False).collect()[0].asDict() == {"_c0": "a", "_c1": "b"}
+
+
+def test_rows_of_a_file_do_not_meet_in_a_task(spark, tmp_out):
+    spark.createDataFrame([(i, f"a\n{i}") for i in range(20)], "i int, t string").repartitionByRange(2, "i").write.option("header", True).option("escape", '"').csv(tmp_out + "/x")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        df = read_csv_text(spark, tmp_out + "/x", position="at")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(file" not in plan.split("BroadcastExchange")[0] and "BroadcastHashJoin" in plan
+        assert [tuple(r) for r in df.orderBy("at").collect()] == [(str(i), f"a\n{i}", i) for i in range(20)]
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_large_documents_are_written_to_more_files(spark, monkeypatch):
+    from conftest import SF0001
+    from sliceflow.plans import source_queries as Q
+
+    made = []
+    write = Q.A.write_dataset
+    monkeypatch.setattr(Q, "CSV_FILE_BYTES", 100_000)
+    monkeypatch.setattr(Q.A, "write_dataset", lambda df, path, *a, **kw: (made.append(path), write(df, path, *a, **kw)))
+    got = [r["doc_id"] for r in Q.q_read_csv_multiline(spark, SF0001).orderBy("position").select("doc_id").collect()]
+    assert got == sorted(got) and len(got) == spark.read.parquet(f"{SF0001}/documents.parquet").count()
+    assert len(spark.read.text(made[0]).inputFiles()) > 2
