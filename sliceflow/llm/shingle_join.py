@@ -327,10 +327,10 @@ def _cell_edges(percent: int, k: int = 0):
     return worker(run)
 
 
-def _cells(rows: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Rows (grp, node, size, data) dealt over the cells (i <= j) of their
-    group; ``blocks``: (grp, c) with the number of blocks of each group."""
-    at = rows.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("c")))
+def _cells(rows: DataFrame) -> DataFrame:
+    """Rows (grp, c, node, size, data) dealt over the cells (i <= j) of their
+    group, which has ``c`` blocks."""
+    at = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("c")))
     other = at.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c") - 1)))
     return (other.select("grp", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "node", "size", "data")
             .repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j"))
@@ -379,21 +379,23 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80, id_col: st
             .mapInArrow(_near(percent), "a long, b long"))
     large = bucket.where("kind = 1").select(F.col("a").alias("grp"), F.col("b").alias("node"))
     count = large.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("c"))
-    dense = (_cells(large.join(sets.select("node", "size", F.col("short").alias("data")), "node"), count)
+    dense = (_cells(large.join(sets.select("node", "size", F.col("short").alias("data")), "node").join(count, "grp"))
              .mapInArrow(_cell_edges(percent), "a long, b long"))
     candidates = spill(connected_components(near.unionByName(dense), contract=False), "candidates")
+    discard(bucket)
 
     # the sets of candidate components, each made from one document that has it; of all texts
     # only these are sent, but for a few that share a bit with one of them
     row = [F.col("id").isNull().alias("none"), F.coalesce("id", F.lit(0).cast("long")).alias("id"), "hash"]
     chosen = (documents.withColumnRenamed("doc_id", "id").join(candidates, "node").select("node", "component", F.struct(*row).alias("row"))
               .groupBy("node", "component").agg(F.min("row").alias("row")).select("node", F.col("component").alias("grp"), "row.*", F.lit(0).alias("size")))
-    chosen = spill(chosen, "chosen")
+    blocks = sets.join(candidates, "node").groupBy(F.col("component").alias("grp")).agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.col("size").cast("long")) / BLOCK_SHINGLES)).cast("long").alias("c"))
+    # before the texts are there, which would be moved once more
+    chosen = spill(chosen.join(blocks, "grp"), "chosen")
     wanted = with_bits(base.select(*row, "text"), chosen, ["none", "id", "hash"])
     texts = wanted.groupBy("none", "id", "hash").agg(F.first("text").alias("data"))  # rows that repeat are one
-    rows = texts.join(chosen, ["none", "id", "hash"]).select("node", "grp", "size", "data")
-    blocks = sets.join(candidates, "node").groupBy(F.col("component").alias("grp")).agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.col("size").cast("long")) / BLOCK_SHINGLES)).cast("long").alias("c"))
-    links = _cells(rows, blocks).mapInArrow(_cell_edges(percent, k), "a long, b long")
+    rows = texts.join(chosen, ["none", "id", "hash"]).select("grp", "c", "node", "size", "data")
+    links = _cells(rows).mapInArrow(_cell_edges(percent, k), "a long, b long")
     joined = connected_components(links, contract=False)
     # a document is a node too, so that rows that repeat an id hold together
     documents = documents.drop("hash")
