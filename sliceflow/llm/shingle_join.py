@@ -72,7 +72,17 @@ def bands(size: int, percent: int) -> list[tuple[int, int]]:
     own = [k]
     while 100 * size >= percent * _border(own[-1] + 1):
         own.append(own[-1] + 1)
-    return [(b, (100 - percent) * 2 * (_border(b + 1) - 1) // (100 + percent) + 1 + MARGIN) for b in own]
+    return [(b, _parts(b, percent)[0]) for b in own]
+
+
+def _parts(band: int, percent: int) -> tuple[int, int]:
+    """(parts of a band, how many of them a set may leave out): as many are left out as the
+    smallest set of the band is expected to have empty, MARGIN at least."""
+    need = (100 - percent) * 2 * (_border(band + 1) - 1) // (100 + percent) + 1
+    least, spare = percent * _border(band) / 100, MARGIN
+    while spare < (need + spare) * math.exp(-least / (need + spare)):
+        spare += 1
+    return need + spare, spare
 
 
 def _border(k: int) -> int:
@@ -88,10 +98,8 @@ def part_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
         first = np.flatnonzero(np.diff(part, prepend=-1))
         value = np.bitwise_xor.reduceat(shingles, first)
         at = part[first].astype(np.uint64)
-        if parts - len(first) > MARGIN:
-            full = np.zeros(parts, dtype=np.uint64)
-            full[part[first]] = value
-            value, at = full, np.arange(parts, dtype=np.uint64)
+        empty = np.setdiff1d(np.arange(parts), part[first])[_parts(band, percent)[1]:]
+        value, at = np.append(value, np.zeros(len(empty), np.uint64)), np.append(at, empty.astype(np.uint64))
         out.append(mix64(mix64(value + (at + np.uint64(1)) * _C1) + np.array([band + 1], np.uint64) * _C2))
     return np.concatenate(out)
 
