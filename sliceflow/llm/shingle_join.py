@@ -5,12 +5,13 @@ Two sets A, B with ``100 * |A & B| >= t * |A | B|`` differ in at most
 
 * **Pigeonhole join per size band.** In band k (sizes from ``lo`` to ``hi``; a
   set also enters the bands above that a linked set may have) shingles are dealt over
-  ``p = D + 1 + MARGIN`` parts, and each part is the XOR of its shingles' 64-bit
+  ``p = D + 1 + spare`` parts, and each part is the XOR of its shingles' 64-bit
   hashes. A differing shingle changes one part at most, so two linked sets agree
-  in at least ``MARGIN + 1`` parts, and (band, part, value) is an equi-join key.
-  Parts without shingles are left out, unless a set has more than ``MARGIN``
-  of them. Nothing is lost by that: were all equal parts of a linked pair empty,
-  both sets would have more than ``MARGIN`` empty parts, and both would send them.
+  in at least ``spare + 1`` parts, and (band, part, value) is an equi-join key.
+  The first ``spare`` parts without shingles are left out. Nothing is lost by that:
+  were all equal parts of a linked pair empty, at least ``spare + 1`` would be, and
+  the last of them comes after ``spare`` empty ones in both sets: both send it. As
+  unrelated sets meet in such a key, ``spare`` is so large that few sets send one.
 * **Bit sketch.** Shingles are XORed into single bits of a second sketch; its
   Hamming distance is a lower bound of the number of differing shingles.
 
@@ -28,6 +29,7 @@ by 64-bit hashes.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +50,10 @@ BLOCK_SHINGLES = 1 << 22
 #: 64-bit words of the second sketch of a set of up to 1024 shingles; it doubles
 #: with the size, so that it has about as many bits as the set has shingles
 SKETCH_WORDS = 16
-#: words of the sketch that goes with the rows of large buckets
+#: least words of the sketch that goes with the rows of large buckets
 SHORT_WORDS = 8
+#: words that are compared at once
+CELL_WORDS = 1 << 21
 _C1, _C2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA5A3564E3B1D2F35)
 
 
@@ -76,13 +80,19 @@ def bands(size: int, percent: int) -> list[tuple[int, int]]:
 
 
 def _parts(band: int, percent: int) -> tuple[int, int]:
-    """(parts of a band, how many of them a set may leave out): as many are left out as the
-    smallest set of the band is expected to have empty, MARGIN at least."""
+    """(parts of a band, how many empty ones a set leaves out): as many as its smallest set
+    is expected to have and two deviations more, or one, or none. More parts have more empty
+    ones, so that may have no solution; where parts would be more than doubled it is MARGIN."""
     need = (100 - percent) * 2 * (_border(band + 1) - 1) // (100 + percent) + 1
-    least, spare = percent * _border(band) / 100, MARGIN
-    while spare < (need + spare) * math.exp(-least / (need + spare)):
-        spare += 1
-    return need + spare, spare
+    least, spares = percent * _border(band) / 100, range(MARGIN, MARGIN + need + 1)
+    for deviations in (2, 1, 0):
+        def enough(spare):
+            empty = (need + spare) * math.exp(-least / (need + spare))
+            return spare >= empty + deviations * math.sqrt(empty)
+        at = bisect_left(spares, True, key=enough)
+        if at < len(spares):
+            return need + spares[at], spares[at]
+    return need + MARGIN, MARGIN
 
 
 def _border(k: int) -> int:
@@ -119,14 +129,21 @@ def _fold(sketch: np.ndarray) -> np.ndarray:
     return sketch[..., :half] ^ sketch[..., half:]
 
 
-def short_sketch(sketch: np.ndarray) -> np.ndarray:
-    """A sketch of SHORT_WORDS words: it tells less of large sets, and a set in many
-    large buckets is sent with it many times."""
-    while len(sketch) > SHORT_WORDS:
+def _narrow(sketch: np.ndarray, words: int) -> np.ndarray:
+    while len(sketch) > words:
         sketch = _fold(sketch)
     return sketch
 
 
+def short_sketch(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The sketch of SHORT_WORDS words, or of more for a set of more shingles than these have
+    bits: sets that differ wholly would look alike. A set in many large buckets is sent with it many times."""
+    words = SHORT_WORDS
+    while 64 * words < size:
+        words *= 2
+    return _narrow(sketch, words)
+
+
 def _allowed(distance, x, y, percent: int):
     """Whether sets of sizes x and y that differ in ``distance`` shingles can link."""
     return distance * (100 + percent) <= (100 - percent) * (x + y)
@@ -158,7 +175,7 @@ def _first_pass(k: int, percent: int):
                         seen.clear()
                     seen.add(nodes[-1])
                     wide = bit_sketch(s)
-                    new.append((nodes[-1], len(s), wide.tobytes(), short_sketch(wide).tobytes()))
+                    new.append((nodes[-1], len(s), wide.tobytes(), short_sketch(wide, len(s)).tobytes()))
                     keys.append(part_keys(s, percent).view(np.int64))
                     owner.append(len(new) - 1)
                 yield batch(0, ids.slice(i, j - i).cast(pa.int64()), nodes, sizes, text=b.column(2).slice(i, j - i))
@@ -256,10 +273,15 @@ def _cell(node, size, sketches, left, percent, check=None):
     """Spanning edges among the sets of a cell. ``left``: True for the first
     block of the cell, None when it has one block only. A pair is compared
     unless it is connected already."""
-    if check is None and left is None and len(node) <= 512:  # all at once
-        s = np.stack(sketches)
-        far = np.bitwise_count(s[:, None] ^ s[None]).sum(2, dtype=np.int64)
-        ok = _allowed(far, size[:, None], size[None], percent) & (100 * np.minimum(size[:, None], size) >= percent * np.maximum(size[:, None], size))
+    if check is None and left is None and len(node) <= 512:  # many at once
+        words = min(map(len, sketches))
+        s = np.stack([_narrow(x, words) for x in sketches])
+        ok = np.empty((len(s), len(s)), dtype=bool)
+        step = max(1, CELL_WORDS // s.size)
+        for i in range(0, len(s), step):
+            at = slice(i, i + step)
+            far = np.bitwise_count(s[at, None] ^ s[None]).sum(2, dtype=np.int64)
+            ok[at] = _allowed(far, size[at, None], size[None], percent) & (100 * np.minimum(size[at, None], size) >= percent * np.maximum(size[at, None], size))
         p, q = np.nonzero(np.triu(ok, 1))
         return [(node[a], node[b]) for a, b in zip(*forest(p, q)) if a != b] if len(p) else []
     label, edges = np.arange(len(node)), []
@@ -335,6 +357,11 @@ def _cell_edges(percent: int, k: int = 0):
     return worker(run)
 
 
+def _blocks(shingles: int):
+    """Blocks of a group: of BLOCK sets and so many shingles."""
+    return F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.col("size").cast("long")) / shingles)).cast("long").alias("c")
+
+
 def _cells(rows: DataFrame) -> DataFrame:
     """Rows (grp, c, node, size, data) dealt over the cells (i <= j) of their
     group, which has ``c`` blocks."""
@@ -386,7 +413,7 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80, id_col: st
     near = (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b")
             .mapInArrow(_near(percent), "a long, b long"))
     large = bucket.where("kind = 1").select(F.col("a").alias("grp"), F.col("b").alias("node"))
-    count = large.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("c"))
+    count = large.join(sets.select("node", "size"), "node").groupBy("grp").agg(_blocks(16 * BLOCK_SHINGLES))
     dense = (_cells(large.join(sets.select("node", "size", F.col("short").alias("data")), "node").join(count, "grp"))
              .mapInArrow(_cell_edges(percent), "a long, b long"))
     candidates = spill(connected_components(near.unionByName(dense), contract=False), "candidates")
@@ -397,7 +424,7 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80, id_col: st
     row = [F.col("id").isNull().alias("none"), F.coalesce("id", F.lit(0).cast("long")).alias("id"), "hash"]
     chosen = (documents.withColumnRenamed("doc_id", "id").join(candidates, "node").select("node", "component", F.struct(*row).alias("row"))
               .groupBy("node", "component").agg(F.min("row").alias("row")).select("node", F.col("component").alias("grp"), "row.*", F.lit(0).alias("size")))
-    blocks = sets.join(candidates, "node").groupBy(F.col("component").alias("grp")).agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.col("size").cast("long")) / BLOCK_SHINGLES)).cast("long").alias("c"))
+    blocks = sets.join(candidates, "node").groupBy(F.col("component").alias("grp")).agg(_blocks(BLOCK_SHINGLES))
     # before the texts are there, which would be moved once more
     chosen = spill(chosen.join(blocks, "grp"), "chosen")
     wanted = with_bits(base.select(*row, "text"), chosen, ["none", "id", "hash"])

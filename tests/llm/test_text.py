@@ -1,9 +1,12 @@
 """Operators 8 and 9 and the pipeline."""
 
 import random
+import signal
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,6 +107,35 @@ def test_sets_two_bands_apart_share_a_key():
     assert [b for b, _ in join.bands(10, 50)] == [5, 6, 7] and len(join.bands(10, 90)) == 1
 
 
+def test_parts_of_all_bands_are_found():
+    def late(*_):
+        raise TimeoutError
+    before = signal.signal(signal.SIGALRM, late)
+    signal.alarm(20)
+    try:
+        for percent in range(50, 100):
+            for band in range(50):
+                parts, spare = join._parts(band, percent)
+                need = (100 - percent) * 2 * (join._border(band + 1) - 1) // (100 + percent) + 1
+                assert parts == need + spare and join.MARGIN <= spare <= join.MARGIN + need
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
+
+
+def test_long_sets_that_have_nothing_in_common_do_not_meet():
+    rng = np.random.default_rng(6)
+    texts = [" ".join(map(str, rng.integers(0, 1 << 40, n))) for n in (1200, 1300, 1500, 2900, 3000, 3200) for _ in range(10)]
+    docs = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(texts), pa.array(range(60))], names=["id", "text", "hash"])
+    rows = pa.Table.from_batches(join._first_pass(5, 80)(iter([docs]))).to_pylist()
+    keys = Counter(r["key"] for r in rows if r["kind"] == 1)
+    assert len(keys) > 5000 and max(keys.values()) <= 2
+    sets = [r for r in rows if r["kind"] == 2]
+    node, size, short = np.array([r["node"] for r in sets]), np.array([r["size"] for r in sets]), [np.frombuffer(r["short"], np.uint64) for r in sets]
+    assert len(sets) == 60 and join._cell(node, size, short, None, 80) == []
+    assert {tuple(sorted(e)) for e in join._cell(node[[0, 0]] + [0, 1], size[[0, 0]], [short[0]] * 2, None, 80)} == {(node[0], node[0] + 1)}
+
+
 def test_words_and_shingles():
     data = b" one\ttwo\n\x0bone \xc3\xa9 " + b"x" * 3_000_000 + b" one"
     h, start = word_hashes(data)
